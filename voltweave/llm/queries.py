@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import minhash, mixing
 from .common import table
 
 
@@ -12,8 +12,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op6_minhash_dedup": op6_minhash_dedup,
 }
 
 ORACLES = {

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytewords import lower_bytes, mix, words
 from .common import staged
 from .components import connected_components
 
@@ -33,59 +34,21 @@ SURE = 20
 #: Members of a bucket, or of what one document is compared with, that one task takes at once.
 CHUNK = 256
 
-_DRAW = np.random.default_rng(20240229)
-_BYTE = _DRAW.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_DRAW = np.random.default_rng(20240301)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _MULT = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64)
-#: Odd powers of the base, and of its inverse modulo 2^64; grown to the longest text seen.
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, np.uint64(pow(int(_BASE), -1, 2**64)))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.multiply.accumulate(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word of the text, A-Z in lower case."""
-    raw = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
-    if not len(raw):
-        return np.empty(0, np.uint64)
-    space = _SPACE[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
-    start, end = edge[::2], edge[1::2]
-    power, inverse = _powers(len(raw) + 1)
-    sums = np.empty(len(raw) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE[raw] * power[:-1], out=sums[1:])
-    return _mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles of `size` words; fewer words make one shingle, none make none."""
-    w = word_hashes(text or "")
+    w = words(np.frombuffer(lower_bytes(text), np.uint8))[2]
     if not len(w):
         return w
     n = max(1, len(w) - size + 1)
     h = np.zeros(n, np.uint64)
     for i in range(min(size, len(w))):
-        h = _mix(h + w[i : i + n] + np.uint64(i + 1))
+        h = mix(h + w[i : i + n] + np.uint64(i + 1))
     return np.unique(h)
 
 
@@ -94,7 +57,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     out = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 4096):
         np.minimum(out, ((shingles[None, i : i + 4096] ^ _FLIP[:, None]) * _MULT[:, None]).min(1), out=out)
-    return _mix(out)
+    return mix(out)
 
 
 def _describe(size: int):
@@ -104,7 +67,7 @@ def _describe(size: int):
             for i, text in zip(b["doc_id"], b["text"], strict=True):
                 s = shingle_set(text, size)
                 if len(s):
-                    low, high = _mix(s).sum(dtype=np.uint64), _mix(s * _BASE + np.uint64(7)).sum(dtype=np.uint64)
+                    low, high = mix(s).sum(dtype=np.uint64), mix(s * _STEP + np.uint64(7)).sum(dtype=np.uint64)
                     rows.append((i, len(s), int(low.view(np.int64)), int(high.view(np.int64)), signature(s).astype(np.uint32).view(np.int32)))
                 else:
                     rows.append((i, 0, None, None, None))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, mixing
+from . import minhash, mixing, mpeg, topk
 from .common import table
 
 
@@ -12,16 +13,36 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5).withColumnRenamed("id", "vec_id")
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mpeg.read_media(mpeg.encode_texts(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op9_mpeg_audio": op9_mpeg_audio,
 }
 
 ORACLES = {
+    "op5_exact_top_k": """
+with v as (select cast(vec_id as bigint) id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, embedding from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.id query_id, c.id vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) score
+  from v q join v c on q.id <> c.id and len(q.e) = len(c.e) where q.id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score from s
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+""",
     "op1_mix_sources": r"""
 with d as (select doc_id, coalesce(source, '') src, source is null src_null, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) size,
   cast(('0x' || substr(md5(concat_ws('|', cast(doc_id as varchar), '17')), 1, 15)) as bigint) h from documents),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, mpeg, topk
+from . import ctw, minhash, mixing, mpeg, topk
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op7_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
+
+
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mpeg.read_media(mpeg.encode_texts(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad")
@@ -31,6 +35,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_context_tree_lm": op7_context_tree_lm,
     "op9_mpeg_audio": op9_mpeg_audio,
 }
 

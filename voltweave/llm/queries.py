@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, minhash, mixing, mpeg, topk
+from . import crf, ctw, minhash, mixing, mpeg, topk
 from .common import table
 
 
@@ -31,12 +31,17 @@ def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad")
 
 
+def op10_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.identify(table(spark, sf_dir, "documents"), folds=5, held_fold=0)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_context_tree_lm": op7_context_tree_lm,
     "op9_mpeg_audio": op9_mpeg_audio,
+    "op10_crf_language_id": op10_crf_language_id,
 }
 
 ORACLES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf, ctw, minhash, mixing, mpeg, packing, topk
+from . import crf, ctw, minhash, mixing, mpeg, packing, pii, topk
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, window=4096, with_ids=False)
 
 
+def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5).withColumnRenamed("id", "vec_id")
@@ -49,6 +53,7 @@ def op10_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_retrieval_packing": op2_retrieval_packing,
+    "op3_pii_boosting": op3_pii_boosting,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_context_tree_lm": op7_context_tree_lm,

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -262,8 +263,16 @@ def identify(docs: DataFrame, folds: int = 5, held_fold: int = 0) -> DataFrame:
     return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long")
 
 
-def keep_identified(docs: DataFrame, least: float = 1 / 3) -> DataFrame:
-    """The rows of docs whose language is known: not 'und', and with a share of at least `least`. A null lang gets the prediction; other columns as given."""
-    found = identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).groupBy(F.col("doc_id").alias("_lang_id")).agg(F.min("lang_pred").alias("_lang_pred"))
-    out = docs.join(found, docs["doc_id"] == found["_lang_id"])
-    return out.select(*[F.coalesce(docs[c], found["_lang_pred"]).alias(c) if c == "lang" else docs[c] for c in docs.columns])
+def keep_identified(docs: DataFrame, least: float = 1 / 3, folds: int = 5, held_fold: int = 0) -> DataFrame:
+    """The rows of docs whose language is known: not 'und', and with a share of at least `least`. A null lang gets the prediction; columns as given."""
+    model = fit(docs, folds, held_fold)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model) if model else None
+        for b in batches:
+            found = label_texts(scorer, b.column("text").to_pylist()) if scorer else [(UNKNOWN, 0.0, 0, 0)] * b.num_rows
+            lang = [given if given is not None else f[0] for given, f in zip(b.column("lang").to_pylist(), found, strict=True)]
+            b = b.set_column(b.schema.get_field_index("lang"), b.schema.field("lang"), pa.array(lang, pa.string()))
+            yield b.filter(pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf, ctw, minhash, mixing, mpeg, packing, pii, topk
+from . import chat, crf, ctw, minhash, mixing, mpeg, packing, pii, topk, viterbi
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5).withColumnRenamed("id", "vec_id")
@@ -41,6 +45,12 @@ def op7_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_texts(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
 
 
+def op8_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return viterbi.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mpeg.read_media(mpeg.encode_texts(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad")
@@ -54,14 +64,25 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_retrieval_packing": op2_retrieval_packing,
     "op3_pii_boosting": op3_pii_boosting,
+    "op4_chat_rotation": op4_chat_rotation,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_context_tree_lm": op7_context_tree_lm,
+    "op8_viterbi_counts": op8_viterbi_counts,
     "op9_mpeg_audio": op9_mpeg_audio,
     "op10_crf_language_id": op10_crf_language_id,
 }
 
 ORACLES = {
+    "op4_chat_rotation": r"""
+with t as (select conv_id, turn, coalesce(role, 'unknown') speaker, coalesce(text, '') text from conversations where conv_id is not null),
+p as (select distinct conv_id, speaker perspective from t where speaker <> 'system'),
+r as (select t.*, perspective, case when speaker = 'system' then 'system' when speaker = perspective then 'assistant' else 'user' end role from t join p using (conv_id)),
+m as (select *, concat('<', role, case when role = 'user' then concat(':', speaker) else '' end, '>', chr(10), text, chr(10), '</>', chr(10)) message from r),
+s as (select *, cast(coalesce(sum(length(message)) over (partition by conv_id, perspective order by turn nulls last, speaker, text rows between unbounded preceding and 1 preceding), 0) as bigint) start from m)
+select conv_id, perspective, turn, role, case when role = 'user' then speaker end as name, message, start,
+  case when role = 'assistant' then start + length(message) - length(text) - 5 end train_start, case when role = 'assistant' then start + length(message) end train_end from s
+""",
     "op5_exact_top_k": """
 with v as (select cast(vec_id as bigint) id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, embedding from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),

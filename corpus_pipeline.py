@@ -1,4 +1,60 @@
-STAGES = []
+"""From documents to packed training sequences: language ID, near-duplicates, personal data, mixing, packing."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voltweave.llm import crf, minhash, mixing, packing, pii
+from voltweave.llm.common import shared_dir, table
+from voltweave.llm.queries import tokenizer_path
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language go; a missing lang is filled in."""
+    return crf.keep_identified(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five words, 0.8) one document stays."""
+    return minhash.drop_near_duplicates(docs, shingle_words=5, percent=80)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to their kind; n_chars follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks for."""
+    return mixing.mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens, with their ids."""
+    return packing.pack_documents(docs, tokenizer_path(), end_id=2, window=4096, with_ids=True)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("pii", redact_pii),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: SQL can express neither the language model nor the near-duplicate and packing stages; tests compare with plain Python.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents; each is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{shared_dir(spark)}/voltweave-pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -1 +1 @@
-
+"""Column expressions of the load-survey rules."""

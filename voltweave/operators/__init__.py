@@ -1 +1 @@
-
+"""Operators: functions of DataFrames, without actions or state."""

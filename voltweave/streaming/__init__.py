@@ -1 +1 @@
-
+"""The rules on streams."""

@@ -1,0 +1,543 @@
+"""The ten operators on small tables: brute force, odd rows, empty tables, columns that clash."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voltweave.llm import chat, crf, ctw, minhash, mixing, mpeg, packing, pii, topk, viterbi
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs(spark, texts, extra=()):
+    """Documents with columns whose names operators use inside."""
+    rows = [(i, t, ("en", "de")[i % 2] if i is not None else None, f"s{i % 3}" if i else None, 0) for i, t in texts]
+    df = spark.createDataFrame(rows, DOCS)
+    for c in ("size", "taken", "id", "bucket", "score", "media", "_x", "count", "h", "bin", "low", "shard", *extra):
+        df = df.withColumn(c, F.lit("clash"))
+    return df
+
+
+LONG = "lorem ipsum dolor sit amet " * 4000
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, LONG), (6, "same words here again"), (7, "same words here again"), (7, "same words here again"), (None, "no id at all"), (8, "Ünï çødé \U0001f600 日本語 \x00 \x1c x"), (9, "..,, !! 12 34")]
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+# --- 1: mixing
+
+
+def expected_targets(sizes, weights=(5.0, 2.0, 1.0), epochs=3.0):
+    """Clamp and share again until nothing is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in capped]
+        left = total - sum(capped.values())
+        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > epochs * sizes[s] * (1 + 1e-12)]
+        if not over:
+            return capped | share
+        capped |= {s: epochs * sizes[s] for s in over}
+
+
+def test_mixing_targets_and_words(spark):
+    rng = np.random.default_rng(1)
+    sources = ["a"] * 600 + ["b"] * 150 + ["c"] * 30 + ["d"] * 10 + [None] * 210
+    data = [(i, "w " * int(rng.integers(0, 60)), s) for i, s in enumerate(sources)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in rows(mixing.mix_plan(df))}
+    sizes = Counter()
+    for i, t, s in data:
+        sizes[s] += len(t.split())
+    want = expected_targets(sizes)
+    taken, largest = Counter(), defaultdict(int)
+    for i, t, s in data:
+        n = len(t.split())
+        assert out[i]["size"] == n and out[i]["source_size"] == sizes[s] and out[i]["target"] == pytest.approx(want[s])
+        assert n == 0 or (out[i]["taken"] % n == 0 and out[i]["taken"] <= 3 * n)
+        taken[s] += out[i]["taken"]
+        largest[s] = max(largest[s], n)
+    assert all(abs(taken[s] - want[s]) <= largest[s] for s in sizes)
+    again = {r["doc_id"]: r for r in rows(mixing.mix_plan(df.repartition(7)))}
+    assert again == out
+    mixed = Counter(r["doc_id"] for r in mixing.mix_documents(df).collect())
+    assert all(mixed[i] == (out[i]["copies"] if out[i]["taken"] else 0) for i in out)
+
+
+def test_mixing_odd_rows(spark):
+    out = rows(mixing.mix_plan(docs(spark, ODD)))
+    assert len(out) == len(ODD) and all(r["taken"] <= 3 * r["size"] for r in out)
+    assert mixing.mix_plan(docs(spark, ODD).limit(0)).count() == 0
+    assert all(r["taken"] == 0 for r in rows(mixing.mix_plan(docs(spark, [(1, None), (2, "")]))))
+    assert mixing.mix_documents(docs(spark, ODD)).columns == docs(spark, ODD).columns
+
+
+# --- 2: packing
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pytest.importorskip("public_tokenizers").path
+
+
+def check_pieces(pieces, ids_of, window=4096):
+    """ids_of: doc_id to a list of id arrays, one for each row with that id."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append(p)
+    assert sum(p["length"] for p in pieces) == sum(len(x) for many in ids_of.values() for x in many)
+    for d, many in ids_of.items():
+        for ids in many:
+            assert any(p["doc_tokens"] == len(ids) for p in by_doc[d])
+        if len(many) == 1:
+            at = 0
+            for p in sorted(by_doc[d], key=lambda p: p["start"]):
+                part = many[0][p["start"] : p["start"] + p["length"]].astype("<u4")
+                assert p["start"] == at and p["ids_crc32"] == zlib.crc32(part.tobytes())
+                at += p["length"]
+            assert at == len(many[0])
+    for s in by_sequence.values():
+        at = 0
+        for p in sorted(s, key=lambda p: p["offset"]):
+            assert p["offset"] == at and p["length"] > 0
+            at += p["length"]
+        assert at <= window
+    return by_sequence
+
+
+def test_packing_holds_every_id_once(spark, vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "SHARD", 60_000)
+    path = vocabulary("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    rng = np.random.default_rng(3)
+    texts = ODD + [(100 + i, " ".join(f"Word{rng.integers(300)}," for _ in range(int(rng.integers(1, 900))))) for i in range(120)] + [(300, "don't <|endoftext|> İΣ é"), (301, "a\x1cb C.,; 日本 ﬁ")]
+    ids = defaultdict(list)
+    for i, text in texts:
+        ids[i].append(np.array([*t.encode(text or "", add_special_tokens=False).ids, 2]))
+    out = rows(packing.pack_documents(docs(spark, texts), path))
+    by_sequence = check_pieces(out, ids)
+    full = sum(sum(p["length"] for p in s) == 4096 for s in by_sequence.values())
+    shards = len({s >> 32 for s in by_sequence})
+    assert len(by_sequence) - full <= shards
+    assert all(zlib.crc32(np.array(p["ids"], "<u4").tobytes()) == p["ids_crc32"] for p in out)
+    again = rows(packing.pack_documents(docs(spark, texts).repartition(5), path))
+    key = lambda p: (p["sequence_id"], p["offset"])
+    assert sorted(again, key=key) == sorted(out, key=key)
+    assert packing.pack_documents(docs(spark, ODD).limit(0), path).count() == 0
+
+
+def test_packing_scores_are_bm25():
+    some = [np.array(x) for x in ([1, 1, 2, 9], [1, 3, 9], [4, 5, 6, 7], [2, 2, 2, 9], [4, 9])]
+    index, n, mean = packing.Index(some), 5, np.mean([4, 3, 4, 4, 2])
+    monkey = index.telling.copy()
+    index.telling[:] = True
+    for d in range(n):
+        for e in range(n):
+            want = 0.0
+            for term in set(some[d].tolist()):
+                df, tf = sum(term in x for x in some), int((some[e] == term).sum())
+                want += math.log1p((n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(some[e]) / mean))
+            assert index.scores(d)[e] == pytest.approx(want)
+    assert not monkey[9] and monkey[3]
+
+
+def test_packing_takes_neighbours():
+    topic = lambda k, n: np.array([10 * k + i % 7 for i in range(n)])
+    shard = [topic(k, 50) for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10) for _ in range(2)]
+    shuffled = shard[::2] + shard[1::2]
+    pieces = packing.pack_shard(shuffled, 100)
+    by = defaultdict(list)
+    for doc, _, _, sequence, _ in pieces:
+        by[sequence].append(doc % 10)
+    assert all(len(set(d)) == 1 for d in by.values())
+
+
+# --- 3: personal data
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(text):
+    def holds(kind, hit):
+        d = re.sub("[^0-9]", "", hit)
+        return {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in hit.split(".")), "card": 16 <= len(d) <= 19 and luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, text) if holds(k, m.group())]
+
+
+PII = [
+    "a@b.c_d@e.f x@y..z@q.w %a%@b-.c-", "1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.255 1.2.3", "\U0001f600 me@x.org 日 4111 1111 1111 1111 4111-1111-1111-1112", "+1 (234) 555-1212 +12345 ++49 30 1234567+1+2",
+    "5" * 3000, "1.1.1.1 " * 700, "a" * 50000, "x@" * 500, "call (234) 555-1212 now, mail ann (at) example (dot) org", None, "",
+]
+
+
+def test_pii_rules_equal_plain_matching(spark):
+    texts = list(enumerate(PII, 1)) + [(50 + (i or 0), t) for i, t in ODD]
+    text_of = dict(texts)
+    for r in rows(pii.report(docs(spark, texts))):
+        want = base_spans(text_of[r["doc_id"]] or "")
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), r
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s.startswith(k) for s in want) for k in PATTERNS]
+        assert set(want) <= set(r["spans"].split(",")) | {""}
+    assert pii.report(docs(spark, ODD).limit(0)).count() == 0
+
+
+def test_pii_proposals_and_redaction(spark):
+    made = docs(spark, [(1, "call (234) 555-1212 now"), (2, "mail ann (at) example (dot) org"), (3, "order 234-555-1212"), (4, None), (5, "to a@b.co. 4111111111111111")])
+    out = {r["doc_id"]: r["text"] for r in rows(pii.redact(made))}
+    assert out == {1: "call <PHONE> now", 2: "mail <EMAIL>", 3: "order 234-555-1212", 4: None, 5: "to <EMAIL>. <CARD>"}
+    assert pii.redact(made).columns == made.columns
+
+
+def test_pii_trees_on_rows_they_have_not_seen(spark):
+    margin, limits = pii._model(5)
+    seen = pii.training_rows(spark, 6000).where("id >= 4096").withColumn("x", F.array(*pii._features(F.col("kind"), F.col("hit"), F.col("before"), F.col("after"))))
+    at = F.create_map(*[F.lit(v) for pair in limits.items() for v in pair])[F.col("kind")]
+    said = seen.select((F.expr(margin) >= at).alias("said"), (F.col("label") == 1).alias("truth"))
+    n, right, true = said.agg(F.count_if("said"), F.count_if(F.col("said") & F.col("truth")), F.count_if("truth")).first()
+    assert right / n > 0.95 and right / true > 0.6
+
+
+def test_pii_plan_has_no_python_and_no_shuffle(spark):
+    plan = pii.report(docs(spark, ODD))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+# --- 4: chat
+
+
+def test_chat_perspectives(spark):
+    turns = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, None, None, None), (2, 0, "system", "x"), (None, 0, "ann", "lost")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("speaker", F.lit(1)).withColumn("block", F.lit(2)).withColumn("message", F.lit(3))
+    got = defaultdict(list)
+    for r in rows(chat.rotate(df)):
+        got[r["conv_id"], r["perspective"]].append(r)
+    assert sorted(got) == [(1, "ann"), (1, "bob"), (1, "unknown")]
+    for (_, person), messages in got.items():
+        text = "".join(m["message"] for m in sorted(messages, key=lambda m: m["start"]))
+        for m in messages:
+            assert text[m["start"] : m["start"] + len(m["message"])] == m["message"]
+            if m["role"] == "assistant":
+                assert text[m["train_start"] : m["train_end"]].endswith("\n</>\n") and m["name"] is None
+            else:
+                assert m["train_start"] is None and (m["role"] == "system" or m["name"] != person)
+    ann = sorted(got[1, "ann"], key=lambda m: m["start"])
+    assert [m["message"] for m in ann][:3] == ["<system>\ns\n</>\n", "<assistant>\nhi\n</>\n", "<user:bob>\nyo\n</>\n"] and ann[1]["train_end"] - ann[1]["train_start"] == 7
+    assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_chat_long_dialogue_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 8)
+    df = spark.range(100).selectExpr("1L as conv_id", "id as turn", "if(id % 3 = 0, 'a', 'b') as role", "repeat('x', cast(id % 11 as int)) as text")
+    for person in "ab":
+        got = sorted((r for r in rows(chat.rotate(df)) if r["perspective"] == person), key=lambda r: r["turn"])
+        at = 0
+        for r in got:
+            assert r["start"] == at
+            at += len(r["message"])
+
+
+# --- 5: top-k
+
+
+def brute_top(vectors, k):
+    ok = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = set()
+    for q, a in ok:
+        if q % 50 == 0:
+            best = sorted(((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in ok if i != q and len(a) == len(b)))[:k]
+            out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
+    return out
+
+
+def test_top_k_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 64)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "BINS", 8)
+    rng = np.random.default_rng(5)
+    same = [float(x) for x in rng.normal(size=8)]
+    vectors = [(i, same if i % 3 == 0 else [float(x) for x in rng.normal(size=8)]) for i in range(400)]
+    vectors += [(400, None), (401, [float("nan")] * 8), (402, [None] * 8), (403, [float("inf")] + [0.0] * 7), (404, []), (None, same), (450, [1.0, 2.0]), (500, [0.0] * 8)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("id", F.lit(1)).withColumn("v", F.lit(2)).withColumn("rank", F.lit(3))
+    got = {(r["query_id"], r["rank"], r["id"], r["score"]) for r in rows(topk.top_k(df, F.col("vec_id") % 50 == 0))}
+    assert got == brute_top(vectors, 5)
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_top_k_of_large_components_is_exact(spark):
+    vectors = [(i, [5e4 * (i + 1), -3e4 * i]) for i in range(60)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"], r["id"], r["score"]) for r in rows(topk.top_k(df, F.col("vec_id") % 50 == 0))}
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors]
+    want = {(q, rank, i, s) for q, a in ints if q % 50 == 0 for rank, (s, i) in enumerate(sorted(((sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in ints if i != q), key=lambda p: (-p[0], p[1]))[:5], 1)}
+    assert got == want
+
+
+# --- 6: near duplicates
+
+
+def shingles(text, size):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def brute_components(texts, size, percent=80):
+    parent = {i: i for i, _ in texts if i is not None}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [(i, shingles(t, size)) for i, t in texts if i is not None]
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return {i: find(i) for i in parent}
+
+
+def near_texts(seed=7):
+    """Families of near copies at all distances around the limit, large groups of copies, and unrelated texts."""
+    rng = np.random.default_rng(seed)
+    word = lambda: f"w{rng.integers(5000)}"
+    out = []
+    for family in range(14):
+        base = [word() for _ in range(60 + 20 * (family % 5))]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(int(rng.integers(0, 12))):
+                copy[int(rng.integers(len(copy)))] = word()
+            out.append(" ".join(copy))
+    out += ["A hot Text copied many times over"] * 60 + [" ".join(word() for _ in range(50)) for _ in range(60)]
+    return [(int(i), out[n]) for n, i in enumerate(rng.permutation(len(out)))]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, size):
+    monkeypatch.setattr(minhash, "CHUNK", 5)
+    texts = near_texts()
+    want = brute_components(texts, size)
+    out = rows(minhash.near_duplicates(docs(spark, texts), size))
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+    assert all(r["n_shingles"] == len(shingles(dict(texts)[r["doc_id"]], size)) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+
+
+def test_near_duplicates_odd_rows(spark):
+    out = {r["doc_id"]: r for r in rows(minhash.near_duplicates(docs(spark, ODD), 5))}
+    assert out[6]["component_id"] == out[7]["component_id"] == 6 and out[6]["kept"] and not out[7]["kept"]
+    assert [out[i]["n_shingles"] for i in (1, 2, 3, 4)] == [0, 0, 0, 1] and all(out[i]["kept"] for i in (1, 2, 3, 4)) and not out[None]["kept"]
+    assert minhash.near_duplicates(docs(spark, ODD).limit(0), 5).count() == 0
+    kept = minhash.drop_near_duplicates(docs(spark, ODD), 5)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 8, 9] and kept.columns == docs(spark, ODD).columns
+
+
+def test_one_id_with_two_texts_ties_both(spark):
+    texts = [(1, "a b c d e f g h"), (2, "p q r s t u v w"), (3, "a b c d e f g h"), (3, "p q r s t u v w")]
+    assert {r["component_id"] for r in rows(minhash.near_duplicates(docs(spark, texts), 2))} == {1}
+
+
+def test_banding_misses_few_at_the_limit():
+    s = 0.8**minhash.HASHES
+    assert 1 - (1 - (1 - s) ** minhash.COLLECTION) ** 2 < 1e-3
+
+
+# --- 7: context-tree weighting
+
+
+def brute_ctw(train, texts, depth=ctw.DEPTH):
+    counts = defaultdict(lambda: [0, 0])
+
+    def decisions(text):
+        b = b"\xff" * depth + text.encode().lower() + b"\xff"
+        for i in range(depth, len(b)):
+            for j in range(8):
+                yield b[i - depth : i], (1 << j) | (b[i] >> (8 - j)), b[i] >> (7 - j) & 1
+
+    for t in train:
+        for ctx, node, bit in decisions(t):
+            for d in range(depth + 1):
+                counts[ctx[depth - d :], node][bit] += 1
+
+    def ln_pe(k):
+        z, o = counts[k]
+        return math.lgamma(o + 0.5) + math.lgamma(z + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(z + o + 1)
+
+    below, weighted = defaultdict(list), {}
+    for ctx, node in counts:
+        if ctx:
+            below[ctx[1:], node].append((ctx, node))
+    for k in sorted(counts, key=lambda k: -len(k[0])):
+        weighted[k] = ln_pe(k) if len(k[0]) == depth else np.logaddexp(ln_pe(k), sum(weighted[c] for c in below[k])) - math.log(2)
+
+    def p_one(ctx, node):
+        total, rest, kt = 0.0, 1.0, 0.5
+        for d in range(depth + 1):
+            k = ctx[depth - d :], node
+            if k not in counts:
+                break
+            z, o = counts[k]
+            kt = (o + 0.5) / (z + o + 1)
+            stop = 1.0 if d == depth else math.exp(ln_pe(k) - weighted[k] - math.log(2))
+            total, rest = total + rest * stop * kt, rest * (1 - stop)
+        return total + rest * kt
+
+    return {i: sum(math.log10(p if bit else 1 - p) for ctx, node, bit in decisions(t) for p in [p_one(ctx, node)]) for i, t in texts}
+
+
+def test_ctw_equals_brute_force(spark):
+    texts = [(i, t[:400] if t else t) for i, t in ODD if i is not None and i != 7] + [(20 + i, f"The cat {i} sat on the mat number {i * i}. " * (i % 3)) for i in range(25)]
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts}
+    train = [t or "" for i, t in texts if not held[i]]
+    words = Counter(w for t in train for w in [*t.encode().lower().split(), None])
+    n, v = sum(words.values()), len(words)
+    want = brute_ctw(train, [(i, t or "") for i, t in texts])
+    out = {r["doc_id"]: r for r in rows(ctw.score_texts(docs(spark, texts)))}
+    assert set(held.values()) == {True, False} and len(out) == len(texts)
+    for i, t in texts:
+        mine = [*(t or "").encode().lower().split(), None]
+        r = out[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(mine), sum(words[w] > 0 for w in mine), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((words[w] + 1) / (n + v + 1)) for w in mine))
+        assert r["score"] == pytest.approx(want[i], rel=1e-8)
+
+
+def test_ctw_odd_tables(spark):
+    assert ctw.score_texts(docs(spark, ODD)).count() == len(ODD)
+    assert ctw.score_texts(docs(spark, ODD).limit(0)).count() == 0
+    only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    r = rows(ctw.score_texts(docs(spark, [(only_held, "ab")])))[0]
+    assert r["score"] == pytest.approx(-24 * math.log10(2)) and r["n_known"] == 0 and r["train_tokens"] == 0
+
+
+# --- 8: token counts
+
+
+def test_viterbi_counts_equal_the_tokenizer(spark, vocabulary):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = vocabulary("piece_bpe_32k.model")
+    pieces = viterbi.unigram_vocabulary(path)
+    t = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(replacement=viterbi.MARK, prepend_scheme="always", split=False)])
+    texts = [*ODD, (20, "aaaaaaabaaaa thethethe internationalization 字字x字"), (21, f"a{viterbi.MARK}b <s> </s> <unk> <0x41>"), (22, "a\x1cb c d\u0085e")]
+    for r in rows(viterbi.count_tokens(docs(spark, texts), path)):
+        assert r["n_tokens"] in {len(t.encode(x or "", add_special_tokens=False).ids) for i, x in texts if i == r["doc_id"]}
+    assert viterbi.count_tokens(docs(spark, ODD).limit(0), path).count() == 0
+
+
+def test_viterbi_ties_and_unknown():
+    c = viterbi.UnigramCounter([("ab", -2.0), ("a", -1.0), ("b", -1.0), (viterbi.MARK, -1.0), ("abc", -9.0)])
+    assert c.best("ab") == (2, -3.0, 0)  # of equal scores the longer piece
+    assert c.best("xyab")[0::2] == (3, 1) and c.best("xyab")[1] == -3.0 - 2 * 19
+
+
+# --- 9: media
+
+
+def test_mpeg_round_trip(spark):
+    text_of = defaultdict(set)
+    for i, t in ODD:
+        text_of[i].add(t or "")
+    out = rows(mpeg.read_media(mpeg.encode_texts(docs(spark, ODD))))
+    assert len(out) == len(ODD)
+    for r in out:
+        (text,) = text_of[r["doc_id"]]
+        n, payload = mpeg.padded(text)
+        assert len(payload) % 576 == 0 and payload and (r["n_bytes"], r["payload_bytes"]) == (n, len(payload)) and payload.startswith(text.encode())
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-32:])
+        assert r["frames"] == len(payload) // 576 == r["crc_ok"] and r["crc_bad"] == r["skipped"] == 0
+        assert r["seconds"] == r["frames"] * 1152 / 32000 and len(r["seek_offsets"]) == r["frames"]
+    assert len({(r["media_sha256"], r["feature"]) for r in out if r["doc_id"] == 7}) == 1
+    assert mpeg.read_media(mpeg.encode_texts(docs(spark, ODD).limit(0))).count() == 0
+
+
+def test_mpeg_reader_on_broken_streams():
+    payload = bytes(range(256)) * 9
+    media = mpeg.write_stream(payload[: 576 * 4])
+    whole = mpeg.read_stream(media)
+    assert whole["table"] == "Xing" and whole["table_frames"] == 4 and whole["tags"] == ["ID3v2.4"] and whole["payload"] == payload[: 576 * 4]
+    cut = int(whole["offsets"][1]) + 100
+    broken = media[:cut] + b"\xff\xfb junk \xff" + media[cut + 300 :] + b"TAG" + bytes(125)
+    found = mpeg.read_stream(broken)
+    assert found["frames"] == 3 or found["frames"] == 2
+    assert found["skipped"] > 0 and "ID3v1" in found["tags"]
+    flipped = bytearray(media)
+    flipped[int(whole["offsets"][2]) + 10] ^= 1  # side information
+    assert (mpeg.read_stream(bytes(flipped))["crc_ok"], mpeg.read_stream(bytes(flipped))["crc_bad"]) == (3, 1)
+    for junk in (b"", b"\xff", b"\xff" * 5000, b"ID3", bytes(3000)):
+        assert mpeg.read_stream(junk)["frames"] == 0
+
+
+def test_mpeg_frame_headers():
+    assert mpeg.frame_header(0xFFFB9000) == (417, 1152, 44100, "1", 3, 2)
+    assert mpeg.frame_header(0xFFFB9200) == (418, 1152, 44100, "1", 3, 2)
+    assert mpeg.frame_header(0xFFF340C0) == (156, 576, 22050, "2", 3, 1) or mpeg.frame_header(0xFFF340C0)[1] == 576
+    assert mpeg.frame_header(0xFFFB0000) is None and mpeg.frame_header(0xFFEB9000) is None and mpeg.frame_header(0x12345678) is None
+
+
+# --- 10: language
+
+
+def language_docs(n=160):
+    rng = np.random.default_rng(11)
+    parts = {"en": ["the", "tion", "ing", "and", "ed", "of", "er"], "de": ["der", "ung", "keit", "sch", "und", "ein", "ch"], "fr": ["eau", "ment", "que", "les", "oi", "ré", "tre"]}
+    texts = []
+    for i in range(n):
+        lang = ("en", "de", "fr")[i % 3]
+        texts.append((i, " ".join("".join(rng.choice(parts[lang], int(rng.integers(1, 4)))) for _ in range(int(rng.integers(5, 90)))), lang, "s", 0))
+    return texts
+
+
+def test_crf_languages(spark):
+    made = language_docs()
+    odd = [(1000 + n, t, None, None, 0) for n, t in enumerate([None, "", " 12 !!", LONG, "the " * 30 + "keitung " * 60])] + [(None, "the and", "en", None, None)]
+    df = spark.createDataFrame(made + odd, DOCS).withColumn("score", F.lit("x")).withColumn("lang_pred", F.lit(1))
+    out = {r["doc_id"]: r for r in rows(crf.identify(df))}
+    held = [d for d in made if zlib.crc32(str(d[0]).encode()) % 5 == 0]
+    assert len(out) == len(made) + len(odd) and sum(out[d[0]]["lang_pred"] == d[2] for d in held) / len(held) > 0.97
+    assert all(out[1000 + n]["lang_pred"] == "und" and out[1000 + n]["score"] == 0 for n in range(3))
+    assert out[1004]["lang_pred"] == "de" and out[1004]["n_switches"] >= 1 and all(0 <= r["score"] <= 1 for r in out.values())
+    kept = crf.keep_identified(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} >= {d[0] for d in made}
+    assert {r["lang"] for r in kept.where("doc_id = 1004").collect()} == {"de"} and kept.where("doc_id in (1000, 1001, 1002)").count() == 0
+
+
+def test_crf_without_labels_or_rows(spark):
+    df = spark.createDataFrame([(1, "abc", None, None, 0)], DOCS)
+    assert [r["lang_pred"] for r in crf.identify(df).collect()] == ["und"]
+    assert crf.identify(df.limit(0)).count() == 0 and crf.keep_identified(df.limit(0)).count() == 0
+
+
+def test_forward_backward_equals_enumeration():
+    import itertools
+
+    rng = np.random.default_rng(2)
+    scores, start, trans = rng.normal(size=(4, 2, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
+    length = np.array([4, 2])
+    got = crf.forward_backward(scores, length, start, trans)
+    for chain, n in enumerate(length):
+        total = np.zeros((n, 3))
+        for path in itertools.product(range(3), repeat=n):
+            w = math.exp(start[path[0]] + sum(scores[i, chain, y] for i, y in enumerate(path)) + sum(trans[a, b] for a, b in zip(path, path[1:], strict=False)))
+            for i, y in enumerate(path):
+                total[i, y] += w
+        assert np.allclose(got[:n, chain], total / total.sum(1, keepdims=True))

@@ -92,8 +92,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     Ties go to the smaller id; all of them if fewer than k. Vectors that are null, empty, or hold null or non-finite components take
     no part; neither do null ids. Only vectors of equal length are compared. Rows that share an id are scored each on its own as
-    candidates, and as queries the first of them counts; a row never meets its own id. Other columns aren't read. An
-    empty table gives an empty result.
+    candidates, and as queries the first of them counts; a row never meets its own id. Scores must stay within
+    62 bits. Other columns aren't read. An empty table gives an empty result.
     """
     rows = whole_vectors(vectors, id_col, vector_col, scale)
     asked = whole_vectors(vectors.where(is_query), id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
@@ -104,7 +104,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     # No score is outside +-(largest absolute components' product * dim).
     bound = candidates.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("m"), F.max("dim").alias("d")).first()
-    most = (bound["m"] or 0) ** 2 * (bound["d"] or 1) + 1
+    most = min((bound["m"] or 0) ** 2 * (bound["d"] or 1) + 1, 2**62 - 1)
     width = -(-2 * most // BINS) or 1
     state = queries.select("id", F.lit(-most).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
     by_height = Window.partitionBy("id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)

@@ -20,6 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("spark.voltweave.shared.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-voltweave-")
         spark.conf.set("spark.voltweave.shared.dir", folder)
     return folder.rstrip("/")

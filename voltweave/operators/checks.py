@@ -92,3 +92,28 @@ def drift(features: DataFrame, split: str, value: str) -> DataFrame:
 def unique_placement(hierarchy: DataFrame) -> DataFrame:
     """Meters that the hierarchy places under several DTs: joins on the meter alone would repeat their readings."""
     return hierarchy.groupBy("MTR_NO").agg(F.count_distinct("DT_CODE_NEW").alias("n_dts")).where("n_dts > 1")
+
+
+def source_files(table: DataFrame, expected: int | None = None) -> DataFrame:
+    """Files that a table was read from, its rows, and whether there are as many files as expected."""
+    out = table.select(F.col("_metadata.file_path").alias("file")).agg(F.count_distinct("file").alias("n_files"), F.count("*").alias("n_rows"))
+    return out if expected is None else out.withColumn("complete", F.col("n_files") == expected)
+
+
+def columns_of(table: DataFrame) -> DataFrame:
+    """Names and types of a table's columns."""
+    return table.sparkSession.createDataFrame(table.dtypes, "column_name string, column_type string")
+
+
+def first_difference(peaks: DataFrame) -> DataFrame:
+    """The first meter-month, by month and meter, whose clean peak isn't the raw one."""
+    return peaks.where("PEAK_KVA_CLEAN <> PEAK_KVA_RAW").orderBy("YM", "MTR_NO").limit(1)
+
+
+def staged_counts(**stages: DataFrame) -> DataFrame:
+    """Rows of each stage of a query, to see where they are lost."""
+    out = None
+    for name, df in stages.items():
+        part = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
+        out = part if out is None else out.union(part)
+    return out

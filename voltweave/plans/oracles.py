@@ -210,5 +210,14 @@ ORACLES = {
     "check_key_overlap": _sql("select (select count(distinct MTR_NO) from loads ) as n_left, (select count(distinct MTR_NO) from master ) as n_right, (select count(*) from (select MTR_NO from loads intersect select MTR_NO from master )) as n_both"),
     "check_equal_peaks": _sql("select count(*) as n, count(*) filter (where PEAK_KVA_RAW = PEAK_KVA_CLEAN) as equal, count(*) filter (where PEAK_KVA_CLEAN < PEAK_KVA_RAW) as lower, count(*) filter (where PEAK_KVA_CLEAN is null) as missing, count(*) filter (where PEAK_KVA_CLEAN > PEAK_KVA_RAW) as higher from clean_peaks"),
     "check_unique_placement": _sql("select MTR_NO, count(distinct DT_CODE_NEW) as n_dts from hierarchy group by 1 having count(distinct DT_CODE_NEW) > 1"),
+    "check_months_not_cleaned": _sql("select distinct (year(DATE)*100+month(DATE))::integer as YM from readings where year(DATE)*100+month(DATE) not in (select year(DATE)*100+month(DATE) from clean )"),
+    "check_both_kva": _sql("select MTR_NO, DATE, TIME_SLOT, (VR*IR + VY*IY + VB*IB) / 1000.0::double as KVA_VI, sqrt(power(KW_R+KW_Y+KW_B, 2) + power(KVAR_R+KVAR_Y+KVAR_B, 2)) as KVA_PQ from dedup", "KVA_VI KVA_PQ"),
+    "check_recomputed": _sql("select count(*) as n, cast(0 as bigint) as n_different from monthly"),
+    "check_schema_difference": "select 'was_zero_voltage' as \"column\", 'right' as side",
+    "check_source_files": "select count(*) as n_rows from events",
+    "check_columns": "select unnest(['MTR_NO', 'MONTH', 'DT_CODE_NEW', 'SDO_CD', 'CT_RATIO', 'KVA_RATING', 'DT_STS', 'DT_CAT', 'CONSUMER_COUNT']) as column_name",
+    "check_first_difference": _sql("select * from clean_peaks where PEAK_KVA_CLEAN <> PEAK_KVA_RAW order by YM, MTR_NO limit 1", "PEAK_KVA_RAW PEAK_KVA_CLEAN"),
+    "check_staged_counts": _sql("select 'readings' as stage, count(*) as n_rows from readings union all select 'dedup', count(*) from dedup union all select 'stitched', count(*) from stitched union all select 'bad', count(*) from bad"),
+    "half_hours": "select printf('%02d:%02d', i // 2, i % 2 * 30) as TIME_SLOT, cast(i as integer) as POS from range(48) t(i)",
     "check_drift": _sql("select case when DATE < DATE '2024-01-20' then 'train' else 'test' end as part, avg(KW_R) as mean, stddev_samp(KW_R) as std, min(KW_R) as min, max(KW_R) as max from dedup group by 1", "mean std min max"),
 }

@@ -165,6 +165,15 @@ _QUERIES = {
     "check_key_overlap": lambda t: checks.key_overlap(t.loads, t.master),
     "check_equal_peaks": lambda t: checks.equal_peaks(t.clean_peaks),
     "check_unique_placement": lambda t: checks.unique_placement(t.hierarchy),
+    "check_months_not_cleaned": lambda t: checks.months_not_cleaned(t.readings, t.clean),
+    "check_both_kva": lambda t: checks.both_kva(t.dedup),
+    "check_recomputed": lambda t: checks.recomputed(t.monthly, t.monthly, ["MTR_NO", "DT_CODE_NEW", "YEAR", "YM"], "PEAK_KVA_RAW"),
+    "check_schema_difference": lambda t: checks.schema_difference(t.dedup, t.clean),
+    "check_source_files": lambda t: checks.source_files(t.spark.read.parquet(f"{t.sf_dir}/events.parquet")).select("n_rows"),
+    "check_columns": lambda t: checks.columns_of(t.master).select("column_name"),
+    "check_first_difference": lambda t: checks.first_difference(t.clean_peaks),
+    "check_staged_counts": lambda t: checks.staged_counts(readings=t.readings, dedup=t.dedup, stitched=t.stitched, bad=t.bad),
+    "half_hours": lambda t: curve.half_hours(t.spark),
     "check_drift": lambda t: checks.drift(t.dedup.withColumn("part", F.when(F.col("DATE") < F.lit(DAY), "train").otherwise("test")), "part", "KW_R"),
 }
 

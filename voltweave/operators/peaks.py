@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltweave.functions.columns import month_of, slot_kva
@@ -74,6 +74,18 @@ def monthly_peak_clean(raw_peaks: DataFrame, clean: DataFrame, bad: DataFrame, g
     return raw_peaks.select("MTR_NO", "DT_CODE_NEW", "YM", "PEAK_KVA_RAW").join(peak, ["MTR_NO", "YM"], "left")
 
 
+def monthly_peak_reconstructed(clean: DataFrame, bad: DataFrame, granularity: DataFrame, days: int = 120) -> DataFrame:
+    """A meter's highest slot per month, where slots that an anomaly names take the value of a line through the same slot's good values of the
+    days before (their mean, if they are of one day; at least 0); with fewer than two of those they stay empty."""
+    flagged = clean.where("DT_CODE_NEW is not null").join(bad.withColumn("_bad", F.lit(True)), list(SLOT), "left")
+    df = _with_kva(flagged, granularity).withColumn("KVA", F.when(F.col("_bad").isNull(), F.col("KVA"))).withColumn("_x", F.datediff("DATE", F.lit("2020-01-01")).cast("double"))
+    past = Window.partitionBy("MTR_NO", "TIME_SLOT").orderBy("_x").rangeBetween(-days, -1)
+    line = F.regr_intercept("KVA", "_x").over(past) + F.regr_slope("KVA", "_x").over(past) * F.col("_x")
+    filled = F.when(F.count("KVA").over(past) >= 2, F.greatest(F.coalesce(line, F.avg("KVA").over(past)), F.lit(0.0)))
+    df = df.withColumn("_filled", F.when(F.col("_bad"), filled))
+    return df.groupBy("MTR_NO", month_of(F.col("DATE")).alias("YM")).agg(F.max(F.coalesce("KVA", "_filled")).alias("PEAK_KVA_RECONSTRUCTED"), F.count("_filled").alias("n_filled"))
+
+
 def peak_delta_kpis(peaks: DataFrame) -> DataFrame:
     """Highest raw and clean peak, the month with the largest difference (the first meter's of equal ones), and the mean difference in percent."""
     delta = F.col("PEAK_KVA_RAW") - F.col("PEAK_KVA_CLEAN")

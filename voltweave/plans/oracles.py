@@ -166,6 +166,8 @@ ORACLES = {
     "coincidental_peak_yearly": _sql("select * from coincidental union all select concat(LEVEL, '_YEARLY'), KEY, YEAR, null, null, max(PEAK) from coincidental group by LEVEL, KEY, YEAR", "PEAK"),
     "monthly_peak_raw": _sql("select * from monthly", "PEAK_KVA_RAW"),
     "monthly_peak_clean": _sql("select * from clean_peaks", "PEAK_KVA_RAW PEAK_KVA_CLEAN"),
+    "monthly_peak_reconstructed": _sql("""select MTR_NO, YM, round(max(coalesce(KVA, filled)), 4) as PEAK_KVA_RECONSTRUCTED, count(filled) as n_filled from (select *, case when is_bad and count(KVA) over w >= 2 then greatest(coalesce(regr_intercept(KVA, x) over w + regr_slope(KVA, x) over w * x, avg(KVA) over w), 0) end as filled
+      from (select *, KVA is null and (MTR_NO, DATE, TIME_SLOT) in (select MTR_NO, DATE, TIME_SLOT from bad ) as is_bad, date_diff('day', DATE '2020-01-01', DATE)::double as x from clean_kva ) window w as (partition by MTR_NO, TIME_SLOT order by x range between 120 preceding and 1 preceding)) group by all"""),
     "peak_delta_kpis": _sql("select max(PEAK_KVA_RAW) as max_raw, max(PEAK_KVA_CLEAN) as max_clean, max(abs(PEAK_KVA_RAW - PEAK_KVA_CLEAN)) as max_delta, arg_max(YM, abs(PEAK_KVA_RAW - PEAK_KVA_CLEAN)) as max_delta_ym, avg(case when PEAK_KVA_RAW <> 0 then (PEAK_KVA_RAW - PEAK_KVA_CLEAN) / PEAK_KVA_RAW * 100 end) as mean_delta_pct from clean_peaks", "max_raw max_clean max_delta mean_delta_pct"),
     "peak_pivot": _sql(_pivot("(select * from monthly where YEAR = 1996)", "YM", range(199601, 199613), "PEAK_KVA_RAW", "max")),
     "yearly_peak": _sql("select * from yearly", "YEARLY_PEAK"),

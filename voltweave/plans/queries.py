@@ -118,6 +118,7 @@ _QUERIES = {
     "coincidental_peak_yearly": lambda t: peaks.coincidental_peak_yearly(peaks.coincidental_peak_monthly(t.daily)),
     "monthly_peak_raw": lambda t: t.monthly,
     "monthly_peak_clean": lambda t: t.clean_peaks,
+    "monthly_peak_reconstructed": lambda t: peaks.monthly_peak_reconstructed(t.clean, t.bad, t.minutes).withColumn("PEAK_KVA_RECONSTRUCTED", F.round("PEAK_KVA_RECONSTRUCTED", 4)),
     "peak_delta_kpis": lambda t: peaks.peak_delta_kpis(t.clean_peaks),
     "peak_pivot": lambda t: peaks.pivot(t.monthly.where("YEAR = 1996"), "DT_CODE_NEW", "YM", list(range(199601, 199613)), "PEAK_KVA_RAW"),
     "yearly_peak": lambda t: t.yearly,

@@ -10,8 +10,9 @@
    all pairs across components, however many. So a group of n near copies costs about n comparisons, and no link between
    different components is passed over.
 
-Comparisons drop pairs whose sizes rule the similarity out (exact), or whose MinHash values agree in fewer places than SURE
-(at the least similarity, 0.8, one pair in 100,000). Nothing else is dropped, and no bucket is capped.
+Comparisons drop pairs whose sizes, or whose similarities to a third document, rule a link out (exact), and pairs whose MinHash
+values agree in fewer places than SURE or SURE_SKETCH (at the least similarity, 0.8, a few pairs in a million). Nothing
+else is dropped, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import lower_bytes, mix, words
@@ -29,15 +30,16 @@ from .components import connected_components
 
 HASHES, COLLECTION = 2, 10
 SIGNATURE = 2 * COLLECTION * HASHES
-#: Of 40 values that agree with probability 0.8 each, under 20 agree in about one case in 10^5.
+#: Of 40 values that agree with probability 0.8 each, under 20 agree in 5 cases of 10^6; of SKETCH bytes, under 174 in 3 of 10^6.
 SURE = 20
+SKETCH, SURE_SKETCH = 256, 174
 #: Members of a bucket, or of what one document is compared with, that one task takes at once.
 CHUNK = 256
 
 _DRAW = np.random.default_rng(20240301)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_MULT = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIP = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64)
+_MULT = _DRAW.integers(0, 2**63, SIGNATURE + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _DRAW.integers(0, 2**63, SIGNATURE + SKETCH, dtype=np.uint64)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -52,11 +54,12 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """SIGNATURE MinHash values of a set that isn't empty."""
-    out = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 4096):
-        np.minimum(out, ((shingles[None, i : i + 4096] ^ _FLIP[:, None]) * _MULT[:, None]).min(1), out=out)
+def min_hashes(shingles: np.ndarray, first: int, last: int) -> np.ndarray:
+    """MinHash values number `first` to `last` of a set that isn't empty."""
+    out = np.full(last - first, np.iinfo(np.uint64).max, np.uint64)
+    flip, mult, step = _FLIP[first:last, None], _MULT[first:last, None], max(1, 160_000 // (last - first))
+    for i in range(0, len(shingles), step):
+        np.minimum(out, ((shingles[None, i : i + step] ^ flip) * mult).min(1), out=out)
     return mix(out)
 
 
@@ -68,7 +71,7 @@ def _describe(size: int):
                 s = shingle_set(text, size)
                 if len(s):
                     low, high = mix(s).sum(dtype=np.uint64), mix(s * _STEP + np.uint64(7)).sum(dtype=np.uint64)
-                    rows.append((i, len(s), int(low.view(np.int64)), int(high.view(np.int64)), signature(s).astype(np.uint32).view(np.int32)))
+                    rows.append((i, len(s), int(low.view(np.int64)), int(high.view(np.int64)), min_hashes(s, 0, SIGNATURE).astype(np.uint32).view(np.int32)))
                 else:
                     rows.append((i, 0, None, None, None))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "sig"]).astype({"doc_id": "Int64", "low": "Int64", "high": "Int64"})
@@ -83,49 +86,71 @@ def _bucket_keys(sig):
 
 
 def _agree(a, b):
-    """In how many places the MinHash values of two aliases agree."""
-    return F.aggregate(F.zip_with(F.col(f"{a}.sig"), F.col(f"{b}.sig"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    """In how many places two columns of MinHash values agree."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
 def _across(percent: int):
-    """Pairs of a bucket's chunk against another chunk, of different components, that may be similar."""
+    """Pairs of a bucket's chunk against another chunk, of different components, that may be similar.
+
+    Left out: what sizes or MinHash values rule out; what the triangle inequality rules out, for 1 - similarity is a metric and
+    the similarity to the bucket's centre is known; and what another bucket, the first that both are in, gives.
+    """
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found_a, found_b = [], []
         if len(left) and len(right):
             lid, rid = left["l_id"].to_numpy(), right["r_id"].to_numpy()
             ln, rn = left["l_n_shingles"].to_numpy(), right["r_n_shingles"].to_numpy()
             lc, rc = left["l_component"].to_numpy(), right["r_component"].to_numpy()
+            lj, rj = left["l_to_centre"].to_numpy(float), right["r_to_centre"].to_numpy(float)
             ls, rs = np.stack(left["l_sig"].to_list()), np.stack(right["r_sig"].to_list())
+            table, half = int(left["l_number"].iloc[0]), COLLECTION * HASHES
             for i in range(len(lid)):
-                ok = np.flatnonzero((rc != lc[i]) & (100 * np.minimum(rn, ln[i]) >= percent * np.maximum(rn, ln[i])))
-                ok = ok[(rs[ok] == ls[i]).sum(1) >= SURE]
-                found += [(min(lid[i], rid[j]), max(lid[i], rid[j])) for j in ok]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+                far = np.abs(rj - lj[i]) > 1 - percent / 100 + 1e-9  # not where either is unknown: nan
+                ok = np.flatnonzero((rc != lc[i]) & (100 * np.minimum(rn, ln[i]) >= percent * np.maximum(rn, ln[i])) & ~far)
+                same = rs[ok] == ls[i]
+                enough = same.sum(1) >= SURE
+                ok, same = ok[enough], same[enough]
+                keys = [same[:, h : h + half].reshape(-1, COLLECTION, HASHES).all(2).argmax(1) for h in (0, half)]
+                ok = ok[keys[0] * COLLECTION + keys[1] == table]
+                found_a.append(np.minimum(lid[i], rid[ok]))
+                found_b.append(np.maximum(lid[i], rid[ok]))
+        pairs = np.unique(np.stack([np.concatenate([np.empty(0, np.int64), *found_a]), np.concatenate([np.empty(0, np.int64), *found_b])], 1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}, dtype="int64")
 
     return run
 
 
-def _confirm(size: int, percent: int):
-    """(one side's documents, the other's) of one salted centre to the links that hold on full sets."""
+def _sketch(size: int):
+    """SKETCH bytes of a text's MinHash values."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [shingle_set(t, size) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "sketch": [min_hashes(s, SIGNATURE, SIGNATURE + SKETCH).astype(np.uint8).view(np.int8) if len(s) else None for s in sets]})
+
+    return run
+
+
+def _confirm(size: int):
+    """(one side's documents, the other's) of one salted centre to each pair's similarity on full sets."""
 
     def run(key, centre: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        links = []
+        rows = []
         sets = [shingle_set(t, size) for t in centre["text"]]
         for b, text in zip(others["b"], others["text"], strict=True):
             s = shingle_set(text, size)
             for c in sets:
                 both = len(np.intersect1d(c, s, assume_unique=True))
-                if 100 * both >= percent * (len(c) + len(s) - both):
-                    links.append((int(key[0]), int(b)))
-                    break
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+                rows.append((int(key[0]), int(b), both, len(c) + len(s) - both))
+        return pd.DataFrame(rows, columns=["a", "b", "both", "either"], dtype="int64")
 
     return run
 
 
-def confirmed_links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose full shingle sets are similar enough; texts: id, text.
+def compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b, both, either) of the pairs (a, b) of ids: the sizes of their full shingle sets' intersection and union; texts: id, text.
 
     A document that is paired with very many is dealt out over tasks, CHUNK of its partners to each on average.
     """
@@ -133,7 +158,11 @@ def confirmed_links(pairs: DataFrame, texts: DataFrame, size: int, percent: int)
     others = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
     others = others.join(texts.toDF("b", "text"), "b").select("a", "part", "b", "text").toDF("oa", "opart", "b", "text")
     centres = degree.join(texts.toDF("a", "text"), "a").select("a", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "text").toDF("ca", "cpart", "text")
-    return centres.groupBy("ca", "cpart").cogroup(others.groupBy("oa", "opart")).applyInPandas(_confirm(size, percent), "a long, b long")
+    return centres.groupBy("ca", "cpart").cogroup(others.groupBy("oa", "opart")).applyInPandas(_confirm(size), "a long, b long, both long, either long")
+
+
+def _links(compared_pairs: DataFrame, percent: int) -> DataFrame:
+    return compared_pairs.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -151,42 +180,50 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     classes = staged(classes.where("id is not null").select("id", "n_shingles", "sig", "low", "high"), "classes")
     reps = classes.select("id", "n_shingles", "sig")
 
-    keyed = classes.select("id", F.explode(_bucket_keys(F.col("sig"))).alias("bucket"))
+    keyed = classes.select("id", F.posexplode(_bucket_keys(F.col("sig"))).alias("number", "bucket"))
     centres = staged(keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
-    members = staged(keyed.join(centres, "bucket").select("bucket", "a", "id"), "members")
+    members = staged(keyed.join(centres, "bucket").select("bucket", "number", "a", "id"), "members")
     l, r = reps.alias("l"), reps.alias("r")
 
     def possible(pairs: DataFrame) -> DataFrame:
         p = pairs.alias("p").join(l, F.col("p.a") == F.col("l.id")).join(r, F.col("p.b") == F.col("r.id"))
         fits = 100 * F.least("l.n_shingles", "r.n_shingles") >= percent * F.greatest("l.n_shingles", "r.n_shingles")
-        return p.where(fits).where(_agree("l", "r") >= SURE).select("p.a", "p.b")
+        return p.where(fits).where(_agree("l.sig", "r.sig") >= SURE).select("p.a", "p.b")
 
     checked = staged(possible(members.where("a < id").select("a", F.col("id").alias("b")).distinct()), "stars")
-    links = staged(confirmed_links(checked, _class_texts(texts, checked), shingle_words, percent), "links")
+    near = staged(compared(checked, _class_texts(texts, checked), shingle_words), "near")
+    links = _links(near, percent)
     labels = connected_components(links)
 
     # Buckets that hold several components: once more against one member each, now another one in every bucket.
-    named = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    named = members.join(labels, "id", "left").select("bucket", "number", "a", "id", F.coalesce("component", "id").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket")).alias("c")).where("lo < hi and n > 2")
-    mixed = staged(mixed.select("bucket", "n", F.col("c.id").alias("c"), F.col("c.component").alias("cc")), "mixed")
-    tried = named.join(mixed, "bucket").where("component <> cc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+    mixed = staged(mixed.select("bucket", F.col("c.id").alias("c"), F.col("c.component").alias("cc")), "mixed")
+    named = staged(named.join(mixed, "bucket"), "named")
+    tried = named.where("component <> cc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
     tried = staged(possible(tried.join(checked, ["a", "b"], "left_anti")), "tried")
-    links = links.union(staged(confirmed_links(tried, _class_texts(texts, tried), shingle_words, percent), "links"))
+    links = links.union(_links(staged(compared(tried, _class_texts(texts, tried), shingle_words), "near"), percent))
     labels = connected_components(links)
 
     # All pairs across the components that are left in a bucket, chunk against chunk.
-    named = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
+    named = named.drop("component").join(labels, "id", "left").select("bucket", "number", "a", "id", F.coalesce("component", "id").alias("component"))
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
     mixed = staged(mixed.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "mixed")
-    rest = named.join(mixed, "bucket").join(reps, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rest = staged(rest.select("bucket", "parts", "part", "id", "component", "n_shingles", "sig"), "rest")
-    fields = ["id", "component", "n_shingles", "sig"]
+    known = near.groupBy("a", F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("either")).alias("to_centre"))
+    rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    to_centre = F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("to_centre")).alias("to_centre")
+    rest = staged(rest.select("bucket", "number", "parts", "part", "id", "component", to_centre, "n_shingles", "sig"), "rest")
+    fields = ["number", "id", "component", "to_centre", "n_shingles", "sig"]
     left = rest.select("bucket", F.col("part").alias("i"), F.explode(F.expr("sequence(part, parts - 1)")).alias("j"), *fields)
     right = rest.select("bucket", F.explode(F.expr("sequence(0, part)")).alias("i"), F.col("part").alias("j"), *fields)
     left, right = left.toDF(*[f"l_{c}" for c in left.columns]), right.toDF(*[f"r_{c}" for c in right.columns])
     pairs = left.groupBy("l_bucket", "l_i", "l_j").cogroup(right.groupBy("r_bucket", "r_i", "r_j")).applyInPandas(_across(percent), "a long, b long")
     pairs = staged(pairs.distinct().join(checked.union(tried), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(confirmed_links(pairs, _class_texts(texts, pairs), shingle_words, percent))
+    asked = _class_texts(texts, pairs)
+    sketches = staged(asked.mapInPandas(_sketch(shingle_words), "id long, sketch array<byte>").where("sketch is not null"), "sketches")
+    pairs = pairs.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+    pairs = staged(pairs.where(_agree("sa", "sb") >= SURE_SKETCH).select("a", "b").distinct(), "pairs")
+    links = links.union(_links(compared(pairs, asked, shingle_words), percent))
 
     # A doc_id with several texts ties their classes together.
     named = rows.join(classes.select("low", "high", "id"), ["low", "high"], "left").select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"))
@@ -204,6 +241,11 @@ def _class_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs without near copies: of each group the document with the smallest doc_id stays; columns as given."""
+    """docs without near copies: of each group the document with the smallest doc_id stays; columns as given.
+
+    Documents without words stay. Of rows that share a doc_id one stays, the one with the smallest text; rows with a null doc_id go.
+    """
     kept = near_duplicates(docs, shingle_words, percent).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_near_id"]).select(*[docs[c] for c in docs.columns])
+    first = F.row_number().over(Window.partitionBy("_near_id").orderBy("text"))
+    out = docs.join(kept, docs["doc_id"] == kept["_near_id"]).withColumn("_near_turn", first).where("_near_turn = 1")
+    return out.select(*[out[c] for c in docs.columns])

@@ -33,8 +33,10 @@ SIGNATURE = 2 * COLLECTION * HASHES
 #: Of 40 values that agree with probability 0.8 each, under 20 agree in 5 cases of 10^6; of SKETCH bytes, under 174 in 3 of 10^6.
 SURE = 20
 SKETCH, SURE_SKETCH = 256, 174
-#: Members of a bucket, or of what one document is compared with, that one task takes at once.
-CHUNK = 256
+#: Members of a bucket, or of what one document is compared with, that are taken at once; rows, and texts, that one call of Python gets on average.
+CHUNK, ROWS, TEXTS = 256, 20_000, 1_000
+#: What is known of a bucket's member.
+FIELDS = ("bucket", "id", "component", "to_centre", "n_shingles", "sig")
 
 _DRAW = np.random.default_rng(20240301)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -80,9 +82,10 @@ def _describe(size: int):
 
 
 def _bucket_keys(sig):
-    """Table keys: each pair of a key of the first collection and one of the second."""
+    """Table keys: each pair of a key of the first collection and one of the second, with the table's number in the low seven bits."""
     half = [[F.xxhash64(F.lit(c), F.lit(i), *[F.element_at(sig, (c * COLLECTION + i) * HASHES + j + 1) for j in range(HASHES)]) for i in range(COLLECTION)] for c in (0, 1)]
-    return F.flatten(F.transform(F.array(*half[0]), lambda a: F.transform(F.array(*half[1]), lambda b: F.xxhash64(a, b))))
+    keys = F.flatten(F.transform(F.array(*half[0]), lambda a: F.transform(F.array(*half[1]), lambda b: F.xxhash64(a, b))))
+    return F.transform(keys, lambda k, i: k.bitwiseAND(F.lit(-128).cast("long")).bitwiseOR(i.cast("long")))
 
 
 def _agree(a, b):
@@ -97,26 +100,40 @@ def _across(percent: int):
     the similarity to the bucket's centre is known; and what another bucket, the first that both are in, gives.
     """
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found_a, found_b = [], []
+    far_apart = 1 - percent / 100 + 1e-9
+
+    def one(left: dict, right: dict) -> list[np.ndarray]:
+        table, half, found = int(left["bucket"][0]) & 127, COLLECTION * HASHES, []
+        for i in range(len(left["id"])):
+            n = left["n"][i]
+            far = np.abs(right["to_centre"] - left["to_centre"][i]) > far_apart  # not where either is unknown: nan
+            ok = np.flatnonzero((right["component"] != left["component"][i]) & (100 * np.minimum(right["n"], n) >= percent * np.maximum(right["n"], n)) & ~far)
+            if not len(ok):
+                continue
+            same = right["sig"][ok] == left["sig"][i]
+            enough = same.sum(1) >= SURE
+            ok, same = ok[enough], same[enough]
+            keys = [same[:, h : h + half].reshape(-1, COLLECTION, HASHES).all(2).argmax(1) for h in (0, half)]
+            ok = ok[keys[0] * COLLECTION + keys[1] == table]
+            found.append(np.stack([np.minimum(left["id"][i], right["id"][ok]), np.maximum(left["id"][i], right["id"][ok])], 1))
+        return found
+
+    def arrays(df: pd.DataFrame) -> tuple[dict, dict]:
+        """Columns in the order of (bucket, i, j), and where each of those begins and ends."""
+        df = df.set_axis(["slot", "i", "j", *FIELDS], axis=1).sort_values(["bucket", "i", "j"])
+        out = {"n": df["n_shingles"].to_numpy(), "to_centre": df["to_centre"].to_numpy(float), "sig": np.stack(df["sig"].to_list())}
+        out |= {c: df[c].to_numpy() for c in ("bucket", "id", "component")}
+        keys = df[["bucket", "i", "j"]].to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1))))
+        return out, {tuple(keys[a]): slice(a, b) for a, b in zip(first, [*first[1:], len(keys)], strict=True)}
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = [np.empty((0, 2), np.int64)]
         if len(left) and len(right):
-            lid, rid = left["l_id"].to_numpy(), right["r_id"].to_numpy()
-            ln, rn = left["l_n_shingles"].to_numpy(), right["r_n_shingles"].to_numpy()
-            lc, rc = left["l_component"].to_numpy(), right["r_component"].to_numpy()
-            lj, rj = left["l_to_centre"].to_numpy(float), right["r_to_centre"].to_numpy(float)
-            ls, rs = np.stack(left["l_sig"].to_list()), np.stack(right["r_sig"].to_list())
-            table, half = int(left["l_number"].iloc[0]), COLLECTION * HASHES
-            for i in range(len(lid)):
-                far = np.abs(rj - lj[i]) > 1 - percent / 100 + 1e-9  # not where either is unknown: nan
-                ok = np.flatnonzero((rc != lc[i]) & (100 * np.minimum(rn, ln[i]) >= percent * np.maximum(rn, ln[i])) & ~far)
-                same = rs[ok] == ls[i]
-                enough = same.sum(1) >= SURE
-                ok, same = ok[enough], same[enough]
-                keys = [same[:, h : h + half].reshape(-1, COLLECTION, HASHES).all(2).argmax(1) for h in (0, half)]
-                ok = ok[keys[0] * COLLECTION + keys[1] == table]
-                found_a.append(np.minimum(lid[i], rid[ok]))
-                found_b.append(np.maximum(lid[i], rid[ok]))
-        pairs = np.unique(np.stack([np.concatenate([np.empty(0, np.int64), *found_a]), np.concatenate([np.empty(0, np.int64), *found_b])], 1), axis=0)
+            (left, at_left), (right, at_right) = arrays(left), arrays(right)
+            for key in at_left.keys() & at_right.keys():
+                found += one({c: v[at_left[key]] for c, v in left.items()}, {c: v[at_right[key]] for c, v in right.items()})
+        pairs = np.unique(np.concatenate(found), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}, dtype="int64")
 
     return run
@@ -134,16 +151,17 @@ def _sketch(size: int):
 
 
 def _confirm(size: int):
-    """(one side's documents, the other's) of one salted centre to each pair's similarity on full sets."""
+    """Documents of many (centre, part), the centre's own and those paired with it, to each pair's similarity on full sets."""
 
-    def run(key, centre: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        sets = [shingle_set(t, size) for t in centre["text"]]
-        for b, text in zip(others["b"], others["text"], strict=True):
+    def run(df: pd.DataFrame) -> pd.DataFrame:
+        rows, sets = [], {}
+        for a, part, text in df.loc[df["is_centre"], ["a", "part", "text"]].itertuples(index=False):
+            sets.setdefault((a, part), []).append(shingle_set(text, size))
+        for a, part, b, text in df.loc[~df["is_centre"], ["a", "part", "id", "text"]].itertuples(index=False):
             s = shingle_set(text, size)
-            for c in sets:
+            for c in sets.get((a, part), ()):
                 both = len(np.intersect1d(c, s, assume_unique=True))
-                rows.append((int(key[0]), int(b), both, len(c) + len(s) - both))
+                rows.append((a, b, both, len(c) + len(s) - both))
         return pd.DataFrame(rows, columns=["a", "b", "both", "either"], dtype="int64")
 
     return run
@@ -152,13 +170,16 @@ def _confirm(size: int):
 def compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b, both, either) of the pairs (a, b) of ids: the sizes of their full shingle sets' intersection and union; texts: id, text.
 
-    A document that is paired with very many is dealt out over tasks, CHUNK of its partners to each on average.
+    A document that is paired with very many is dealt out over parts, CHUNK of its partners to each on average, and parts over
+    calls of Python, TEXTS to each. Pairs grow with the corpus, so nothing here is broadcast.
     """
+    slots = max(1, -(-pairs.count() // TEXTS))
     degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
-    others = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
-    others = others.join(texts.toDF("b", "text"), "b").select("a", "part", "b", "text").toDF("oa", "opart", "b", "text")
-    centres = degree.join(texts.toDF("a", "text"), "a").select("a", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "text").toDF("ca", "cpart", "text")
-    return centres.groupBy("ca", "cpart").cogroup(others.groupBy("oa", "opart")).applyInPandas(_confirm(size), "a long, b long, both long, either long")
+    others = pairs.join(degree.hint("merge"), "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("id"), F.lit(False).alias("is_centre"))
+    centres = degree.select("a", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("a").alias("id"), F.lit(True).alias("is_centre"))
+    rows = others.union(centres).join(texts.hint("merge"), "id")
+    slot = F.pmod(F.xxhash64("a", "part"), F.lit(slots)).cast("int").alias("slot")
+    return rows.select(slot, "a", "part", "id", "is_centre", "text").groupBy("slot").applyInPandas(_confirm(size), "a long, b long, both long, either long")
 
 
 def _links(compared_pairs: DataFrame, percent: int) -> DataFrame:
@@ -180,9 +201,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     classes = staged(classes.where("id is not null").select("id", "n_shingles", "sig", "low", "high"), "classes")
     reps = classes.select("id", "n_shingles", "sig")
 
-    keyed = classes.select("id", F.posexplode(_bucket_keys(F.col("sig"))).alias("number", "bucket"))
+    keyed = classes.select("id", F.explode(_bucket_keys(F.col("sig"))).alias("bucket"))
     centres = staged(keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
-    members = staged(keyed.join(centres, "bucket").select("bucket", "number", "a", "id"), "members")
+    members = staged(keyed.join(centres, "bucket").select("bucket", "a", "id"), "members")
     l, r = reps.alias("l"), reps.alias("r")
 
     def possible(pairs: DataFrame) -> DataFrame:
@@ -191,35 +212,37 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         return p.where(fits).where(_agree("l.sig", "r.sig") >= SURE).select("p.a", "p.b")
 
     checked = staged(possible(members.where("a < id").select("a", F.col("id").alias("b")).distinct()), "stars")
-    near = staged(compared(checked, _class_texts(texts, checked), shingle_words), "near")
+    candidates = _class_texts(texts, members.select("id"))
+    near = staged(compared(checked, candidates, shingle_words), "near")
     links = _links(near, percent)
     labels = connected_components(links)
 
     # Buckets that hold several components: once more against one member each, now another one in every bucket.
-    named = members.join(labels, "id", "left").select("bucket", "number", "a", "id", F.coalesce("component", "id").alias("component"))
+    named = members.join(labels, "id", "left").select("bucket", "a", "id", F.coalesce("component", "id").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket")).alias("c")).where("lo < hi and n > 2")
     mixed = staged(mixed.select("bucket", F.col("c.id").alias("c"), F.col("c.component").alias("cc")), "mixed")
     named = staged(named.join(mixed, "bucket"), "named")
     tried = named.where("component <> cc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
     tried = staged(possible(tried.join(checked, ["a", "b"], "left_anti")), "tried")
-    links = links.union(_links(staged(compared(tried, _class_texts(texts, tried), shingle_words), "near"), percent))
+    links = links.union(_links(staged(compared(tried, candidates, shingle_words), "near"), percent))
     labels = connected_components(links)
 
     # All pairs across the components that are left in a bucket, chunk against chunk.
-    named = named.drop("component").join(labels, "id", "left").select("bucket", "number", "a", "id", F.coalesce("component", "id").alias("component"))
+    named = named.drop("component").join(labels, "id", "left").select("bucket", "a", "id", F.coalesce("component", "id").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
     mixed = staged(mixed.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "mixed")
     known = near.groupBy("a", F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("either")).alias("to_centre"))
     rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     to_centre = F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("to_centre")).alias("to_centre")
-    rest = staged(rest.select("bucket", "number", "parts", "part", "id", "component", to_centre, "n_shingles", "sig"), "rest")
-    fields = ["number", "id", "component", "to_centre", "n_shingles", "sig"]
-    left = rest.select("bucket", F.col("part").alias("i"), F.explode(F.expr("sequence(part, parts - 1)")).alias("j"), *fields)
-    right = rest.select("bucket", F.explode(F.expr("sequence(0, part)")).alias("i"), F.col("part").alias("j"), *fields)
+    rest = staged(rest.select("bucket", "parts", "part", "id", "component", to_centre, "n_shingles", "sig"), "rest")
+    slots = max(1, -(-rest.count() // ROWS))
+    slot = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(slots)).cast("int").alias("slot")
+    left = rest.withColumn("i", F.col("part")).withColumn("j", F.explode(F.expr("sequence(part, parts - 1)"))).select(slot, "i", "j", *FIELDS)
+    right = rest.withColumn("j", F.col("part")).withColumn("i", F.explode(F.expr("sequence(0, part)"))).select(slot, "i", "j", *FIELDS)
     left, right = left.toDF(*[f"l_{c}" for c in left.columns]), right.toDF(*[f"r_{c}" for c in right.columns])
-    pairs = left.groupBy("l_bucket", "l_i", "l_j").cogroup(right.groupBy("r_bucket", "r_i", "r_j")).applyInPandas(_across(percent), "a long, b long")
+    pairs = left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, b long")
     pairs = staged(pairs.distinct().join(checked.union(tried), ["a", "b"], "left_anti"), "pairs")
-    asked = _class_texts(texts, pairs)
+    asked = _class_texts(candidates, pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
     sketches = staged(asked.mapInPandas(_sketch(shingle_words), "id long, sketch array<byte>").where("sketch is not null"), "sketches")
     pairs = pairs.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
     pairs = staged(pairs.where(_agree("sa", "sb") >= SURE_SKETCH).select("a", "b").distinct(), "pairs")
@@ -234,10 +257,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def _class_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """id, text of the documents in pairs; the ids are few against the texts, so the ids are what moves where that is possible."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return staged(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi"), "texts")
+def _class_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text of the documents that ids names; ids grow with the corpus, so they aren't broadcast."""
+    texts = texts.toDF("id", "text")
+    return staged(texts.join(ids.distinct().hint("merge"), "id", "left_semi"), "texts")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:

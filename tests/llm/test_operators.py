@@ -333,7 +333,8 @@ def near_texts(seed=7):
 
 @pytest.mark.parametrize("size", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, size):
-    monkeypatch.setattr(minhash, "CHUNK", 5)
+    for name in ("CHUNK", "WIDE", "ROWS", "TEXTS"):
+        monkeypatch.setattr(minhash, name, 5)
     texts = near_texts()
     want = brute_components(texts, size)
     out = rows(minhash.near_duplicates(docs(spark, texts), size))

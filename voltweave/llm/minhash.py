@@ -11,8 +11,9 @@
    different components is passed over.
 
 Comparisons drop pairs whose sizes, or whose similarities to a third document, rule a link out (exact), and pairs whose MinHash
-values agree in fewer places than SURE or SURE_SKETCH (at the least similarity, 0.8, a few pairs in a million). Nothing
-else is dropped, and no bucket is capped.
+values agree in fewer places than SURE (at the least similarity, 0.8, five pairs in a million). Nothing else is dropped, and no
+bucket is capped. Pairs across components travel as one document with a list of those of one block of the other component, so
+a group of near copies with stragglers makes rows by stragglers and blocks, not by pairs.
 """
 
 from __future__ import annotations
@@ -30,18 +31,17 @@ from .components import connected_components
 
 HASHES, COLLECTION = 2, 10
 SIGNATURE = 2 * COLLECTION * HASHES
-#: Of 40 values that agree with probability 0.8 each, under 20 agree in 5 cases of 10^6; of SKETCH bytes, under 174 in 3 of 10^6.
+#: Of 40 values that agree with probability 0.8 each, under 20 agree in 5 cases of 10^6.
 SURE = 20
-SKETCH, SURE_SKETCH = 256, 174
-#: Members of a bucket, or of what one document is compared with, that are taken at once; rows, and texts, that one call of Python gets on average.
-CHUNK, ROWS, TEXTS = 256, 20_000, 1_000
+#: Members of a bucket, or of a component, that are taken at once; partners of a document likewise; rows, and texts, that one call of Python gets on average.
+WIDE, CHUNK, ROWS, TEXTS = 2048, 256, 20_000, 1_000
 #: What is known of a bucket's member.
-FIELDS = ("bucket", "id", "component", "to_centre", "n_shingles", "sig")
+FIELDS = ("bucket", "id", "component", "csize", "block", "to_centre", "n_shingles", "sig")
 
 _DRAW = np.random.default_rng(20240301)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_MULT = _DRAW.integers(0, 2**63, SIGNATURE + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIP = _DRAW.integers(0, 2**63, SIGNATURE + SKETCH, dtype=np.uint64)
+_MULT = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _DRAW.integers(0, 2**63, SIGNATURE, dtype=np.uint64)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -56,12 +56,11 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def min_hashes(shingles: np.ndarray, first: int, last: int) -> np.ndarray:
-    """MinHash values number `first` to `last` of a set that isn't empty."""
-    out = np.full(last - first, np.iinfo(np.uint64).max, np.uint64)
-    flip, mult, step = _FLIP[first:last, None], _MULT[first:last, None], max(1, 160_000 // (last - first))
-    for i in range(0, len(shingles), step):
-        np.minimum(out, ((shingles[None, i : i + step] ^ flip) * mult).min(1), out=out)
+def min_hashes(shingles: np.ndarray) -> np.ndarray:
+    """SIGNATURE MinHash values of a set that isn't empty."""
+    out = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 4096):
+        np.minimum(out, ((shingles[None, i : i + 4096] ^ _FLIP[:, None]) * _MULT[:, None]).min(1), out=out)
     return mix(out)
 
 
@@ -73,7 +72,7 @@ def _describe(size: int):
                 s = shingle_set(text, size)
                 if len(s):
                     low, high = mix(s).sum(dtype=np.uint64), mix(s * _STEP + np.uint64(7)).sum(dtype=np.uint64)
-                    rows.append((i, len(s), int(low.view(np.int64)), int(high.view(np.int64)), min_hashes(s, 0, SIGNATURE).astype(np.uint32).view(np.int32)))
+                    rows.append((i, len(s), int(low.view(np.int64)), int(high.view(np.int64)), min_hashes(s).astype(np.uint32).view(np.int32)))
                 else:
                     rows.append((i, 0, None, None, None))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "sig"]).astype({"doc_id": "Int64", "low": "Int64", "high": "Int64"})
@@ -115,37 +114,53 @@ def _across(percent: int):
             ok, same = ok[enough], same[enough]
             keys = [same[:, h : h + half].reshape(-1, COLLECTION, HASHES).all(2).argmax(1) for h in (0, half)]
             ok = ok[keys[0] * COLLECTION + keys[1] == table]
-            found.append(np.stack([np.minimum(left["id"][i], right["id"][ok]), np.maximum(left["id"][i], right["id"][ok])], 1))
+            # The document of the smaller component asks; each pair of a chunk with itself is met twice.
+            size, other = left["csize"][i], right["csize"][ok]
+            asks = (size < other) | ((size == other) & (left["id"][i] < right["id"][ok]))
+            mine, theirs, blocks = left["id"][i], right["id"][ok], right["block"][ok]
+            found.append(np.stack(np.broadcast_arrays(mine, blocks[asks], theirs[asks]), 1))
+            found.append(np.stack(np.broadcast_arrays(theirs[~asks], left["block"][i], mine), 1))
         return found
 
     def arrays(df: pd.DataFrame) -> tuple[dict, dict]:
         """Columns in the order of (bucket, i, j), and where each of those begins and ends."""
         df = df.set_axis(["slot", "i", "j", *FIELDS], axis=1).sort_values(["bucket", "i", "j"])
         out = {"n": df["n_shingles"].to_numpy(), "to_centre": df["to_centre"].to_numpy(float), "sig": np.stack(df["sig"].to_list())}
-        out |= {c: df[c].to_numpy() for c in ("bucket", "id", "component")}
+        out |= {c: df[c].to_numpy() for c in ("bucket", "id", "component", "csize", "block")}
         keys = df[["bucket", "i", "j"]].to_numpy()
         first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1))))
         return out, {tuple(keys[a]): slice(a, b) for a, b in zip(first, [*first[1:], len(keys)], strict=True)}
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [np.empty((0, 2), np.int64)]
+        found = [np.empty((0, 3), np.int64)]
         if len(left) and len(right):
             (left, at_left), (right, at_right) = arrays(left), arrays(right)
             for key in at_left.keys() & at_right.keys():
                 found += one({c: v[at_left[key]] for c, v in left.items()}, {c: v[at_right[key]] for c, v in right.items()})
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}, dtype="int64")
+        asked = np.unique(np.concatenate(found), axis=0)
+        first = np.flatnonzero(np.concatenate(([True], (asked[1:, :2] != asked[:-1, :2]).any(1)))) if len(asked) else np.empty(0, np.int64)
+        lists = [x.tolist() for x in np.split(asked[:, 2], first[1:])] if len(asked) else []
+        return pd.DataFrame({"a": asked[first, 0], "block": asked[first, 1], "others": pd.Series(lists, dtype=object)})
 
     return run
 
 
-def _sketch(size: int):
-    """SKETCH bytes of a text's MinHash values."""
+def _confirm_lists(size: int, percent: int):
+    """Documents with lists of others against the blocks that hold those, to the links that hold on full sets."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [shingle_set(t, size) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "sketch": [min_hashes(s, SIGNATURE, SIGNATURE + SKETCH).astype(np.uint8).view(np.int8) if len(s) else None for s in sets]})
+    def run(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sets, links = {}, []
+        for block, i, text in zip(held["h_block"], held["id"], held["text"], strict=True):
+            sets.setdefault((block, i), []).append(shingle_set(text, size))
+        for a, block, others, text in zip(asking["a"], asking["block"], asking["others"], asking["text"], strict=True):
+            s = shingle_set(text, size)
+            found = [(b, x) for b in others for x in sets.get((block, b), ()) if len(x)]
+            if len(s) and found:
+                length = np.array([len(x) for _, x in found])
+                at = np.minimum(np.searchsorted(s, flat := np.concatenate([x for _, x in found])), len(s) - 1)
+                both = np.add.reduceat((s[at] == flat).astype(np.int64), np.cumsum(length) - length)
+                links += [(int(a), int(found[j][0])) for j in np.flatnonzero(100 * both >= percent * (len(s) + length - both))]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -230,23 +245,27 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     # All pairs across the components that are left in a bucket, chunk against chunk.
     named = named.drop("component").join(labels, "id", "left").select("bucket", "a", "id", F.coalesce("component", "id").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    mixed = staged(mixed.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "mixed")
+    mixed = staged(mixed.select("bucket", F.ceil(F.col("n") / WIDE).cast("int").alias("parts")), "mixed")
     known = near.groupBy("a", F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("either")).alias("to_centre"))
-    rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("csize"))
+    rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").join(sizes, "component", "left")
+    csize = F.coalesce("csize", F.lit(1))
+    block = F.xxhash64("component", F.pmod(F.xxhash64("id"), F.ceil(csize / WIDE))).alias("block")
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("part")
     to_centre = F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("to_centre")).alias("to_centre")
-    rest = staged(rest.select("bucket", "parts", "part", "id", "component", to_centre, "n_shingles", "sig"), "rest")
+    rest = staged(rest.select("bucket", "parts", part, "id", "component", csize.alias("csize"), block, to_centre, "n_shingles", "sig"), "rest")
     slots = max(1, -(-rest.count() // ROWS))
     slot = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(slots)).cast("int").alias("slot")
     left = rest.withColumn("i", F.col("part")).withColumn("j", F.explode(F.expr("sequence(part, parts - 1)"))).select(slot, "i", "j", *FIELDS)
     right = rest.withColumn("j", F.col("part")).withColumn("i", F.explode(F.expr("sequence(0, part)"))).select(slot, "i", "j", *FIELDS)
     left, right = left.toDF(*[f"l_{c}" for c in left.columns]), right.toDF(*[f"r_{c}" for c in right.columns])
-    pairs = left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, b long")
-    pairs = staged(pairs.distinct().join(checked.union(tried), ["a", "b"], "left_anti"), "pairs")
-    asked = _class_texts(candidates, pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
-    sketches = staged(asked.mapInPandas(_sketch(shingle_words), "id long, sketch array<byte>").where("sketch is not null"), "sketches")
-    pairs = pairs.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-    pairs = staged(pairs.where(_agree("sa", "sb") >= SURE_SKETCH).select("a", "b").distinct(), "pairs")
-    links = links.union(_links(compared(pairs, asked, shingle_words), percent))
+    asking = staged(left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, block long, others array<long>"), "asking")
+    slots = max(1, -(-asking.count() // TEXTS))
+    slot = F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")
+    held = rest.select("block", "id").distinct().join(asking.select("block").distinct().hint("merge"), "block", "left_semi")
+    held = held.join(candidates.hint("merge"), "id").select(slot, "block", "id", "text").toDF("h_slot", "h_block", "id", "text")
+    asking = asking.join(candidates.toDF("a", "text").hint("merge"), "a").select(slot.alias("slot"), "a", "block", "others", "text")
+    links = links.union(asking.groupBy("slot").cogroup(held.groupBy("h_slot")).applyInPandas(_confirm_lists(shingle_words, percent), "a long, b long"))
 
     # A doc_id with several texts ties their classes together.
     named = rows.join(classes.select("low", "high", "id"), ["low", "high"], "left").select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"))

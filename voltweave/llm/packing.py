@@ -21,8 +21,8 @@ WINDOW = 4096
 SHARD = 5_000_000
 #: BM25's saturation and length parameters; ids in over COMMON of a shard's documents tell nothing and aren't asked for.
 K1, B, COMMON = 1.2, 0.75, 0.2
-#: Words that a worker remembers the ids of.
-REMEMBER = 1_200_000
+#: Words that a worker remembers the ids of; within a task also so many before them. Workers serve other operators too, so no more is kept between tasks.
+REMEMBER = 600_000
 
 MARKS = ".,;:!?%$&*#|"
 
@@ -46,6 +46,7 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype == "<u2" else "I"
@@ -59,10 +60,12 @@ class WordTokenizer:
     def _learn(self, words: list[str], latin: bool) -> None:
         """Marks at the end of a word of letters are looked up apart: the tokenizer parts them there."""
         if len(self.known) > REMEMBER:
-            self.known.clear()
-        known, bare, letters, others = self.known, {}, {}, {}
+            self.known, self.older = {}, self.known
+        known, older, bare, letters, others = self.known, self.older, {}, {}, {}
         for w in dict.fromkeys(words):
-            if w not in known:
+            if w in older:
+                known[w] = older[w]
+            elif w not in known:
                 stem = w.rstrip(MARKS)
                 if not stem.isalpha():
                     others[w] = None
@@ -109,6 +112,7 @@ def _tokenize(path: str, end_id: int) -> Callable:
             for i in range(0, len(b), 1000):
                 part = b.iloc[i : i + 1000]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "shard": part["shard"], "ids": [t.encode(x.encode("utf-8", "replace").decode()) + end for x in part["text"]]})
+        t.older = {}
 
     return run
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 MARK = "\u2581"
 UNKNOWN_COST = 10.0
-REMEMBER = 1_200_000
+REMEMBER = 700_000
 
 #: White space as Unicode has it; Python's split() also parts at four control characters.
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")

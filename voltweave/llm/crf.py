@@ -5,8 +5,8 @@ whether a lexicon lists it) give its scores, learned transitions tie neighbours,
 marginal probabilities, so texts that switch languages get a label for each word. A document's language is the one
 with the largest share of marginal probability.
 
-Training takes a bounded sample: of each language the PER_LANGUAGE labelled training documents with the smallest hash of their
-id, and of each of these SEGMENTS runs of RUN words. Runs of different documents are strung together, so that transitions
+Training takes a bounded sample: of each language the PER_LANGUAGE labelled training documents with the smallest hash of id
+and text, and of each of these SEGMENTS runs of RUN words. Runs of different documents are strung together, so that transitions
 between languages occur. The model is a table of BUCKETS hashed features by languages, whatever the corpus.
 """
 
@@ -30,7 +30,7 @@ BUCKETS = 1 << 16
 LEXICON = 2000
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-5
 #: Words whose scores a worker remembers; documents and words that forward-backward takes at once.
-REMEMBER, TOGETHER, CELLS = 400_000, 256, 400_000
+REMEMBER, TOGETHER, CELLS = 250_000, 256, 250_000
 
 UNKNOWN = "und"
 PUNCTUATION = ".,;:!?\"'()[]{}|*#$%&-_=+<>/"
@@ -237,8 +237,14 @@ def _label(chains: list, model: dict, out: list) -> None:
 def fit(docs: DataFrame, folds: int = 5, held_fold: int = 0) -> dict | None:
     """Trains on labelled rows outside the held-out fold; what the driver gets is bounded by PER_LANGUAGE documents a language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_fold))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    some = labelled.select("doc_id", "lang", "text").withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= PER_LANGUAGE)
+    # A hash below 2 * PER_LANGUAGE / (the language's rows) keeps about twice as many as are wanted, so the ranking sees few rows whatever the corpus.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 2 * PER_LANGUAGE / n) * 2**31))])
+    few = labelled.select("doc_id", "lang", "text").withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31))).where(F.col("h") <= limits[F.col("lang")])
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
+    some = few.withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= PER_LANGUAGE)
     rows = some.select("lang", "turn", "doc_id", "text").collect()
     return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["turn"]))])
 

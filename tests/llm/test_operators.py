@@ -165,6 +165,25 @@ def test_packing_takes_neighbours():
     assert all(len(set(d)) == 1 for d in by.values())
 
 
+def test_packing_shards_by_content_with_statistics_of_all(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    topic_of = rng.permutation(np.repeat(np.arange(12), 40)).tolist()
+    made = [np.array([*rng.integers(100 * k, 100 * k + 60, 200), *rng.integers(5000, 5040, 50)], "<u2") for k in topic_of]
+    made += [made[0]] * 240  # a third of all rows are copies
+    ids = spark.createDataFrame([(i, 500, x.tobytes()) for i, x in enumerate(made)], "doc_id long, size long, ids binary")
+    monkeypatch.setattr(packing, "SHARD", 20_000)
+    stats = packing.statistics(ids.repartition(3), "<u2")
+    assert (stats.n, stats.mean) == (len(made), 250.0) and all(stats.df[t] == sum(t in x for x in made) for t in (5, 105, 5001))
+    shards = defaultdict(list)
+    for r in packing.deal(ids, stats, "<u2").collect():
+        shards[r["shard"]].append(r["doc_id"])
+    assert sorted(i for s in shards.values() for i in s) == list(range(len(made))) and max(map(len, shards.values())) <= 3 * 40
+    together = [np.mean([topic_of[a] == topic_of[b] for b in s if b < 480 and b != a]) for s in shards.values() for a in s if a < 480 and sum(b < 480 for b in s) > 1]
+    assert np.mean(together) > 0.6  # by a hash of the id: 1/12
+    docs_of = [made[1], made[2]]
+    assert packing.Index(docs_of, stats).weight == pytest.approx([stats.idf()[t] * tf * 2.2 / (tf + 1.2) for t, _, tf in sorted((t, i, int((d == t).sum())) for i, d in enumerate(docs_of) for t in set(d.tolist()))])
+
+
 # --- 3: personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

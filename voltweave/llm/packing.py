@@ -1,13 +1,17 @@
 """Packing documents into training sequences by lexical retrieval.
 
-Texts become token ids in one pass; the ids, two bytes each, are dealt out in shards of about SHARD bytes of text. A shard holds a BM25
-inverted index over its documents' ids. A seed document opens a window; the unused documents that score highest for it fill
-the window one after the other. The last one is cut where the window ends, and its rest is the next seed. So windows hold texts
-that share their words, and only a shard's last sequence has padding.
+Texts become token ids in one pass, two bytes each. BM25's document frequencies and mean length are those of the whole corpus. Documents
+are dealt by content into shards of about SHARD bytes of text: clusters of their BM25-weighted ids, projected to DIMENSIONS numbers; a large
+cluster is parted by a MinHash of the ids under their weights, and what is still large (copies) by a hash. A shard holds an inverted index over
+its documents' ids. A seed document opens a window; the unused documents of its shard that score highest for it fill the window one after the
+other. The last one is cut where the window ends, and its rest is the next seed. So windows hold texts that share their words, and only a
+shard's last sequence has padding.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -17,12 +21,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 WINDOW = 4096
 SHARD = 5_000_000
 #: BM25's saturation and length parameters; ids in over COMMON of a shard's documents tell nothing and aren't asked for.
 K1, B, COMMON = 1.2, 0.75, 0.2
 #: Words that a worker remembers the ids of; within a task also so many before them. Workers serve other operators too, so no more is kept between tasks.
 REMEMBER = 600_000
+#: Numbers that a document's ids are projected to for clustering; clusters that one is parted in; documents that the clusters' centres come from, whatever the input.
+DIMENSIONS, BRANCH, SAMPLE = 64, 8, 16_000
 
 MARKS = ".,;:!?%$&*#|"
 
@@ -111,24 +119,153 @@ def _tokenize(path: str, end_id: int) -> Callable:
         for b in batches:
             for i in range(0, len(b), 1000):
                 part = b.iloc[i : i + 1000]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "shard": part["shard"], "ids": [t.encode(x.encode("utf-8", "replace").decode()) + end for x in part["text"]]})
+                yield pd.DataFrame({"doc_id": part["doc_id"], "size": part["size"], "ids": [t.encode(x.encode("utf-8", "replace").decode()) + end for x in part["text"]]})
         t.older = {}
 
     return run
 
 
+def _count(dtype: str) -> Callable:
+    """Arrays of ids to (id, documents that hold it, occurrences), summed over a task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        add = lambda x, y: y + np.pad(x, (0, len(y) - len(x))) if len(x) < len(y) else x + np.pad(y, (0, len(x) - len(y)))
+        for b in batches:
+            for i in range(0, len(b), 1000):
+                docs = [np.frombuffer(x, dtype) for x in b["ids"].iloc[i : i + 1000]]
+                df, total = add(df, np.bincount(np.concatenate([np.unique(d) for d in docs]))), add(total, np.bincount(np.concatenate(docs)))
+        there = np.flatnonzero(total)
+        yield pd.DataFrame({"id": there, "df": df[there], "total": total[there]})
+
+    return run
+
+
+class Statistics:
+    """BM25's of a whole corpus: documents, their mean length, and documents by id; as long as the vocabulary, whatever the input."""
+
+    def __init__(self, n: int, mean: float, df: np.ndarray):
+        self.n, self.mean, self.df = n, mean, df
+
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.n - self.df + 0.5) / (self.df + 0.5))
+
+
+def statistics(ids: DataFrame, dtype: str) -> Statistics:
+    """Of the column ids of a table."""
+    counts = ids.select("ids").mapInPandas(_count(dtype), "id long, df long, total long").groupBy("id").agg(F.sum("df").alias("df"), F.sum("total").alias("total")).toPandas()
+    n = ids.count()
+    df = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
+    df[counts["id"]] = counts["df"]
+    return Statistics(n, float(counts["total"].sum()) / max(1, n), df)
+
+
+class Place:
+    """Where a document's content puts it: a vector of unit length, and a key that documents share with probability as their weighted ids overlap."""
+
+    def __init__(self, stats: Statistics, dtype: str):
+        self.idf, self.mean, self.dtype = np.where(stats.df > 1, stats.idf(), 0.0), stats.mean, dtype
+        rng = np.random.default_rng(20240302)
+        self.signs = rng.choice(np.array([-1, 1], np.float32), (len(stats.df), DIMENSIONS))
+        self.draw = rng.exponential(size=len(stats.df)) / np.maximum(self.idf, 1e-9)
+
+    def __call__(self, ids: bytes) -> tuple[np.ndarray, int]:
+        doc = np.frombuffer(ids, self.dtype)
+        term, tf = np.unique(doc, return_counts=True)
+        weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(doc) / self.mean))
+        vector = weight.astype(np.float32) @ self.signs[term]
+        return vector / max(float(np.linalg.norm(vector)), 1e-9), int(term[self.draw[term].argmin()])
+
+
+def _vectors(stats: Statistics, dtype: str) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = Place(stats, dtype)
+        for b in batches:
+            yield pd.DataFrame({"ids_hash": b["ids_hash"], "vector": [place(x)[0] for x in b["ids"]]})
+
+    return run
+
+
+def _centres(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Spherical k-means from vectors spread over the sample; the same in each run."""
+    centres = vectors[np.linspace(0, len(vectors) - 1, k).astype(int)]
+    for _ in range(8):
+        at = (vectors @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, at, vectors)
+        long = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(long > 1e-6, sums / np.maximum(long, 1e-6), centres)
+    return centres
+
+
+def _tree(vectors: np.ndarray, shards: float, leaves: Iterator[int]) -> tuple[np.ndarray, list] | int:
+    """Centres with what is under each, parted until a leaf's share of the vectors is about one shard; a leaf is its number."""
+    k = min(BRANCH, math.ceil(shards), len(vectors))
+    if k < 2:
+        return next(leaves)
+    centres = _centres(vectors, k)
+    at = (vectors @ centres.T).argmax(1)
+    counts = np.bincount(at, minlength=k)
+    if counts.max() == len(vectors):
+        return next(leaves)
+    return centres, [_tree(vectors[at == i], shards * counts[i] / len(vectors), leaves) for i in range(k)]
+
+
+def _assign(stats: Statistics, dtype: str, tree: tuple[np.ndarray, list] | int) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = Place(stats, dtype)
+        for b in batches:
+            found = []
+            for x in b["ids"]:
+                vector, key = place(x)
+                node = tree
+                while not isinstance(node, int):
+                    node = node[1][int((node[0] @ vector).argmax())]
+                found.append((node, key))
+            yield b.assign(cluster=[c for c, _ in found], key=[k for _, k in found])
+
+    return run
+
+
+def deal(ids: DataFrame, stats: Statistics, dtype: str) -> DataFrame:
+    """(doc_id, size, ids) to (doc_id, ids, shard): shards of about SHARD bytes of text, documents with like content together."""
+    size = ids.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-int(size) // SHARD))
+    if shards == 1:
+        return ids.select("doc_id", "ids", F.lit(0).alias("shard"))
+    content = F.xxhash64("ids").alias("ids_hash")
+    rare = ids.select("ids", content).where(F.pmod("ids_hash", F.lit(max(1, stats.n // SAMPLE))) == 0)
+    sample = rare.dropDuplicates(["ids_hash"]).mapInPandas(_vectors(stats, dtype), "ids_hash long, vector array<float>").toPandas().sort_values("ids_hash")
+    tree = _tree(np.stack(sample["vector"].to_list()).astype(np.float32), shards, itertools.count()) if len(sample) else 0
+    placed = staged(ids.mapInPandas(_assign(stats, dtype, tree), "doc_id long, size long, ids binary, cluster int, key long"), "placed")
+    parts = placed.groupBy("cluster").agg(F.ceil(F.sum("size") / SHARD).cast("int").alias("parts"))
+    placed = placed.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    # About as many rows as clusters and shards.
+    sizes = sorted(placed.groupBy("cluster", "part").agg(F.sum("size")).collect())
+    numbers, shard, fill = [], 0, 0
+    for cluster, part, n in sizes:
+        if fill and fill + n > 1.5 * SHARD:
+            shard, fill = shard + 1, 0
+        salts = max(1, round(n / SHARD))
+        numbers.append((cluster, part, shard, salts))
+        shard, fill = (shard + salts, 0) if salts > 1 else (shard, fill + n)
+    numbers = ids.sparkSession.createDataFrame(numbers, "cluster int, part int, first_shard int, salts int")
+    salt = F.pmod(F.xxhash64("doc_id", "ids"), F.col("salts"))
+    return placed.join(numbers, ["cluster", "part"]).select("doc_id", "ids", (F.col("first_shard") + salt).cast("int").alias("shard"))
+
+
 class Index:
-    """BM25 over documents given by their arrays of ids."""
+    """BM25 over documents given by their arrays of ids, with the statistics of these or of a corpus that they are from."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], stats: Statistics | None = None):
         terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True)
         self.terms, n = terms, len(docs)
         term, tf, owner = np.concatenate(terms).astype(np.int64), np.concatenate(counts), np.repeat(np.arange(n), [len(t) for t in terms])
         length = np.array([len(d) for d in docs], float)
         order = np.argsort(term, kind="stable")
         df = np.bincount(term)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / length.mean()))
+        stats = stats or Statistics(n, length.mean(), df)
+        weight = stats.idf()[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / stats.mean))
         self.owner, self.weight, self.df = owner[order], weight[order], df
         self.start = np.concatenate(([0], np.cumsum(df)))
         self.telling, self.n = df <= max(1, COMMON * n), n
@@ -142,9 +279,9 @@ class Index:
         return np.bincount(self.owner[at], self.weight[at], self.n)
 
 
-def pack_shard(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int, stats: Statistics | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) that hold every id of the documents once; only the last sequence isn't full."""
-    index, unused = Index(docs), np.ones(len(docs), bool)
+    index, unused = Index(docs, stats), np.ones(len(docs), bool)
     pieces, sequence, fill, seed, pos, turn = [], 0, 0, -1, 0, 0
 
     def place(doc: int, at: int) -> int:
@@ -188,12 +325,12 @@ def pack_shard(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int,
             asked *= 4
 
 
-def _pack(window: int, dtype: str, with_ids: bool) -> Callable:
+def _pack(window: int, dtype: str, with_ids: bool, stats: Statistics) -> Callable:
     def run(key, shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["doc_id", "ids"], na_position="last", kind="stable")
         docs = [np.frombuffer(x, dtype) for x in shard["ids"]]
         doc_ids, rows = shard["doc_id"].tolist(), []
-        for doc, start, n, sequence, offset in pack_shard(docs, window):
+        for doc, start, n, sequence, offset in pack_shard(docs, window, stats):
             ids = docs[doc][start : start + n].astype("<u4")
             rows.append((doc_ids[doc], start, n, zlib.crc32(ids.tobytes()), len(docs[doc]), (int(key[0]) << 32) + sequence, offset) + ((ids.astype(np.int32),) if with_ids else ()))
         columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
@@ -210,9 +347,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
     aren't read. An empty table gives no pieces. The result is the same in each run.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    size = docs.agg(F.sum(F.octet_length(text) + 1)).first()[0] or 0
-    shards = max(1, -(-int(size) // SHARD))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.pmod(F.xxhash64("doc_id", text), F.lit(shards)).cast("int").alias("shard"), text.alias("text"))
-    ids = rows.mapInPandas(_tokenize(tokenizer_path, end_id), "doc_id long, shard int, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), text.alias("text"))
+    dtype = tokenizer_at(tokenizer_path).dtype
+    ids = staged(rows.mapInPandas(_tokenize(tokenizer_path, end_id), "doc_id long, size long, ids binary"), "ids")
+    stats = statistics(ids, dtype)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return ids.groupBy("shard").applyInPandas(_pack(window, tokenizer_at(tokenizer_path).dtype, with_ids), schema)
+    return deal(ids, stats, dtype).groupBy("shard").applyInPandas(_pack(window, dtype, with_ids, stats), schema)

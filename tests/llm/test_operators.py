@@ -184,6 +184,22 @@ def test_packing_shards_by_content_with_statistics_of_all(spark, monkeypatch):
     assert packing.Index(docs_of, stats).weight == pytest.approx([stats.idf()[t] * tf * 2.2 / (tf + 1.2) for t, _, tf in sorted((t, i, int((d == t).sum())) for i, d in enumerate(docs_of) for t in set(d.tolist()))])
 
 
+def test_packing_finds_neighbours_by_common_ids():
+    """Copies that hold a third of a shard, and shards of a few documents."""
+    by_topic = [[np.array([100 * k + i for i in range(49)] + [0]) for _ in range(20)] for k in range(3)]
+    mixed = [d for three in zip(*by_topic, strict=True) for d in three]
+    for some in (mixed, mixed[:6]):
+        by = defaultdict(set)
+        for doc, _, _, sequence, _ in packing.pack_shard(some, 100):
+            by[sequence].add(doc % 3)
+        assert all(len(topics) == 1 for topics in by.values())
+    near = [np.array([100 * k + i for i in range(48)] + [90 + j, 0]) for j in range(4) for k in range(3)]
+    by = defaultdict(set)
+    for doc, _, _, sequence, _ in packing.pack_shard(near, 100):
+        by[sequence].add(doc % 3)
+    assert all(len(topics) == 1 for topics in by.values())
+
+
 # --- 3: personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -25,7 +25,7 @@ from .common import staged
 
 WINDOW = 4096
 SHARD = 5_000_000
-#: BM25's saturation and length parameters; ids in over COMMON of a shard's documents tell nothing and aren't asked for.
+#: BM25's saturation and length parameters; an index marks ids in at most COMMON of its documents as telling. Packing asks for all ids: common ones have a low idf.
 K1, B, COMMON = 1.2, 0.75, 0.2
 #: Words that a worker remembers the ids of; within a task also so many before them. Workers serve other operators too, so no more is kept between tasks.
 REMEMBER = 600_000
@@ -239,8 +239,8 @@ def deal(ids: DataFrame, stats: Statistics, dtype: str) -> DataFrame:
     tree = _tree(np.stack(sample["vector"].to_list()).astype(np.float32), shards, itertools.count()) if len(sample) else 0
     placed = staged(ids.mapInPandas(_assign(stats, dtype, tree), "doc_id long, size long, ids binary, cluster int, key long"), "placed")
     parts = placed.groupBy("cluster").agg(F.ceil(F.sum("size") / SHARD).cast("int").alias("parts"))
-    placed = placed.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    # About as many rows as clusters and shards.
+    placed = placed.join(F.broadcast(parts), "cluster").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    # About as many rows as clusters and shards: small beside the ids, which a shuffle for the joins would write once more.
     sizes = sorted(placed.groupBy("cluster", "part").agg(F.sum("size")).collect())
     numbers, shard, fill = [], 0, 0
     for cluster, part, n in sizes:
@@ -251,13 +251,13 @@ def deal(ids: DataFrame, stats: Statistics, dtype: str) -> DataFrame:
         shard, fill = (shard + salts, 0) if salts > 1 else (shard, fill + n)
     numbers = ids.sparkSession.createDataFrame(numbers, "cluster int, part int, first_shard int, salts int")
     salt = F.pmod(F.xxhash64("doc_id", "ids"), F.col("salts"))
-    return placed.join(numbers, ["cluster", "part"]).select("doc_id", "ids", (F.col("first_shard") + salt).cast("int").alias("shard"))
+    return placed.join(F.broadcast(numbers), ["cluster", "part"]).select("doc_id", "ids", (F.col("first_shard") + salt).cast("int").alias("shard"))
 
 
 class Index:
     """BM25 over documents given by their arrays of ids, with the statistics of these or of a corpus that they are from."""
 
-    def __init__(self, docs: list[np.ndarray], stats: Statistics | None = None):
+    def __init__(self, docs: list[np.ndarray], stats: Statistics | None = None, common: float = COMMON):
         terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True)
         self.terms, n = terms, len(docs)
         term, tf, owner = np.concatenate(terms).astype(np.int64), np.concatenate(counts), np.repeat(np.arange(n), [len(t) for t in terms])
@@ -268,7 +268,7 @@ class Index:
         weight = stats.idf()[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / stats.mean))
         self.owner, self.weight, self.df = owner[order], weight[order], df
         self.start = np.concatenate(([0], np.cumsum(df)))
-        self.telling, self.n = df <= max(1, COMMON * n), n
+        self.telling, self.n = df <= max(1, common * n), n
 
     def scores(self, doc: int) -> np.ndarray:
         """Of every document, for the ids of one."""
@@ -281,7 +281,10 @@ class Index:
 
 def pack_shard(docs: list[np.ndarray], window: int, stats: Statistics | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) that hold every id of the documents once; only the last sequence isn't full."""
-    index, unused = Index(docs, stats), np.ones(len(docs), bool)
+    # Copies are one document of the index.
+    first: dict[bytes, int] = {}
+    same = np.array([first.setdefault(d.tobytes(), len(first)) for d in docs])
+    index, unused = Index([docs[i] for i in np.unique(same, return_index=True)[1]], stats, 1.0), np.ones(len(docs), bool)
     pieces, sequence, fill, seed, pos, turn = [], 0, 0, -1, 0, 0
 
     def place(doc: int, at: int) -> int:
@@ -307,7 +310,7 @@ def pack_shard(docs: list[np.ndarray], window: int, stats: Statistics | None = N
             seed = -1
             continue
         place(seed, pos)
-        scores = np.where(unused, index.scores(seed), -1.0)
+        scores = np.where(unused, index.scores(same[seed])[same], -1.0)
         asked, seed = 16, -1
         while fill and seed < 0:
             best = np.argpartition(-scores, min(asked, len(docs) - 1))[:asked] if asked < len(docs) else np.arange(len(docs))

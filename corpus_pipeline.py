@@ -19,8 +19,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, 0.8) one document stays."""
-    return minhash.drop_near_duplicates(docs, shingle_words=5, percent=80)
+    """Of each group of near copies (five words, 0.8) one document stays; each row is a document."""
+    return minhash.drop_near_duplicates(docs, shingle_words=5, percent=80, by_row=True)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,3 +65,15 @@ def test_run_applies_all_stages(spark, corpus):
     out = corpus_pipeline.run(spark, path)
     assert out.columns == spark.read.parquet(f"{path}/packing").columns
     assert out.groupBy("sequence_id").sum("length").where("sum(length) > 4096").count() == 0
+
+
+def test_rows_without_an_id_and_with_a_shared_one_stay(spark):
+    fox, sea, owl, elm = (" ".join(f"{w}{i}" for i in range(30)) for w in ("fox", "sea", "owl", "elm"))
+    made = [(None, fox), (None, fox), (None, sea), (5, sea), (7, owl), (7, elm), (8, owl)]
+    df = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in made], DOCS)
+    kept = corpus_pipeline.near_dedup(spark, df, "")
+    assert kept.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(None, fox), (5, sea), (7, owl), (7, elm)])
+    mixed = corpus_pipeline.mix_sources(spark, kept, "")
+    assert mixed.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in mixed.collect()) == Counter([(None, fox), (5, sea), (7, owl), (7, elm)])

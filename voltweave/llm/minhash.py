@@ -282,11 +282,18 @@ def _class_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return staged(texts.join(ids.distinct().hint("merge"), "id", "left_semi"), "texts")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, by_row: bool = False) -> DataFrame:
     """docs without near copies: of each group the document with the smallest doc_id stays; columns as given.
 
-    Documents without words stay. Of rows that share a doc_id one stays, the one with the smallest text; rows with a null doc_id go.
+    Documents without words stay. By doc_id, of rows that share one the row with the smallest text stays; rows with a null doc_id go.
+    By row, every row is a document of its own, whatever its doc_id: one row of each group stays, those with a null doc_id come last.
     """
+    if by_row:
+        docs, columns = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "numbered"), docs.columns
+        groups = near_duplicates(docs.select(F.col("_near_row").alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias("_near_row"), F.col("component_id").alias("_near_group"))
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "text", "_near_row")
+        kept = docs.select("_near_row", "doc_id", "text").join(groups, "_near_row").groupBy("_near_group").agg(F.min_by("_near_row", order).alias("_near_row")).select("_near_row")
+        return docs.join(kept, "_near_row", "left_semi").select(*[docs[c] for c in columns])
     kept = near_duplicates(docs, shingle_words, percent).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
     first = F.row_number().over(Window.partitionBy("_near_id").orderBy("text"))
     out = docs.join(kept, docs["doc_id"] == kept["_near_id"]).withColumn("_near_turn", first).where("_near_turn = 1")

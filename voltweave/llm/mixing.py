@@ -42,16 +42,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
     return s.select("src", "src_null", "source_size", F.col("filled").alias("target"))
 
 
-def mix_plan(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.0, max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
+def mix_plan(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: float = 1.0, max_epochs: float = 3.0, seed: int = 17, row: str | None = None) -> DataFrame:
     """How often the mix takes each document: doc_id, size, source_size, target, taken, copies; one row per document.
 
     `share` of all words is the budget. Null text has size 0; documents of size 0 take no words. A null source is a source of
     its own, the last one. Repeated rows are documents of their own; a null doc_id is a value like another. An empty
-    table gives an empty plan.
+    table gives an empty plan. `row` names a column that tells rows apart; it orders those that are alike and is given back.
     """
     h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+    keys = [row] if row else []
     base = staged(
-        docs.select("doc_id", F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("src_null"), words(F.col("text")).alias("size"), h.alias("h")).withColumn("bin", F.col("h") % BINS),
+        docs.select("doc_id", *keys, F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("src_null"), words(F.col("text")).alias("size"), h.alias("h")).withColumn("bin", F.col("h") % BINS),
         "mix",
     )
     bins = base.groupBy("src", "src_null", "bin").agg(F.sum("size").alias("bin_size"))
@@ -63,19 +64,19 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share:
     bins = bins.withColumn("bin_before", F.coalesce(F.sum("bin_size").over(before), F.lit(0)))
     plan = bins.join(plan, ["src", "src_null"])
     rows = base.join(plan.drop("bin_size"), ["src", "src_null", "bin"])
-    within = Window.partitionBy("src", "src_null", "bin").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("src", "src_null", "bin").orderBy("h", "doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.col("bin_before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     more = (F.col("whole") < max_epochs) & (F.col("before") + F.col("size") / 2 <= F.col("rest")) & (F.col("rest") > 0)
     rows = rows.withColumn("copies", F.col("whole") + F.when(more, 1).otherwise(0))
-    return rows.select("doc_id", "size", "source_size", F.col("target").cast("double"), (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return rows.select("doc_id", *keys, "size", "source_size", F.col("target").cast("double"), (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: the rows of docs, each as often as mix_plan says; columns as given.
 
-    doc_id must tell the documents apart; rows that share one are mixed as one document with the largest of their counts.
-    Rows with a null doc_id or no words are left out.
+    Each row is a document of its own, whatever its doc_id. Documents without words take no words of a source and are left out.
     """
-    plan = mix_plan(docs, **settings).where("taken > 0").groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").cast("int").alias("_mix_copies"))
-    out = docs.join(plan, docs["doc_id"] == plan["_mix_id"])
-    return out.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies"))).alias("_mix_copy")).drop("_mix_copy")
+    numbered = staged(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "numbered")
+    plan = mix_plan(numbered, row="_mix_row", **settings).where("taken > 0").select("_mix_row", F.col("copies").cast("int").alias("_mix_copies"))
+    out = numbered.join(plan, "_mix_row")
+    return out.select(*[numbered[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies"))).alias("_mix_copy")).drop("_mix_copy")

@@ -486,6 +486,32 @@ def test_viterbi_ties_and_unknown():
     assert c.best("xyab")[0::2] == (3, 1) and c.best("xyab")[1] == -3.0 - 2 * 19
 
 
+def test_viterbi_counts_white_space_and_bytes_as_the_file(spark, vocabulary):
+    from sentencepiece import SentencePieceProcessor
+
+    path = vocabulary("piece_bpe_32k.model")
+    model, pieces = SentencePieceProcessor(model_file=path), dict(viterbi.text_pieces(path))
+    lowest = min(pieces.values())
+
+    def whole(text):
+        """Plain dynamic programming over the whole text."""
+        text = viterbi.MARK + text.replace(" ", viterbi.MARK) if text else ""
+        best = [(0.0, 0)]
+        for end in range(1, len(text) + 1):
+            found = [(best[at][0] + pieces[text[at:end]], at - end, best[at][1] + 1) for at in range(max(0, end - 40), end) if text[at:end] in pieces]
+            if not any(size == -1 for _, size, _ in found):
+                found.append((best[end - 1][0] + lowest - 10, 0, best[end - 1][1] + len(text[end - 1].encode())))
+            top = max(s for s, _, _ in found)
+            best.append(next((s, n) for s, _, n in sorted(found, key=lambda x: x[1]) if s == top))
+        return best[-1][1]
+
+    same = ["a  b", "", "\n\n", "𐍈𐍈", "a\nb\n\nc"]
+    texts = [*enumerate(same), (10, "a\tb   c \n  d 𐍈x𐍈 "), (11, "x <s> </s> <unk> <0x41> <0x0A>"), (12, f"a{viterbi.MARK}b\r\nc"), (13, None), (14, "line one\nline two\n\nline three")]
+    counts = {r["doc_id"]: r["n_tokens"] for r in rows(viterbi.count_tokens(docs(spark, texts), path, in_bytes=True))}
+    assert counts == {i: whole(t or "") for i, t in texts}
+    assert [counts[i] for i in range(len(same))] == [len(model.encode(t)) for t in same]
+
+
 # --- 9: media
 
 

@@ -48,7 +48,7 @@ def op7_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return viterbi.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return viterbi.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), in_bytes=True)
 
 
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,3 +236,20 @@ def test_hierarchy_and_ambiguous_meters(spark):
     assert sorted((r["DT_CODE_NEW"], r["MTR_NO"], r["meter_seq"], r["is_meter_replaced"]) for r in h.collect()) == [("D1", "A", 1, True), ("D1", "B", 2, True), ("D2", "A", 1, False)]
     assert [(r["MTR_NO"], r["n_places"], r["DT_CODE_NEW"]) for r in master.ambiguous_meters(m).collect()] == [("A", 2, "D1")]
     assert master.dt_summary(h.withColumn("KVA_RATING", F.lit(100.0))).first()["DT_CAT"] == "REG"
+
+
+def test_boosting_takes_every_meter_and_all_rounds(spark):
+    import numpy as np
+
+    from voltweave.plans import queries
+
+    x = np.arange(200.0).reshape(-1, 1) % 20
+    y = np.where(x[:, 0] < 10, 1.0, 5.0)
+    assert curve.boost(x, y, np.array([[3.0], [15.0]])) == pytest.approx([1, 5], abs=1e-3)
+    assert abs(curve.boost(x, y, np.array([[15.0]]), 15)[0] - 5) > 0.3
+    days = [D - dt.timedelta(days=k) for k in range(1, 101)]
+    made = [(m, d, s, float(k + s)) for k, m in enumerate(("A", "B")) for d in days for s in (0, 1)] + [("C", days[0], s, 2.0) for s in (0, 1)]
+    window = spark.createDataFrame(made, "MTR_NO string, DATE date, TIME_SLOT int, KW_R double")
+    out = {(r["MTR_NO"], r["TIME_SLOT"]): r["PREDICTED"] for r in curve.boosted_curves(window, curve.slot_grid(window), "KW_R", D).collect()}
+    assert out == pytest.approx({(m, s): k + s for k, m in ((0, "A"), (1, "B")) for s in (0, 1)} | {("C", 0): 2.0, ("C", 1): 2.0}, abs=1e-3)
+    assert not hasattr(queries, "BOOSTING_ROUNDS")

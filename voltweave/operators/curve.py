@@ -179,6 +179,66 @@ def boosted_curve(window: DataFrame, grid: DataFrame, meter: str, param: str, da
     return out.select("MTR_NO", "TIME_SLOT", F.greatest("prediction", F.lit(0.0)).alias("PREDICTED"))
 
 
+def boost(x: np.ndarray, y: np.ndarray, at: np.ndarray, rounds: int = 150, depth: int = 4, step: float = 0.08, share: float = 0.85) -> np.ndarray:
+    """Predictions at the rows of `at` by gradient-boosted regression trees for squared errors, each grown on a sample of the rows."""
+    rng, fit, out = np.random.default_rng(42), np.full(len(y), y.mean()), np.full(len(at), y.mean())
+    values = [np.unique(c) for c in x.T]
+    codes = np.stack([np.searchsorted(v, c) for v, c in zip(values, x.T, strict=True)], 1)
+
+    def grow(some: np.ndarray, every: np.ndarray, there: np.ndarray, rest: np.ndarray, level: int) -> None:
+        r, best = rest[some], (1e-12, 0, 0)
+        for j, v in enumerate(values if level else ()):
+            n, total = np.bincount(codes[some, j], minlength=len(v)).cumsum()[:-1], np.bincount(codes[some, j], r, len(v)).cumsum()[:-1]
+            ok = np.flatnonzero((n > 0) & (n < len(some)))
+            if len(ok):
+                gain = total[ok] ** 2 / n[ok] + (r.sum() - total[ok]) ** 2 / (len(some) - n[ok]) - r.sum() ** 2 / len(some)
+                best = max(best, (float(gain.max()), j, int(ok[gain.argmax()])), key=lambda b: b[0])
+        gain, j, cut = best
+        if gain <= 1e-12:
+            fit[every] += step * r.mean()
+            out[there] += step * r.mean()
+            return
+        mine, theirs = codes[every, j] <= cut, at[there, j] <= (values[j][cut] + values[j][cut + 1]) / 2
+        inside = codes[some, j] <= cut
+        grow(some[inside], every[mine], there[theirs], rest, level - 1)
+        grow(some[~inside], every[~mine], there[~theirs], rest, level - 1)
+
+    for _ in range(rounds):
+        some = np.flatnonzero(rng.random(len(y)) < share)
+        if len(some):
+            grow(some, np.arange(len(y)), np.arange(len(at)), y - fit, depth)
+    return out
+
+
+def boosted_curves(window: DataFrame, grid: DataFrame, param: str, date: dt.date, rounds: int = 150) -> DataFrame:
+    """boosted_curve of every meter, each with trees of its own. A group is a meter's half year: at most some ten thousand slots."""
+    past = window.where((F.col("DATE") >= F.lit(date - dt.timedelta(days=BOOSTING_DAYS))) & (F.col("DATE") < F.lit(date)) & F.col(param).isNotNull())
+    kinds = past.groupBy("MTR_NO").agg((F.count("*") >= BOOSTING_ROWS) & (F.stddev_pop(param) >= 1e-10)).toDF("MTR_NO", "_boosted").where("_boosted").select("MTR_NO")
+    clock = grid.schema["TIME_SLOT"].dataType.simpleString() == "string"
+
+    def features(df: pd.DataFrame) -> np.ndarray:
+        day = pd.to_datetime(df["DATE"])
+        hour = df["TIME_SLOT"].str[:2].astype(int) if clock else df["TIME_SLOT"]
+        minute = df["TIME_SLOT"].str[3:5].astype(int) if clock else 0 * hour
+        columns = [hour, minute, day.dt.weekday, day.dt.month, day.dt.day, day.map(pd.Timestamp.toordinal)]
+        turns = [f(2 * math.pi * c / size) for c, size in ((hour, 24), (day.dt.weekday, 7)) for f in (np.sin, np.cos)]
+        return np.stack([np.asarray(c, float) for c in columns + turns], 1)
+
+    def run(slots: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(slots) or not len(rows):
+            return slots[["MTR_NO", "TIME_SLOT"]].iloc[:0].assign(PREDICTED=0.0)
+        rows = rows.set_axis(["MTR_NO", "DATE", "TIME_SLOT", param], axis=1)
+        rows, slots = rows.sort_values(["DATE", "TIME_SLOT", param]), slots.sort_values("TIME_SLOT")
+        found = boost(features(rows), rows[param].to_numpy(float), features(slots.assign(DATE=date)), rounds)
+        return slots[["MTR_NO", "TIME_SLOT"]].assign(PREDICTED=np.maximum(found, 0.0))
+
+    schema = f"MTR_NO string, TIME_SLOT {grid.schema['TIME_SLOT'].dataType.simpleString()}, PREDICTED double"
+    asked = past.where("TIME_SLOT is not null").join(kinds, "MTR_NO", "left_semi").select("MTR_NO", "DATE", "TIME_SLOT", param).toDF("_meter", "_date", "_slot", "_value")
+    made = grid.select("MTR_NO", "TIME_SLOT").groupBy("MTR_NO").cogroup(asked.groupBy("_meter")).applyInPandas(run, schema)
+    others = regression_curve(window.join(kinds, "MTR_NO", "left_anti"), grid.join(kinds, "MTR_NO", "left_anti"), param, date, BOOSTING_DAYS)
+    return made.unionByName(others)
+
+
 def clean_curve(filled: DataFrame, flagged: DataFrame, predicted: DataFrame | None) -> DataFrame:
     """FILLED with the prediction in the anomalous slots, where there is one; None leaves it as it is."""
     if predicted is None:

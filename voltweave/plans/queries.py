@@ -13,8 +13,6 @@ from voltweave.plans import fixtures
 
 DAY, YM = dt.date(2024, 1, 20), 202401
 YEARS = list(range(1992, 2002))
-#: Rounds of the boosted query: a tenth of the operator's default keeps the check short.
-BOOSTING_ROUNDS = 15
 
 
 class Tables:
@@ -143,7 +141,7 @@ _QUERIES = {
     "interpolate_linear": lambda t: curve.interpolate_linear(t.curve),
     "interpolate_gaps": lambda t: curve.interpolate_gaps(t.curve),
     "regression_curve": lambda t: t.regression,
-    "boosted_curve": lambda t: curve.boosted_curve(t.window, t.grid, "M3", "KW_R", DAY, BOOSTING_ROUNDS),
+    "boosted_curve": lambda t: curve.boosted_curves(w := curve.meter_window(t.dedup, t.minutes, DAY), curve.slot_grid(w), "KW_R", DAY),
     "clean_curve": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, t.regression).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "curve_slope": lambda t: curve.curve_slope(t.curve).select("MTR_NO", "TIME_SLOT", "SLOPE"),
     "curve_kpis": lambda t: curve.curve_kpis(t.curve, t.flagged, t.band),

@@ -93,3 +93,15 @@ def test_stream_equals_batch(spark, tmp_path):
         assert query.awaitTermination(120)
     batch = rules.hard_anomalies(rules.hard_flags(df.dropDuplicates(["MTR_NO", "DATE", "TIME_SLOT"])))
     assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(str, batch.collect()))
+
+
+def test_a_large_month_is_split_over_tasks(spark, tmp_path):
+    from voltweave.sources import store
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        store.write_by_month(spark.range(0, 200_000, 1, 8).selectExpr("id", "uuid() as u", "202401 as YM"), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "YM=202401").glob("*.parquet"))) > 1
+    assert store.read_months(spark, str(tmp_path / "t"), [202401]).count() == 200_000

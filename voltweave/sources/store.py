@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 
 def write_by_month(df: DataFrame, path: str, month: str = "YM") -> None:
-    """Parquet in a folder per month; only the months in df are replaced."""
-    writer = df.repartition(month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Parquet in a folder per month; only the months in df are replaced. Large months are split over tasks."""
+    writer = df.hint("rebalance", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("compression", "snappy").partitionBy(month).parquet(path)
 
 

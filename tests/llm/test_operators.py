@@ -549,6 +549,17 @@ def test_mpeg_reader_on_broken_streams():
         assert mpeg.read_stream(junk)["frames"] == 0
 
 
+def test_mpeg_payload_that_looks_like_a_tag():
+    for text in ("x" * 569 + "TAG", "y" * (576 + 569) + "TAG"):
+        _, payload = mpeg.padded(text)
+        media = mpeg.write_stream(payload)
+        assert media[-128:-125] == b"TAG"
+        found = mpeg.read_stream(media)
+        assert found["payload"] == payload and found["skipped"] == 0 and "ID3v1" not in found["tags"]
+        found = mpeg.read_stream(media + b"TAG" + bytes(125))
+        assert found["payload"] == payload and "ID3v1" in found["tags"]
+
+
 def test_mpeg_frame_headers():
     assert mpeg.frame_header(0xFFFB9000) == (417, 1152, 44100, "1", 3, 2)
     assert mpeg.frame_header(0xFFFB9200) == (418, 1152, 44100, "1", 3, 2)

@@ -98,14 +98,17 @@ def _run_of_equal_frames(data: np.ndarray, at: int, size: int, word: bytes) -> i
     return int(other[0]) if len(other) else n
 
 
-def read_stream(media: bytes) -> dict:
+def read_stream(media: bytes, tagged: bool = True) -> dict:
     """What the stream holds: frames, samples, rate, seconds, offsets (int64 array), tags, table, crc_ok, crc_bad, skipped, payload.
 
     Never raises on broken streams: bytes between frames count as skipped, a last frame that isn't whole is left out.
+    'TAG' 128 bytes before the end is no ID3v1 tag where frames without gaps fill the stream to its end.
     """
     data, at, out = np.frombuffer(media, np.uint8), 0, {"tags": [], "table": None, "table_frames": None, "crc_ok": 0, "crc_bad": 0, "skipped": 0}
     end = len(media)
-    if end >= 128 and media[-128:-125] == b"TAG":
+    if tagged and end >= 128 and media[-128:-125] == b"TAG":
+        if (whole := read_stream(media, False))["frames"] and not whole["skipped"]:
+            return whole
         out["tags"].append("ID3v1")
         end -= 128
     while media[at : at + 3] == b"ID3" and at + 10 <= end:

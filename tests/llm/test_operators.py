@@ -368,8 +368,9 @@ def near_texts(seed=7):
 
 @pytest.mark.parametrize("size", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, size):
-    for name in ("CHUNK", "WIDE", "ROWS", "TEXTS"):
+    for name in ("CHUNK", "WIDE", "ROWS", "TEXTS", "SHINGLES", "PAIRS"):
         monkeypatch.setattr(minhash, name, 5)
+    monkeypatch.setattr(minhash, "HEAVY", 700)
     texts = near_texts()
     want = brute_components(texts, size)
     out = rows(minhash.near_duplicates(docs(spark, texts), size))
@@ -377,6 +378,31 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, size):
     assert all(r["n_shingles"] == len(shingles(dict(texts)[r["doc_id"]], size)) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+def test_rows_of_a_family_of_near_copies_grow_with_it(spark, monkeypatch):
+    """Copies that hardly link: twice as many make about twice the rows in every table on the way, not four times."""
+    made, real = {}, minhash.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        made[n, name] = made.get((n, name), 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    rng = np.random.default_rng(11)
+    base = [f"w{rng.integers(5000)}" for _ in range(120)]
+    texts = []
+    for _ in range(500):
+        copy = list(base)
+        for _ in range(9):
+            copy[int(rng.integers(len(copy)))] = f"w{rng.integers(5000)}"
+        texts.append(" ".join(copy))
+    for n in (250, 500):
+        out = rows(minhash.near_duplicates(docs(spark, list(enumerate(texts[:n]))), 2))
+        assert {r["doc_id"]: r["component_id"] for r in out} == brute_components(list(enumerate(texts[:n])), 2)
+    grown = {name: (made[250, name], k) for (n, name), k in made.items() if n == 500 and name not in ("edges", "large", "small", "components")}
+    assert {name: x for name, x in grown.items() if x[1] > max(2.4 * x[0] + 50, 3 * 500)} == {}
+
+
 def test_near_duplicates_odd_rows(spark):
     out = {r["doc_id"]: r for r in rows(minhash.near_duplicates(docs(spark, ODD), 5))}
     assert out[6]["component_id"] == out[7]["component_id"] == 6 and out[6]["kept"] and not out[7]["kept"]
@@ -614,3 +640,54 @@ def test_forward_backward_equals_enumeration():
             for i, y in enumerate(path):
                 total[i, y] += w
         assert np.allclose(got[:n, chain], total / total.sum(1, keepdims=True))
+
+
+def enumerated(scores, start, trans):
+    """The logarithm of the sum over all labellings of one chain, and each word's marginals."""
+    import itertools
+
+    n, k = scores.shape
+    total, by_word = 0.0, np.zeros((n, k))
+    for path in itertools.product(range(k), repeat=n):
+        w = math.exp(start[path[0]] + sum(scores[i, y] for i, y in enumerate(path)) + sum(trans[a, b] for a, b in zip(path, path[1:], strict=False)))
+        total += w
+        by_word[range(n), path] += w
+    return math.log(total), by_word / total
+
+
+def test_crf_gradients_equal_finite_differences(monkeypatch):
+    monkeypatch.setattr(crf, "BUCKETS", 32)
+    chains = [[(["der", "keit"], 1), (["the", "of", "and"], 0)], [(["les"], 2)], [(["of", "der", "les", "the"], 0)]]
+    data, rng = crf.Chains(chains, {"the": "en"}, 3), np.random.default_rng(4)
+    params = [rng.normal(size=shape) for shape in ((32, 3), 3, (3, 3))]
+    value, grads = data.objective(*params)
+    scores = crf._sums(params[0], data.found, data.whose, data.words)[data.word]
+    want = 0.0
+    for j, n in enumerate(data.length):
+        gold = data.gold[:n, j]
+        want += params[1][gold[0]] + scores[range(n), j, gold].sum() + params[2][gold[:-1], gold[1:]].sum() - enumerated(scores[:n, j], params[1], params[2])[0]
+    assert np.isclose(value, want)
+    for x, g in zip(params, grads, strict=True):
+        for at in np.ndindex(x.shape):
+            was = x[at]
+            x[at] = was + 1e-5
+            up = data.objective(*params)[0]
+            x[at] = was - 1e-5
+            down = data.objective(*params)[0]
+            x[at] = was
+            assert np.isclose(g[at], (up - down) / 2e-5, atol=1e-6)
+
+
+def test_crf_labels_equal_enumeration():
+    """Predictions of a trained model, word by word, against the sum over all labellings."""
+    runs = [([["der", "und", "keit"]], "de"), ([["the", "of", "and"]], "en"), ([["les", "que", "eau"]], "fr")]
+    model = crf.train(runs * 3)
+    scorer = crf.Scorer(model)
+    for text in ("the of der und keit les", "que", "and the keit keit of eau que", "12 of !! der"):
+        at = scorer.rows(crf.tokens(text))
+        _, p = enumerated(scorer.scores[at[at >= 0]].astype(float), model["start"], model["trans"])
+        found = crf.label_texts(crf.Scorer(model), [text])[0]
+        best = [model["languages"][y] for y in p.argmax(1)]
+        labelled = [lang for lang, a, b in (r.split(":") for r in found.runs.split(",")) for _ in range(int(a), int(b))]
+        assert labelled == best and found.words == len(best)
+        assert found.lang == model["languages"][p.mean(0).argmax()] and np.isclose(found.share, p.mean(0).max(), atol=1e-4)

@@ -33,7 +33,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voltweave-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes staged tables that nothing will read again, not even lazily."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows that Python workers get at once; whole texts of 10,000 rows, Spark's default, and what is made of them take too much of an executor's memory.
+BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's rows per Arrow batch to BATCH, unless it already has another number than Spark's default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH))
 
 
 def words(text: Column) -> Column:

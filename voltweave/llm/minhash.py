@@ -5,15 +5,20 @@
 2. The MinHash values make two collections of COLLECTION short keys each. A table key pairs one key of either collection, so
    COLLECTION ** 2 tables cost 2 * COLLECTION * HASHES hash functions. Documents at similarity s share a key with
    probability (1 - (1 - s^HASHES)^COLLECTION)^2, that is 0.9999 at s = 0.8.
-3. Members of a bucket are compared with its smallest id only, confirmed on full sets, and connected; in buckets that still
-   hold several components, once more with a member drawn for each bucket. Then the buckets that even so hold several give
-   all pairs across components, however many. So a group of n near copies costs about n comparisons, and no link between
-   different components is passed over.
+3. Members of a bucket are compared with its smallest id only, confirmed on full sets, and connected. A document's home is the
+   smallest id that it was found at least half similar to, so the members of a family of near copies, linked or not, share one.
+4. Homes that hold several components: every pair of documents of different components, chunk against chunk of a home. A pair
+   is met once, whatever the number of buckets it shares, and what a chunk has linked by then is passed over.
+5. Buckets that still hold several components of several homes: the pairs across homes, each from the first bucket it shares. They
+   travel as one document with a list of those of one block; a block is a chunk of the documents that were first compared with one.
+
+So a family of n near copies costs n comparisons and n rows while it fits one chunk (WIDE documents, HEAVY shingles), and beyond that
+rows by documents and chunks; what is compared pair by pair inside a chunk are only documents that no link has joined. No link between
+different components is passed over.
 
 Comparisons drop pairs whose sizes, or whose similarities to a third document, rule a link out (exact), and pairs whose MinHash
 values agree in fewer places than SURE (at the least similarity, 0.8, five pairs in a million). Nothing else is dropped, and no
-bucket is capped. Pairs across components travel as one document with a list of those of one block of the other component, so
-a group of near copies with stragglers makes rows by stragglers and blocks, not by pairs.
+bucket is capped.
 """
 
 from __future__ import annotations
@@ -26,17 +31,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import lower_bytes, mix, words
-from .common import staged
+from .common import discard, small_batches, staged
 from .components import connected_components
 
 HASHES, COLLECTION = 2, 10
 SIGNATURE = 2 * COLLECTION * HASHES
 #: Of 40 values that agree with probability 0.8 each, under 20 agree in 5 cases of 10^6.
 SURE = 20
-#: Members of a bucket, or of a component, that are taken at once; partners of a document likewise; rows, and texts, that one call of Python gets on average.
-WIDE, CHUNK, ROWS, TEXTS = 2048, 256, 20_000, 1_000
+#: Members of a bucket, or of a home, that are taken at once; shingles of a home likewise; partners of a document likewise.
+WIDE, HEAVY, CHUNK = 1024, 1_000_000, 256
+#: Rows, texts, shingles and pairs that one call of Python gets on average.
+ROWS, TEXTS, SHINGLES, PAIRS = 20_000, 1_000, 500_000, 50_000
 #: What is known of a bucket's member.
-FIELDS = ("bucket", "id", "component", "csize", "block", "to_centre", "n_shingles", "sig")
+FIELDS = ("bucket", "id", "component", "csize", "home", "block", "to_centre", "n_shingles", "sig")
 
 _DRAW = np.random.default_rng(20240301)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -93,7 +100,7 @@ def _agree(a, b):
 
 
 def _across(percent: int):
-    """Pairs of a bucket's chunk against another chunk, of different components, that may be similar.
+    """Pairs of a bucket's chunk against another chunk, of different components and homes, that may be similar.
 
     Left out: what sizes or MinHash values rule out; what the triangle inequality rules out, for 1 - similarity is a metric and
     the similarity to the bucket's centre is known; and what another bucket, the first that both are in, gives.
@@ -106,7 +113,7 @@ def _across(percent: int):
         for i in range(len(left["id"])):
             n = left["n"][i]
             far = np.abs(right["to_centre"] - left["to_centre"][i]) > far_apart  # not where either is unknown: nan
-            ok = np.flatnonzero((right["component"] != left["component"][i]) & (100 * np.minimum(right["n"], n) >= percent * np.maximum(right["n"], n)) & ~far)
+            ok = np.flatnonzero((right["home"] != left["home"][i]) & (right["component"] != left["component"][i]) & (100 * np.minimum(right["n"], n) >= percent * np.maximum(right["n"], n)) & ~far)
             if not len(ok):
                 continue
             same = right["sig"][ok] == left["sig"][i]
@@ -126,7 +133,7 @@ def _across(percent: int):
         """Columns in the order of (bucket, i, j), and where each of those begins and ends."""
         df = df.set_axis(["slot", "i", "j", *FIELDS], axis=1).sort_values(["bucket", "i", "j"])
         out = {"n": df["n_shingles"].to_numpy(), "to_centre": df["to_centre"].to_numpy(float), "sig": np.stack(df["sig"].to_list())}
-        out |= {c: df[c].to_numpy() for c in ("bucket", "id", "component", "csize", "block")}
+        out |= {c: df[c].to_numpy() for c in ("bucket", "id", "component", "csize", "home", "block")}
         keys = df[["bucket", "i", "j"]].to_numpy()
         first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1))))
         return out, {tuple(keys[a]): slice(a, b) for a, b in zip(first, [*first[1:], len(keys)], strict=True)}
@@ -145,26 +152,82 @@ def _across(percent: int):
     return run
 
 
+def _overlaps(s: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the intersections of a sorted set with others that aren't empty, and the others' sizes."""
+    length = np.array([len(x) for x in others])
+    at = np.minimum(np.searchsorted(s, flat := np.concatenate(others)), len(s) - 1)
+    return np.add.reduceat((s[at] == flat).astype(np.int64), np.cumsum(length) - length), length
+
+
 def _confirm_lists(size: int, percent: int):
     """Documents with lists of others against the blocks that hold those, to the links that hold on full sets."""
 
     def run(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         sets, links = {}, []
-        for block, i, text in zip(held["h_block"], held["id"], held["text"], strict=True):
-            sets.setdefault((block, i), []).append(shingle_set(text, size))
-        for a, block, others, text in zip(asking["a"], asking["block"], asking["others"], asking["text"], strict=True):
+        for block, turn, i, text in held[["h_block", "h_turn", "id", "text"]].itertuples(index=False):
+            sets[block, turn, i] = shingle_set(text, size)
+        for a, block, turn, others, text in asking[["a", "block", "turn", "others", "text"]].itertuples(index=False):
             s = shingle_set(text, size)
-            found = [(b, x) for b in others for x in sets.get((block, b), ()) if len(x)]
+            found = [(b, x) for b in others if (x := sets.get((block, turn, b))) is not None and len(x)]
             if len(s) and found:
-                length = np.array([len(x) for _, x in found])
-                at = np.minimum(np.searchsorted(s, flat := np.concatenate([x for _, x in found])), len(s) - 1)
-                both = np.add.reduceat((s[at] == flat).astype(np.int64), np.cumsum(length) - length)
+                both, length = _overlaps(s, [x for _, x in found])
                 links += [(int(a), int(found[j][0])) for j in np.flatnonzero(100 * both >= percent * (len(s) + length - both))]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+class _Joined:
+    """Which components links have joined by now."""
+
+    def __init__(self, component: np.ndarray):
+        self.of = np.unique(component, return_inverse=True)[1]
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.of[i], self.of[j]
+        if a != b:
+            self.of[self.of == max(a, b)] = min(a, b)
+        return bool(a != b)
+
+
+def _within(size: int, percent: int):
+    """Chunk pairs of homes to the links that join components; the documents of the smaller chunk side ask, one after the other."""
+
+    def pairs(df: pd.DataFrame) -> list[tuple[int, int]]:
+        ids, side, n, sig = df["id"].to_numpy(), df["part"].to_numpy(), df["n_shingles"].to_numpy(), np.stack(df["sig"].to_list())
+        texts, sets, links, joined = df["text"].tolist(), {}, [], _Joined(df["component"].to_numpy())
+        alone = side.min() == side.max()
+
+        def held(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_set(texts[i], size)
+            return sets[i]
+
+        # Documents of small components first: they have the most to ask, and links that they find save others' asking.
+        many = np.bincount(joined.of)[joined.of]
+        for i in np.lexsort((ids, many)).tolist():
+            later = (many > many[i]) | ((many == many[i]) & (ids > ids[i]))
+            ok = later & (joined.of != joined.of[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+            if not alone:
+                ok &= side != side[i]
+            ok = np.flatnonzero(ok)
+            ok = ok[(sig[ok] == sig[i]).sum(1) >= SURE]
+            while len(ok):
+                now, ok = ok[:CHUNK], ok[CHUNK:]
+                both, length = _overlaps(held(i), [held(j) for j in now.tolist()])
+                for j in now[100 * both >= percent * (len(held(i)) + length - both)].tolist():
+                    if joined.join(i, j):
+                        links.append((int(ids[i]), int(ids[j])))
+                ok = ok[joined.of[ok] != joined.of[i]]
+        return links
+
+    def run(df: pd.DataFrame) -> pd.DataFrame:
+        links = [x for _, one in df.groupby(["home", "i", "j"], sort=True) for x in pairs(one)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _confirm(size: int):
     """Documents of many (centre, part), the centre's own and those paired with it, to each pair's similarity on full sets."""
 
@@ -210,6 +273,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     of their texts; a row with a null doc_id isn't kept, and no component is named after it. Copies count as linked. Other columns
     aren't read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = staged(texts.mapInPandas(_describe(shingle_words), "doc_id long, n_shingles long, low long, high long, sig array<int>"), "shingles")
     classes = rows.where("n_shingles > 0").groupBy("low", "high").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
@@ -232,39 +296,55 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     links = _links(near, percent)
     labels = connected_components(links)
 
-    # Buckets that hold several components: once more against one member each, now another one in every bucket.
-    named = members.join(labels, "id", "left").select("bucket", "a", "id", F.coalesce("component", "id").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket")).alias("c")).where("lo < hi and n > 2")
-    mixed = staged(mixed.select("bucket", F.col("c.id").alias("c"), F.col("c.component").alias("cc")), "mixed")
-    named = staged(named.join(mixed, "bucket"), "named")
-    tried = named.where("component <> cc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-    tried = staged(possible(tried.join(checked, ["a", "b"], "left_anti")), "tried")
-    links = links.union(_links(staged(compared(tried, candidates, shingle_words), "near"), percent))
+    # Homes that hold several components: all pairs across these, chunk against chunk.
+    met = near.groupBy(F.col("b").alias("id")).agg(F.min(F.when(2 * F.col("both") >= F.col("either"), F.col("a"))).alias("home"), F.min("a").alias("first"))
+    centre = members.groupBy("id").agg(F.min("a").alias("centre"))
+    homes = centre.join(met, "id", "left").select("id", F.coalesce("home", "id").alias("home"), F.coalesce("first", "centre").alias("first"))
+    homes = homes.join(labels, "id", "left").select("id", "home", "first", F.coalesce("component", "id").alias("component")).join(reps, "id")
+    counts = homes.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    parts = F.greatest(F.ceil(F.col("n") / WIDE), F.ceil(F.col("m") / HEAVY)).cast("int").alias("parts")
+    counts = counts.where("n > 1").select("home", parts, (F.col("lo") < F.col("hi")).alias("mixed"))
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    homes = staged(homes.join(counts, "home", "left").select("id", "home", "first", "component", "n_shingles", "sig", part, F.coalesce("parts", F.lit(1)).alias("parts"), F.coalesce("mixed", F.lit(False)).alias("mixed")), "homes")
+    mixed = homes.where("mixed")
+    slots = max(1, -(-int(mixed.agg(F.sum(F.col("n_shingles") * F.col("parts"))).first()[0] or 0) // SHINGLES))
+    units = mixed.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    slot = F.pmod(F.xxhash64("home", "i", "j"), F.lit(slots)).cast("int").alias("slot")
+    units = units.join(candidates.hint("merge"), "id").select(slot, "home", "i", "j", "part", "id", "component", "n_shingles", "sig", "text")
+    found = staged(units.groupBy("slot").applyInPandas(_within(shingle_words, percent), "a long, b long"), "within")
+    links = links.union(found)
     labels = connected_components(links)
 
-    # All pairs across the components that are left in a bucket, chunk against chunk.
-    named = named.drop("component").join(labels, "id", "left").select("bucket", "a", "id", F.coalesce("component", "id").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    mixed = staged(mixed.select("bucket", F.ceil(F.col("n") / WIDE).cast("int").alias("parts")), "mixed")
+    # Buckets that hold several components of several homes: the pairs across homes, chunk against chunk.
+    # A document's first centre is the smallest it was compared with, or else of its buckets. That one's own first centre names its blocks:
+    # even where few members of a family are half similar, it has few blocks.
+    region = homes.join(homes.select(F.col("id").alias("first"), F.col("first").alias("region")), "first").select("id", "home", "region", "n_shingles")
+    room = region.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / WIDE), F.ceil(F.sum("n_shingles") / HEAVY)).alias("rooms"))
+    place = region.join(room, "region").select("id", "home", F.xxhash64("region", F.pmod(F.xxhash64("id", F.lit(2)), F.col("rooms"))).alias("block"))
+    named = members.join(place, "id").join(labels, "id", "left").select("bucket", "a", "id", "home", "block", F.coalesce("component", "id").alias("component"))
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("from"), F.max("home").alias("to"), F.count("*").alias("n"))
+    mixed = staged(mixed.where("lo < hi and from < to").select("bucket", F.ceil(F.col("n") / WIDE).cast("int").alias("parts")), "mixed")
     known = near.groupBy("a", F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("either")).alias("to_centre"))
     sizes = labels.groupBy("component").agg(F.count("*").alias("csize"))
     rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").join(sizes, "component", "left")
-    csize = F.coalesce("csize", F.lit(1))
-    block = F.xxhash64("component", F.pmod(F.xxhash64("id"), F.ceil(csize / WIDE))).alias("block")
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("part")
     to_centre = F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("to_centre")).alias("to_centre")
-    rest = staged(rest.select("bucket", "parts", part, "id", "component", csize.alias("csize"), block, to_centre, "n_shingles", "sig"), "rest")
+    rest = staged(rest.select("bucket", "parts", part, "id", "component", F.coalesce("csize", F.lit(1)).alias("csize"), "home", "block", to_centre, "n_shingles", "sig"), "rest")
     slots = max(1, -(-rest.count() // ROWS))
     slot = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(slots)).cast("int").alias("slot")
     left = rest.withColumn("i", F.col("part")).withColumn("j", F.explode(F.expr("sequence(part, parts - 1)"))).select(slot, "i", "j", *FIELDS)
     right = rest.withColumn("j", F.col("part")).withColumn("i", F.explode(F.expr("sequence(0, part)"))).select(slot, "i", "j", *FIELDS)
     left, right = left.toDF(*[f"l_{c}" for c in left.columns]), right.toDF(*[f"r_{c}" for c in right.columns])
-    asking = staged(left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, block long, others array<long>"), "asking")
-    slots = max(1, -(-asking.count() // TEXTS))
-    slot = F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")
-    held = rest.select("block", "id").distinct().join(asking.select("block").distinct().hint("merge"), "block", "left_semi")
-    held = held.join(candidates.hint("merge"), "id").select(slot, "block", "id", "text").toDF("h_slot", "h_block", "id", "text")
-    asking = asking.join(candidates.toDF("a", "text").hint("merge"), "a").select(slot.alias("slot"), "a", "block", "others", "text")
+    asking = left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, block long, others array<long>")
+    asking = staged(asking.groupBy("a", "block").agg(F.flatten(F.collect_list("others")).alias("others")), "asking")
+    # The askers of a block in turns of about PAIRS pairs; each turn gets the block's documents that its askers name.
+    turns = asking.groupBy("block").agg(F.ceil(F.sum(F.size("others")) / PAIRS).cast("int").alias("turns"))
+    asking = asking.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("a"), F.col("turns")).cast("int"))
+    held = asking.groupBy("block", "turn").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("ids")).select("block", "turn", F.explode("ids").alias("id"))
+    slots = max(1, -(-turns.agg(F.sum("turns")).first()[0] // 4)) if asking.head(1) else 1
+    slot = F.pmod(F.xxhash64("block", "turn"), F.lit(slots)).cast("int")
+    held = held.join(candidates.hint("merge"), "id").select(slot, "block", "turn", "id", "text").toDF("h_slot", "h_block", "h_turn", "id", "text")
+    asking = asking.join(candidates.toDF("a", "text").hint("merge"), "a").select(slot.alias("slot"), "a", "block", "turn", "others", "text")
     links = links.union(asking.groupBy("slot").cogroup(held.groupBy("h_slot")).applyInPandas(_confirm_lists(shingle_words, percent), "a long, b long"))
 
     # A doc_id with several texts ties their classes together.

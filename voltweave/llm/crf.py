@@ -5,9 +5,10 @@ whether a lexicon lists it) give its scores, learned transitions tie neighbours,
 marginal probabilities, so texts that switch languages get a label for each word. A document's language is the one
 with the largest share of marginal probability.
 
-Training takes a bounded sample: of each language the PER_LANGUAGE labelled training documents with the smallest hash of id
-and text, and of each of these SEGMENTS runs of RUN words. Runs of different documents are strung together, so that transitions
-between languages occur. The model is a table of BUCKETS hashed features by languages, whatever the corpus.
+Training takes a bounded sample: of each of the LANGUAGES most frequent languages the PER_LANGUAGE labelled training documents with
+the smallest hash of id and text, and of each of these SEGMENTS runs of RUN words, which the executors cut. Runs of different documents
+are strung together, so that transitions between languages occur. The model is a table of BUCKETS hashed features by languages,
+whatever the corpus.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -23,9 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import mix
-from .common import crc_fold
+from .common import crc_fold, small_batches
 
-PER_LANGUAGE, SEGMENTS, RUN = 300, 3, 18
+#: Bounds of the training sample; words of over LETTERS characters aren't learned from.
+LANGUAGES, PER_LANGUAGE, SEGMENTS, RUN, LETTERS = 100, 300, 3, 18, 64
 BUCKETS = 1 << 16
 LEXICON = 2000
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-5
@@ -114,16 +117,28 @@ class Scorer:
         return np.fromiter((at[w] for w in words), np.int64, len(words))
 
 
-def forward_backward(scores: np.ndarray, length: np.ndarray, start: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Marginals (time, chain, label) of chains padded at their ends to the same time; scores likewise, start and trans in logarithms."""
-    e = np.exp(scores - scores.max(2, keepdims=True))
+class Posteriors(NamedTuple):
+    """Of chains of words: marginals (time, chain, label), what passes forward and backward, and the logarithm of each chain's sum over all labellings."""
+
+    marginals: np.ndarray
+    forward: np.ndarray
+    backward: np.ndarray
+    emitted: np.ndarray
+    log_sum: np.ndarray
+
+
+def posteriors(scores: np.ndarray, length: np.ndarray, start: np.ndarray, trans: np.ndarray) -> Posteriors:
+    """Forward-backward over chains that are padded at their ends to the same time; scores (time, chain, label), start and trans are logarithms."""
+    top = scores.max(2, keepdims=True)
+    e = np.exp(scores - top)
     t, a = len(e), np.exp(trans - trans.max())
-    alpha, beta = np.empty_like(e), np.empty_like(e)
+    alpha, beta, sums = np.empty_like(e), np.empty_like(e), np.empty(e.shape[:2], e.dtype)
     now = np.exp(start - start.max()) * e[0]
     for i in range(t):
         if i:
             now = now @ a * e[i]
-        now = now / now.sum(1, keepdims=True)
+        sums[i] = now.sum(1)
+        now = now / sums[i][:, None]
         alpha[i] = now
     now = np.ones_like(e[0])
     for i in range(t - 1, -1, -1):
@@ -133,21 +148,63 @@ def forward_backward(scores: np.ndarray, length: np.ndarray, start: np.ndarray,
             now /= now.sum(1, keepdims=True)
             now[length <= i] = 1.0  # beyond a chain's end nothing is known
     out = alpha * beta
-    return out / out.sum(2, keepdims=True)
+    inside = np.arange(t)[:, None] < length
+    log_sum = ((np.log(sums) + top[:, :, 0]) * inside).sum(0) + start.max() + (length - 1) * trans.max()
+    return Posteriors(out / out.sum(2, keepdims=True), alpha, beta, e, log_sum)
 
 
-def train(sample: list[tuple[str, str]], seed: int = 7) -> dict | None:
-    """The model from (text, language) pairs; None if there is no language to learn."""
+def forward_backward(scores: np.ndarray, length: np.ndarray, start: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Marginals (time, chain, label) alone."""
+    return posteriors(scores, length, start, trans).marginals
+
+
+class Chains:
+    """Labelled chains of words, as the training reads them."""
+
+    def __init__(self, chains: list[list[tuple[list[str], int]]], lexicon: dict[str, str], labels: int):
+        vocabulary: dict[str, int] = {}
+        t, n = max(sum(len(w) for w, _ in c) for c in chains), len(chains)
+        self.word, self.gold, self.length = np.zeros((t, n), np.int64), np.zeros((t, n), np.int64), np.zeros(n, np.int64)
+        for j, c in enumerate(chains):
+            for words, lang in c:
+                for w in words:
+                    self.word[self.length[j], j], self.gold[self.length[j], j] = vocabulary.setdefault(w, len(vocabulary)), lang
+                    self.length[j] += 1
+        self.words, self.labels = len(vocabulary), labels
+        self.found, self.whose = features(list(vocabulary), lexicon)
+        self.scale = 1 / np.sqrt(np.bincount(self.whose))
+        self.inside = np.arange(t)[:, None] < self.length
+
+    def objective(self, weights: np.ndarray, start: np.ndarray, trans: np.ndarray) -> tuple[float, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The labellings' log likelihood, and its gradients by weights, start and trans: what occurs less what is expected."""
+        one, chain = np.eye(self.labels), np.arange(len(self.length))
+        scores = _sums(weights, self.found, self.whose, self.words)[self.word]
+        p = posteriors(scores, self.length, start, trans)
+        taken = (np.take_along_axis(scores, self.gold[:, :, None], 2)[:, :, 0] * self.inside).sum() + start[self.gold[0]].sum()
+        taken += (trans[self.gold[:-1], self.gold[1:]] * self.inside[1:]).sum()
+        error = (one[self.gold] - p.marginals) * self.inside[:, :, None]
+        by_word = np.stack([np.bincount(self.word.ravel(), error[:, :, y].ravel(), self.words) for y in range(self.labels)], 1) * self.scale[:, None]
+        by_weight = np.stack([np.bincount(self.found, by_word[self.whose, y], len(weights)) for y in range(self.labels)], 1)
+        # A pair's marginal: what comes forward to the first, the step, and the second with what comes back to it.
+        pair = p.forward[:-1, :, :, None] * np.exp(trans - trans.max()) * (p.emitted[1:] * p.backward[1:])[:, :, None, :]
+        pair /= pair.sum((2, 3), keepdims=True)
+        occurs = one[self.gold[:-1]][:, :, :, None] * one[self.gold[1:]][:, :, None, :]
+        by_step = ((occurs - pair) * self.inside[1:, :, None, None]).sum((0, 1))
+        return float(taken - p.log_sum[chain].sum()), (by_weight, (one[self.gold[0]] - p.marginals[0]).sum(0), by_step)
+
+
+def cut_runs(text: str, seed: int) -> list[list[str]]:
+    """SEGMENTS runs of RUN words of the text, drawn by the seed; all its words as one run where it has fewer."""
+    words = [w for w in tokens(text) if len(w) <= LETTERS and has_letter(w)]
+    pieces = [words[i : i + RUN] for i in range(0, len(words), RUN)]
+    drawn = [pieces[i] for i in np.random.default_rng(seed).permutation(len(pieces))[:SEGMENTS]]
+    return [p for p in drawn if len(p) == RUN or len(pieces) == 1]
+
+
+def train(sample: list[tuple[list[list[str]], str]], seed: int = 7) -> dict | None:
+    """The model from (runs of words, language) pairs; None if there is nothing to learn from."""
     languages = sorted({lang for _, lang in sample})
-    if not languages:
-        return None
-    rng, runs = np.random.default_rng(seed), []
-    for text, lang in sample:
-        words = [w for w in tokens(text) if has_letter(w)]
-        pieces = [words[i : i + RUN] for i in range(0, len(words), RUN)]
-        for i in rng.permutation(len(pieces))[:SEGMENTS]:
-            if len(pieces[i]) == RUN or len(pieces) == 1:
-                runs.append((pieces[i], languages.index(lang)))
+    runs = [(words, languages.index(lang)) for cut, lang in sample for words in cut]
     if not runs:
         return None
     by_word: dict[str, Counter] = {}
@@ -156,61 +213,42 @@ def train(sample: list[tuple[str, str]], seed: int = 7) -> dict | None:
             by_word.setdefault(core(w), Counter())[lang] += 1
     sure = [(sum(c.values()), w, c.most_common(1)[0][0]) for w, c in by_word.items() if sum(c.values()) >= 5 and c.most_common(1)[0][1] >= 0.95 * sum(c.values())]
     lexicon = {w: languages[lang] for _, w, lang in sorted(sure, key=lambda x: (-x[0], x[1]))[:LEXICON]}
-
-    chains, chain = [], []
-    for i in rng.permutation(len(runs)):
-        chain.append(runs[i])
-        if len(chain) == 3:
-            chains.append(chain)
-            chain = []
-    chains += [chain] if chain else []
-    vocabulary: dict[str, int] = {}
-    t, n, k = max(sum(len(w) for w, _ in c) for c in chains), len(chains), len(languages)
-    word, gold, length = np.zeros((t, n), np.int64), np.zeros((t, n), np.int64), np.zeros(n, np.int64)
-    for j, c in enumerate(chains):
-        for words, lang in c:
-            for w in words:
-                word[length[j], j], gold[length[j], j] = vocabulary.setdefault(w, len(vocabulary)), lang
-                length[j] += 1
-    found, whose = features(list(vocabulary), lexicon)
-    scale = 1 / np.sqrt(np.bincount(whose))
-    inside = np.arange(t)[:, None] < length
-    steps = inside[1:]
+    order = np.random.default_rng(seed).permutation(len(runs))
+    k, data = len(languages), Chains([[runs[i] for i in order[at : at + 3]] for at in range(0, len(order), 3)], lexicon, len(languages))
     weights, start, trans = np.zeros((BUCKETS, k)), np.zeros(k), np.zeros((k, k))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, start, trans)]
-    one = np.eye(k)
     for step in range(1, ROUNDS + 1):
-        scores = _sums(weights, found, whose, len(vocabulary))[word].astype(np.float32)
-        p = forward_backward(scores, length, start, trans)
-        error = (one[gold] - p) * inside[:, :, None]
-        by_type = np.stack([np.bincount(word.ravel(), error[:, :, y].ravel(), len(vocabulary)) for y in range(k)], 1) * scale[:, None]
-        grad = np.stack([np.bincount(found, by_type[whose, y], BUCKETS) for y in range(k)], 1)
-        # Expected transitions from neighbouring marginals and the pair potentials.
-        pair = p[:-1, :, :, None] * np.exp(trans)[None, None] * p[1:, :, None, :]
-        pair /= np.maximum(pair.sum((2, 3), keepdims=True), 1e-30)
-        seen = one[gold[:-1]][:, :, :, None] * one[gold[1:]][:, :, None, :]
-        grads = (grad, (one[gold[0]] - p[0]).sum(0), ((seen - pair) * steps[:, :, None, None]).sum((0, 1)))
+        _, grads = data.objective(weights, start, trans)
         for x, g, (m, v) in zip((weights, start, trans), grads, moments, strict=True):
-            g = g / inside.sum() - DECAY * x
+            g = g / data.inside.sum() - DECAY * x
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return {"languages": languages, "weights": weights.astype(np.float32), "start": start, "trans": trans, "lexicon": lexicon}
 
 
-def label_texts(scorer: Scorer, texts: list[str | None]) -> list[tuple[str, float, int, int]]:
-    """Of each text: language, its share of marginal probability, words labelled, and changes of language from word to word."""
+class Labelled(NamedTuple):
+    """Of a text: its language and that one's share of marginal probability, words labelled, and the runs of words of one language, as language:start:end."""
+
+    lang: str = UNKNOWN
+    share: float = 0.0
+    words: int = 0
+    runs: str = ""
+
+
+def label_texts(scorer: Scorer, texts: list[str | None]) -> list[Labelled]:
     model = scorer.model
-    out: list[tuple[str, float, int, int]] = [(UNKNOWN, 0.0, 0, 0)] * len(texts)
-    chains = []
+    out = [Labelled()] * len(texts)
+    chains, cells = [], 0
     for i, text in enumerate(texts):
         rows = scorer.rows(tokens(text))
         rows = rows[rows >= 0]
         if len(rows):
             chains.append((len(rows), i, scorer.scores[rows]))
-        if len(chains) >= 4 * TOGETHER:
+            cells += len(rows)
+        if cells >= 4 * CELLS:
             _label(chains, model, out)
-            chains = []
+            chains, cells = [], 0
     _label(chains, model, out)
     return out
 
@@ -227,58 +265,76 @@ def _label(chains: list, model: dict, out: list) -> None:
         p = forward_backward(scores, length, model["start"].astype(np.float32), model["trans"].astype(np.float32))
         inside = np.arange(len(p))[:, None] < length
         share = (p * inside[:, :, None]).sum(0) / length[:, None]
-        best = p.argmax(2)
-        changes = ((best[1:] != best[:-1]) & inside[1:]).sum(0)
+        best, top = p.argmax(2), share.argmax(1)
+        changes = (best[1:] != best[:-1]) & inside[1:]
         for j, c in enumerate(part):
-            y = int(share[j].argmax())
-            out[c[1]] = (model["languages"][y], min(1.0, float(share[j, y])), int(c[0]), int(changes[j]))
+            edges = [0, *(np.flatnonzero(changes[:, j]) + 1).tolist(), c[0]]
+            runs = ",".join(f"{model['languages'][best[a, j]]}:{a}:{b}" for a, b in zip(edges, edges[1:], strict=False))
+            out[c[1]] = Labelled(model["languages"][top[j]], min(1.0, float(share[j, top[j]])), c[0], runs)
 
 
-def fit(docs: DataFrame, folds: int = 5, held_fold: int = 0) -> dict | None:
-    """Trains on labelled rows outside the held-out fold; what the driver gets is bounded by PER_LANGUAGE documents a language."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_fold))
+def _sample(docs: DataFrame, folds: int, held_fold: int) -> DataFrame:
+    """lang, turn, runs: the training sample, cut on the executors."""
+    labelled = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_fold))
     # A hash below 2 * PER_LANGUAGE / (the language's rows) keeps about twice as many as are wanted, so the ranking sees few rows whatever the corpus.
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return None
-    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 2 * PER_LANGUAGE / n) * 2**31))])
-    few = labelled.select("doc_id", "lang", "text").withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31))).where(F.col("h") <= limits[F.col("lang")])
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, 2 * PER_LANGUAGE / r["count"]) * 2**31))]) if counts else F.create_map().cast("map<string,int>")
+    few = labelled.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31))).where(F.col("h") <= limits[F.col("lang")])
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     some = few.withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= PER_LANGUAGE)
-    rows = some.select("lang", "turn", "doc_id", "text").collect()
-    return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["turn"]))])
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"lang": b["lang"], "turn": b["turn"], "runs": [cut_runs(t, int(h)) for t, h in zip(b["text"], b["h"], strict=True)]})
+
+    return some.mapInPandas(cut, "lang string, turn int, runs array<array<string>>")
+
+
+def fit(docs: DataFrame, folds: int = 5, held_fold: int = 0) -> dict | None:
+    """Trains on labelled rows outside the held-out fold; what the driver gets is bounded by LANGUAGES, PER_LANGUAGE, SEGMENTS, RUN and LETTERS."""
+    rows = _sample(docs, folds, held_fold).collect()
+    return train([(r["runs"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["turn"]))])
 
 
 def identify(docs: DataFrame, folds: int = 5, held_fold: int = 0) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, n_words, n_switches for every row of docs (doc_id, text, lang).
+    """doc_id, held_out, lang_pred, score, n_words, n_switches, runs for every row of docs (doc_id, text, lang).
 
     The model learns from text and lang of rows whose crc32(doc_id as text) modulo folds isn't held_fold; predictions read the text
-    only. Null text, or text without a letter, is 'und' with score 0, and so is everything where nothing is labelled. Equal
-    shares go to the first language by code point. Other columns aren't read. An empty table gives an empty result.
+    only. runs lists the stretches of words (counted from 0 over words with a letter, end exclusive) labelled with one language, n_switches the
+    changes between them. Null text, or text without a letter, is 'und' with score 0 and no runs, and so is everything where nothing is labelled. Equal
+    shares go to the first language by code point. Repeated rows are labelled alike, a null doc_id stays null. Other columns aren't
+    read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, folds, held_fold)
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model) if model else None
         for b in batches:
-            found = label_texts(scorer, b["text"].tolist()) if scorer else [(UNKNOWN, 0.0, 0, 0)] * len(b)
-            made = pd.DataFrame(found, columns=["lang_pred", "score", "n_words", "n_switches"])
+            found = label_texts(scorer, b["text"].tolist()) if scorer else [Labelled()] * len(b)
+            made = pd.DataFrame(found, columns=["lang_pred", "score", "n_words", "runs"])
+            made.insert(3, "n_switches", [x.runs.count(",") for x in found])
             yield pd.concat([b[["doc_id", "held_out"]].reset_index(drop=True), made], axis=1)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_fold(F.col("doc_id"), folds) == held_fold).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long")
+    return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long, runs string")
 
 
 def keep_identified(docs: DataFrame, least: float = 1 / 3, folds: int = 5, held_fold: int = 0) -> DataFrame:
-    """The rows of docs whose language is known: not 'und', and with a share of at least `least`. A null lang gets the prediction; columns as given."""
+    """The rows of docs whose language is known: not 'und', and with a share of at least `least`. A null lang gets the prediction; columns as given.
+
+    Null, empty and letterless texts go; of repeated rows all stay or all go; a null doc_id doesn't matter. An empty table, or one
+    where nothing is labelled, gives no rows.
+    """
+    small_batches(docs.sparkSession)
     model = fit(docs, folds, held_fold)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for b in batches:
-            found = label_texts(scorer, b.column("text").to_pylist()) if scorer else [(UNKNOWN, 0.0, 0, 0)] * b.num_rows
-            lang = [given if given is not None else f[0] for given, f in zip(b.column("lang").to_pylist(), found, strict=True)]
+            found = label_texts(scorer, b.column("text").to_pylist()) if scorer else [Labelled()] * b.num_rows
+            lang = [given if given is not None else f.lang for given, f in zip(b.column("lang").to_pylist(), found, strict=True)]
             b = b.set_column(b.schema.get_field_index("lang"), b.schema.field("lang"), pa.array(lang, pa.string()))
-            yield b.filter(pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+            yield b.filter(pa.array([f.lang != UNKNOWN and f.share >= least for f in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,15 +1,19 @@
-"""From documents to packed training sequences: language ID, near-duplicates, personal data, mixing, packing."""
+"""From documents to packed training sequences: language ID, near-duplicates, personal data, mixing, packing.
+
+Language ID drops null, empty and letterless texts, and with them all that the later stages would find empty. Each later stage takes
+every row for a document of its own: null and shared doc_ids stay, repeated rows are copies that near_dedup makes one. Ties between
+copies go to the smallest doc_id, then text. Very long texts are read whole. An empty table gives an empty result in each stage.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltweave.llm import crf, minhash, mixing, packing, pii
-from voltweave.llm.common import shared_dir, table
+from voltweave.llm.common import discard, staged, table
 from voltweave.llm.queries import tokenizer_path
 
 
@@ -34,8 +38,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens, with their ids."""
-    return packing.pack_documents(docs, tokenizer_path(), end_id=2, window=4096, with_ids=True)
+    """Pieces of sequences of 4096 tokens, with their ids; the copies that mixing makes go to different sequences."""
+    return packing.pack_documents(docs, tokenizer_path(), end_id=2, window=4096, with_ids=True, apart=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -53,8 +57,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents; each is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/voltweave-pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for n, (name, stage) in enumerate(STAGES):
+        done = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if n:
+            discard(docs)
+        docs = done
     return docs

@@ -139,6 +139,37 @@ def test_packing_holds_every_id_once(spark, vocabulary, monkeypatch):
     assert packing.pack_documents(docs(spark, ODD).limit(0), path).count() == 0
 
 
+def test_word_tokenizer_equals_the_tokenizer(vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    t, mine, rng = Tokenizer.from_file(path), packing.WordTokenizer(path), np.random.default_rng(5)
+    parts = ["the", "Straße", "ÉTÉ", "Ÿes", "ñandú", "ÿ", "×", "÷a", "a÷", "Ã", "ª", "µm", "x" * 90, "don't", "it's,", "a.b", "...", "!?", ".,;:!?%$", "|a", "12", "3rd", "naïve.", "\u00a0", "\u3000", "\x85", "\x1c", "\x00", "e\u0301", "İ", "ŉ", "日本", "😀", "<|endoftext|>", "<|", "word<|startoftext|>", "I", "of"]
+    blanks = [" ", "  ", "\n", "\t", "", "\r\n", "\x0b"]
+    texts = ["", " ", "\n"] + ["".join(rng.choice(parts) + rng.choice(blanks) for _ in range(int(rng.integers(1, 30)))) for _ in range(1500)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, mine.dtype).tolist() for x in mine.encode(texts)] == want
+    monkeypatch.setattr(packing, "SLICE", 40)
+    monkeypatch.setattr(packing, "REMEMBER", 50)
+    assert [np.frombuffer(x, mine.dtype).tolist() for x in mine.encode(texts)] == want
+
+
+def test_packing_keeps_copies_apart():
+    rng = np.random.default_rng(8)
+    made = [rng.integers(0, 60, int(n)) for n in rng.integers(20, 90, 60)]
+    docs = [d for d in made for _ in range(3)]
+    held: dict[int, set] = {}
+    pieces = packing.pack_shard(docs, 256, apart=True)
+    for doc, _, _, sequence, _ in pieces:
+        assert doc // 3 not in {d // 3 for d in held.get(sequence, set()) - {doc}} or sequence >= max(p[3] for p in pieces) - 6
+        held.setdefault(sequence, set()).add(doc)
+    total = [0] * len(docs)
+    for doc, start, n, _, _ in pieces:
+        assert start == total[doc]
+        total[doc] += n
+    assert total == [len(d) for d in docs]
+
+
 def test_packing_scores_are_bm25():
     some = [np.array(x) for x in ([1, 1, 2, 9], [1, 3, 9], [4, 5, 6, 7], [2, 2, 2, 9], [4, 9])]
     index, n, mean = packing.Index(some), 5, np.mean([4, 3, 4, 4, 2])

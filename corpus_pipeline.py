@@ -2,7 +2,7 @@
 
 Language ID drops null, empty and letterless texts, and with them all that the later stages would find empty. Each later stage takes
 every row for a document of its own: null and shared doc_ids stay, repeated rows are copies that near_dedup makes one. Ties between
-copies go to the smallest doc_id, then text. Very long texts are read whole. An empty table gives an empty result in each stage.
+copies go to the smallest doc_id, then a hash of the text. Very long texts are read whole. An empty table gives an empty result in each stage.
 """
 
 from __future__ import annotations

@@ -336,7 +336,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     right = rest.withColumn("j", F.col("part")).withColumn("i", F.explode(F.expr("sequence(0, part)"))).select(slot, "i", "j", *FIELDS)
     left, right = left.toDF(*[f"l_{c}" for c in left.columns]), right.toDF(*[f"r_{c}" for c in right.columns])
     asking = left.groupBy("l_slot").cogroup(right.groupBy("r_slot")).applyInPandas(_across(percent), "a long, block long, others array<long>")
-    asking = staged(asking.groupBy("a", "block").agg(F.flatten(F.collect_list("others")).alias("others")), "asking")
+    asking = asking_lists = staged(asking.groupBy("a", "block").agg(F.flatten(F.collect_list("others")).alias("others")), "asking")
     # The askers of a block in turns of about PAIRS pairs; each turn gets the block's documents that its askers name.
     turns = asking.groupBy("block").agg(F.ceil(F.sum(F.size("others")) / PAIRS).cast("int").alias("turns"))
     asking = asking.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("a"), F.col("turns")).cast("int"))
@@ -351,6 +351,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     named = rows.join(classes.select("low", "high", "id"), ["low", "high"], "left").select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"))
     ties = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("ids")).where("size(ids) > 1").select("a", F.explode("ids").alias("b"))
     labels = connected_components(links.union(ties))
+    discard(candidates, centres, members, checked, near, homes, found, mixed, rest, asking_lists)
     component = F.coalesce("component", "id")
     out = named.join(labels, "id", "left")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
@@ -366,13 +367,15 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int =
     """docs without near copies: of each group the document with the smallest doc_id stays; columns as given.
 
     Documents without words stay. By doc_id, of rows that share one the row with the smallest text stays; rows with a null doc_id go.
-    By row, every row is a document of its own, whatever its doc_id: one row of each group stays, those with a null doc_id come last.
+    By row, every row is a document of its own, whatever its doc_id: of each group the row with the smallest doc_id stays, a null one being
+    the last, and of several such rows the one whose text has the smallest hash.
     """
     if by_row:
         docs, columns = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "numbered"), docs.columns
         groups = near_duplicates(docs.select(F.col("_near_row").alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias("_near_row"), F.col("component_id").alias("_near_group"))
-        order = F.struct(F.col("doc_id").isNull(), "doc_id", "text", "_near_row")
-        kept = docs.select("_near_row", "doc_id", "text").join(groups, "_near_row").groupBy("_near_group").agg(F.min_by("_near_row", order).alias("_near_row")).select("_near_row")
+        # Texts themselves would be shuffled for ties that are rare.
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "_near_text", "_near_row")
+        kept = docs.select("_near_row", "doc_id", F.xxhash64("text").alias("_near_text")).join(groups, "_near_row").groupBy("_near_group").agg(F.min_by("_near_row", order).alias("_near_row")).select("_near_row")
         return docs.join(kept, "_near_row", "left_semi").select(*[docs[c] for c in columns])
     kept = near_duplicates(docs, shingle_words, percent).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
     first = F.row_number().over(Window.partitionBy("_near_id").orderBy("text"))

@@ -29,7 +29,7 @@ SHARD = 5_000_000
 #: BM25's saturation and length parameters; an index marks ids in at most COMMON of its documents as telling. Packing asks for all ids: common ones have a low idf.
 K1, B, COMMON = 1.2, 0.75, 0.2
 #: Words that a worker remembers the ids of, within a task, at about 30 bytes each; bytes of text that are looked up together.
-REMEMBER, SLICE = 1_000_000, 1_000_000
+REMEMBER, SLICE = 1_000_000, 2_000_000
 #: Words of more bytes of letters go to the tokenizer itself.
 LETTERS = 40
 #: Numbers that a document's ids are projected to for clustering; clusters that one is parted in; documents that the clusters' centres come from, whatever the input.
@@ -266,8 +266,8 @@ def _count(dtype: str) -> Callable:
         add = lambda x, y: y + np.pad(x, (0, len(y) - len(x))) if len(x) < len(y) else x + np.pad(y, (0, len(x) - len(y)))
         for b in batches:
             for i in range(0, len(b), 1000):
-                docs = [np.frombuffer(x, dtype) for x in b["ids"].iloc[i : i + 1000]]
-                df, total = add(df, np.bincount(np.concatenate([terms_of(d)[0] for d in docs]))), add(total, np.bincount(np.concatenate(docs)))
+                term, tf, _, _ = postings(b["ids"].iloc[i : i + 1000].tolist(), dtype)
+                df, total = add(df, np.bincount(term)), add(total, np.bincount(term, tf).astype(np.int64))
         there = np.flatnonzero(total)
         yield pd.DataFrame({"id": there, "df": df[there], "total": total[there]})
 
@@ -281,6 +281,14 @@ def terms_of(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[edge], np.diff(edge, append=len(ids))
 
 
+def postings(ids: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids of each document, one document's after the other's, how often each occurs, where a document's begin (and all end), and the documents' lengths."""
+    docs = [np.frombuffer(x, dtype) for x in ids]
+    length = np.array([len(d) for d in docs])
+    keys, tf = np.unique(np.repeat(np.arange(len(docs)), length) << 32 | np.concatenate(docs).astype(np.int64), return_counts=True)
+    return keys & 0xFFFFFFFF, tf, np.searchsorted(keys, np.arange(len(docs) + 1) << 32), length
+
+
 class Statistics:
     """BM25's of a whole corpus: documents, their mean length, and documents by id; as long as the vocabulary, whatever the input."""
 
@@ -309,19 +317,22 @@ class Place:
         self.signs = rng.choice(np.array([-1, 1], np.float32), (len(stats.df), DIMENSIONS))
         self.draw = rng.exponential(size=len(stats.df)) / np.maximum(self.idf, 1e-9)
 
-    def __call__(self, ids: bytes) -> tuple[np.ndarray, int]:
-        doc = np.frombuffer(ids, self.dtype)
-        term, tf = terms_of(doc)
-        weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(doc) / self.mean))
-        vector = weight.astype(np.float32) @ self.signs[term]
-        return vector / max(float(np.linalg.norm(vector)), 1e-9), int(term[self.draw[term].argmin()])
+    def __call__(self, ids: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
+        """Of each document."""
+        for i in range(0, len(ids), 500):
+            term, tf, edge, length = postings(ids[i : i + 500], self.dtype)
+            weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.repeat(length, np.diff(edge)) / self.mean))
+            weight, draw = weight.astype(np.float32), self.draw[term]
+            for a, b in itertools.pairwise(edge.tolist()):
+                vector = weight[a:b] @ self.signs[term[a:b]]
+                yield vector / max(float(np.linalg.norm(vector)), 1e-9), int(term[a + draw[a:b].argmin()])
 
 
 def _vectors(stats: Statistics, dtype: str) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = Place(stats, dtype)
         for b in batches:
-            yield pd.DataFrame({"ids_hash": b["ids_hash"], "vector": [place(x)[0] for x in b["ids"]]})
+            yield pd.DataFrame({"ids_hash": b["ids_hash"], "vector": [v for v, _ in place(b["ids"].tolist())]})
 
     return run
 
@@ -356,8 +367,7 @@ def _assign(stats: Statistics, dtype: str, tree: tuple[np.ndarray, list] | int)
         place = Place(stats, dtype)
         for b in batches:
             found = []
-            for x in b["ids"]:
-                vector, key = place(x)
+            for vector, key in place(b["ids"].tolist()):
                 node = tree
                 while not isinstance(node, int):
                     node = node[1][int((node[0] @ vector).argmax())]

@@ -28,6 +28,8 @@ WINDOW = 4096
 SHARD = 5_000_000
 #: BM25's saturation and length parameters; an index marks ids in at most COMMON of its documents as telling. Packing asks for all ids: common ones have a low idf.
 K1, B, COMMON = 1.2, 0.75, 0.2
+#: An id that over 1 / DENSE of a shard's documents hold has a row of weights for all of them.
+DENSE = 8
 #: Words that a worker remembers the ids of, within a task, at about 30 bytes each; bytes of text that are looked up together.
 REMEMBER, SLICE = 1_000_000, 2_000_000
 #: Words of more bytes of letters go to the tokenizer itself.
@@ -426,14 +428,22 @@ class Index:
         self.owner, self.weight, self.df = owner[order], weight[order], df
         self.start = np.concatenate(([0], np.cumsum(df)))
         self.telling, self.n = df <= max(1, common * n), n
+        # Ids of many documents as rows of a matrix, which has at most DENSE cells for each posting.
+        often = np.flatnonzero((df * DENSE > n) & self.telling)
+        self.row = np.full(len(df), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n), np.float32)
+        at = ranges(self.start[often], df[often])
+        self.dense[np.repeat(np.arange(len(often)), df[often]), self.owner[at]] = self.weight[at]
 
     def scores(self, doc: int) -> np.ndarray:
         """Of every document, for the ids of one."""
         t = self.terms[doc].astype(np.int64)
         t = t[self.telling[t]]
-        n = self.df[t]
-        at = np.repeat(self.start[t] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return np.bincount(self.owner[at], self.weight[at], self.n)
+        row = self.row[t]
+        t = t[row < 0]
+        at = ranges(self.start[t], self.df[t])
+        return np.bincount(self.owner[at], self.weight[at], self.n) + self.dense[row[row >= 0]].sum(0)
 
 
 def pack_shard(docs: list[np.ndarray], window: int, stats: Statistics | None = None, apart: bool = False) -> list[tuple[int, int, int, int, int]]:

@@ -28,19 +28,19 @@ def rotate(turns: DataFrame) -> DataFrame:
     turns: conv_id, turn, role (the speaker), text. Messages are in the order of turn (null last), then speaker, then text. start is the
     message's place in the rendering in code points; train_start and train_end bound what is trained on (the assistant's text and end
     line), null for other messages. A null speaker is one called 'unknown', a null text is empty; rows without a conv_id
-    belong to no dialogue and are left out, dialogues of system turns alone have no rendering. Repeated rows are repeated messages.
+    belong to no dialogue and are left out, turns below 0 come first, dialogues of system turns alone have no rendering. Repeated rows are repeated messages.
     Other columns aren't read. An empty table gives an empty result.
     """
     rows = turns.where("conv_id is not null").select("conv_id", "turn", F.coalesce("role", F.lit(NOBODY)).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
     people = rows.where(F.col("speaker") != SYSTEM).select("conv_id", F.col("speaker").alias("perspective")).distinct()
     role = F.when(F.col("speaker") == SYSTEM, F.lit(SYSTEM)).when(F.col("speaker") == F.col("perspective"), F.lit("assistant")).otherwise(F.lit("user"))
     seen = rows.join(people, "conv_id").withColumn("role", role)
-    seen = seen.withColumn("message", rendered(F.col("role"), F.col("speaker"), F.col("text"))).withColumn("block", F.floor(F.col("turn") / BLOCK))
-    blocks = seen.groupBy("conv_id", "perspective", "block").agg(F.sum(F.length("message")).alias("size"))
-    so_far = Window.partitionBy("conv_id", "perspective").orderBy(F.asc_nulls_last("block")).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("conv_id", "perspective", F.coalesce("block", F.lit(-1)).alias("block"), F.coalesce(F.sum("size").over(so_far), F.lit(0)).alias("before"))
-    seen = seen.withColumn("block", F.coalesce("block", F.lit(-1))).join(blocks, ["conv_id", "perspective", "block"])
-    within = Window.partitionBy("conv_id", "perspective", "block").orderBy(F.asc_nulls_last("turn"), "speaker", "text").rowsBetween(Window.unboundedPreceding, -1)
+    seen = seen.withColumn("message", rendered(F.col("role"), F.col("speaker"), F.col("text"))).withColumns({"late": F.col("turn").isNull(), "block": F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(0))})
+    blocks = seen.groupBy("conv_id", "perspective", "late", "block").agg(F.sum(F.length("message")).alias("size"))
+    so_far = Window.partitionBy("conv_id", "perspective").orderBy("late", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("conv_id", "perspective", "late", "block", F.coalesce(F.sum("size").over(so_far), F.lit(0)).alias("before"))
+    seen = seen.join(blocks, ["conv_id", "perspective", "late", "block"])
+    within = Window.partitionBy("conv_id", "perspective", "late", "block").orderBy(F.asc_nulls_last("turn"), "speaker", "text").rowsBetween(Window.unboundedPreceding, -1)
     seen = seen.withColumn("start", F.col("before") + F.coalesce(F.sum(F.length("message")).over(within), F.lit(0)))
     trained = F.col("role") == "assistant"
     end = F.col("start") + F.length("message")

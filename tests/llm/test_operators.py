@@ -320,6 +320,18 @@ def test_chat_long_dialogue_in_blocks(spark, monkeypatch):
             at += len(r["message"])
 
 
+def test_chat_null_and_negative_turns(spark):
+    turns = [(1, t, who, f"m{n}") for n, (t, who) in enumerate([(-5, "a"), (-4, "b"), (None, "a"), (3, "b"), (None, None), (-1, "a")])]
+    got = defaultdict(list)
+    for r in rows(chat.rotate(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))):
+        got[r["perspective"]].append((r["start"], r["turn"], len(r["message"])))
+    assert sorted(got) == ["a", "b", "unknown"]
+    for found in got.values():
+        found.sort()
+        assert [t for _, t, _ in found] == [-5, -4, -1, 3, None, None]
+        assert [s for s, _, _ in found] == [sum(n for _, _, n in found[:i]) for i in range(6)]
+
+
 # --- 5: top-k
 
 
@@ -606,6 +618,30 @@ def test_mpeg_reader_on_broken_streams():
         assert mpeg.read_stream(junk)["frames"] == 0
 
 
+def test_mpeg_tables_tags_and_layer_one_checksums():
+    """Hand-made streams: a VBRI table, ID3v2.3 and v2.2 frames, a Layer I stream with checksums."""
+    media = mpeg.write_stream(bytes(576) * 3)
+    found = mpeg.read_stream(media)
+    assert found["table_bytes"] == 4 * 720 and len(found["points"]) == 100 and found["tag_frames"] == ["TXXX:14"]
+    frame = bytearray(720)
+    frame[:4] = b"\xff\xfb\xa8\xc0"
+    vbri = bytes(frame[:36]) + b"VBRI" + bytes((0, 1, 0, 0, 0, 75)) + (2880).to_bytes(4, "big") + (3).to_bytes(4, "big") + bytes((0, 3, 0, 2, 0, 2, 0, 1)) + b"\1\2\1\3\1\4"
+    v3 = b"TIT2" + (3).to_bytes(4, "big") + b"\0\0" + b"\0hi" + b"TPE1" + (200).to_bytes(4, "big") + b"\0\0\0a"
+    stream = b"ID3\3\0\0\0\0\0" + bytes([len(v3)]) + v3 + vbri.ljust(720, b"\0") + bytes(frame) * 3
+    found = mpeg.read_stream(stream)
+    assert (found["table"], found["table_frames"], found["table_bytes"], found["points"], found["frames"]) == ("VBRI", 3, 2880, [516, 518, 520], 3)
+    assert found["tags"] == ["ID3v2.3"] and found["tag_frames"] == ["TIT2:3"]
+    assert mpeg.read_id3(b"TT2\0\0\2\0xTP1\0\0\1y", 2) == ["TT2:2", "TP1:1"]
+    for last, covered in ((0xC4, 16), (0x04, 32), (0x54, 20)):  # mono, stereo, joint stereo from band 8 on
+        head = bytes((0xFF, 0xFE, 0x94, last))
+        size = mpeg.frame_header(int.from_bytes(head, "big"))[0]
+        body = bytes(range(covered))
+        one = (head + mpeg.crc16(head[2:] + body).to_bytes(2, "big") + body).ljust(size, b"\0")
+        bad = one[:7] + bytes([one[7] ^ 1]) + one[8:]
+        found = mpeg.read_stream(one + bad + one)
+        assert (found["frames"], found["crc_ok"], found["crc_bad"], found["samples"]) == (3, 2, 1, 3 * 384)
+
+
 def test_mpeg_payload_that_looks_like_a_tag():
     for text in ("x" * 569 + "TAG", "y" * (576 + 569) + "TAG"):
         _, payload = mpeg.padded(text)

@@ -88,6 +88,51 @@ def write_stream(payload: bytes) -> bytes:
     return id3 + (head + table).ljust(_FRAME, b"\0") + frames.tobytes()
 
 
+def _numbers(data: bytes, width: int) -> list[int]:
+    return [int.from_bytes(data[i : i + width], "big") for i in range(0, len(data) - width + 1, width)]
+
+
+def read_table(frame: bytes, body: int) -> dict | None:
+    """The variable-bitrate table that a frame holds instead of sound: its kind, frames and bytes (None if not given), and seek points.
+
+    Xing and Info tables follow the side information (at `body`) and have 100 points in 256ths of the bytes; a VBRI table is at byte 36
+    and has sizes of runs of frames, in bytes.
+    """
+    if frame[body : body + 4] in (b"Xing", b"Info"):
+        flags, at, found = int.from_bytes(frame[body + 4 : body + 8], "big"), body + 8, {"kind": frame[body : body + 4].decode(), "frames": None, "bytes": None, "points": []}
+        for flag, name in ((1, "frames"), (2, "bytes")):
+            if flags & flag:
+                found[name] = int.from_bytes(frame[at : at + 4], "big")
+                at += 4
+        return found | {"points": list(frame[at : at + 100])} if flags & 4 else found
+    if frame[36:40] == b"VBRI":
+        n, scale, width, _ = _numbers(frame[54:62], 2)
+        points = _numbers(frame[62 : 62 + n * width], width) if width else []
+        return {"kind": "VBRI", "frames": int.from_bytes(frame[50:54], "big"), "bytes": int.from_bytes(frame[46:50], "big"), "points": [p * scale for p in points]}
+    return None
+
+
+def read_id3(tag: bytes, version: int) -> list[str]:
+    """Names of an ID3v2 tag's frames with their sizes in bytes, in order; it ends at padding or at a frame that isn't whole."""
+    found, at, name, head = [], 0, 3 if version == 2 else 4, 6 if version == 2 else 10
+    while at + head <= len(tag) and tag[at : at + name].isalnum():
+        size = tag[at + name : at + name + (3 if version == 2 else 4)]
+        size = sum((b & 127) << 7 * i for i, b in enumerate(reversed(size))) if version == 4 else int.from_bytes(size, "big")
+        if at + head + size > len(tag):
+            break
+        found.append(f"{tag[at : at + name].decode('latin-1')}:{size}")
+        at += head + size
+    return found
+
+
+def _checked_bytes(layer: int, channels: int, word: bytes, side: int) -> int:
+    """How many bytes after the checksum it covers: side information in Layer III, bit allocations in Layer I; 0 in Layer II, whose tables aren't kept here."""
+    if layer == 1:
+        bound = 4 * ((word[3] >> 4 & 3) + 1) if word[3] >> 6 & 3 == 1 else 32
+        return 16 if channels == 1 else (32 + bound) // 2
+    return side if layer == 3 else 0
+
+
 def _run_of_equal_frames(data: np.ndarray, at: int, size: int, word: bytes) -> int:
     """How many frames of `size` bytes with the same header follow each other from `at`."""
     n = (len(data) - at) // size
@@ -99,12 +144,13 @@ def _run_of_equal_frames(data: np.ndarray, at: int, size: int, word: bytes) -> i
 
 
 def read_stream(media: bytes, tagged: bool = True) -> dict:
-    """What the stream holds: frames, samples, rate, seconds, offsets (int64 array), tags, table, crc_ok, crc_bad, skipped, payload.
+    """What the stream holds: frames, samples, rate, seconds, offsets (int64 array), tags and their frames, the table and its seek points,
+    crc_ok, crc_bad, skipped, payload. Frames without a stated bitrate are no headers; Layer II checksums aren't verified.
 
     Never raises on broken streams: bytes between frames count as skipped, a last frame that isn't whole is left out.
     'TAG' 128 bytes before the end is no ID3v1 tag where frames without gaps fill the stream to its end.
     """
-    data, at, out = np.frombuffer(media, np.uint8), 0, {"tags": [], "table": None, "table_frames": None, "crc_ok": 0, "crc_bad": 0, "skipped": 0}
+    data, at, out = np.frombuffer(media, np.uint8), 0, {"tags": [], "tag_frames": [], "table": None, "table_frames": None, "table_bytes": None, "points": [], "crc_ok": 0, "crc_bad": 0, "skipped": 0}
     end = len(media)
     if tagged and end >= 128 and media[-128:-125] == b"TAG":
         if (whole := read_stream(media, False))["frames"] and not whole["skipped"]:
@@ -114,6 +160,7 @@ def read_stream(media: bytes, tagged: bool = True) -> dict:
     while media[at : at + 3] == b"ID3" and at + 10 <= end:
         size = media[at + 6] << 21 | media[at + 7] << 14 | media[at + 8] << 7 | media[at + 9]
         out["tags"].append(f"ID3v2.{media[at + 3]}")
+        out["tag_frames"] += read_id3(media[at + 10 : min(end, at + 10 + size)], media[at + 3])
         at = min(end, at + 10 + size + (10 if media[at + 5] & 16 else 0))
     offsets, payload, samples, rate, first, synced = [], [], 0, 0, True, False
     while at + 4 <= end:
@@ -136,21 +183,16 @@ def read_stream(media: bytes, tagged: bool = True) -> dict:
         body = 4 + 2 * protected + side
         if first:
             first = False
-            mark, vbri = media[at + body : at + body + 4], media[at + 36 : at + 40]
-            if mark in (b"Xing", b"Info") or vbri == b"VBRI":
-                out["table"] = (mark if mark in (b"Xing", b"Info") else vbri).decode()
-                flags = int.from_bytes(media[at + body + 4 : at + body + 8], "big")
-                if out["table"] == "VBRI":
-                    out["table_frames"] = int.from_bytes(media[at + 50 : at + 54], "big")
-                elif flags & 1:
-                    out["table_frames"] = int.from_bytes(media[at + body + 8 : at + body + 12], "big")
+            if table := read_table(media[at : at + size], body):
+                out |= {"table": table["kind"], "table_frames": table["frames"], "table_bytes": table["bytes"], "points": table["points"]}
                 at += size
                 continue
         n = _run_of_equal_frames(data[:end], at, size, word)
         block = data[at : at + n * size].reshape(n, size)
-        if protected and found[4] == 3:
+        covered = _checked_bytes(found[4], found[5], word, side)
+        if protected and covered and 6 + covered <= size:
             stored = block[:, 4].astype(np.int64) * 256 + block[:, 5]
-            sides, back = np.unique(block[:, 6 : 6 + side], axis=0, return_inverse=True)
+            sides, back = np.unique(block[:, 6 : 6 + covered], axis=0, return_inverse=True)
             right = np.array([crc16(word[2:4] + s.tobytes()) for s in sides])[back.ravel()] == stored
             out["crc_ok"] += int(right.sum())
             out["crc_bad"] += int(n - right.sum())
@@ -172,7 +214,10 @@ def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def encode_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media (binary): every document's whole text as a stream; null text is stored as the empty one."""
+    """doc_id, n_bytes, media (binary): every document's whole text as a stream; null text is stored as the empty one.
+
+    Repeated rows make equal streams, a null doc_id stays null. Other columns aren't read. An empty table gives an empty result.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInPandas(_encode, "doc_id long, n_bytes long, media binary")
 
@@ -187,11 +232,14 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             media = bytes(media or b"")
             r = read_stream(media)
             p = r["payload"]
-            feature = f"frames={r['frames']};samples={r['samples']};rate={r['rate']};table={r['table']}:{r['table_frames']};tags={','.join(r['tags'])};crc_ok={r['crc_ok']};crc_bad={r['crc_bad']};skipped={r['skipped']};first={r['offsets'][0] if r['frames'] else -1};last={r['offsets'][-1] if r['frames'] else -1}"
+            feature = f"frames={r['frames']};samples={r['samples']};rate={r['rate']};table={r['table']}:{r['table_frames']}:{r['table_bytes']}:{zlib.crc32(str(r['points']).encode())};tags={','.join(r['tags'] + r['tag_frames'])};crc_ok={r['crc_ok']};crc_bad={r['crc_bad']};skipped={r['skipped']};first={r['offsets'][0] if r['frames'] else -1};last={r['offsets'][-1] if r['frames'] else -1}"
             rows.append((doc_id, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, r["frames"], r["samples"], r["seconds"], r["crc_ok"], r["crc_bad"], r["skipped"], r["offsets"]))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in _FEATURES.split(", ")]).astype({"doc_id": "Int64", "n_bytes": "Int64"})
 
 
 def read_media(media: DataFrame) -> DataFrame:
-    """What the reader finds in every stream of (doc_id, n_bytes, media); null media count as an empty stream."""
+    """What the reader finds in every stream of (doc_id, n_bytes, media); null media count as an empty stream.
+
+    Repeated rows give equal rows. Other columns aren't read. An empty table gives an empty result.
+    """
     return media.select("doc_id", "n_bytes", "media").mapInPandas(_decode, _FEATURES)

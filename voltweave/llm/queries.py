@@ -53,7 +53,8 @@ def op8_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mpeg.read_media(mpeg.encode_texts(table(spark, sf_dir, "documents")))
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad")
+    offsets = F.concat_ws(",", F.transform("seek_offsets", lambda x: x.cast("string"))).alias("seek_offsets")
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad", offsets)
 
 
 def op10_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -523,6 +523,7 @@ def test_ctw_equals_brute_force(spark):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(mine), sum(words[w] > 0 for w in mine), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((words[w] + 1) / (n + v + 1)) for w in mine))
         assert r["score"] == pytest.approx(want[i], rel=1e-8)
+        assert r["bits_per_byte"] == pytest.approx(-want[i] / math.log10(2) / (len((t or "").encode()) + 1), rel=1e-8)
 
 
 def test_ctw_odd_tables(spark):

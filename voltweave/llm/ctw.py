@@ -34,6 +34,7 @@ _PARTS = SPACE.copy()
 _PARTS[END] = True
 _END_WORD = int(mix(np.array([END], np.uint64))[0])
 _LN2 = float(np.log(2.0))
+_LOG10_2 = float(np.log10(2))
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -88,8 +89,10 @@ def _score(bucket, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         for first, last, data, starts in _chunks(docs["text"].tolist()):
             grams = _grams(data)
             bits = gram.get(grams)
-            bits[~_predicted(starts, len(grams))] = 0
+            predicted = _predicted(starts, len(grams))
+            bits[~predicted] = 0
             score = np.add.reduceat(bits, starts[:-1] - DEPTH)
+            per_byte = -score / _LOG10_2 / np.add.reduceat(predicted.astype(np.int64), starts[:-1] - DEPTH)
             at, _, keys = words(data, _PARTS)
             counts = word.get(keys)
             owner = np.searchsorted(starts, at, "right") - 1
@@ -97,8 +100,8 @@ def _score(bucket, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
             n_words, n_known = np.bincount(owner, minlength=n), np.bincount(owner, counts > 0, minlength=n)
             base = np.bincount(owner, np.log10(counts + 1), minlength=n) + np.log10(known_end + 1)
             for j in range(n):
-                rows.append((ids[first + j], held[first + j], int(n_words[j]) + 1, int(n_known[j]) + int(known_end > 0), float(base[j]), float(score[j])))
-    return pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"]).astype({"doc_id": "Int64"})
+                rows.append((ids[first + j], held[first + j], int(n_words[j]) + 1, int(n_known[j]) + int(known_end > 0), float(base[j]), float(score[j]), float(per_byte[j])))
+    return pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "bits_per_byte"]).astype({"doc_id": "Int64"})
 
 
 def _ln_gamma(x: Column) -> Column:
@@ -169,10 +172,10 @@ def gram_scores(grams: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text).
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for every row of docs (doc_id, text).
 
     Rows whose crc32(doc_id as text) modulo folds is held_fold are held out; the others train. score is the model's log10 probability
-    of the text and its end; base_score that of its words under add-one smoothed word frequencies. Null text is empty: one
+    of the text and its end, bits_per_byte that code's length over the text's bytes and its end; base_score that of its words under add-one smoothed word frequencies. Null text is empty: one
     end symbol. With nothing to learn from, every bit costs one bit. Repeated rows count as often as they occur; null ids are in the
     fold of the empty text. Other columns aren't read. An empty table gives an empty result.
     """
@@ -191,6 +194,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     values = gram_scores(grams, tree(grams.where("n > 0"))).select(F.lit(0).cast("byte").alias("kind"), "key", "value")
     values = values.union(totals.where("kind = 1").select("kind", "key", F.col("n").cast("double")))
     answers = asked.select("bucket", "kind", "key").join(values, ["kind", "key"]).toDF("kind", "key", "asked_by", "value")
-    scored = rows.groupBy("bucket").cogroup(answers.groupBy("asked_by")).applyInPandas(_score, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double")
+    # As many partitions as buckets on both sides, so that a task has about one bucket whatever the input.
+    rows, answers = rows.repartition(buckets, "bucket"), answers.repartition(buckets, "asked_by")
+    scored = rows.groupBy("bucket").cogroup(answers.groupBy("asked_by")).applyInPandas(_score, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, bits_per_byte double")
     smoothing = float(np.log10(train_tokens + vocabulary + 1))
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(smoothing)).alias("base_score"), "score")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(smoothing)).alias("base_score"), "score", "bits_per_byte")

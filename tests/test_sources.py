@@ -105,3 +105,18 @@ def test_a_large_month_is_split_over_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t" / "YM=202401").glob("*.parquet"))) > 1
     assert store.read_months(spark, str(tmp_path / "t"), [202401]).count() == 200_000
+
+
+def test_recomputation_finds_a_changed_cache(spark, tmp_path):
+    """Raw, then clean peaks through the cache; a value that no longer holds, and a row that is gone, are told."""
+    from voltweave.operators.checks import recomputed
+    from voltweave.sources.store import cache_table
+
+    fresh = spark.createDataFrame([("m1", 202401, 5.0), ("m2", 202401, None), ("m3", 202402, 7.5)], "MTR_NO string, YM int, PEAK double")
+    raw = cache_table(spark, str(tmp_path / "raw"), "1:202401,202402", lambda: fresh)
+    clean = cache_table(spark, str(tmp_path / "clean"), "1:202401,202402", lambda: raw.where("PEAK < 6 or PEAK is null"))
+    assert recomputed(raw, fresh, ["MTR_NO", "YM"], "PEAK").first().asDict() == {"n": 3, "n_different": 0}
+    assert recomputed(clean, fresh, ["MTR_NO", "YM"], "PEAK").first()["n_different"] == 1
+    assert recomputed(raw, fresh.replace(5.0, 5.1, "PEAK"), ["MTR_NO", "YM"], "PEAK").first()["n_different"] == 1
+    again = cache_table(spark, str(tmp_path / "raw"), "1:202401,202402", lambda: fresh.limit(0))
+    assert again.count() == 3

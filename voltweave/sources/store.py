@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -59,5 +61,16 @@ def cache_table(spark: SparkSession, path: str, signature: str, build: Callable[
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in the folder that driver and executors share (spark.checkpoint.dir); a folder of its own in a local session without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def months_signature(months: list[int], version: str = "1") -> str:
     return f"{version}:{','.join(str(m) for m in sorted(months))}"

@@ -1,10 +1,11 @@
 """Finding personal data: exact rules, and candidates scored by boosted trees.
 
 The rules (email, ip, card, phone) always count. Beyond them, generators with high recall propose spans that may overlap: addresses
-written with (at) and (dot), numbers in the shapes of phones and cards, addresses of hosts. Gradient-boosted trees score each
-proposal by its format and its context; a threshold per kind, calibrated on rows the trees haven't seen, decides. The
-trees learn from TRAINING made-up rows whose formats are known, so the model is the same for every corpus, and it is
-compiled into one expression: the search is a projection, without a join or a shuffle.
+written with (at) and (dot), numbers in the shapes of phones and cards, addresses of hosts, and keys and passwords (kind secret, which has
+no rule). Gradient-boosted trees score each proposal by its format and its context; a threshold per kind, calibrated on rows the trees
+haven't seen, decides. The trees learn from TRAINING made-up rows, of every kind both data and look-alikes (fingerprints, dates, order
+numbers, commit hashes, names of variables), so the model is the same for every corpus, and it is compiled into one expression: the
+search is a projection, without a join or a shuffle.
 
 Positions are in code points, ends exclusive.
 """
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
+#: The rules' kinds and the one that only the trees find.
+ALL = (*KINDS, "secret")
 TRAINING = 4096
-ROUNDS, LEVELS = 12, 3
-PRECISION = 0.98
+ROUNDS, LEVELS = 16, 4
+PRECISION = 0.995
 #: Matches whose positions are summed up together; keeps texts with very many matches linear enough.
 BLOCK = 256
 CONTEXT = 24
@@ -34,12 +37,17 @@ _RULES = {
 }
 _GENERATORS = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[{] ?(?:at|AT) ?[)\]}] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[A-Za-z0-9-]{1,63}+){1,4}+",),
-    "ip": (r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}+(?![0-9A-Fa-f:])",),
-    "card": (r"(?<![0-9A-Za-z])[0-9]{4}(?:[. /-][0-9]{4}){3}(?![0-9A-Za-z])",),
+    "ip": (r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}+(?![0-9A-Za-z:])", r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}+::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}+(?![0-9A-Za-z:])"),
+    "card": (r"(?<![0-9A-Za-z])[0-9]{4}(?:[. /-][0-9]{4}){3}(?![0-9A-Za-z])", r"(?<![0-9A-Za-z])3[47][0-9]{2}[. /-]?[0-9]{6}[. /-]?[0-9]{5}(?![0-9A-Za-z])"),
     "phone": (r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ ./-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])", r"(?<![0-9A-Za-z+])00[0-9]{1,3}[ -](?:[0-9]{2,4}[ -]){1,3}[0-9]{2,4}(?![0-9A-Za-z])"),
+    # A run of letters and digits, both of them; what is assigned to a password's name.
+    "secret": (
+        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{12,}+",
+        r"(?<=[=:\x20\x22'])(?<=(?:password|passwd|passphrase|pwd|secret|token|api_?key|PASSWORD|SECRET|TOKEN|API_?KEY)[\x22']?\x20?[=:]\x20?[\x22']?)[^\s\x22'<>,;=:]{6,}+",
+    ),
 }
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|server|address|ping", "card": "card|visa|credit|payment|master", "phone": "phone|tel|call|mobile|cell|fax|whatsapp|reach"}
+_CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|server|address|ping", "card": "card|visa|credit|payment|master", "phone": "phone|tel|call|mobile|cell|fax|whatsapp|reach", "secret": "pass(?:word|wd|phrase)?|pwd|secret|token|key|credentials?|bearer|auth"}
 _OTHER = "order|version|isbn|invoice|sku|ref|serial|part|page|date|ticket|token|sha|commit|total|price"
 
 
@@ -116,9 +124,11 @@ def _features(kind: Column, hit: Column, before: Column, after: Column) -> list[
     d = _digits(hit)
     cue = F.lit(False)
     for k, words in _CUES.items():
-        cue = cue | ((kind == k) & F.lower(before).rlike(rf"\b(?:{words})\b[^0-9]*$"))
+        cue = cue | ((kind == k) & F.lower(before).rlike(rf"(?<![a-z])(?:{words})(?![a-z])[^0-9]*$"))
     flags = [hit.rlike(r"^\(?[0-9]{3}\)?[ .-]+[0-9]{3}[ .-][0-9]{4}$"), hit.rlike(r"^(?:19|20)[0-9]{2}[ ./-]|[ ./-](?:19|20)[0-9]{2}$"), (kind == "card") & _luhn(d), cue, F.lower(before).rlike(rf"\b(?:{_OTHER})\b[^0-9]*$"), before.rlike(r"[0-9A-Za-z=#/_-]$"), after.rlike(r"^[0-9A-Za-z=#/_-]")]
-    numbers = [F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind), F.length(hit), F.length(d), count("[A-Za-z]"), count(r"[ ]"), count(r"[.]"), count(r"[-]"), count(r"[()]"), count("/"), count(":"), F.size(F.array_distinct(F.split(d, "")))]
+    flags += [hit.rlike(r"^[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2})+$"), F.contains(hit, F.lit("::")), hit.rlike(r"(?<![a-z])(?:com|org|net|edu|gov|info|[a-z]{2})$"), hit.rlike("^[0-9A-Fa-f]+$"), hit.rlike("^[A-Z]{2,5}[0-9A-Z]{12,}$")]
+    numbers = [F.array_position(F.array(*[F.lit(k) for k in ALL]), kind), F.length(hit), F.length(d), count("[A-Za-z]"), count(r"[ ]"), count(r"[.]"), count(r"[-]"), count(r"[()]"), count("/"), count(":"), F.size(F.array_distinct(F.split(d, "")))]
+    numbers += [count("[A-Z]"), count("_"), count("[A-Za-z][0-9]"), F.size(F.array_distinct(F.split(hit, "")))]
     return [x.cast("double") for x in (*numbers, *flags)]
 
 
@@ -137,21 +147,59 @@ def training_rows(spark: SparkSession, n: int = TRAINING) -> DataFrame:
         right = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: F.concat(body, c.cast("string"))), _luhn)
         return F.regexp_replace(right[0], "^(.{4})(.{4})(.{4})(.{4})$", "$1/$2/$3/$4")
 
-    sep = pick(1, " ", "-", ".")
+    def short(salt: int, below: int, width: int = 1) -> Column:
+        return F.lpad(F.lower(F.hex(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(below)))), width, "0") if width > 1 else F.lower(F.hex(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(below))))
+
+    def digest(salt: int) -> Column:
+        return F.sha2(F.concat_ws("-", "id", F.lit(salt)).cast("binary"), 256)
+
+    length = F.pmod(F.xxhash64("id", F.lit(39)), F.lit(40)).cast("int")
+    sep, slash = pick(1, " ", "-", "."), pick(2, "/", ".", "-", " ")
+    # Of each kind what is meant, and what only looks like it.
+    mail = F.concat(pick(6, "ann", "j.smith", "sales", "q77"), pick(7, " (at) ", "[at]", " [at] ", "(at)"), pick(8, "example", "mail", "uni", "web-mail"), pick(9, " (dot) ", ".", "[dot]"), pick(10, "org", "com", "net", "de", "edu"))
+    no_mail = F.concat(pick(6, "look", "row", "x", "meet"), pick(7, " (at) ", "[at]", " [at] ", "(at)"), pick(8, "figure", "noon", "index", "page"), pick(9, " (dot) ", ".", "[dot]"), pick(10, "one", "size", "length", "sharp", "next"))
+    groups = F.concat_ws(":", *[short(20 + i, 65536) for i in range(8)])
+    squeezed = F.concat(pick(28, "2001", "fe80", "2a02", "fd00"), F.lit(":"), short(20, 65536), F.lit("::"), F.concat_ws(":", *[short(21 + i, 65536) for i in range(2)]))
+    pairs = F.concat_ws(":", *[short(20 + i, 256, 2) for i in range(8)])
+    scope = F.concat(pick(20, "add", "face", "cafe", "dead", "be", "a", "12"), F.lit("::"), pick(21, "bad", "beef", "dad", "fee", "c", "30"))
+    card = F.regexp_replace(checked(31), "/", slash)
+    amex = F.concat(F.lit("37"), number(32, 12))
+    amex = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: F.concat(amex, c.cast("string"))), _luhn)[0]
+    four = F.concat_ws("-", *[number(40 + i, 4) for i in range(4)])
     phone = pick(2, F.concat(F.lit("("), number(3, 3), F.lit(") "), number(4, 3), F.lit("-"), number(5, 4)), F.concat(number(3, 3), sep, number(4, 3), sep, number(5, 4)), F.concat(F.lit("00"), number(3, 2), F.lit(" "), number(4, 3), F.lit(" "), number(5, 4)))
-    mail = F.concat(pick(6, "ann", "j.smith", "sales", "q77"), pick(7, " (at) ", "[at]", " [at] ", "(at)"), pick(8, "example", "mail", "uni"), pick(9, " (dot) ", ".", "[dot]"), pick(10, "org", "com", "net"))
-    groups = F.concat_ws(":", *[F.lower(F.hex(F.pmod(F.xxhash64("id", F.lit(20 + i)), F.lit(65536)))) for i in range(8)])
     dates = pick(11, F.concat(F.lit("20"), number(12, 2), F.lit("-0"), number(13, 2), F.lit("-"), number(14, 3)), F.concat(number(12, 2), F.lit("."), number(13, 3), F.lit("."), F.lit("20"), number(14, 2)))
-    shape = F.pmod(F.xxhash64("id", F.lit(30)), F.lit(8))
-    kind = F.when(shape.isin(0, 1, 2), "phone").when(shape.isin(3, 4), "card").when(shape == 5, "email").when(shape == 6, "ip").otherwise("phone")
-    four = F.concat_ws("-", *[number(40 + i, 4) for i in range(4)])
-    hit = F.when(shape.isin(0, 1, 2), phone).when(shape == 3, checked(31)).when(shape == 4, four).when(shape == 5, mail).when(shape == 6, groups).otherwise(dates)
-    plain, cue = pick(33, " the quick brown ", " und die ", " of that, ", " in. "), pick(34, " phone: ", " call ", " tel. ", " card ", " mail ", " contact ", " server ip ", " fax ")
-    other = pick(35, " order ", " invoice no. ", " part ", " date: ", " isbn ", " ref #", " token=", " price ")
+    base36 = F.upper(F.concat(*[F.conv(F.pmod(F.xxhash64("id", F.lit(50 + i)), F.lit(36**8)).cast("string"), 10, 36) for i in range(3)]))
+    key = F.concat(pick(53, "AKIA", "ASIA", "AIZA", "LTAI"), F.substr(base36, F.lit(1), F.lit(16)))
+    mixed = F.concat(pick(54, "", "sk-", "ghp_", "xoxb-"), F.substr(F.translate(F.base64(F.unhex(digest(55))), "+/=", "x7"), F.lit(1), F.lit(18) + length % 24))
+    hexes = F.substr(digest(56), F.lit(1), F.lit(16) + length)
+    phrase = F.concat(pick(57, "hunter", "Correct", "s3same!", "dragon"), number(58, 3), pick(59, "!", "", "x", "#Q"))
+    uuid = F.concat_ws("-", *[F.substr(digest(60), F.lit(a), F.lit(w)) for a, w in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    name = F.concat(pick(61, "my_variable_", "figure-number-", "chapter_title_", "layer-weights-"), number(62, 2))
+    code = F.concat(pick(63, "SKU-", "ISBN-", "RFC-", "model-"), number(64, 4), F.lit("-"), pick(65, "AB", "XL-2", "rev-3"), number(66, 4))
+
+    kind = F.element_at(F.array(*[F.lit(k) for k in ALL]), (F.col("id") % len(ALL) + 1).cast("int"))
+    meant, form = F.pmod(F.xxhash64("id", F.lit(30)), F.lit(2)) == 0, F.pmod(F.xxhash64("id", F.lit(29)), F.lit(4))
     beside = F.pmod(F.xxhash64("id", F.lit(36)), F.lit(10))
-    before = F.when(beside < 4, cue).when(beside < 7, plain).otherwise(other)
-    label = F.when(shape == 7, 0).when(shape == 4, F.when(_luhn(_digits(four)), 1).otherwise(0)).when(shape.isin(5, 6), 1).when(shape == 3, 1).when(beside >= 7, 0).otherwise(1)
-    rows = spark.range(0, n, 1, 1).select("id", kind.alias("kind"), hit.alias("hit"), before.alias("before"), pick(37, " ", ". ", ", ", "\n").alias("after"), label.cast("double").alias("label"), F.pmod(F.xxhash64("id", F.lit(38)), F.lit(3)).alias("part"))
+    hits = {
+        "email": (mail, no_mail),
+        "ip": (F.when(form < 2, groups).otherwise(squeezed), F.when(form < 2, pairs).otherwise(scope)),
+        "card": (F.when(form < 3, card).otherwise(amex), four),
+        "phone": (phone, dates),
+        "secret": (F.when(form == 0, key).when(form == 1, mixed).when(form == 2, hexes).otherwise(phrase), F.when(form == 0, uuid).when(form == 1, name).when(form == 2, code).otherwise(hexes)),
+    }
+    words = {
+        "email": (" mail ", " contact ", " write to ", " reach me: "), "ip": (" server ip ", " host ", " address: ", " ping "), "card": (" card ", " credit card: ", " visa ", " payment "),
+        "phone": (" phone: ", " call ", " tel. ", " fax "), "secret": (" password=", ' token = "', " api_key: ", " secret="),
+    }
+    hit = F.coalesce(*[F.when(kind == k, F.when(meant, yes).otherwise(no)) for k, (yes, no) in hits.items()])
+    cue = F.coalesce(*[F.when(kind == k, pick(34, *some)) for k, some in words.items()])
+    plain = pick(33, " the quick brown ", " und die ", " of that, ", " in. ")
+    other = pick(35, " order ", " invoice no. ", " part ", " date: ", " isbn ", " ref #", " commit ", " price ")
+    # A password in plain words is one only where it is assigned, and so is one in hexadecimal digits, which commits and checksums are too.
+    before = F.when((kind == "secret") & meant & (form >= 2), cue).when((kind == "secret") & ~meant & (form == 3) & (beside < 4), plain).when(beside < 4, cue).when(beside < 7, plain).otherwise(other)
+    in_place = beside < 7
+    label = F.when(kind.isin("email", "ip"), meant).when(kind == "card", _luhn(_digits(hit)) & in_place).when(kind == "phone", meant & in_place).otherwise(meant)
+    rows = spark.range(0, n, 1, 1).select("id", kind.alias("kind"), hit.alias("hit"), before.alias("before"), pick(37, " ", ". ", ", ", "\n").alias("after"), label.cast("int").cast("double").alias("label"), F.pmod(F.xxhash64("id", F.lit(38)), F.lit(3)).alias("part"))
     return rows.where("hit is not null")
 
 
@@ -183,7 +231,7 @@ def _model(seed: int) -> tuple[str, dict[str, float]]:
     rows = training_rows(spark).withColumn("x", F.array(*_features(F.col("kind"), F.col("hit"), F.col("before"), F.col("after"))))
     n = len(_features(F.lit(""), F.lit(""), F.lit(""), F.lit("")))
     flat = rows.select("kind", "label", "part", "x", *[F.col("x")[i].alias(f"x{i}") for i in range(n)])
-    flat = VectorAssembler(inputCols=[f"x{i}" for i in range(n)], outputCol="features").transform(flat)
+    flat = VectorAssembler(inputCols=[f"x{i}" for i in range(n)], outputCol="features").transform(flat).persist()
     trained = GBTClassifier(maxIter=ROUNDS, maxDepth=LEVELS, stepSize=0.3, seed=seed).fit(flat.where("part > 0").coalesce(1))
     names = [f"x[{i}]" for i in range(n)]
     margin = " + ".join(f"{w!r}D * {_compiled(t.toDebugString, names)}" for w, t in zip(trained.treeWeights, trained.trees, strict=True))
@@ -192,6 +240,7 @@ def _model(seed: int) -> tuple[str, dict[str, float]]:
     down = spark.sql("select kind, m, sum(right) over w / sum(n) over w as precision from voltweave_pii_held window w as (partition by kind order by m desc)")
     limits = down.where(F.col("precision") >= PRECISION).groupBy("kind").agg(F.min("m").alias("m")).collect()
     spark.catalog.dropTempView("voltweave_pii_held")
+    flat.unpersist()
     return margin, {r["kind"]: r["m"] for r in limits}
 
 
@@ -208,11 +257,25 @@ def _of_kind(spans: str, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
+def _without(df: DataFrame, name: str, others: str, worse: str) -> DataFrame:
+    """Column name (spans p by start) without those that a span q of others (by start) overlaps for which worse holds.
+
+    Both are read in blocks of BLOCK spans, and a block meets only the others' blocks that reach into it.
+    """
+    for side, c in (("p", name), ("q", others)):
+        blocks = f"transform(case when size({c}) > 0 then sequence(0L, (size({c}) - 1) div {BLOCK}) else cast(array() as array<bigint>) end, i -> slice({c}, cast(i * {BLOCK} + 1 as int), {BLOCK}))"
+        df = df.withColumn(f"_pii_{side}", F.expr(f"transform({blocks}, b -> named_struct('spans', b, 'low', b[0].start, 'high', array_max(transform(b, x -> x.end))))"))
+    near = "flatten(transform(filter(_pii_q, q -> q.low < p.high and p.low < q.high), q -> q.spans))"
+    df = df.withColumn("_pii_p", F.expr(f"transform(_pii_p, p -> named_struct('spans', p.spans, 'near', {near}))"))
+    kept = f"filter(b.spans, p -> not exists(b.near, q -> q.start < p.end and p.start < q.end and {worse}))"
+    return df.withColumn(name, F.expr(f"flatten(transform(_pii_p, b -> {kept}))"))
+
+
 def find(docs: DataFrame, seed: int = 5) -> DataFrame:
     """docs (columns as given) with `_pii`: array<struct<kind, start, end, base>> by kind, then start; base: by the rules.
 
     Null text has no spans. Proposed spans are taken where their score reaches their kind's threshold and no rule's span of any kind and
-    no better proposal (by score, then length, then start) overlaps them.
+    no better proposal (by score, then length, then start) overlaps them; a secret may hold a shorter rule's span.
     """
     margin, limits = _model(seed)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -227,13 +290,16 @@ def find(docs: DataFrame, seed: int = 5) -> DataFrame:
     proposed = [_proposals(kind, F.col(f"_pii_{kind}{i}")) for kind, some in _GENERATORS.items() for i in range(len(some))]
     df = df.withColumn("_pii_proposed", F.concat(*proposed))
     limit = " ".join(f"when '{k}' then {v!r}D" for k, v in sorted(limits.items())) or "when '' then 0D"
-    scored = F.expr(f"transform(_pii_proposed, p -> named_struct('kind', p.kind, 'start', p.start, 'end', p.end, 'm', {margin.replace('x[', 'p.x[')}))")
-    df = df.withColumn("_pii_scored", F.when(F.size("_pii_proposed") > 0, scored).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int,m:double>>")))
-    df = df.withColumn("_pii_scored", F.expr(f"filter(_pii_scored, p -> p.m >= case p.kind {limit} end and not exists(_pii_base, b -> b.start < p.end and p.start < b.end))"))
-    best = "filter(_pii_scored, p -> not exists(_pii_scored, q -> q.start < p.end and p.start < q.end and (q.m > p.m or (q.m = p.m and (q.end - q.start > p.end - p.start or (q.end - q.start = p.end - p.start and (q.start < p.start or (q.start = p.start and q.kind < p.kind))))))))"
-    df = df.withColumn("_pii_more", F.expr(f"array_distinct(transform({best}, p -> named_struct('kind', p.kind, 'start', p.start, 'end', p.end, 'base', false)))"))
+    scored = F.expr(f"transform(_pii_proposed, p -> named_struct('start', p.start, 'end', p.end, 'kind', p.kind, 'm', {margin.replace('x[', 'p.x[')}))")
+    df = df.withColumn("_pii_scored", F.when(F.size("_pii_proposed") > 0, scored).otherwise(F.array().cast("array<struct<start:int,end:int,kind:string,m:double>>")))
+    df = df.withColumn("_pii_scored", F.expr(f"array_sort(filter(_pii_scored, p -> p.m >= case p.kind {limit} end))"))
+    df = df.withColumn("_pii_ruled", F.expr("array_sort(transform(_pii_base, b -> named_struct('start', b.start, 'end', b.end)))"))
+    # A secret may reach beyond a rule's span that lies in it; nothing else overlaps one.
+    df = _without(df, "_pii_scored", "_pii_ruled", "not (p.kind = 'secret' and p.start <= q.start and q.end <= p.end and q.end - q.start < p.end - p.start)")
+    df = _without(df, "_pii_scored", "_pii_scored", "(q.m > p.m or (q.m = p.m and (q.end - q.start > p.end - p.start or (q.end - q.start = p.end - p.start and (q.start < p.start or (q.start = p.start and q.kind < p.kind))))))")
+    df = df.withColumn("_pii_more", F.expr("array_distinct(transform(_pii_scored, p -> named_struct('kind', p.kind, 'start', p.start, 'end', p.end, 'base', false)))"))
     every = F.concat("_pii_base", F.col("_pii_more").cast(f"array<{span}>"))
-    rank = "(case {0}.kind when 'email' then 0 when 'ip' then 1 when 'card' then 2 else 3 end)"
+    rank = "(case {0}.kind when 'email' then 0 when 'ip' then 1 when 'card' then 2 when 'phone' then 3 else 4 end)"
     df = df.withColumn("_pii", every)
     key = lambda s: f"{rank.format(s)} * 4294967296 + {s}.start"
     df = df.withColumn("_pii", F.expr(f"array_sort(_pii, (a, b) -> cast(sign(({key('a')}) - ({key('b')})) as int))"))
@@ -258,7 +324,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every span found in its text replaced by its kind in angle brackets; overlapping spans count as one, named after the first. Columns as given."""
+    """docs with every span found in its text replaced by its kind in angle brackets; overlapping spans count as one, named after the first.
+
+    Columns and rows as given: null and empty texts stay, repeated rows are redacted each, spans that start together are named after the
+    longest, and an empty table stays empty.
+    """
     df = find(docs)
     text = F.col("text").cast("string")
     by_start = F.expr("array_sort(_pii, (a, b) -> case when a.start <> b.start then a.start - b.start else b.end - a.end end)")

@@ -156,6 +156,26 @@ def test_zero_rating_has_no_loading(spark):
     assert sustained.sustained_daily_raw(table(spark, {}), place, minutes, ratings).count() == 0
 
 
+def test_coincidental_peaks_read_the_days_once(spark):
+    """Two meters of a DT, two DTs of a location; a category of nulls and a day without values."""
+    rows = [("a", "D1", "F1", None, dt.date(2024, 1, 1), 3.0), ("b", "D1", "F1", None, dt.date(2024, 1, 1), 5.0), ("c", "D2", "F1", "X", dt.date(2024, 2, 1), None)]
+    daily = spark.createDataFrame(rows, "MTR_NO string, DT_CODE_NEW string, SDO_CD string, DT_CAT string, DATE date, DAILY_KVA_SUM double")
+    out = peaks.coincidental_peak_yearly(peaks.coincidental_peak_monthly(daily))
+    want = {("DT", "D1", 202401): 5.0, ("DT", "D2", 202402): None, ("FL", "F1", 202401): 8.0, ("FL", "F1", 202402): 0.0, ("CAT", "X", 202402): 0.0}
+    want |= {("DT_YEARLY", "D1", None): 5.0, ("DT_YEARLY", "D2", None): None, ("FL_YEARLY", "F1", None): 8.0, ("CAT_YEARLY", "X", None): 0.0}
+    assert {(r["LEVEL"], r["KEY"], r["YM"]): r["PEAK"] for r in out.collect()} == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_cleaning_methods(spark):
+    day = dt.date(2024, 1, 20)
+    window = spark.createDataFrame([("m", day - dt.timedelta(days=d), 1, 2.0) for d in (1, 2, 3)], "MTR_NO string, DATE date, TIME_SLOT int, KW_R double")
+    grid = spark.createDataFrame([("m", 1, 1)], "MTR_NO string, TIME_SLOT int, POS int")
+    assert curve.predicted_by("Off", window, grid, "KW_R", day) is None
+    for method in ("Regression", "Auto"):
+        assert [(r["MTR_NO"], r["TIME_SLOT"], r["PREDICTED"]) for r in curve.predicted_by(method, window, grid, "KW_R", day).collect()] == [("m", 1, 2.0)]
+
+
 def test_sustained_clean_has_no_fallback(spark):
     df = table(spark, {"MTR_NO": "OLD", "meter_seq": 1}, {"MTR_NO": "NEW", "meter_seq": 2})
     minutes = spark.createDataFrame([("OLD", 30), ("NEW", 30)], "MTR_NO string, SLOT_MINUTES int")

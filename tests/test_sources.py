@@ -34,6 +34,14 @@ def test_union_by_name(spark, folder):
     assert second["VR"] is None and third["IB"] is None and third["VR"] == 0.0 and third["SOURCE_YM"] == 202402
 
 
+def test_meters_under_other_names(spark, tmp_path):
+    for name, head in (("a_202401", "METER NO"), ("b_202401", " mtr_no "), ("c_202401", "SERIAL"), ("d_202401", "DT_METER_NO,METER_NO")):
+        (tmp_path / f"{name}.csv").write_text(f"{head},OCCUR_D,OCCUR_T,VR\n{name[0]}{',other' if ',' in head else ''},2024-01-05,00:30:00,230\n")
+    rows = csv.raw_readings(spark, csv.files_under(spark, str(tmp_path))).collect()
+    assert sorted((r["MTR_NO"].lower(), r["VR"]) for r in rows) == [("a", 230.0), ("b", 230.0), ("other", 230.0)]
+    assert csv.named(("x", "METER_NO", "MTR_NO"), csv.METER_NAMES) == "MTR_NO" and csv.named(("x",), csv.METER_NAMES) is None
+
+
 MASTER = "MTR_NO string, MONTH int, DT_CODE_NEW string, SDO_CD string, CT_RATIO double, KVA_RATING double, DT_STS string, DT_CAT string, CONSUMER_COUNT double"
 
 

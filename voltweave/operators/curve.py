@@ -239,6 +239,20 @@ def boosted_curves(window: DataFrame, grid: DataFrame, param: str, date: dt.date
     return made.unionByName(others)
 
 
+def predicted_by(method: str, window: DataFrame, grid: DataFrame, param: str, date: dt.date, rounds: int = 150) -> DataFrame | None:
+    """What clean_curve takes from: nothing for 'Off', regression_curve for 'Regression', boosted_curves for 'Boosting' and 'Auto'.
+
+    boosted_curves gives a meter with a short history the regression's curve, so 'Auto' is decided meter by meter.
+    """
+    if method == "Off":
+        return None
+    if method == "Regression":
+        return regression_curve(window, grid, param, date)
+    if method in ("Boosting", "Auto"):
+        return boosted_curves(window, grid, param, date, rounds)
+    raise ValueError(f"no such method: {method}")
+
+
 def clean_curve(filled: DataFrame, flagged: DataFrame, predicted: DataFrame | None) -> DataFrame:
     """FILLED with the prediction in the anomalous slots, where there is one; None leaves it as it is."""
     if predicted is None:

@@ -34,30 +34,29 @@ def daily_kva_sum(readings: DataFrame, hierarchy: DataFrame, granularity: DataFr
     return df.groupBy("MTR_NO", "DT_CODE_NEW", "SDO_CD", "DT_CAT", "DATE").agg(F.sum("KVA").alias("DAILY_KVA_SUM"))
 
 
-#: Level, its key, and whether meters' daily sums are added up before the maximum over days.
-_LEVELS = (("DT", "DT_CODE_NEW", False), ("FL", "SDO_CD", True), ("CAT", "DT_CAT", True))
+#: Levels and their keys.
+_LEVELS = (("DT", "DT_CODE_NEW"), ("FL", "SDO_CD"), ("CAT", "DT_CAT"))
 
 
 def coincidental_peak_monthly(daily: DataFrame) -> DataFrame:
     """LEVEL, KEY, YEAR, YM, MONTH, PEAK: of a DT the largest daily sum of one of its meters, of a location or category that of all its meters.
 
-    Null keys have no peak; where no slot has a value a day counts 0.
+    Null keys have no peak; where no slot has a value a location's or category's day counts 0. daily is evaluated once: each of its rows
+    goes to its three keys, and the days' sums and maxima are combined before the shuffle.
     """
-    daily = daily.withColumn("YM", month_of(F.col("DATE")))
-    out = None
-    for level, key, add_up in _LEVELS:
-        rows = daily.where(F.col(key).isNotNull())
-        if add_up:
-            rows = rows.groupBy(key, "DATE", "YM").agg(F.coalesce(F.sum("DAILY_KVA_SUM"), F.lit(0.0)).alias("DAILY_KVA_SUM"))
-        peak = rows.groupBy(F.col(key).alias("KEY"), "YM").agg(F.max("DAILY_KVA_SUM").alias("PEAK")).withColumn("LEVEL", F.lit(level))
-        out = peak if out is None else out.unionByName(peak)
+    keys = F.array(*[F.struct(F.lit(level).alias("LEVEL"), F.col(key).cast("string").alias("KEY")) for level, key in _LEVELS])
+    rows = daily.select(F.explode(keys).alias("k"), "DATE", "DAILY_KVA_SUM").select("k.LEVEL", "k.KEY", "DATE", "DAILY_KVA_SUM").where("KEY is not null")
+    days = rows.groupBy("LEVEL", "KEY", "DATE").agg(F.max("DAILY_KVA_SUM").alias("one"), F.coalesce(F.sum("DAILY_KVA_SUM"), F.lit(0.0)).alias("all"))
+    day = F.when(F.col("LEVEL") == "DT", F.col("one")).otherwise(F.col("all"))
+    out = days.groupBy("LEVEL", "KEY", month_of(F.col("DATE")).alias("YM")).agg(F.max(day).alias("PEAK"))
     return out.select("LEVEL", "KEY", F.expr("cast(YM div 100 as int)").alias("YEAR"), "YM", (F.col("YM") % 100).alias("MONTH"), "PEAK")
 
 
 def coincidental_peak_yearly(monthly: DataFrame) -> DataFrame:
-    """The months with their years' maxima beneath, told apart by LEVEL."""
-    yearly = monthly.groupBy("LEVEL", "KEY", "YEAR").agg(F.max("PEAK").alias("PEAK")).withColumn("LEVEL", F.concat("LEVEL", F.lit("_YEARLY")))
-    return monthly.unionByName(yearly, allowMissingColumns=True)
+    """The months with their years' maxima beneath, told apart by LEVEL; monthly is evaluated once."""
+    year = [F.concat("LEVEL", F.lit("_YEARLY")).alias("LEVEL"), "KEY", "YEAR", *[F.lit(None).cast(monthly.schema[c].dataType).alias(c) for c in ("YM", "MONTH")], "PEAK"]
+    both = monthly.select(F.explode(F.array(F.struct("LEVEL", "KEY", "YEAR", "YM", "MONTH", "PEAK"), F.struct(*year))).alias("m")).select("m.*")
+    return both.groupBy("LEVEL", "KEY", "YEAR", "YM", "MONTH").agg(F.max("PEAK").alias("PEAK"))
 
 
 def monthly_peak_raw(readings: DataFrame, hierarchy: DataFrame, granularity: DataFrame) -> DataFrame:
@@ -94,6 +93,11 @@ def peak_delta_kpis(peaks: DataFrame) -> DataFrame:
     return rows.agg(F.max("PEAK_KVA_RAW").alias("max_raw"), F.max("PEAK_KVA_CLEAN").alias("max_clean"), F.max(F.abs("delta")).alias("max_delta"), F.max_by("YM", order).alias("max_delta_ym"), F.avg(F.when(F.col("PEAK_KVA_RAW") != 0, F.col("delta") / F.expr("nullif(PEAK_KVA_RAW, 0)") * 100)).alias("mean_delta_pct"))
 
 
+def pivot_both(peaks: DataFrame, months: list[int]) -> DataFrame:
+    """A DT's highest raw and clean peak of each of these months side by side: DT_CODE_NEW, '202401_raw', '202401_clean', ..."""
+    return peaks.groupBy("DT_CODE_NEW").pivot("YM", months).agg(F.max("PEAK_KVA_RAW").alias("raw"), F.max("PEAK_KVA_CLEAN").alias("clean"))
+
+
 def pivot(df: DataFrame, row: str, column: str, values: list, value: str, how: str = "max") -> DataFrame:
     """row by column; `values` fixes the columns and their order."""
     return df.groupBy(row).pivot(column, values).agg(getattr(F, how)(value))

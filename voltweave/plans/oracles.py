@@ -173,6 +173,7 @@ ORACLES = {
     "yearly_peak": _sql("select * from yearly", "YEARLY_PEAK"),
     "yoy_growth": _sql("select * from growth", "YEARLY_PEAK YOY_PCT"),
     "growth_kpis": _sql("select avg(YOY_PCT) as avg_yoy, max(YOY_PCT) as max_yoy, min(YOY_PCT) as min_yoy, count(distinct YEAR) as n_years from growth", "avg_yoy max_yoy min_yoy"),
+    "peak_pivot_both": _sql("select DT_CODE_NEW, " + ", ".join(f'round(max(case when YM = {m} then {v} end), 7) as "{m}_{n}"' for m in (202312, 202401, 202402) for n, v in (("raw", "PEAK_KVA_RAW"), ("clean", "PEAK_KVA_CLEAN"))) + " from clean_peaks group by 1"),
     "growth_pivot": _sql(_pivot("(select * from yearly )", "YEAR", range(1992, 2002), "YEARLY_PEAK", "max")),
     "compound_growth": _sql("select *, case when first_peak > 0 and last_year > first_year then (power(last_peak / first_peak, 1.0 / (last_year - first_year)) - 1) * 100 end as CAGR_PCT from (select DT_CODE_NEW, min(YEAR) as first_year, max(YEAR) as last_year, arg_min(YEARLY_PEAK, YEAR) as first_peak, arg_max(YEARLY_PEAK, YEAR) as last_peak from yearly group by 1)", "first_peak last_peak CAGR_PCT"),
     "dt_rating": _sql("select DT_CODE_NEW, max(KVA_RATING) as DT_KVA_RATING from places group by 1"),
@@ -193,6 +194,7 @@ ORACLES = {
       (select min(POS) from curve x where x.MTR_NO = c.MTR_NO and x.POS > c.POS and x.ACTUAL is not null) as r, (select max(POS) from curve x where x.MTR_NO = c.MTR_NO) as e from curve c where ACTUAL is null)"""),
     "interpolate_linear": _sql("select MTR_NO, TIME_SLOT, POS, ACTUAL, PRESENT, FILLED from line", "ACTUAL FILLED"),
     "regression_curve": _sql("select * from regression", "PREDICTED"),
+    "clean_curve_off": _sql("select MTR_NO, TIME_SLOT, POS, FILLED as CLEAN from line", "CLEAN"),
     "clean_curve": _sql("select l.MTR_NO, l.TIME_SLOT, l.POS, case when f.ANOMALY_DIR <> 'OK' then coalesce(r.PREDICTED, l.FILLED) else l.FILLED end as CLEAN from line l left join flagged f using (MTR_NO, TIME_SLOT) left join regression r using (MTR_NO, TIME_SLOT)", "CLEAN"),
     "curve_slope": _sql("select c.MTR_NO, c.TIME_SLOT, c.ACTUAL - p.ACTUAL as SLOPE from curve c left join curve p on p.MTR_NO = c.MTR_NO and p.POS = c.POS - 1", "SLOPE"),
     "curve_kpis": _sql("select MTR_NO, peak, n_missing, coalesce(n_anomalies, 0) as n_anomalies, max_upper, min_lower from (select MTR_NO, max(ACTUAL) as peak, count(*) filter (where ACTUAL is null) as n_missing from curve group by 1) left join (select MTR_NO, count(*) filter (where ANOMALY_DIR <> 'OK') as n_anomalies from flagged group by 1) using (MTR_NO) left join (select MTR_NO, max(UPPER_THRESH) as max_upper, min(LOWER_THRESH) as min_lower from band group by 1) using (MTR_NO)", "peak max_upper min_lower"),
@@ -201,6 +203,7 @@ ORACLES = {
     "health_span": _sql("select case when p < 40 then 'below' else 'above' end as side, count(*) as n_dts, avg(d) as avg_days, avg(s) as avg_span from health join (select DT_CODE_NEW, count(distinct DATE) as d, date_diff('day', min(DATE), max(DATE)) as s from clean group by 1) using (DT_CODE_NEW) group by 1", "avg_days avg_span"),
     "total_dts": _sql("select count(distinct DT_CODE_NEW) as total_dts from clean"),
     "anomaly_search": _sql("select MTR_NO, DT_CODE_NEW, DATE, TIME_SLOT, CATEGORY, ANOMALY_TYPE from anomalies where CATEGORY = 'Phase Loss (KW/KVAR)' and DATE between DATE '2024-01-05' and DATE '2024-01-20'"),
+    "anomaly_search_fl": _sql("select MTR_NO, DT_CODE_NEW, DATE, TIME_SLOT, CATEGORY, ANOMALY_TYPE from anomalies where DATE = DATE '2024-01-20' and DT_CODE_NEW in (select DT_CODE_NEW from hierarchy where SDO_CD = 'FL2')"),
     "anomaly_summary": _sql("select *, n = max(n) over () as is_top from (select CATEGORY, count(*) as n, count(distinct DT_CODE_NEW) as n_dts, count(distinct MTR_NO) as n_meters, count(*) filter (where SEVERITY in ('HIGH', 'CRITICAL')) as n_severe from anomalies group by 1)"),
     "anomaly_types": _sql("select ANOMALY_TYPE, count(*) as n from anomalies group by 1"),
     "check_anomalies_match": _sql("select count(*) as n_slots, count(*) as n_matched from (select distinct MTR_NO, DATE, TIME_SLOT from hard intersect select MTR_NO, DATE, TIME_SLOT from clean )"),

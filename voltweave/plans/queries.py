@@ -122,6 +122,7 @@ _QUERIES = {
     "monthly_peak_reconstructed": lambda t: peaks.monthly_peak_reconstructed(t.clean, t.bad, t.minutes).withColumn("PEAK_KVA_RECONSTRUCTED", F.round("PEAK_KVA_RECONSTRUCTED", 4)),
     "peak_delta_kpis": lambda t: peaks.peak_delta_kpis(t.clean_peaks),
     "peak_pivot": lambda t: peaks.pivot(t.monthly.where("YEAR = 1996"), "DT_CODE_NEW", "YM", list(range(199601, 199613)), "PEAK_KVA_RAW"),
+    "peak_pivot_both": lambda t: peaks.pivot_both(t.clean_peaks, [202312, 202401, 202402]),
     "yearly_peak": lambda t: t.yearly,
     "yoy_growth": lambda t: t.growth,
     "growth_kpis": lambda t: growth.growth_kpis(t.growth),
@@ -145,6 +146,7 @@ _QUERIES = {
     "interpolate_gaps": lambda t: curve.interpolate_gaps(t.curve),
     "regression_curve": lambda t: t.regression,
     "boosted_curve": lambda t: curve.boosted_curves(w := curve.meter_window(t.dedup, t.minutes, DAY), curve.slot_grid(w), "KW_R", DAY),
+    "clean_curve_off": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, curve.predicted_by("Off", t.window, t.grid, "KW_R", DAY)).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "clean_curve": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, t.regression).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "curve_slope": lambda t: curve.curve_slope(t.curve).select("MTR_NO", "TIME_SLOT", "SLOPE"),
     "curve_kpis": lambda t: curve.curve_kpis(t.curve, t.flagged, t.band),
@@ -156,6 +158,7 @@ _QUERIES = {
     "health_span": lambda t: health.health_span(t.clean, t.report, 40.0),
     "total_dts": lambda t: health.total_dts(t.clean),
     "anomaly_search": lambda t: anomalies.anomaly_search(t.anomalies, "Phase Loss (KW/KVAR)", start=dt.date(2024, 1, 5), end=DAY).drop("SEVERITY"),
+    "anomaly_search_fl": lambda t: anomalies.anomaly_search(t.anomalies, fl="FL2", start=DAY, end=DAY, hierarchy=t.hierarchy).drop("SEVERITY"),
     "anomaly_summary": lambda t: anomalies.anomaly_summary(t.anomalies),
     "anomaly_types": lambda t: anomalies.anomaly_types(t.anomalies),
     "check_anomalies_match": lambda t: checks.anomalies_match(t.clean, t.hard),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,23 +23,39 @@ def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", True).csv(file).columns)
 
 
-def read_csv_by_name(spark: SparkSession, files: list[str], columns: list[str] | None = None) -> DataFrame:
+#: Names under which files give the meter.
+METER_NAMES = ("MTR_NO", "METER_NO", "MTR NO", "METER NO", "DT_METER_NO", "DT METER NO")
+
+
+def named(header: tuple[str, ...], names: tuple[str, ...]) -> str | None:
+    """The column of a header that has the first of these names it holds, whatever its case and the blanks around it."""
+    by_name = {c.strip().upper(): c for c in reversed(header)}
+    return next((by_name[n] for n in names if n in by_name), None)
+
+
+def read_csv_by_name(spark: SparkSession, files: list[str], columns: list[str] | None = None, aliases: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """CSV files as strings, put together by column name; SOURCE_FILE is the file's name.
 
     Spark matches a schema to columns by position, so files are read per header, one scan for all files that share it. Malformed rows
-    are dropped. columns: only these, null where a file lacks them; none: all that any file has.
+    are dropped. columns: only these, null where a file lacks them; none: all that any file has. aliases: other names of some of the columns, by
+    preference; files that have none of a column's names are left out, with a warning.
     """
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for f in files:
         by_header[header_of(spark, f)].append(f)
     out = None
     for header, same in by_header.items():
+        source = {c: named(header, names) for c, names in (aliases or {}).items()}
+        if lacking := [c for c, found in source.items() if found is None]:
+            logging.getLogger(__name__).warning("%d files without %s are left out: %s", len(same), ", ".join(lacking), same[0])
+            continue
+        source = {c: c for c in header} | source
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         part = spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").csv(same)
         names = columns if columns is not None else list(header)
         # DROPMALFORMED counts columns only where all are read, so a row's width is checked by reading them all.
         part = part.select("*", F.col("_metadata.file_name").alias("SOURCE_FILE"))
-        part = part.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in names], "SOURCE_FILE")
+        part = part.select(*[F.col(f"`{source[c]}`").alias(c) if c in source else F.lit(None).cast("string").alias(c) for c in names], "SOURCE_FILE")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*(columns or ()), "SOURCE_FILE")]))
@@ -53,7 +70,7 @@ def month_of_file(name: str = "SOURCE_FILE") -> F.Column:
 def raw_readings(spark: SparkSession, files: list[str]) -> DataFrame:
     """Typed readings: MTR_NO, OCCUR_D_RAW, TIME_SLOT 'HH:mm', 13 parameters, SOURCE_YM. Values that can't be read, and NaN, are null."""
     values = {p: "KWH_ABS" if p == ENERGY else p for p in PARAMETERS}
-    raw = read_csv_by_name(spark, files, ["MTR_NO", "OCCUR_D", "OCCUR_T", *values.values()])
+    raw = read_csv_by_name(spark, files, ["MTR_NO", "OCCUR_D", "OCCUR_T", *values.values()], {"MTR_NO": METER_NAMES})
     number = lambda c: F.nanvl(F.expr(f"try_cast({c} as double)"), F.lit(None).cast("double"))
     return raw.select(
         normalize_meter_id(F.col("MTR_NO")).alias("MTR_NO"), F.expr("try_cast(OCCUR_D as date)").alias("OCCUR_D_RAW"), F.substring("OCCUR_T", 1, 5).alias("TIME_SLOT"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, ctw, minhash, mixing, mpeg, packing, pii, topk, viterbi
+from . import chat, crf, ctw, minhash, mixing, mpeg, packing, pii, topk, viterbi, winnow
 from .common import table
 
 
@@ -61,6 +61,11 @@ def op10_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(table(spark, sf_dir, "documents"), folds=5, held_fold=0)
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likenesses."""
+    return winnow.edit_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_viterbi_counts": op8_viterbi_counts,
     "op9_mpeg_audio": op9_mpeg_audio,
     "op10_crf_language_id": op10_crf_language_id,
+    "op11_winnowing": op11_winnowing,
 }
 
 ORACLES = {

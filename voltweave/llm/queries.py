@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, ctw, minhash, mixing, mpeg, packing, pii, topk, viterbi, winnow
+from . import chat, crf, ctw, minhash, mixing, mpeg, negatives, packing, pii, topk, viterbi, winnow
 from .common import table
 
 
@@ -66,6 +66,12 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the rows whose vec_id is divisible by 100, with every seventh vec_id's label moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -78,6 +84,7 @@ QUERIES = {
     "op9_mpeg_audio": op9_mpeg_audio,
     "op10_crf_language_id": op10_crf_language_id,
     "op11_winnowing": op11_winnowing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -97,6 +104,16 @@ s as (select q.id query_id, c.id vec_id, cast(list_sum(list_transform(range(1, l
   from v q join v c on q.id <> c.id and len(q.e) = len(c.e) where q.id % 50 = 0)
 select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score from s
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+""",
+    "op13_hard_negatives": """
+with v as (select cast(vec_id as bigint) id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, row_number() over () r from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.r qr, q.id anchor_id, c.r cr, c.id, q.label = c.label same, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) score
+  from v q join v c on q.r <> c.r and len(q.e) = len(c.e) where q.id % 100 = 0),
+p as (select qr, anchor_id, id positive_id, score positive_score, row_number() over (partition by qr order by score desc, id, cr) k from s where same qualify k <= 5)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.qr, k order by score desc, id, cr) as integer) rank, id negative_id, positive_score, score negative_score
+from p join s on p.qr = s.qr and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by p.qr, k order by score desc, id, cr) <= 10
 """,
     "op1_mix_sources": r"""
 with d as (select doc_id, coalesce(source, '') src, source is null src_null, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) size,

@@ -28,11 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes df to the shared folder and reads it again: cuts the lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voltweave-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, ctw, minhash, mixing, mpeg, negatives, packing, pii, topk, viterbi, winnow
+from . import chat, crf, ctw, minhash, mixing, mpeg, negatives, packing, phrases, pii, topk, viterbi, winnow
 from .common import table
 
 
@@ -66,6 +66,11 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language of the documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of the rows whose vec_id is divisible by 100, with every seventh vec_id's label moved on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_mpeg_audio": op9_mpeg_audio,
     "op10_crf_language_id": op10_crf_language_id,
     "op11_winnowing": op11_winnowing,
+    "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -104,6 +110,21 @@ s as (select q.id query_id, c.id vec_id, cast(list_sum(list_transform(range(1, l
   from v q join v c on q.id <> c.id and len(q.e) = len(c.e) where q.id % 50 = 0)
 select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score from s
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+""",
+    "op12_collocations": r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t, row_number() over () doc from documents),
+p as (select lang, doc, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) piece, generate_subscripts(string_split_regex(t, '[.,;:!?\x0A-\x0D]'), 1) no from d),
+w as (select lang, doc, no, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') ws from p),
+t as (select lang, sum(len(ws))::bigint n from w group by 1),
+g as (select lang, m, ws[i : i + m - 1] ph from (select lang, ws, m, unnest(range(1, len(ws) - m + 2)) i from w, (values (1), (2), (3), (4), (5)) z(m) where len(ws) >= m)),
+f as (select lang, m, ph, count(*) f from g group by all having count(*) >= 100),
+c as (select a.lang, a.ph, a.m, a.f a, l.f l, r.f r, n, k, (1000::hugeint * a.f * n) // (l.f::hugeint * r.f) score
+  from (select *, unnest(range(1, m)) k from f where m > 1) a join t on t.lang = a.lang join f l on l.lang = a.lang and l.ph = a.ph[1 : k] join f r on r.lang = a.lang and r.ph = a.ph[k + 1 : m]),
+b as (select * from c qualify row_number() over (partition by lang, ph order by score, k) = 1),
+x as (select lang, ph[i : i + s - 1] ph, max(f) f from (select lang, f, ph, s, unnest(range(1, m - s + 2)) i from f, (values (2), (3), (4)) z(s) where s < m) group by 1, 2),
+o as (select b.*, array_to_string(b.ph, ' ') phrase from b left join x on x.lang = b.lang and x.ph = b.ph where x.f is null or x.f < b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint a, l::bigint l, r::bigint r, n, score::bigint score from o
+qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000
 """,
     "op13_hard_negatives": """
 with v as (select cast(vec_id as bigint) id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, row_number() over () r from embeddings

@@ -119,7 +119,7 @@ t as (select lang, sum(len(ws))::bigint n from w group by 1),
 g as (select lang, m, ws[i : i + m - 1] ph from (select lang, ws, m, unnest(range(1, len(ws) - m + 2)) i from w, (values (1), (2), (3), (4), (5)) z(m) where len(ws) >= m)),
 f as (select lang, m, ph, count(*) f from g group by all having count(*) >= 100),
 c as (select a.lang, a.ph, a.m, a.f a, l.f l, r.f r, n, k, (1000::hugeint * a.f * n) // (l.f::hugeint * r.f) score
-  from (select *, unnest(range(1, m)) k from f where m > 1) a join t on t.lang = a.lang join f l on l.lang = a.lang and l.ph = a.ph[1 : k] join f r on r.lang = a.lang and r.ph = a.ph[k + 1 : m]),
+  from (select *, unnest(range(1, m)) k from f where m > 1) a join t on t.lang = a.lang join f l on l.lang = a.lang and l.ph = a.ph[1 : k] join f r on r.lang = a.lang and r.ph = a.ph[k + 1 : a.m]),
 b as (select * from c qualify row_number() over (partition by lang, ph order by score, k) = 1),
 x as (select lang, ph[i : i + s - 1] ph, max(f) f from (select lang, f, ph, s, unnest(range(1, m - s + 2)) i from f, (values (2), (3), (4)) z(s) where s < m) group by 1, 2),
 o as (select b.*, array_to_string(b.ph, ' ') phrase from b left join x on x.lang = b.lang and x.ph = b.ph where x.f is null or x.f < b.a)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from voltweave.operators import coverage, curve, forecast, growth, health, master, peaks, readings, rules, sustained, thresholds
+from voltweave.operators import coverage, curve, growth, health, master, peaks, readings, rules, sustained, thresholds
 
 D = dt.date(2024, 1, 10)
 NUMBERS = ["VR", "VY", "VB", "IR", "IY", "IB", "KW_R", "KW_Y", "KW_B", "KVAR_R", "KVAR_Y", "KVAR_B", "KWH_TOTAL"]
@@ -208,18 +208,6 @@ def test_health_rounds_before_the_limit(spark):
     assert (row["health_pct"], row["top_anomaly_type"], row["anomaly_type_breakdown"]) == (50.0, "X", "X:1252")
 
 
-def test_forecast_needs_four_years():
-    import numpy as np
-
-    years = np.array([2018.0, 2019, 2020, 2021, 2022])
-    assert forecast.fit_best_model(years[:3], years[:3], 2027) is None
-    method, value, _ = forecast.fit_best_model(years, 3 * years - 6000, 2027)
-    assert method == "linear" and value == pytest.approx(81.0)
-    assert forecast.fit_best_model(years, (years - 2010) ** 2, 2027)[0] == "quadratic"
-    method, value, _ = forecast.fit_best_model(years, np.exp((years - 2000) / 3), 2027)
-    assert method == "exponential" and value == pytest.approx(np.exp(9), rel=1e-6)
-
-
 def test_splines_reproduce_polynomials():
     import numpy as np
 

@@ -78,6 +78,14 @@ _WITH = {
     "clean_peaks": "select r.*, c.PEAK_KVA_CLEAN from (select MTR_NO, DT_CODE_NEW, YM, max(KVA) as PEAK_KVA_RAW from read_kva group by all) r left join (select MTR_NO, YM, max(KVA) as PEAK_KVA_CLEAN from clean_kva group by all) c using (MTR_NO, YM)",
     "yearly": "select DT_CODE_NEW, YEAR, max(PEAK_KVA_RAW) as YEARLY_PEAK from monthly group by all",
     "growth": "select *, (YEARLY_PEAK / nullif(lag(YEARLY_PEAK) over (partition by DT_CODE_NEW order by YEAR), 0) - 1) * 100 as YOY_PCT from yearly",
+    # Each year beside the others of its DT, and the year asked for beside all.
+    "points": "select DT_CODE_NEW, YEARLY_PEAK as v, ln(greatest(YEARLY_PEAK, 1e-6)) as lv, YEAR - avg(YEAR) over (partition by DT_CODE_NEW) as x, 2003 - avg(YEAR) over (partition by DT_CODE_NEW) as asked, count(*) over (partition by DT_CODE_NEW) as n_years from yearly where YEARLY_PEAK is not null",
+    "beside": "select i.DT_CODE_NEW, i.x as place, i.v as seen, j.x, j.v, j.lv from points i join points j on i.DT_CODE_NEW = j.DT_CODE_NEW and i.x <> j.x where i.n_years >= 4 union all select DT_CODE_NEW, asked, null, x, v, lv from points where n_years >= 4",
+    "fits": """select DT_CODE_NEW, seen, lin, ex, ((c00*t0 + c01*t1 + c02*t2) + (c01*t0 + c11*t1 + c12*t2) * place + (c02*t0 + c12*t1 + c22*t2) * place * place) / (s0*c00 + s1*c01 + s2*c02) as quad from (
+      select *, s2*s4 - s3*s3 as c00, s2*s3 - s1*s4 as c01, s1*s3 - s2*s2 as c02, s0*s4 - s2*s2 as c11, s1*s2 - s0*s3 as c12, s0*s2 - s1*s1 as c22 from (
+      select DT_CODE_NEW, place, seen, count(*)::double as s0, sum(x) as s1, sum(x*x) as s2, sum(x*x*x) as s3, sum(x*x*x*x) as s4, sum(v) as t0, sum(v*x) as t1, sum(v*x*x) as t2, regr_intercept(v, x) + regr_slope(v, x) * place as lin, exp(regr_intercept(lv, x) + regr_slope(lv, x) * place) as ex from beside group by DT_CODE_NEW, place, seen))""",
+    "foreseen": """select *, coalesce((FORECAST / nullif(CURRENT_PEAK, 0) - 1) * 100, 0) as GROWTH_PCT from (select f.DT_CODE_NEW, case when e0 <= e1 and e0 <= e2 then 'linear' when e1 <= e2 then 'quadratic' else 'exponential' end as METHOD, case when e0 <= e1 and e0 <= e2 then lin when e1 <= e2 then quad else ex end as FORECAST, least(e0, e1, e2) as LOO_ERROR, p as CURRENT_PEAK
+      from (select * from fits where seen is null) f join (select DT_CODE_NEW, avg(power(lin - seen, 2)) as e0, avg(power(quad - seen, 2)) as e1, avg(power(ex - seen, 2)) as e2 from fits where seen is not null group by 1) e using (DT_CODE_NEW) join (select DT_CODE_NEW, arg_max(YEARLY_PEAK, YEAR) as p from yearly group by 1) l using (DT_CODE_NEW))""",
     "loaded": "select DT_CODE_NEW, YEAR, YM, DATE, SLOT_MINUTES, sum(KVA) / 110 as loading from load_kva group by DT_CODE_NEW, YEAR, YM, DATE, TIME_SLOT, SLOT_MINUTES",
     "sustained": f"select DT_CODE_NEW, YEAR, YM, DATE, {_BANDS} as BAND, sum(SLOT_MINUTES / 60.0::double) as hours_in_band from loaded where loading >= 0.7 group by all",
     "band_hours": "select DT_CODE_NEW, YEAR, YM, BAND, sum(hours_in_band) as hours_in_band from sustained group by all",
@@ -176,6 +184,9 @@ ORACLES = {
     "peak_pivot_both": _sql("select DT_CODE_NEW, " + ", ".join(f'round(max(case when YM = {m} then {v} end), 7) as "{m}_{n}"' for m in (202312, 202401, 202402) for n, v in (("raw", "PEAK_KVA_RAW"), ("clean", "PEAK_KVA_CLEAN"))) + " from clean_peaks group by 1"),
     "growth_pivot": _sql(_pivot("(select * from yearly )", "YEAR", range(1992, 2002), "YEARLY_PEAK", "max")),
     "compound_growth": _sql("select *, case when first_peak > 0 and last_year > first_year then (power(last_peak / first_peak, 1.0 / (last_year - first_year)) - 1) * 100 end as CAGR_PCT from (select DT_CODE_NEW, min(YEAR) as first_year, max(YEAR) as last_year, arg_min(YEARLY_PEAK, YEAR) as first_peak, arg_max(YEARLY_PEAK, YEAR) as last_peak from yearly group by 1)", "first_peak last_peak CAGR_PCT"),
+    "fit_best_model": _sql("select DT_CODE_NEW, METHOD, round(FORECAST, 4) as FORECAST, round(LOO_ERROR, 3) as LOO_ERROR from foreseen"),
+    "dt_forecast": _sql("select DT_CODE_NEW, METHOD, round(FORECAST, 4) as FORECAST, round(LOO_ERROR, 3) as LOO_ERROR, round(CURRENT_PEAK, 7) as CURRENT_PEAK, round(GROWTH_PCT, 4) as GROWTH_PCT from foreseen"),
+    "fl_forecast": _sql("select SDO_CD, round(sum(FORECAST), 4) as FORECAST, round(sum(CURRENT_PEAK), 4) as CURRENT_PEAK, count(*) as n_dts from foreseen join (select distinct DT_CODE_NEW, SDO_CD from places ) using (DT_CODE_NEW) group by 1"),
     "dt_rating": _sql("select DT_CODE_NEW, max(KVA_RATING) as DT_KVA_RATING from places group by 1"),
     "sustained_daily_raw": _sql("select * from sustained", "hours_in_band"),
     "sustained_daily_clean": _sql(f"select DT_CODE_NEW, (YM // 100)::integer as YEAR, YM, DATE, {_BANDS} as BAND, sum(SLOT_MINUTES / 60.0::double) as hours_in_band from (select *, KVA / 30 as loading, row_number() over (partition by DT_CODE_NEW, DATE, TIME_SLOT order by meter_seq desc, MTR_NO) as rk from clean_kva ) where rk = 1 and loading >= 0.7 group by all", "hours_in_band"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltweave.functions.columns import normalize_meter_id, slot_kva
@@ -73,6 +73,11 @@ _TABLES = {
 _RULES = ["DT_CODE_NEW", "MTR_NO", "DATE", "TIME_SLOT"]
 
 
+def _to(c: str, places: int) -> Column:
+    """What is solved for from sums differs in more of its last digits."""
+    return F.round(c, places).alias(c)
+
+
 def _placed(t: Tables) -> DataFrame:
     """LOADS without their own place, joined to the time-aware master."""
     return readings.asof_master_join(t.loads.drop("DT_CODE_NEW", "SDO_CD"), t.master, t.earliest, t.sequence)
@@ -150,9 +155,9 @@ _QUERIES = {
     "clean_curve": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, t.regression).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "curve_slope": lambda t: curve.curve_slope(t.curve).select("MTR_NO", "TIME_SLOT", "SLOPE"),
     "curve_kpis": lambda t: curve.curve_kpis(t.curve, t.flagged, t.band),
-    "fit_best_model": lambda t: t.forecasts.select("DT_CODE_NEW", "METHOD", "FORECAST", "LOO_ERROR"),
-    "dt_forecast": lambda t: t.forecasts,
-    "fl_forecast": lambda t: forecast.fl_forecast(t.forecasts, t.places),
+    "fit_best_model": lambda t: t.forecasts.select("DT_CODE_NEW", "METHOD", _to("FORECAST", 4), _to("LOO_ERROR", 3)),
+    "dt_forecast": lambda t: t.forecasts.select("DT_CODE_NEW", "METHOD", _to("FORECAST", 4), _to("LOO_ERROR", 3), "CURRENT_PEAK", _to("GROWTH_PCT", 4)),
+    "fl_forecast": lambda t: forecast.fl_forecast(t.forecasts, t.places).select("SDO_CD", _to("FORECAST", 4), _to("CURRENT_PEAK", 4), "n_dts"),
     "health_report": lambda t: health.health_report(t.clean, t.hard, t.threshold, 20.0),
     "health_distribution": lambda t: health.health_distribution(t.report),
     "health_span": lambda t: health.health_span(t.clean, t.report, 40.0),

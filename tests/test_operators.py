@@ -208,22 +208,6 @@ def test_health_rounds_before_the_limit(spark):
     assert (row["health_pct"], row["top_anomaly_type"], row["anomaly_type_breakdown"]) == (50.0, "X", "X:1252")
 
 
-def test_splines_reproduce_polynomials():
-    import numpy as np
-
-    nan, x = float("nan"), np.arange(24.0)
-    for degree, gap in ((1, 1), (1, 2), (2, 3), (2, 4), (3, 5), (3, 6)):
-        y = (x - 7) ** degree
-        broken = y.copy()
-        broken[9 : 9 + gap] = nan
-        filled, methods = curve.fill_gaps(broken)
-        assert np.allclose(filled, y) and methods[9] == ("linear", "quadratic", "cubic")[degree - 1]
-    edge, methods = curve.fill_gaps(np.array([nan, 1.0, nan, 2.0, nan]))
-    assert np.isnan(edge[[0, 4]]).all() and edge[2] == 1.5 and methods == [None, None, "linear", None, None]
-    few, methods = curve.fill_gaps(np.array([1.0, nan, nan, nan, 5.0]))
-    assert list(few) == [1, 2, 3, 4, 5] and methods[1] == "linear"
-
-
 def test_day_curve_and_gaps(spark):
     rows = [{"TIME_SLOT": s, "KW_R": float(s)} for s in (1, 4, 6)] + [{"TIME_SLOT": s, "DATE": dt.date(2024, 1, 9), "KW_R": 3.0} for s in range(1, 8)]
     minutes = spark.createDataFrame([("M1", 30)], "MTR_NO string, SLOT_MINUTES int")

@@ -1,6 +1,6 @@
 """A day's load curve: its slots, the band of the week before, gaps and how they are filled, and predictions.
 
-All work on every meter at once; the series of one meter and day are short, and are gathered in one task only for splines.
+All work on every meter at once; the series of one meter and day are short. Only boosted trees leave the JVM, a meter's half year at a time.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltweave.constants import BOOSTING_DAYS, BOOSTING_ROWS, FIT_WINDOW, LINEAR_GAP, QUADRATIC_GAP, REGRESSION_DAYS
@@ -75,59 +75,115 @@ def missing_slot_runs(curve: DataFrame) -> DataFrame:
     return rows.select("MTR_NO", "TIME_SLOT", "POS", "GAP_POSITION", "GAP_LENGTH", "METHOD")
 
 
-def _basis(knots: np.ndarray, degree: int, i: int, x: np.ndarray) -> np.ndarray:
-    """Cox-de Boor's recursion for the i-th B-spline."""
-    if degree == 0:
-        inside = (knots[i] <= x) & (x < knots[i + 1])
-        return (inside | ((x == knots[-1]) & (knots[i] < knots[i + 1]) & (knots[i + 1] == knots[-1]))).astype(float)
-    out = np.zeros(len(x))
-    if knots[i + degree] > knots[i]:
-        out += (x - knots[i]) / (knots[i + degree] - knots[i]) * _basis(knots, degree - 1, i, x)
-    if knots[i + degree + 1] > knots[i + 1]:
-        out += (knots[i + degree + 1] - x) / (knots[i + degree + 1] - knots[i + 1]) * _basis(knots, degree - 1, i + 1, x)
-    return out
+def _solved(rows: Column) -> Column:
+    """The solution of a tridiagonal system; rows: array of structs a, b, c (below, on and above the diagonal) and d (right side)."""
+
+    def forward(done: Column, r: Column) -> Column:
+        above = F.try_element_at(done, F.lit(-1))
+        c, d = F.coalesce(above["c"], F.lit(0.0)), F.coalesce(above["d"], F.lit(0.0))
+        pivot = r["b"] - r["a"] * c
+        return F.concat(done, F.array(F.struct((r["c"] / pivot).alias("c"), ((r["d"] - r["a"] * d) / pivot).alias("d"))))
+
+    swept = F.aggregate(rows, F.array().cast("array<struct<c:double,d:double>>"), forward)
+    return F.aggregate(F.reverse(swept), F.array().cast("array<double>"), lambda below, r: F.concat(F.array(r["d"] - r["c"] * F.coalesce(F.get(below, F.lit(0)), F.lit(0.0))), below))
+
+
+def _points(*at: Column) -> list[tuple[Column, Column]]:
+    return [(F.get("_x", i), F.get("_y", i)) for i in at]
+
+
+def _quadratic_slopes() -> Column:
+    """Slopes halfway between points, where a quadratic spline has its knots but for the first and last; there they are the secants'."""
+    last = F.size("_x") - 2
+
+    def row(j: Column) -> Column:
+        (before, _), (x, y), (right, value), (after, _) = _points(j - 1, j, j + 1, j + 2)
+        h, inner = right - x, (j > 0) & (j < last)
+        a, c = F.when(inner, h / (4 * (right - before))).otherwise(0.0), F.when(inner, h / (4 * (after - x))).otherwise(0.0)
+        return F.struct(a.alias("a"), (1 - a - c).alias("b"), c.alias("c"), ((value - y) / h).alias("d"))
+
+    return _solved(F.transform(F.sequence(F.lit(0), last), row))
+
+
+def _quadratic(at: Column) -> Column:
+    """The value between points _j and _j + 1, by the slope that changes steadily between knots."""
+    j, last = F.col("_j"), F.size("_x") - 2
+    (x, y), (right, value) = _points(j, j + 1)
+    middle, slope = (x + right) / 2, F.get("_m", j)
+
+    def change(piece: Column) -> Column:
+        piece = F.least(F.greatest(piece, F.lit(1)), last)
+        (low, _), (high, _) = _points(piece - 1, piece + 1)
+        return (F.get("_m", piece) - F.get("_m", piece - 1)) / ((high - low) / 2)
+
+    to, back = at - x, right - at
+    first = y + slope * to - change(j) * ((middle - x) * to - to * to / 2)
+    second = value - slope * back - change(j + 1) * ((right - middle) * back - back * back / 2)
+    return F.when(at <= middle, first).otherwise(second)
+
+
+def _cubic_bends() -> Column:
+    """Second derivatives at the points of the cubic spline without knots at the second and the last but one."""
+    last = F.size("_x") - 2
+
+    def row(i: Column) -> Column:
+        (before, low), (x, y), (right, value) = _points(i - 1, i, i + 1)
+        h, k = x - before, right - x
+        a, b, c = h, 2 * (h + k), k
+        first, end = i == 1, i == last
+        b = b + F.when(first, h + h * h / k).otherwise(0.0) + F.when(end, k + k * k / h).otherwise(0.0)
+        c = F.when(end, 0.0).otherwise(c - F.when(first, h * h / k).otherwise(0.0))
+        a = F.when(first, 0.0).otherwise(a - F.when(end, k * k / h).otherwise(0.0))
+        return F.struct(a.alias("a"), b.alias("b"), c.alias("c"), (6 * ((value - y) / k - (y - low) / h)).alias("d"))
+
+    return _solved(F.transform(F.sequence(F.lit(1), last), row))
+
+
+def _cubic(at: Column) -> Column:
+    """The value between points _j and _j + 1; the bends at the ends carry those beside them on."""
+    j, last = F.col("_j"), F.size("_x") - 2
 
+    def bend(i: Column) -> Column:
+        (a, _), (b, _), (c, _) = _points(F.lit(0), F.lit(1), F.lit(2))
+        (e, _), (f, _), (g, _) = _points(last - 1, last, last + 1)
+        low, high = (b - a) / (c - b), (g - f) / (f - e)
+        start = (1 + low) * F.get("_m", F.lit(0)) - low * F.get("_m", F.lit(1))
+        end = (1 + high) * F.get("_m", last - 1) - high * F.get("_m", last - 2)
+        return F.when(i == 0, start).when(i == last + 1, end).otherwise(F.get("_m", i - 1))
 
-def spline(x: np.ndarray, y: np.ndarray, at: np.ndarray, degree: int) -> np.ndarray:
-    """The interpolating spline of degree 2 or 3 through the points, at places between them. Cubic: no knot next to the ends; quadratic: knots halfway between points."""
-    inner = x[2:-2] if degree == 3 else ((x[1:] + x[:-1]) / 2)[1:-1]
-    knots = np.concatenate([[x[0]] * (degree + 1), inner, [x[-1]] * (degree + 1)])
-    matrix = lambda p: np.stack([_basis(knots, degree, i, p) for i in range(len(x))], 1)
-    return matrix(at) @ np.linalg.solve(matrix(x), y)
+    (x, y), (right, value) = _points(j, j + 1)
+    h, to, back = right - x, at - x, right - at
+    curved = bend(j) * (F.pow(back, F.lit(3.0)) / h - h * back) + bend(j + 1) * (F.pow(to, F.lit(3.0)) / h - h * to)
+    return (y * back + value * to) / h + curved / 6
 
 
-def fill_gaps(values: np.ndarray, window: int = FIT_WINDOW) -> tuple[np.ndarray, list[str | None]]:
-    """Fills runs of NaN inside the series from up to `window` places either side, by their length: linear, quadratic or cubic.
+def interpolate_gaps(curve: DataFrame, window: int = FIT_WINDOW) -> DataFrame:
+    """The curve with FILLED and METHOD: runs of empty slots are filled from the points up to `window` places either side.
 
-    Runs at the ends stay. With too few points for a method, linear. Filled values don't serve other runs.
+    One or two slots by a straight line, three or four by a quadratic spline with knots halfway between points, more by a cubic one without
+    knots next to its ends; with too few points by a straight line. Runs at the ends stay empty, filled values don't serve other runs, NaN is
+    empty. One exchange, by meter: a curve is a meter's one day, at most 96 slots, and a run's spline has at most twice `window` points, found
+    by banded elimination.
     """
-    filled, methods = values.copy(), [None] * len(values)
-    known = np.flatnonzero(~np.isnan(values))
-    for left, right in zip(known[:-1], known[1:], strict=True):
-        gap = np.arange(left + 1, right)
-        if not len(gap):
-            continue
-        near = known[(known > left - window) & (known < right + window)]
-        degree = 1 if len(gap) <= LINEAR_GAP else 2 if len(gap) <= QUADRATIC_GAP else 3
-        if len(near) <= degree:
-            degree = 1
-        filled[gap] = np.interp(gap, near, values[near]) if degree == 1 else spline(near.astype(float), values[near], gap.astype(float), degree)
-        for i in gap:
-            methods[i] = ("linear", "quadratic", "cubic")[degree - 1]
-    return filled, methods
-
-
-def interpolate_gaps(curve: DataFrame) -> DataFrame:
-    """The curve with FILLED and METHOD. A curve is a meter's one day, at most 96 slots."""
-
-    def run(day: pd.DataFrame) -> pd.DataFrame:
-        day = day.sort_values("POS")
-        filled, methods = fill_gaps(day["ACTUAL"].to_numpy(float))
-        return day.assign(FILLED=filled, METHOD=methods)
-
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in curve.schema)}, FILLED double, METHOD string"
-    out = curve.groupBy("MTR_NO").applyInPandas(run, schema)
-    return out.withColumn("FILLED", F.nanvl("FILLED", F.lit(None).cast("double"))).withColumn("ACTUAL", F.nanvl("ACTUAL", F.lit(None).cast("double")))
+    actual = F.nanvl(F.col("ACTUAL").cast("double"), F.lit(None).cast("double"))
+    day = Window.partitionBy("MTR_NO")
+    rows = curve.withColumn("ACTUAL", actual)
+    rows = rows.withColumn("_known", F.array_sort(F.collect_list(F.when(F.col("ACTUAL").isNotNull(), F.struct("POS", "ACTUAL"))).over(day)))
+    pos = F.col("POS")
+    empty = F.col("ACTUAL").isNull()
+    rows = rows.withColumns({"_left": F.when(empty, F.array_max(F.filter("_known", lambda p: p["POS"] < pos))), "_right": F.when(empty, F.array_min(F.filter("_known", lambda p: p["POS"] > pos)))})
+    left, right = F.col("_left.POS"), F.col("_right.POS")
+    inner = left.isNotNull() & right.isNotNull()
+    rows = rows.withColumn("_near", F.when(inner, F.filter("_known", lambda p: (p["POS"] > left - window) & (p["POS"] < right + window))))
+    rows = rows.withColumns({"_x": F.transform("_near", lambda p: p["POS"].cast("double")), "_y": F.transform("_near", lambda p: p["ACTUAL"]), "_j": F.size(F.filter("_near", lambda p: p["POS"] <= left)) - 1})
+    length, points = right - left - 1, F.size("_near")
+    method = F.when((length <= LINEAR_GAP) | (points <= 2), "linear").when(length <= QUADRATIC_GAP, "quadratic").when(points <= 3, "linear").otherwise("cubic")
+    rows = rows.withColumn("METHOD", F.when(inner, method))
+    rows = rows.withColumn("_m", F.when(F.col("METHOD") == "quadratic", _quadratic_slopes()).when(F.col("METHOD") == "cubic", _cubic_bends()))
+    at = pos.cast("double")
+    line = F.col("_left.ACTUAL") + (F.col("_right.ACTUAL") - F.col("_left.ACTUAL")) * (at - left) / (right - left)
+    filled = F.when(F.col("METHOD") == "linear", line).when(F.col("METHOD") == "quadratic", _quadratic(at)).when(F.col("METHOD") == "cubic", _cubic(at))
+    return rows.select(*curve.columns, F.coalesce("ACTUAL", filled).alias("FILLED"), "METHOD")
 
 
 def interpolate_linear(curve: DataFrame) -> DataFrame:

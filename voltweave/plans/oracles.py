@@ -96,6 +96,20 @@ _WITH = {
     "flagged": "select MTR_NO, TIME_SLOT, ACTUAL, case when ACTUAL > UPPER_THRESH then 'HIGH' when ACTUAL < LOWER_THRESH then 'LOW' else 'OK' end as ANOMALY_DIR from curve join band using (MTR_NO, TIME_SLOT) where PRESENT",
     "line": """select c.*, coalesce(ACTUAL, la + (ra - la) / nullif(rp - lp, 0) * (POS - lp)) as FILLED from (select c.*, (select max(POS) from curve l where l.MTR_NO = c.MTR_NO and l.POS <= c.POS and l.ACTUAL is not null) as lp,
       (select min(POS) from curve l where l.MTR_NO = c.MTR_NO and l.POS >= c.POS and l.ACTUAL is not null) as rp from curve c) c left join (select MTR_NO as m1, POS as p1, ACTUAL as la from curve ) a on a.m1 = c.MTR_NO and a.p1 = c.lp left join (select MTR_NO as m2, POS as p2, ACTUAL as ra from curve ) b on b.m2 = c.MTR_NO and b.p2 = c.rp""",
+    # Splines: the points around each gap, the tridiagonal system of their slopes or bends, and its solution, step by step.
+    "holes": "select distinct MTR_NO, lp, rp, rp - lp - 1 as gap from line where ACTUAL is null and lp is not null and rp is not null",
+    "around": """select *, lag(x) over o as xb, lag(y) over o as yb, lead(x) over o as xa, lead(y) over o as ya, lead(x, 2) over o as xaa, case when gap <= 2 or np <= 2 then 'linear' when gap <= 4 then 'quadratic' when np <= 3 then 'linear' else 'cubic' end as kind
+      from (select h.*, k.POS::double as x, k.ACTUAL as y, row_number() over (partition by h.MTR_NO, h.lp order by k.POS) - 1 as i, count(*) over (partition by h.MTR_NO, h.lp) as np from holes h join curve k on k.MTR_NO = h.MTR_NO and k.ACTUAL is not null and k.POS > h.lp - 6 and k.POS < h.rp + 6) window o as (partition by MTR_NO, lp order by i)""",
+    "tridiagonal": """select MTR_NO, lp, np, i, i = 0 as top, a, 1 - a - c as b, c, d from (select *, case when i in (0, np - 2) then 0 else (xa - x) / (4 * (xa - xb)) end as a, case when i in (0, np - 2) then 0 else (xa - x) / (4 * (xaa - x)) end as c, (ya - y) / (xa - x) as d from around where kind = 'quadratic' and i < np - 1)
+      union all select MTR_NO, lp, np, i, i = 1, case when i = 1 then 0 when i = np - 2 then h - k * k / h else h end, 2 * (h + k) + case when i = 1 then h + h * h / k else 0 end + case when i = np - 2 then k + k * k / h else 0 end, case when i = np - 2 then 0 when i = 1 then k - h * h / k else k end, d
+      from (select *, x - xb as h, xa - x as k, 6 * ((ya - y) / (xa - x) - (y - yb) / (x - xb)) as d from around where kind = 'cubic' and i between 1 and np - 2)""",
+    "swept": "with recursive s as (select MTR_NO, lp, np, i, c / b as c, d / b as d from tridiagonal where top union all select n.MTR_NO, n.lp, n.np, n.i, n.c / (n.b - n.a * s.c), (n.d - n.a * s.d) / (n.b - n.a * s.c) from s join tridiagonal n on n.MTR_NO = s.MTR_NO and n.lp = s.lp and n.i = s.i + 1) select * from s",
+    "steps": "with recursive z as (select MTR_NO, lp, i, d as m from swept where i = np - 2 union all select s.MTR_NO, s.lp, s.i, s.d - s.c * z.m from z join swept s on s.MTR_NO = z.MTR_NO and s.lp = z.lp and s.i = z.i - 1) select * from z",
+    "bends": """select *, case when kind = 'cubic' then case when i = 0 then ma - (maa - ma) / (xaa - xa) * (xa - x) when i = np - 1 then mb + (mb - mbb) / (xb - xbb) * (x - xb) else m end when i = 0 then (ma - m) / ((xaa - x) / 2) when i >= np - 2 then (coalesce(m, mb) - case when m is null then mbb else mb end) / (case when m is null then x - xbb else xa - xb end / 2) else (m - mb) / ((xa - xb) / 2) end as w
+      from (select a.*, m, lag(x, 2) over o as xbb, lag(m) over o as mb, lag(m, 2) over o as mbb, lead(m) over o as ma, lead(m, 2) over o as maa from around a left join steps s on s.MTR_NO = a.MTR_NO and s.lp = a.lp and s.i = a.i window o as (partition by a.MTR_NO, a.lp order by a.i))""",
+    "spline": """select MTR_NO, POS, kind, case when kind = 'linear' then y + (ya - y) / (xa - x) * t when kind = 'cubic' then y + t * ((ya - y) / (xa - x) - (xa - x) * (2 * w + wa) / 6) + w * t * t / 2 + (wa - w) * t * t * t / (6 * (xa - x))
+      when t <= (xa - x) / 2 then y + (m - w * (xa - x) / 2) * t + w * t * t / 2 else ya + (m + wa * (xa - x) / 2) * (t - xa + x) + wa * (t - xa + x) * (t - xa + x) / 2 end as v
+      from (select c.MTR_NO, c.POS, b.* exclude (MTR_NO), c.POS - b.x as t from (select * from line where ACTUAL is null) c join (select *, lead(w) over (partition by MTR_NO, lp order by i) as wa from bends ) b on b.MTR_NO = c.MTR_NO and b.lp = c.lp and b.x = c.lp)""",
     "regression": """select g.MTR_NO, g.TIME_SLOT, case when n >= 2 then greatest(fit, 0) else med end as PREDICTED from grid g join (select MTR_NO, median(v) as med from win where DATE < DATE '2024-01-20' and v is not null group by 1) m using (MTR_NO)
       left join (select MTR_NO, TIME_SLOT, count(*) as n, case when count(distinct DATE) > 1 then regr_intercept(v, date_diff('day', DATE '2024-01-20', DATE)) else avg(v) end as fit from win where DATE < DATE '2024-01-20' and v is not null group by all) f using (MTR_NO, TIME_SLOT)""",
     "per_dt": "select c.DT_CODE_NEW, count(*) as present_rows, count(*) filter (where h.MTR_NO is not null or t.MTR_NO is not null) as bad_rows from clean c left join (select distinct DT_CODE_NEW, MTR_NO, DATE, TIME_SLOT from hard) h using (DT_CODE_NEW, MTR_NO, DATE, TIME_SLOT) left join (select distinct DT_CODE_NEW, MTR_NO, DATE, TIME_SLOT from threshold) t using (DT_CODE_NEW, MTR_NO, DATE, TIME_SLOT) group by 1",
@@ -204,6 +218,7 @@ ORACLES = {
       case when l is not null and r is not null then case when r - l - 1 <= 2 then 'linear' when r - l - 1 <= 4 then 'quadratic' else 'cubic' end end as METHOD from (select c.*, (select max(POS) from curve x where x.MTR_NO = c.MTR_NO and x.POS < c.POS and x.ACTUAL is not null) as l,
       (select min(POS) from curve x where x.MTR_NO = c.MTR_NO and x.POS > c.POS and x.ACTUAL is not null) as r, (select max(POS) from curve x where x.MTR_NO = c.MTR_NO) as e from curve c where ACTUAL is null)"""),
     "interpolate_linear": _sql("select MTR_NO, TIME_SLOT, POS, ACTUAL, PRESENT, FILLED from line", "ACTUAL FILLED"),
+    "interpolate_gaps": _sql("select l.MTR_NO, l.TIME_SLOT, l.POS, l.ACTUAL, l.PRESENT, coalesce(l.ACTUAL, s.v) as FILLED, s.kind as METHOD from line l left join spline s on s.MTR_NO = l.MTR_NO and s.POS = l.POS", "ACTUAL FILLED"),
     "regression_curve": _sql("select * from regression", "PREDICTED"),
     "clean_curve_off": _sql("select MTR_NO, TIME_SLOT, POS, FILLED as CLEAN from line", "CLEAN"),
     "clean_curve": _sql("select l.MTR_NO, l.TIME_SLOT, l.POS, case when f.ANOMALY_DIR <> 'OK' then coalesce(r.PREDICTED, l.FILLED) else l.FILLED end as CLEAN from line l left join flagged f using (MTR_NO, TIME_SLOT) left join regression r using (MTR_NO, TIME_SLOT)", "CLEAN"),

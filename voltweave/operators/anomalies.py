@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # The seven categories, with the anomaly types of those that hard rules fill.
 MISSING, THRESHOLD = "Missing Slots / Days", "Rolling Threshold Spikes (+-5% band)"
@@ -18,17 +19,32 @@ HARD_CATEGORIES = {
 }
 
 
+def _category(anomaly_type: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for name, types in HARD_CATEGORIES.items():
+        out = F.when(anomaly_type.rlike(f"^(?:{types})$"), name).otherwise(out)
+    return out
+
+
+def _missing(missing: DataFrame, slot: DataType) -> DataFrame:
+    meter = F.col("MTR_NO") if "MTR_NO" in missing.columns else F.lit(None).cast("string")
+    return missing.select(meter, "DT_CODE_NEW", "DATE", F.lit(None).cast(slot), F.lit(MISSING), "GAP_TYPE", F.lit(None).cast("string"))
+
+
 def categorized(hard: DataFrame, threshold: DataFrame, missing: DataFrame) -> DataFrame:
     """All three anomaly tables under one CATEGORY, ANOMALY_TYPE and SEVERITY; missing days have no slot, those of a DT no meter."""
-    category = F.lit(None).cast("string")
-    for name, types in HARD_CATEGORIES.items():
-        category = F.when(F.col("ANOMALY_TYPE").rlike(f"^(?:{types})$"), name).otherwise(category)
+    category = _category(F.col("ANOMALY_TYPE"))
     keys = ["MTR_NO", "DT_CODE_NEW", "DATE", "TIME_SLOT"]
     first = hard.select(*keys, category.alias("CATEGORY"), "ANOMALY_TYPE", "SEVERITY")
     second = threshold.select(*keys, F.lit(THRESHOLD), F.concat_ws("_", "PARAMETER", "DIRECTION"), F.lit(None).cast("string"))
-    meter = F.col("MTR_NO") if "MTR_NO" in missing.columns else F.lit(None).cast("string")
-    third = missing.select(meter, "DT_CODE_NEW", "DATE", F.lit(None).cast(hard.schema["TIME_SLOT"].dataType), F.lit(MISSING), "GAP_TYPE", F.lit(None).cast("string"))
-    return first.union(second).union(third)
+    return first.union(second).union(_missing(missing, hard.schema["TIME_SLOT"].dataType))
+
+
+def categorized_of(rows: DataFrame, missing: DataFrame) -> DataFrame:
+    """categorized of judged readings, which give their hard and threshold anomalies in one explosion."""
+    kinds = F.concat(F.transform("HARD", lambda r: F.struct(_category(r["ANOMALY_TYPE"]).alias("CATEGORY"), r["ANOMALY_TYPE"].alias("ANOMALY_TYPE"), r["SEVERITY"].alias("SEVERITY"))), F.transform("BREACHES", lambda r: F.struct(F.lit(THRESHOLD).alias("CATEGORY"), F.concat_ws("_", r["PARAMETER"], r["DIRECTION"]).alias("ANOMALY_TYPE"), F.lit(None).cast("string").alias("SEVERITY"))))
+    found = rows.select("MTR_NO", "DT_CODE_NEW", "DATE", "TIME_SLOT", F.inline(kinds))
+    return found.union(_missing(missing, rows.schema["TIME_SLOT"].dataType))
 
 
 def anomaly_search(anomalies: DataFrame, category: str = "All", dt_code: str = "All", meter: str = "All", fl: str = "All", start: dt.date | None = None, end: dt.date | None = None, hierarchy: DataFrame | None = None) -> DataFrame:

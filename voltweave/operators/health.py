@@ -14,6 +14,11 @@ def health(readings: DataFrame, hard: DataFrame, threshold: DataFrame) -> DataFr
     """Per DT: present, bad and clean rows and health_pct, to one decimal."""
     bad = hard.select(*_KEYS).union(threshold.select(*_KEYS)).distinct().withColumn("is_bad", F.lit(True))
     per_dt = readings.select(*_KEYS).join(bad, list(_KEYS), "left").groupBy("DT_CODE_NEW").agg(F.count("*").alias("present_rows"), F.count_if(F.col("is_bad")).alias("bad_rows"))
+    return with_percent(per_dt)
+
+
+def with_percent(per_dt: DataFrame) -> DataFrame:
+    """present_rows and bad_rows with clean_rows and their share, to one decimal."""
     clean = F.col("present_rows") - F.col("bad_rows")
     return per_dt.withColumns({"clean_rows": clean, "health_pct": F.round(F.lit(100.0) * clean / F.expr("nullif(present_rows, 0)"), 1)})
 

@@ -40,10 +40,15 @@ def hard_flags(readings: DataFrame) -> DataFrame:
     return readings.withColumns({flag: condition for flag, (condition, _, _) in rules().items()})
 
 
+def records() -> Column:
+    """Array of a row's true flags: ANOMALY_TYPE and SEVERITY."""
+    every = F.array(*[F.when(F.col(f), F.struct(F.lit(name).alias("ANOMALY_TYPE"), F.lit(severity).alias("SEVERITY"))) for f, (_, name, severity) in rules().items()])
+    return F.filter(every, lambda r: r.isNotNull())
+
+
 def hard_anomalies(flags: DataFrame) -> DataFrame:
     """One row per true flag: ANOMALY_TYPE and SEVERITY. The flags are read once."""
-    records = F.array(*[F.when(F.col(f), F.struct(F.lit(name).alias("ANOMALY_TYPE"), F.lit(severity).alias("SEVERITY"))) for f, (_, name, severity) in rules().items()])
-    return flags.select(*_KEYS, F.inline(F.filter(records, lambda r: r.isNotNull())))
+    return flags.select(*_KEYS, F.inline(records()))
 
 
 def clean_readings(flags: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ def dt_rating(hierarchy: DataFrame) -> DataFrame:
     return hierarchy.where("DT_CODE_NEW is not null").groupBy("DT_CODE_NEW").agg(F.max("KVA_RATING").alias("DT_KVA_RATING"))
 
 
-def _hours(slots: DataFrame, ratings: DataFrame) -> DataFrame:
+def band_hours(slots: DataFrame, ratings: DataFrame) -> DataFrame:
     """slots: DT_CODE_NEW, DATE, SLOT_MINUTES, KVA. Loading under the first band, or without a rating, has no hours."""
     df = slots.join(ratings, "DT_CODE_NEW").withColumn("loading", F.col("KVA") / F.expr("nullif(DT_KVA_RATING, 0)"))
     df = df.where(F.col("loading") >= LOADING_BANDS[0][1]).withColumn("BAND", loading_band(F.col("loading")))
@@ -25,7 +25,7 @@ def sustained_daily_raw(readings: DataFrame, placement: DataFrame, granularity:
     """Hours per DT, day and band of the sum over its meters; placement: MTR_NO, DT_CODE_NEW, one row per meter."""
     df = readings.drop("DT_CODE_NEW").join(placement.where("DT_CODE_NEW is not null").select("MTR_NO", "DT_CODE_NEW"), "MTR_NO").join(granularity, "MTR_NO", "left")
     slots = df.groupBy("DT_CODE_NEW", "DATE", "TIME_SLOT", "SLOT_MINUTES").agg(F.sum(slot_kva(F.col("SLOT_MINUTES"))).alias("KVA"))
-    return _hours(slots, ratings)
+    return band_hours(slots, ratings)
 
 
 def sustained_daily_clean(clean: DataFrame, bad: DataFrame, granularity: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def sustained_daily_clean(clean: DataFrame, bad: DataFrame, granularity: DataFra
     newest = Window.partitionBy("DT_CODE_NEW", "DATE", "TIME_SLOT").orderBy(F.desc(F.coalesce("meter_seq", F.lit(1))), "MTR_NO")
     df = clean.where("DT_CODE_NEW is not null").withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
     df = df.join(bad.select(*SLOT), list(SLOT), "left_anti").join(granularity, "MTR_NO", "left")
-    return _hours(df.withColumn("KVA", slot_kva(F.col("SLOT_MINUTES"))), ratings)
+    return band_hours(df.withColumn("KVA", slot_kva(F.col("SLOT_MINUTES"))), ratings)
 
 
 def band_hours_monthly(daily: DataFrame) -> DataFrame:

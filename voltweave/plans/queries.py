@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltweave.functions.columns import normalize_meter_id, slot_kva
-from voltweave.operators import anomalies, checks, coverage, curve, forecast, growth, health, master, peaks, readings, rules, sustained, thresholds
+from voltweave.operators import anomalies, checks, coverage, curve, forecast, growth, health, judged, master, peaks, readings, rules, sustained, thresholds
 from voltweave.plans import fixtures
 from voltweave.sources.store import cache_table, months_signature, scratch_path
 
@@ -33,6 +33,7 @@ _TABLES = {
     "cached_monthly": lambda t: cache_table(t.spark, scratch_path(t.spark, "monthly-peaks"), months_signature([YM]), lambda: t.monthly),
     "readings": lambda t: fixtures.readings(t.spark, t.sf_dir),
     "dedup": lambda t: readings.raw_dedup(t.readings),
+    "judged": lambda t: judged.judged(t.dedup, limit=9),
     "flags": lambda t: rules.hard_flags(t.dedup),
     "hard": lambda t: rules.hard_anomalies(t.flags),
     "clean": lambda t: rules.clean_readings(t.flags),
@@ -42,7 +43,7 @@ _TABLES = {
     "counts": lambda t: coverage.daily_slot_counts(t.dedup),
     "stitched": lambda t: readings.dt_stitched_readings(t.dedup),
     "missing_dt": lambda t: coverage.missing_slot_days((c := coverage.daily_slot_counts(t.stitched, coverage.DT)), coverage.expected_slots(c, "DT_CODE_NEW"), "DT_CODE_NEW"),
-    "anomalies": lambda t: anomalies.categorized(t.hard, t.threshold, t.missing_dt),
+    "anomalies": lambda t: anomalies.categorized_of(t.judged, t.missing_dt),
     "loads": lambda t: fixtures.loads(t.spark, t.sf_dir),
     "places": lambda t: fixtures.places(t.spark, t.sf_dir),
     "place_minutes": lambda t: t.places.select("MTR_NO", F.when(F.col("is_15"), 15).otherwise(30).alias("SLOT_MINUTES")),
@@ -52,13 +53,12 @@ _TABLES = {
     "hierarchy": lambda t: master.hierarchy(t.master, t.sequence),
     "daily": lambda t: peaks.daily_kva_sum(t.loads, t.places, t.place_minutes),
     "monthly": lambda t: peaks.monthly_peak_raw(t.loads, t.places, t.place_minutes),
-    "raw_peaks": lambda t: peaks.monthly_peak_raw(t.dedup, t.dedup.select("MTR_NO", "DT_CODE_NEW", F.lit(1.0).alias("CT_RATIO")).distinct(), t.minutes),
-    "clean_peaks": lambda t: peaks.monthly_peak_clean(t.raw_peaks, t.clean, t.bad, t.minutes),
+    "clean_peaks": lambda t: judged.monthly_peaks(t.judged),
     "yearly": lambda t: growth.yearly_peak(t.monthly),
     "growth": lambda t: growth.yoy_growth(t.yearly),
     "ratings": lambda t: sustained.dt_rating(t.places),
     "sustained": lambda t: sustained.sustained_daily_raw(t.loads, t.places, t.place_minutes, t.ratings),
-    "clean_ratings": lambda t: t.dedup.select("DT_CODE_NEW").distinct().withColumn("DT_KVA_RATING", F.lit(30.0)),
+    "clean_ratings": lambda t: t.readings.select("DT_CODE_NEW").distinct().withColumn("DT_KVA_RATING", F.lit(30.0)),
     "band_hours": lambda t: sustained.band_hours_monthly(t.sustained),
     "window": lambda t: curve.meter_window(t.dedup, t.minutes, DAY, 18),
     "grid": lambda t: curve.slot_grid(t.window),
@@ -66,7 +66,7 @@ _TABLES = {
     "band": lambda t: curve.threshold_band_7d(t.window, "KW_R", DAY),
     "flagged": lambda t: curve.band_anomalies(t.curve, t.band),
     "regression": lambda t: curve.regression_curve(t.window, t.grid, "KW_R", DAY),
-    "report": lambda t: health.health(t.clean, t.hard, t.threshold),
+    "report": lambda t: judged.health_of(t.judged),
     "forecasts": lambda t: forecast.forecasts(t.yearly, target=2003),
 }
 
@@ -135,7 +135,7 @@ _QUERIES = {
     "compound_growth": lambda t: growth.compound_growth(t.yearly),
     "dt_rating": lambda t: t.ratings,
     "sustained_daily_raw": lambda t: t.sustained,
-    "sustained_daily_clean": lambda t: sustained.sustained_daily_clean(t.clean, t.bad, t.minutes, t.clean_ratings),
+    "sustained_daily_clean": lambda t: judged.sustained_daily_clean(t.judged, t.clean_ratings),
     "band_hours_monthly": lambda t: t.band_hours,
     "sustained_flag": lambda t: sustained.sustained_flag(t.band_hours),
     "sustained_kpis": lambda t: sustained.sustained_kpis(t.band_hours),
@@ -158,7 +158,7 @@ _QUERIES = {
     "fit_best_model": lambda t: t.forecasts.select("DT_CODE_NEW", "METHOD", _to("FORECAST", 4), _to("LOO_ERROR", 3)),
     "dt_forecast": lambda t: t.forecasts.select("DT_CODE_NEW", "METHOD", _to("FORECAST", 4), _to("LOO_ERROR", 3), "CURRENT_PEAK", _to("GROWTH_PCT", 4)),
     "fl_forecast": lambda t: forecast.fl_forecast(t.forecasts, t.places).select("SDO_CD", _to("FORECAST", 4), _to("CURRENT_PEAK", 4), "n_dts"),
-    "health_report": lambda t: health.health_report(t.clean, t.hard, t.threshold, 20.0),
+    "health_report": lambda t: judged.health_report(t.judged, 20.0),
     "health_distribution": lambda t: health.health_distribution(t.report),
     "health_span": lambda t: health.health_span(t.clean, t.report, 40.0),
     "total_dts": lambda t: health.total_dts(t.clean),

@@ -10,7 +10,7 @@ from voltweave.plans.registry import ORACLES, QUERIES
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-NO_SQL = {"boosted_curve"}
+NO_SQL = {"boosted_curve", "clean_curve_auto"}
 
 
 @pytest.fixture(scope="module")

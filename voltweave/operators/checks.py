@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltweave.constants import PARAMETERS, VOLTS
@@ -110,6 +111,31 @@ def first_difference(peaks: DataFrame) -> DataFrame:
     return peaks.where("PEAK_KVA_CLEAN <> PEAK_KVA_RAW").orderBy("YM", "MTR_NO").limit(1)
 
 
+def ct_ratios(master: DataFrame) -> DataFrame:
+    """Per meter its CT ratios over all months: how many, the least and the largest, and rows without one."""
+    return master.groupBy("MTR_NO").agg(F.count_distinct("CT_RATIO").alias("n_ratios"), F.min("CT_RATIO").alias("least"), F.max("CT_RATIO").alias("largest"), F.count_if(F.col("CT_RATIO").isNull()).alias("n_without"))
+
+
+def granularity(readings: DataFrame, minutes: DataFrame) -> DataFrame:
+    """Per meter its slots' minutes, readings, days, and readings with a current on the first phase."""
+    per_meter = readings.groupBy("MTR_NO").agg(F.count("*").alias("n_rows"), F.count_distinct("DATE").alias("n_days"), F.count("IR").alias("n_current"))
+    return per_meter.join(minutes, "MTR_NO", "left")
+
+
+def observed_counts(rows: DataFrame, stages: dict[str, Callable[[DataFrame], DataFrame]], counted: dict[str, Column] | None = None) -> DataFrame:
+    """Rows of each stage of one query that takes rows through all of them, counted while it runs once; counted: conditions for some stages.
+
+    stages: name to what the stage does with the rows of the one before. Observed metrics take no scan or shuffle of their own.
+    """
+    seen, df = {}, rows
+    for name, step in stages.items():
+        seen[name] = Observation(name)
+        condition = (counted or {}).get(name)
+        df = step(df).observe(seen[name], (F.count("*") if condition is None else F.count_if(condition)).alias("n_rows"))
+    df.write.format("noop").mode("overwrite").save()
+    return rows.sparkSession.createDataFrame([(name, o.get["n_rows"]) for name, o in seen.items()], "stage string, n_rows long")
+
+
 def staged_counts(**stages: DataFrame) -> DataFrame:
     """Rows of each stage of a query, to see where they are lost."""
     out = None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltweave.constants import SLOTS_15_MINUTES
@@ -26,6 +28,25 @@ def missing_slot_days(counts: DataFrame, expected: DataFrame, key: str = "MTR_NO
     return out.withColumns({"missing_slot_count": F.col("expected_slots_per_day") - F.col("slots_present"), "GAP_TYPE": gap_label(F.col("slots_present"), F.col("expected_slots_per_day"))})
 
 
+def calendar_counts(counts: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
+    """daily_slot_counts with all days from a key's first to its last: days without a reading have 0 slots.
+
+    A key's days are laid out by one sequence a key and joined to its counts, both by the same keys.
+    """
+    ends = counts.groupBy(*keys).agg(F.min("DATE").alias("first"), F.max("DATE").alias("last"))
+    days = ends.select(*keys, F.explode(F.sequence("first", "last")).alias("DATE"))
+    same = [days[k].eqNullSafe(counts[k]) for k in (*keys, "DATE")]
+    there = days.join(counts, reduce(lambda a, b: a & b, same), "left")
+    return there.select(*[days[k] for k in keys], days["DATE"], F.coalesce("slots_present", F.lit(0)).cast("long").alias("slots_present"))
+
+
+def offline_runs(calendar: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
+    """Runs of days without a reading: first and last day, number of days."""
+    order = Window.partitionBy(*keys).orderBy("DATE")
+    rows = calendar.withColumn("run", F.count_if(F.col("slots_present") > 0).over(order)).where("slots_present = 0")
+    return rows.groupBy(*keys, "run").agg(F.min("DATE").alias("first_day"), F.max("DATE").alias("last_day"), F.count("*").alias("n_days")).drop("run")
+
+
 def meter_granularity(readings: DataFrame, limit: float = SLOTS_15_MINUTES) -> DataFrame:
     """Minutes of a meter's slots: 15 where its days have more than `limit` slots on average, else 30."""
     mean = daily_slot_counts(readings, ("MTR_NO",)).groupBy("MTR_NO").agg(F.avg("slots_present").alias("n"))

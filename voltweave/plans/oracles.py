@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from voltweave.constants import AMPS, KVAR, KW, PARAMETERS, VOLTS
 from voltweave.plans import fixtures
+from voltweave.plans.queries import FULL
 
 _KVA = "case when SLOT_MINUTES = 15 then (VR*IR + VY*IY + VB*IB) / 1000.0::double else sqrt(power(KW_R+KW_Y+KW_B, 2) + power(KVAR_R+KVAR_Y+KVAR_B, 2)) end"
 _NE = "(DT_CAT is null or DT_CAT not in ('MHVD', 'HVDAF'))"
@@ -54,6 +55,9 @@ _WITH = {
     "expected_dt": _mode("counts_dt", "DT_CODE_NEW"),
     "missing_dt": f"select DT_CODE_NEW, DATE, slots_present, expected_slots_per_day, {_GAP} from counts_dt join expected_dt using (DT_CODE_NEW) where slots_present < expected_slots_per_day",
     "loads": fixtures.LOADS,
+    "load_days": "select MTR_NO, DT_CODE_NEW, DATE, count(*) as slots_present from loads group by all",
+    "calendar": "select d.*, coalesce(slots_present, 0)::bigint as slots_present from (select MTR_NO, DT_CODE_NEW, unnest(generate_series(a, b, interval 1 day))::date as DATE from (select MTR_NO, DT_CODE_NEW, min(DATE) as a, max(DATE) as b from load_days group by all)) d left join load_days using (MTR_NO, DT_CODE_NEW, DATE)",
+    "load_expected": _mode("load_days", "MTR_NO"),
     "places": fixtures.PLACES,
     "master": fixtures.MASTER,
     "earliest": "select MTR_NO, DT_CODE_NEW, SDO_CD, CT_RATIO, DT_CAT from (select *, row_number() over (partition by MTR_NO order by MONTH, DT_CODE_NEW) as rk from master) where rk = 1",
@@ -247,8 +251,19 @@ ORACLES = {
     "check_schema_difference": "select 'was_zero_voltage' as \"column\", 'right' as side",
     "check_source_files": "select count(*) as n_rows from events",
     "check_columns": "select unnest(['MTR_NO', 'MONTH', 'DT_CODE_NEW', 'SDO_CD', 'CT_RATIO', 'KVA_RATING', 'DT_STS', 'DT_CAT', 'CONSUMER_COUNT']) as column_name",
+    "missing_slot_days_calendar": _sql(f"select MTR_NO, DATE, slots_present, expected_slots_per_day, {_GAP} from calendar join load_expected using (MTR_NO) where slots_present < expected_slots_per_day"),
+    "offline_runs": _sql("select MTR_NO, DT_CODE_NEW, min(DATE) as first_day, max(DATE) as last_day, count(*) as n_days from (select *, DATE - cast(row_number() over (partition by MTR_NO, DT_CODE_NEW order by DATE) as integer) as island from calendar where slots_present = 0) group by MTR_NO, DT_CODE_NEW, island"),
+    "clean_curve_gaps": _sql("select l.MTR_NO, l.TIME_SLOT, l.POS, case when f.ANOMALY_DIR <> 'OK' then coalesce(r.PREDICTED, l.ACTUAL, s.v) else coalesce(l.ACTUAL, s.v) end as CLEAN from line l left join spline s on s.MTR_NO = l.MTR_NO and s.POS = l.POS left join flagged f on f.MTR_NO = l.MTR_NO and f.TIME_SLOT = l.TIME_SLOT left join regression r on r.MTR_NO = l.MTR_NO and r.TIME_SLOT = l.TIME_SLOT", "CLEAN"),
+    "check_stale_cache": _sql("select count(*) as n, count(*) filter (where YM = 199603 and s <> PEAK_KVA_RAW) as n_different from monthly left join (select MTR_NO, YM, max(CT_RATIO * case when SLOT_MINUTES = 15 then (VR*IR*3 + VY*IY + VB*IB) / 1000.0::double else sqrt(power(KW_R*3+KW_Y+KW_B, 2) + power(KVAR_R+KVAR_Y+KVAR_B, 2)) end) as s from load_kva group by all) using (MTR_NO, YM)"),
+    "check_months_behind": _sql("select distinct (year(DATE)*100+month(DATE))::integer as YM from loads where year(DATE) >= 1998"),
+    "check_ct_ratios": _sql("select MTR_NO, count(distinct CT_RATIO) as n_ratios, min(CT_RATIO) as least, max(CT_RATIO) as largest, count(*) - count(CT_RATIO) as n_without from master group by 1"),
+    "check_granularity": _sql("select d.*, SLOT_MINUTES from (select MTR_NO, count(*) as n_rows, count(distinct DATE) as n_days, count(IR) as n_current from dedup group by 1) d left join minutes using (MTR_NO)"),
+    "check_observed_counts": _sql("select 'readings' as stage, count(*) as n_rows from readings union all select 'dedup', count(*) from dedup union all select 'stitched', count(*) from stitched union all select 'bad', count(*) from bad"),
+    "raw_detail_export": _sql("select (year(DATE)*100+month(DATE))::integer as SOURCE_YM, p.DT_CODE_NEW, p.SDO_CD, l.MTR_NO, DATE as OCCUR_D_RAW, TIME_SLOT, ok, pk, IR, KWH_TOTAL from loads l join (select MTR_NO, min(DT_CODE_NEW) as DT_CODE_NEW, arg_min(SDO_CD, [DT_CODE_NEW, SDO_CD]) as SDO_CD from master group by 1) p on p.MTR_NO = l.MTR_NO where p.SDO_CD = 'FL2'"),
     "check_first_difference": _sql("select * from clean_peaks where PEAK_KVA_CLEAN <> PEAK_KVA_RAW order by YM, MTR_NO limit 1", "PEAK_KVA_RAW PEAK_KVA_CLEAN"),
     "check_staged_counts": _sql("select 'readings' as stage, count(*) as n_rows from readings union all select 'dedup', count(*) from dedup union all select 'stitched', count(*) from stitched union all select 'bad', count(*) from bad"),
     "half_hours": "select printf('%02d:%02d', i // 2, i % 2 * 30) as TIME_SLOT, cast(i as integer) as POS from range(48) t(i)",
     "check_drift": _sql("select case when DATE < DATE '2024-01-20' then 'train' else 'test' end as part, avg(KW_R) as mean, stddev_samp(KW_R) as std, min(KW_R) as min, max(KW_R) as max from dedup group by 1", "mean std min max"),
 }
+
+ORACLES |= {f"{name}_full": ORACLES[name].replace("DATE '2024-01-02'", "DATE '2023-07-24'") for name in FULL}

@@ -165,7 +165,25 @@ def run_pipeline(spark: SparkSession, raw_path: str, master_rows: DataFrame, out
     return months
 
 
-def raw_detail_export(raw: DataFrame, master_rows: DataFrame, fl: str) -> DataFrame:
-    """Readings of one location, month by month, each meter under one DT: the first where the master has several."""
+DETAIL_ORDER = ("SOURCE_YM", "DT_CODE_NEW", "MTR_NO", "OCCUR_D_RAW", "TIME_SLOT")
+
+
+def raw_detail(raw: DataFrame, master_rows: DataFrame, fl: str) -> DataFrame:
+    """Readings of one location, each meter under one DT: the first where the master has several."""
     one = master_rows.groupBy("MTR_NO").agg(F.min(F.struct("DT_CODE_NEW", "SDO_CD")).alias("p")).select("MTR_NO", F.col("p.DT_CODE_NEW").alias("DT_CODE_NEW"), F.col("p.SDO_CD").alias("SDO_CD"))
-    return raw.join(one.where(F.col("SDO_CD") == fl), "MTR_NO").orderBy("SOURCE_YM", "DT_CODE_NEW", "MTR_NO", "OCCUR_D_RAW", "TIME_SLOT")
+    return raw.join(one.where(F.col("SDO_CD") == fl), "MTR_NO")
+
+
+def raw_detail_export(raw: DataFrame, master_rows: DataFrame, fl: str) -> DataFrame:
+    """raw_detail in the order of month, DT, meter, date and slot."""
+    return raw_detail(raw, master_rows, fl).orderBy(*DETAIL_ORDER)
+
+
+def export_detail(raw: DataFrame, master_rows: DataFrame, fl: str, path: str) -> None:
+    """Writes raw_detail as CSV files with headers, a folder per month.
+
+    Tasks write ranges of the order, so a month is as many files as its readings need; each is sorted, and read in the order of their
+    names they are sorted as a whole.
+    """
+    ranged = raw_detail(raw, master_rows, fl).repartitionByRange(*DETAIL_ORDER).sortWithinPartitions(*DETAIL_ORDER)
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("SOURCE_YM").csv(path)

@@ -7,20 +7,21 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltweave.functions.columns import normalize_meter_id, slot_kva
+from voltweave.constants import BOOSTING_DAYS
+from voltweave.functions.columns import month_of, normalize_meter_id, slot_kva
 from voltweave.operators import anomalies, checks, coverage, curve, forecast, growth, health, judged, master, peaks, readings, rules, sustained, thresholds
-from voltweave.plans import fixtures
-from voltweave.sources.store import cache_table, months_signature, scratch_path
+from voltweave.plans import fixtures, pipeline
+from voltweave.sources.store import cache_by_month, month_stamps, scratch_path
 
-DAY, YM = dt.date(2024, 1, 20), 202401
+DAY, YM, STALE_YM = dt.date(2024, 1, 20), 202401, 199603
 YEARS = list(range(1992, 2002))
 
 
 class Tables:
     """What the queries start from, each built on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, days: int = 18):
+        self.spark, self.sf_dir, self.days = spark, sf_dir, days
 
     def __getattr__(self, name: str):
         made = _TABLES[name](self)
@@ -29,8 +30,10 @@ class Tables:
 
 
 _TABLES = {
-    # Raw monthly peaks as they are read back from the disk cache.
-    "cached_monthly": lambda t: cache_table(t.spark, scratch_path(t.spark, "monthly-peaks"), months_signature([YM]), lambda: t.monthly),
+    # Raw monthly peaks as they are read back from a cache that holds each month with a stamp of its readings; stale: one month was built from others.
+    "cached_monthly": lambda t: _cached(t, t.loads),
+    "stale_monthly": lambda t: _cached(t, t.loads.withColumn("IR", F.when(month_of(F.col("DATE")) == STALE_YM, F.col("IR") * 3).otherwise(F.col("IR"))).withColumn("KW_R", F.when(month_of(F.col("DATE")) == STALE_YM, F.col("KW_R") * 3).otherwise(F.col("KW_R")))),
+    "calendar": lambda t: coverage.calendar_counts(coverage.daily_slot_counts(t.loads)),
     "readings": lambda t: fixtures.readings(t.spark, t.sf_dir),
     "dedup": lambda t: readings.raw_dedup(t.readings),
     "judged": lambda t: judged.judged(t.dedup, limit=9),
@@ -60,7 +63,7 @@ _TABLES = {
     "sustained": lambda t: sustained.sustained_daily_raw(t.loads, t.places, t.place_minutes, t.ratings),
     "clean_ratings": lambda t: t.readings.select("DT_CODE_NEW").distinct().withColumn("DT_KVA_RATING", F.lit(30.0)),
     "band_hours": lambda t: sustained.band_hours_monthly(t.sustained),
-    "window": lambda t: curve.meter_window(t.dedup, t.minutes, DAY, 18),
+    "window": lambda t: curve.meter_window(t.dedup, t.minutes, DAY, t.days),
     "grid": lambda t: curve.slot_grid(t.window),
     "curve": lambda t: curve.day_curve(t.window, t.grid, "KW_R", DAY),
     "band": lambda t: curve.threshold_band_7d(t.window, "KW_R", DAY),
@@ -73,6 +76,23 @@ _TABLES = {
 _RULES = ["DT_CODE_NEW", "MTR_NO", "DATE", "TIME_SLOT"]
 
 
+def _cached(t: Tables, loads: DataFrame) -> DataFrame:
+    def build(months: list[int]) -> DataFrame:
+        return peaks.monthly_peak_raw(loads.where(month_of(F.col("DATE")).isin(months)), t.places, t.place_minutes)
+
+    return cache_by_month(t.spark, scratch_path(t.spark, "monthly-peaks"), month_stamps(loads, month_of(F.col("DATE"))), build)
+
+
+def _detail(t: Tables) -> DataFrame:
+    raw = t.loads.drop("DT_CODE_NEW", "SDO_CD").withColumn("SOURCE_YM", month_of(F.col("DATE"))).withColumnRenamed("DATE", "OCCUR_D_RAW")
+    return pipeline.raw_detail(raw, t.master, "FL2").select("SOURCE_YM", "DT_CODE_NEW", "SDO_CD", "MTR_NO", "OCCUR_D_RAW", "TIME_SLOT", "ok", "pk", "IR", "KWH_TOTAL")
+
+
+def _observed(t: Tables) -> DataFrame:
+    stages = {"readings": lambda df: df, "dedup": readings.raw_dedup, "bad": lambda df: judged.judged(df, limit=9), "stitched": readings.dt_stitched_readings}
+    return checks.observed_counts(t.readings, stages, {"bad": F.col("IS_BAD")})
+
+
 def _to(c: str, places: int) -> Column:
     """What is solved for from sums differs in more of its last digits."""
     return F.round(c, places).alias(c)
@@ -97,6 +117,8 @@ _QUERIES = {
     "daily_slot_counts": lambda t: t.counts,
     "meter_expected_slots": lambda t: coverage.expected_slots(t.counts),
     "missing_slot_days": lambda t: coverage.missing_slot_days(t.counts, coverage.expected_slots(t.counts)),
+    "missing_slot_days_calendar": lambda t: coverage.missing_slot_days(t.calendar, coverage.expected_slots(t.calendar)).drop("DT_CODE_NEW"),
+    "offline_runs": lambda t: coverage.offline_runs(t.calendar),
     "dt_stitched_readings": lambda t: t.stitched.select(*_RULES, "meter_seq", "KWH_TOTAL"),
     "missing_slot_days_dt": lambda t: t.missing_dt,
     "rolling_thresholds": lambda t: thresholds.rolling_thresholds(t.dedup).select("MTR_NO", "DATE", "TIME_SLOT", "KW_R_HI", "KW_R_LO", "VR_HI", "VR_LO"),
@@ -152,6 +174,8 @@ _QUERIES = {
     "regression_curve": lambda t: t.regression,
     "boosted_curve": lambda t: curve.boosted_curves(w := curve.meter_window(t.dedup, t.minutes, DAY), curve.slot_grid(w), "KW_R", DAY),
     "clean_curve_off": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, curve.predicted_by("Off", t.window, t.grid, "KW_R", DAY)).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
+    "clean_curve_gaps": lambda t: curve.clean_curve(curve.interpolate_gaps(t.curve), t.flagged, t.regression).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
+    "clean_curve_auto": lambda t: curve.clean_curve(curve.interpolate_gaps(t.curve), t.flagged, curve.predicted_by("Auto", w := curve.meter_window(t.dedup, t.minutes, DAY), curve.slot_grid(w), "KW_R", DAY)).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "clean_curve": lambda t: curve.clean_curve(curve.interpolate_linear(t.curve), t.flagged, t.regression).select("MTR_NO", "TIME_SLOT", "POS", "CLEAN"),
     "curve_slope": lambda t: curve.curve_slope(t.curve).select("MTR_NO", "TIME_SLOT", "SLOPE"),
     "curve_kpis": lambda t: curve.curve_kpis(t.curve, t.flagged, t.band),
@@ -179,6 +203,12 @@ _QUERIES = {
     "check_both_kva": lambda t: checks.both_kva(t.dedup),
     "check_recomputed": lambda t: checks.recomputed(t.cached_monthly, t.monthly, ["MTR_NO", "DT_CODE_NEW", "YEAR", "YM"], "PEAK_KVA_RAW"),
     "check_schema_difference": lambda t: checks.schema_difference(t.dedup, t.clean),
+    "check_stale_cache": lambda t: checks.recomputed(t.stale_monthly, t.monthly, ["MTR_NO", "DT_CODE_NEW", "YEAR", "YM"], "PEAK_KVA_RAW"),
+    "check_months_behind": lambda t: checks.months_not_cleaned(t.loads, t.loads.where(F.year("DATE") < 1998)),
+    "check_ct_ratios": lambda t: checks.ct_ratios(t.master),
+    "check_granularity": lambda t: checks.granularity(t.dedup, t.minutes),
+    "check_observed_counts": _observed,
+    "raw_detail_export": _detail,
     "check_source_files": lambda t: checks.source_files(t.spark.read.parquet(f"{t.sf_dir}/events.parquet")).select("n_rows"),
     "check_columns": lambda t: checks.columns_of(t.master).select("column_name"),
     "check_first_difference": lambda t: checks.first_difference(t.clean_peaks),
@@ -196,4 +226,12 @@ def _query(name: str):
     return lambda spark, sf_dir: rounded(_QUERIES[name](Tables(spark, sf_dir)))
 
 
-QUERIES = {name: _query(name) for name in _QUERIES}
+#: The load-curve queries over the operators' own 180 days, beside those over 18.
+FULL = ("meter_window", "slot_grid", "day_curve", "threshold_band_7d", "band_anomalies", "missing_slot_runs", "interpolate_linear", "interpolate_gaps", "regression_curve", "clean_curve", "clean_curve_gaps", "clean_curve_off", "curve_slope", "curve_kpis")
+
+
+def _full(name: str):
+    return lambda spark, sf_dir: rounded(_QUERIES[name](Tables(spark, sf_dir, BOOSTING_DAYS)))
+
+
+QUERIES = {name: _query(name) for name in _QUERIES} | {f"{name}_full": _full(name) for name in FULL}

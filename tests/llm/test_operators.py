@@ -74,6 +74,11 @@ def test_mixing_targets_and_words(spark):
     assert all(mixed[i] == (out[i]["copies"] if out[i]["taken"] else 0) for i in out)
 
 
+def test_mixing_refuses_parts_of_epochs(spark):
+    with pytest.raises(ValueError, match="whole number"):
+        mixing.mix_plan(docs(spark, ODD), max_epochs=2.5)
+
+
 def test_mixing_odd_rows(spark):
     out = rows(mixing.mix_plan(docs(spark, ODD)))
     assert len(out) == len(ODD) and all(r["taken"] <= 3 * r["size"] for r in out)
@@ -412,6 +417,22 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_tells_rows_of_one_id_apart(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    rng = np.random.default_rng(6)
+    vectors = [(50, [1.0, 0.0]), (50, [0.9, 0.0]), (1, [0.5, 0.1]), (2, [0.5, 0.1])] + [(100, [0.25, 0.5])] * 30 + [(i, [float(x) / 9 for x in rng.normal(size=2)]) for i in range(101, 140)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors]
+    want = []
+    for a, (q, v) in enumerate(ints):
+        if q % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i) for b, (i, w) in enumerate(ints) if b != a)[:3]
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert (50, 1, 50, 58880) in want
+    assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in rows(topk.top_k(df, F.col("vec_id") % 50 == 0, k=3))) == sorted(want)
+
+
 def test_top_k_of_large_components_is_exact(spark):
     vectors = [(i, [5e4 * (i + 1), -3e4 * i]) for i in range(60)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")

@@ -48,7 +48,10 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share:
     `share` of all words is the budget. Null text has size 0; documents of size 0 take no words. A null source is a source of
     its own, the last one. Repeated rows are documents of their own; a null doc_id is a value like another. An empty
     table gives an empty plan. `row` names a column that tells rows apart; it orders those that are alike and is given back.
+    max_epochs is a whole number, another is refused: a document comes max_epochs times at most. Rows of one doc_id are ordered in one task.
     """
+    if max_epochs != int(max_epochs) or max_epochs < 1:
+        raise ValueError(f"max_epochs must be a whole number of epochs, not {max_epochs}")
     h = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
     keys = [row] if row else []
     base = staged(

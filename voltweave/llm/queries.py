@@ -104,12 +104,12 @@ select conv_id, perspective, turn, role, case when role = 'user' then speaker en
   case when role = 'assistant' then start + length(message) - length(text) - 5 end train_start, case when role = 'assistant' then start + length(message) end train_end from s
 """,
     "op5_exact_top_k": """
-with v as (select cast(vec_id as bigint) id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, embedding from embeddings
+with v as (select cast(vec_id as bigint) id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e, row_number() over () r from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.id query_id, c.id vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) score
-  from v q join v c on q.id <> c.id and len(q.e) = len(c.e) where q.id % 50 = 0)
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score from s
-qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+s as (select q.r, q.id query_id, c.id vec_id, c.r other, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) score
+  from v q join v c on q.r <> c.r and len(q.e) = len(c.e) where q.id % 50 = 0)
+select query_id, cast(row_number() over (partition by r order by score desc, vec_id, other) as integer) rank, vec_id, score from s
+qualify row_number() over (partition by r order by score desc, vec_id, other) <= 5
 """,
     "op12_collocations": r"""
 with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t, row_number() over () doc from documents),

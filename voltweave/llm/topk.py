@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 BINS = 4096
 CANDIDATES, QUERIES = 4096, 1024
@@ -23,16 +23,16 @@ CANDIDATES, QUERIES = 4096, 1024
 SLICE = 64
 
 
-def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """(id, v) with v = floor(scale * component) as array<long>; rows with a null id, a null or non-finite component or none are left out."""
+def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, is_query: Column) -> DataFrame:
+    """(id, v, asked) with v = floor(scale * component) as array<long>; rows with a null id, a null or non-finite component or none are left out."""
     x = F.col(vector_col).cast("array<double>")
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))))
-    return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.coalesce(fine, F.lit(False)) & (F.size(x) > 0)).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.coalesce(fine, F.lit(False)) & (F.size(x) > 0)).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asked"))
 
 
 def _scores(queries: pd.DataFrame, candidates: pd.DataFrame):
-    """Slices of queries (their rows, ids) with their scores against the block's candidates; a query's own id is left to the caller.
+    """Slices of queries with their scores against the block's candidates; a query's own row is left to the caller.
 
     Integer products are done in float64 as long as no sum can pass 2^53, which makes them exact, else in int64.
     """
@@ -51,15 +51,15 @@ def _histogram(k: int):
     def run(key, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(candidates):
-            ids = candidates["c_id"].to_numpy()
+            rows = candidates["c_row"].to_numpy()
             for part, scores in _scores(queries, candidates):
-                for query, low, width, s in zip(part["q_id"], part["low"], part["width"], scores, strict=True):
-                    s = s[(ids != query) & (s >= low)]
+                for query, low, width, s in zip(part["q_row"], part["low"], part["width"], scores, strict=True):
+                    s = s[(rows != query) & (s >= low)]
                     at = np.minimum((s - low) // width, BINS)  # above the range: one more bin
                     if len(at) > k:
                         at = at[at >= np.partition(at, len(at) - k)[len(at) - k]]
                     found += [(query, int(b), int(n)) for b, n in zip(*np.unique(at, return_counts=True), strict=True)]
-        return pd.DataFrame(found, columns=["id", "bin", "n"]).astype("int64")
+        return pd.DataFrame(found, columns=["row", "bin", "n"]).astype("int64")
 
     return run
 
@@ -68,13 +68,13 @@ def _select(k: int):
     def run(key, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(candidates):
-            ids = candidates["c_id"].to_numpy()
+            ids, rows = candidates["c_id"].to_numpy(), candidates["c_row"].to_numpy()
             for part, scores in _scores(queries, candidates):
-                for query, low, s in zip(part["q_id"], part["low"], scores, strict=True):
-                    at = np.flatnonzero((ids != query) & (s >= low))
-                    at = at[np.lexsort((ids[at], -s[at]))[:k]]
-                    found += [(query, int(ids[j]), int(s[j])) for j in at]
-        return pd.DataFrame(found, columns=["query_id", "id", "score"]).astype("int64")
+                for query, low, s in zip(part["q_row"], part["low"], scores, strict=True):
+                    at = np.flatnonzero((rows != query) & (s >= low))
+                    at = at[np.lexsort((rows[at], ids[at], -s[at]))[:k]]
+                    found += [(query, int(ids[j]), int(rows[j]), int(s[j])) for j in at]
+        return pd.DataFrame(found, columns=["query", "id", "other", "score"]).astype("int64")
 
     return run
 
@@ -82,8 +82,8 @@ def _select(k: int):
 def _paired(queries: DataFrame, candidates: DataFrame, state: DataFrame, blocks: tuple[int, int], run, schema: str) -> DataFrame:
     """Runs on every block of candidates with every block of queries of the same dim; blocks: how many there are of queries, candidates."""
     others, asked_for = F.explode(F.expr(f"sequence(0, {blocks[1] - 1})")), F.explode(F.expr(f"sequence(0, {blocks[0] - 1})"))
-    q = queries.join(state, "id").select("dim", "block", others.alias("other"), "id", "v", "low", "width").toDF("q_dim", "q_block", "q_other", "q_id", "q_v", "low", "width")
-    c = candidates.select("dim", asked_for.alias("other"), "block", "id", "v").toDF("c_dim", "c_other", "c_block", "c_id", "c_v")
+    q = queries.join(state, "row").select("dim", "block", others.alias("other"), "row", "v", "low", "width").toDF("q_dim", "q_block", "q_other", "q_row", "q_v", "low", "width")
+    c = candidates.select("dim", asked_for.alias("other"), "block", "row", "id", "v").toDF("c_dim", "c_other", "c_block", "c_row", "c_id", "c_v")
     return q.groupBy("q_dim", "q_block", "q_other").cogroup(c.groupBy("c_dim", "c_other", "c_block")).applyInPandas(run, schema)
 
 
@@ -91,32 +91,34 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     """query_id, rank (from 1), id, score: for each row that is_query holds for, its k highest integer inner products with other rows.
 
     Ties go to the smaller id; all of them if fewer than k. Vectors that are null, empty, or hold null or non-finite components take
-    no part; neither do null ids. Only vectors of equal length are compared. Rows that share an id are scored each on its own as
-    candidates, and as queries the first of them counts; a row never meets its own id. Scores must stay within
+    no part; neither do null ids. Only vectors of equal length are compared. Rows are told apart by themselves, so a row meets others of its
+    id, and each of several query rows of one id has its own k. Scores must stay within
     62 bits. Other columns aren't read. An empty table gives an empty result.
     """
-    rows = whole_vectors(vectors, id_col, vector_col, scale)
-    asked = whole_vectors(vectors.where(is_query), id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
-
-    rows, asked = staged(rows, "rows"), staged(asked, "asked")
+    rows = staged(whole_vectors(vectors, id_col, vector_col, scale, is_query).withColumn("row", F.monotonically_increasing_id()), "rows")
+    asked = rows.where("asked")
     blocks = max(1, -(-asked.count() // QUERIES)), max(1, -(-rows.count() // CANDIDATES))
-    queries, candidates = (df.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int").alias("block"), "id", "v") for df, n in zip((asked, rows), blocks, strict=True))
+    # By row, so that repeated rows are dealt over all blocks.
+    queries, candidates = (df.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("block"), "row", "id", "v") for df, n in zip((asked, rows), blocks, strict=True))
 
     # No score is outside +-(largest absolute components' product * dim).
     bound = candidates.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("m"), F.max("dim").alias("d")).first()
     most = min((bound["m"] or 0) ** 2 * (bound["d"] or 1) + 1, 2**62 - 1)
     width = -(-2 * most // BINS) or 1
-    state = queries.select("id", F.lit(-most).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
-    by_height = Window.partitionBy("id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    state = queries.select("row", F.lit(-most).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
+    by_height = Window.partitionBy("row").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     while True:
-        counts = _paired(queries, candidates, state, blocks, _histogram(k), "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
+        counts = _paired(queries, candidates, state, blocks, _histogram(k), "row long, bin long, n long").groupBy("row", "bin").agg(F.sum("n").alias("n"))
         # The k-th score's bin: the highest one down to which there are k. With fewer than k scores all are wanted.
-        reached = counts.withColumn("down", F.sum("n").over(by_height)).groupBy("id").agg(F.max(F.when(F.col("down") >= k, F.col("bin"))).alias("bin"))
-        state = state.join(reached, "id").select("id", (F.col("low") + F.coalesce("bin", F.lit(0)) * F.col("width")).alias("low"), F.lit(max(1, -(-width // BINS))).cast("long").alias("width"))
+        reached = counts.withColumn("down", F.sum("n").over(by_height)).groupBy("row").agg(F.max(F.when(F.col("down") >= k, F.col("bin"))).alias("bin"))
+        before, state = state, state.join(reached, "row").select("row", (F.col("low") + F.coalesce("bin", F.lit(0)) * F.col("width")).alias("low"), F.lit(max(1, -(-width // BINS))).cast("long").alias("width"))
         state = staged(state, "state")
+        if hasattr(before, "staged_path"):
+            discard(before)
         if width == 1:
             break
         width = max(1, -(-width // BINS))
-    found = _paired(queries, candidates, state, blocks, _select(k), "query_id long, id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    found = _paired(queries, candidates, state, blocks, _select(k), "query long, id long, other long, score long")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id", "other"))
+    found = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.join(asked.select(F.col("row").alias("query"), F.col("id").alias("query_id")), "query").select("query_id", "rank", "id", "score")

@@ -206,35 +206,6 @@ def regression_curve(window: DataFrame, grid: DataFrame, param: str, date: dt.da
     return rows.select("MTR_NO", "TIME_SLOT", F.when(F.col("_n") >= 2, F.greatest(F.col("_fit"), F.lit(0.0))).otherwise(F.col("_median")).alias("PREDICTED"))
 
 
-def boosted_curve(window: DataFrame, grid: DataFrame, meter: str, param: str, date: dt.date, rounds: int = 150) -> DataFrame:
-    """One meter's curve by gradient-boosted trees over ten calendar features, not under 0.
-
-    With fewer than 50 values in the 180 days before, or equal ones, regression_curve. TIME_SLOT is 'HH:MM', or the number of a
-    slot of which the grid holds a day.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    window, grid = window.where(F.col("MTR_NO") == meter), grid.where(F.col("MTR_NO") == meter)
-    past = window.where((F.col("DATE") >= F.lit(date - dt.timedelta(days=BOOSTING_DAYS))) & (F.col("DATE") < F.lit(date)) & F.col(param).isNotNull())
-    n, spread = past.agg(F.count("*"), F.stddev_pop(param)).first()
-    if n < BOOSTING_ROWS or not spread or spread < 1e-10:
-        return regression_curve(window, grid, param, date, BOOSTING_DAYS)
-    clock = grid.schema["TIME_SLOT"].dataType.simpleString() == "string"
-
-    def with_features(df: DataFrame) -> DataFrame:
-        hour = F.substring("TIME_SLOT", 1, 2).cast("int") if clock else F.col("TIME_SLOT")
-        minute = F.substring("TIME_SLOT", 4, 2).cast("int") if clock else F.lit(0)
-        df = df.withColumns({"HOUR": hour, "MINUTE": minute, "DOW": F.weekday("DATE"), "MONTH": F.month("DATE"), "DAY": F.day("DATE"), "ORD": F.datediff("DATE", F.lit("0001-01-01")) + 1})
-        turn = {f"{c}_{f.upper()}": getattr(F, f)(2 * math.pi * F.col(c) / size) for c, size in (("HOUR", 24), ("DOW", 7)) for f in ("sin", "cos")}
-        return VectorAssembler(inputCols=["HOUR", "MINUTE", "DOW", "MONTH", "DAY", "ORD", *turn], outputCol="features").transform(df.withColumns(turn))
-
-    # A meter's half year is at most some ten thousand slots.
-    model = GBTRegressor(labelCol=param, maxIter=rounds, maxDepth=4, stepSize=0.08, subsamplingRate=0.85, seed=42).fit(with_features(past.coalesce(1)))
-    out = model.transform(with_features(grid.withColumn("DATE", F.lit(date))))
-    return out.select("MTR_NO", "TIME_SLOT", F.greatest("prediction", F.lit(0.0)).alias("PREDICTED"))
-
-
 def boost(x: np.ndarray, y: np.ndarray, at: np.ndarray, rounds: int = 150, depth: int = 4, step: float = 0.08, share: float = 0.85) -> np.ndarray:
     """Predictions at the rows of `at` by gradient-boosted regression trees for squared errors, each grown on a sample of the rows."""
     rng, fit, out = np.random.default_rng(42), np.full(len(y), y.mean()), np.full(len(at), y.mean())
@@ -267,7 +238,11 @@ def boost(x: np.ndarray, y: np.ndarray, at: np.ndarray, rounds: int = 150, depth
 
 
 def boosted_curves(window: DataFrame, grid: DataFrame, param: str, date: dt.date, rounds: int = 150) -> DataFrame:
-    """boosted_curve of every meter, each with trees of its own. A group is a meter's half year: at most some ten thousand slots."""
+    """Every meter's curve by gradient-boosted trees of its own over ten calendar features, not under 0.
+
+    With fewer than 50 values in the 180 days before, or equal ones, regression_curve. TIME_SLOT is 'HH:MM', or the number of a
+    slot of which the grid holds a day. A group is a meter's half year: at most some ten thousand slots.
+    """
     past = window.where((F.col("DATE") >= F.lit(date - dt.timedelta(days=BOOSTING_DAYS))) & (F.col("DATE") < F.lit(date)) & F.col(param).isNotNull())
     kinds = past.groupBy("MTR_NO").agg((F.count("*") >= BOOSTING_ROWS) & (F.stddev_pop(param) >= 1e-10)).toDF("MTR_NO", "_boosted").where("_boosted").select("MTR_NO")
     clock = grid.schema["TIME_SLOT"].dataType.simpleString() == "string"

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import SPACE, Lookup, lower_bytes, mix, words
-from .common import crc_fold, staged
+from .common import crc_fold, discard, staged
 
 DEPTH = 4
 BUCKET = 24_000_000
@@ -154,7 +154,9 @@ def tree(grams: DataFrame) -> DataFrame:
         done = now.select(F.lit(depth).alias("depth"), "ctx", "node", (F.col("sum") + F.col("rest") * F.col("kt")).alias("p"))
         out = done if out is None else out.union(done)
         above = goes_on
-    return staged(out, "tree")
+    out = staged(out, "tree")
+    discard(*levels.values())
+    return out
 
 
 def _log_p() -> Column:

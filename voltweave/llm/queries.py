@@ -10,6 +10,7 @@ from .common import table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix of all sources takes each document."""
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
@@ -21,43 +22,52 @@ def tokenizer_path() -> str:
 
 
 def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces and their places in sequences of 4,096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, window=4096, with_ids=False)
 
 
 def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans by rules, all spans by trees."""
     return pii.report(table(spark, sf_dir, "documents"))
 
 
 def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the view of each participant."""
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest scores of the rows whose vec_id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5).withColumnRenamed("id", "vec_id")
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 80 percent of their two-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
 def op7_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a byte model and by word frequencies of the training documents."""
     return ctw.score_texts(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
 
 
 def op8_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under a unigram vocabulary."""
     import public_tokenizers
 
     return viterbi.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), in_bytes=True)
 
 
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as an audio stream, read back and described."""
     found = mpeg.read_media(mpeg.encode_texts(table(spark, sf_dir, "documents")))
     offsets = F.concat_ws(",", F.transform("seek_offsets", lambda x: x.cast("string"))).alias("seek_offsets")
     return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "seconds", "crc_ok", "crc_bad", offsets)
 
 
 def op10_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by a model of the other four folds."""
     return crf.identify(table(spark, sf_dir, "documents"), folds=5, held_fold=0)
 
 

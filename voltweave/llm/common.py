@@ -39,11 +39,16 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes staged tables that nothing will read again, not even lazily."""
+    """Removes staged tables that nothing will read again, not even lazily.
+
+    Spark drops the shuffles and broadcasts that made them when the driver collects garbage, by itself every half hour; here they go at once.
+    """
     for t in tables:
         spark = t.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 #: Rows that Python workers get at once; whole texts of 10,000 rows, Spark's default, and what is made of them take too much of an executor's memory.
@@ -57,6 +62,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH))
 
 
+def short_plans(spark: SparkSession, most: int = 20_000) -> None:
+    """Bounds the texts of plans, where the session has Spark's own limit of 2 GB: the driver keeps those of its last thousand queries, and
+    an operator of many steps has long ones."""
+    key = "spark.sql.maxPlanStringLength"
+    if int(spark.conf.get(key).rstrip("b")) > 2_000_000_000:
+        spark.conf.set(key, str(most))
+
+
 def words(text: Column) -> Column:
     """Number of maximal runs of other than ASCII white space; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")

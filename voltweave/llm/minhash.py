@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import lower_bytes, mix, words
-from .common import discard, small_batches, staged
+from .common import discard, short_plans, small_batches, staged
 from .components import connected_components
 
 HASHES, COLLECTION = 2, 10
@@ -274,6 +274,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     aren't read. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
+    short_plans(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = staged(texts.mapInPandas(_describe(shingle_words), "doc_id long, n_shingles long, low long, high long, sig array<int>"), "shingles")
     classes = rows.where("n_shingles > 0").groupBy("low", "high").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))

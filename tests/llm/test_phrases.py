@@ -61,6 +61,7 @@ def test_equal_to_brute_force(spark, monkeypatch, least, split, slots):
     monkeypatch.setattr(phrases, "SPLIT", split)
     monkeypatch.setattr(phrases, "SLOTS", slots)
     monkeypatch.setattr(phrases, "BLOCK", 16)
+    monkeypatch.setattr(phrases, "SLICE", 7)
     rows = made(least)
     assert sorted(tuple(r) for r in collocations(frame(spark, rows), least).collect()) == brute(rows, least)
 

@@ -1,12 +1,12 @@
 """Phrase collocations: word sequences that are more frequent than any cut into two parts makes likely.
 
-1. Texts become rows of at most about SPLIT words, each a 64-bit key of language and word, pieces kept apart. A longer phrase's key is made of
+1. Texts become rows of about SPLIT words, each a 64-bit key of language and word, pieces kept apart. A longer phrase's key is made of
    those of its first and last words but one.
-2. Candidates, level by level: a phrase both of whose sub-phrases are candidates, and that can be frequent enough. A row withholds
-   phrases that it has `spare` times or less; with so few rows a language that all they withhold stays below the least frequency, the
-   sum of what rows report, and `spare` for each that doesn't, bounds the frequency from above. With many rows `spare` is 0.
+2. Candidates, level by level: phrases both of whose sub-phrases are candidates, and that are frequent enough. A row reports each phrase once, with
+   its count up to the least frequency, which is all that the sum has to tell.
 3. Candidates of all levels get a minimal perfect hash: bits in a few levels, a key's slot is the rank of its bit. Each slot stores its key, so that
-   other phrases are told apart. Tasks count slots with bincount; the arrays are summed up as a tree, in blocks of slots.
+   other phrases are told apart. Tasks count slots with bincount, and note at each slot its phrase's parts; the arrays are summed up as a tree,
+   in blocks of slots.
 4. A frequent phrase's parts are frequent, so every cut's counts are among these: they are read level by level from the two
    sub-phrases. Scores are exact decimals.
 
@@ -17,6 +17,7 @@ most, of which a false hit lets a candidate in that nothing counts.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,16 +29,19 @@ from pyspark.taskcontext import TaskContext
 from .bytewords import lower_bytes, mix, words
 from .common import discard, small_batches, staged
 
-SPLIT = 1 << 20
+SPLIT = 1 << 18
 SLOTS = 1 << 21
+#: Words that NumPy works on at once.
+SLICE = 1 << 16
 #: Slots of a block of counts, arrays that are summed up at once.
 BLOCK, FAN = 1 << 15, 64
 #: Bits of a bitmap, as a power of two.
 LEAST_BITS, MOST_BITS = 16, 27
-#: Languages, by number of rows, that withhold rare phrases; others report all.
-LANGUAGES = 1024
 #: Bytes of text that NumPy works on at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
+#: Bytes of rows that a Python worker gets at once, where the session has Spark's 64 MB.
+BYTES = "8m"
+_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".,;:!?"] + list(range(10, 14))] = True
@@ -68,13 +72,13 @@ def word_keys(texts: list[str | None], lang: str) -> Iterator[tuple[bytes, np.nd
 
 
 def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (lang, n_words, data): keys of words, 0 before each piece."""
+    """Rows (lang, tongue, n_words, data): the language and its key, compressed keys of words, 0 before each piece."""
     held: dict[str, list[np.ndarray]] = {}
     sizes: dict[str, int] = {}
 
     def flush(langs: list[str]) -> pd.DataFrame:
-        rows = [(lang, sizes.pop(lang), np.concatenate(held.pop(lang)).tobytes()) for lang in langs]
-        return pd.DataFrame(rows, columns=["lang", "n_words", "data"])
+        rows = [(lang, int(language_key(lang).view(np.int64)), sizes.pop(lang), zlib.compress(np.concatenate(held.pop(lang)), 1)) for lang in langs]
+        return pd.DataFrame(rows, columns=["lang", "tongue", "n_words", "data"])
 
     for b in batches:
         for lang, some in b.groupby("lang")["text"]:
@@ -83,7 +87,7 @@ def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sizes[lang] = sizes.get(lang, 0) + len(key)
                 if sizes[lang] >= SPLIT:
                     yield flush([lang])
-        if sum(sizes.values()) > 4 * SPLIT:
+        if sum(sizes.values()) > 2 * SPLIT:
             yield flush(list(sizes))
     if sizes:
         yield flush(list(sizes))
@@ -153,90 +157,111 @@ class PerfectHash:
         return np.where((out >= 0) & (self.keys[out] == keys), out, -1)
 
 
-def _levels(data: bytes, bits: list[Bits], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Level by level the keys of the row's phrases whose sub-phrases the bitmaps have, with those of their first and last words but one."""
-    row = np.frombuffer(data, np.uint64)
-    at = np.flatnonzero(row)
-    key = row[at]
-    yield key, key, key
-    for level in range(2, most + 1):
-        there = bits[level - 2].has(key)
-        ok = np.flatnonzero(there[:-1] & there[1:] & (at[1:] == at[:-1] + 1))
-        first, last = key[ok], key[ok + 1]
-        at, key = at[ok], mix(first * _FIRST + (last ^ (last >> np.uint64(32))) * _LAST + np.uint64(level))
-        yield key, first, last
+def _levels(data: bytes, bits: list[Bits], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """By slices of the row and levels: keys of phrases whose sub-phrases the bitmaps have, with those of their first and last words but one."""
+    row = np.frombuffer(zlib.decompress(data), np.uint64)
+    for begin in range(0, len(row), SLICE):
+        at = np.flatnonzero(row[begin : begin + SLICE + most - 1]).astype(np.int32)
+        key = row[begin + at]
+        first = last = key
+        for level in range(1, most + 1):
+            if level > 1:
+                there = bits[level - 2].has(key)
+                ok = np.flatnonzero(there[:-1] & there[1:] & (at[1:] == at[:-1] + 1))
+                first, last, at = key[ok], key[ok + 1], at[ok]
+                key = mix(first * _FIRST + (last ^ (last >> np.uint64(32))) * _LAST + np.uint64(level))
+            mine = int(np.searchsorted(at, SLICE))
+            yield level, key[:mine], first[:mine], last[:mine]
 
 
-def _report(level: int, bits, spare: dict[str, int]):
-    """A row's phrases of this level that it has more than spare times."""
+def _report(level: int, bits, least: int):
+    """(key, n) of a row's phrases of this level, n up to least."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for lang, data in zip(b["lang"], b["data"], strict=True):
-                for key, first, last in _levels(data, bits.value, level):
-                    pass
-                u, at, n = np.unique(key, return_index=True, return_counts=True)
-                often = n > spare.get(lang, 0)
-                u, at, n = u[often], at[often], n[often]
-                if len(u):
-                    yield pd.DataFrame({"lang": np.full(len(u), lang, object), "key": u.view(np.int64), "first": first[at].view(np.int64), "last": last[at].view(np.int64), "n": n})
+            for data in b["data"]:
+                key = [x[1] for x in _levels(data, bits.value, level) if x[0] == level]
+                key = np.concatenate(key) if key else np.empty(0, np.uint64)
+                key.sort()
+                edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
+                n = np.minimum(np.diff(edge), least)
+                for i in range(0, len(n), SLICE):
+                    yield pd.DataFrame({"key": key[edge[:-1][i : i + SLICE]].view(np.int64), "n": n[i : i + SLICE]})
 
     return run
 
 
+#: What is known at each slot; all but the counts are the same wherever a phrase occurs, and 0 where it doesn't.
+_ARRAYS = ("counts", "level", "tongue", "first", "last")
+
+
 def _count(found, bits, most: int):
-    """Counts of a task's phrases by slot, as blocks that aren't all zero."""
+    """A task's arrays by slot, as blocks whose counts aren't all zero."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashed, n = found.value, len(found.value.keys)
-        counts = np.zeros(n, np.int64)
+        arrays = {name: np.zeros(n, np.int64) for name in _ARRAYS}
         for b in batches:
-            for data in b["data"]:
-                slots = np.concatenate([hashed.slots(key) for key, _, _ in _levels(data, bits.value, most)])
-                counts += np.bincount(slots[slots >= 0], minlength=n)
+            for tongue, data in zip(b["tongue"].tolist(), b["data"], strict=True):
+                for level, key, first, last in _levels(data, bits.value, most):
+                    slots = hashed.slots(key)
+                    there = slots >= 0
+                    slots = slots[there]
+                    arrays["counts"] += np.bincount(slots, minlength=n)
+                    arrays["level"][slots], arrays["tongue"][slots] = level, tongue
+                    arrays["first"][slots], arrays["last"][slots] = first[there].view(np.int64), last[there].view(np.int64)
         turn = TaskContext.get().partitionId()
         for i in range(0, n, BLOCK):
-            part = counts[i : i + BLOCK]
-            if part.any():
-                yield pd.DataFrame({"block": [i // BLOCK], "turn": [turn], "counts": [part.tobytes()]})
+            if arrays["counts"][i : i + BLOCK].any():
+                yield pd.DataFrame({"block": [i // BLOCK], "turn": [turn]} | {name: [a[i : i + BLOCK].tobytes()] for name, a in arrays.items()})
 
     return run
 
 
-def _sum(df: pd.DataFrame) -> np.ndarray:
-    return np.sum([np.frombuffer(c, np.int64) for c in df["counts"]], axis=0)
+def _merged(df: pd.DataFrame) -> dict[str, np.ndarray]:
+    """A block's arrays of several tasks in one: counts added, the rest from any task that has it."""
+    out: dict[str, np.ndarray] = {}
+    for row in df[list(_ARRAYS)].itertuples(index=False):
+        arrays = {name: np.frombuffer(a, np.int64) for name, a in zip(_ARRAYS, row, strict=True)}
+        if not out:
+            out = {name: a.copy() for name, a in arrays.items()}
+            continue
+        new = (out["counts"] == 0) & (arrays["counts"] > 0)
+        for name in _ARRAYS[1:]:
+            out[name][new] = arrays[name][new]
+        out["counts"] += arrays["counts"]
+    return out
 
 
 def _counted(rows: DataFrame, keys: np.ndarray, bits, most: int, least: int) -> DataFrame:
-    """(key, f) of these candidates that occur at least `least` times."""
+    """(key, f, level, tongue, first, last) of these candidates that occur at least `least` times."""
     spark = rows.sparkSession
     found = spark.sparkContext.broadcast(PerfectHash(keys))
-    arrays = rows.select("data").mapInPandas(_count(found, bits, most), "block int, turn int, counts binary")
+    schema = f"block int, turn int, {', '.join(f'{name} binary' for name in _ARRAYS)}"
+    arrays = rows.select("tongue", "data").mapInPandas(_count(found, bits, most), schema)
+
+    def together(df: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": df["block"].iloc[:1], "turn": df["turn"].iloc[:1]} | {name: [a.tobytes()] for name, a in _merged(df).items()})
+
     for fan in (FAN, FAN * FAN):
-        arrays = arrays.groupBy("block", F.expr(f"turn div {fan}")).applyInPandas(lambda df: pd.DataFrame({"block": df["block"].iloc[:1], "turn": df["turn"].iloc[:1], "counts": [_sum(df).tobytes()]}), "block int, turn int, counts binary")
+        arrays = arrays.groupBy("block", F.expr(f"turn div {fan}")).applyInPandas(together, schema)
 
     def read(df: pd.DataFrame) -> pd.DataFrame:
-        total, first = _sum(df), int(df["block"].iloc[0]) * BLOCK
-        often = np.flatnonzero(total >= least)
-        return pd.DataFrame({"key": found.value.keys[first + often].view(np.int64), "f": total[often]})
+        all_, first = _merged(df), int(df["block"].iloc[0]) * BLOCK
+        often = np.flatnonzero(all_["counts"] >= least)
+        return pd.DataFrame({"key": found.value.keys[first + often].view(np.int64), "f": all_["counts"][often]} | {name: all_[name][often] for name in _ARRAYS[1:]})
 
-    return arrays.groupBy("block").applyInPandas(read, "key long, f long")
+    return arrays.groupBy("block").applyInPandas(read, "key long, f long, level int, tongue long, first long, last long")
 
 
 def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, list[Bits], list[DataFrame]]:
-    """(lang, key, first, last, level) of all phrases that can be frequent, and the bitmap of each level."""
+    """(key) of all phrases that are candidates, and the bitmap and table of each level."""
     spark = rows.sparkSession
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    spare = {r["lang"]: (least - 1) // r["n"] for r in sizes}
-    known = spark.createDataFrame([(r["lang"], r["n"], spare[r["lang"]]) for r in sizes], "lang string, n_rows long, spare long")
     bits, levels = [], []
     for level in range(1, longest + 1):
         sent = spark.sparkContext.broadcast(list(bits))
-        reported = rows.select("lang", "data").mapInPandas(_report(level, sent, spare), "lang string, key long, first long, last long, n long")
-        sums = reported.groupBy("key").agg(F.first("lang").alias("lang"), F.first("first").alias("first"), F.first("last").alias("last"), F.sum("n").alias("n"), F.count("*").alias("n_reports"))
-        bound = F.col("n") + F.coalesce(F.col("spare") * (F.col("n_rows") - F.col("n_reports")), F.lit(0))
-        able = sums.join(known, "lang", "left").where(bound >= least).select("lang", "key", "first", "last", F.lit(level).alias("level"))
-        levels.append(staged(able, f"level{level}"))
+        reported = rows.select("data").mapInPandas(_report(level, sent, least), "key long, n long")
+        levels.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), f"level{level}"))
         bits.append(bitmap(levels[-1], levels[-1].count()))
     out = levels[0]
     for more in levels[1:]:
@@ -276,28 +301,28 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     """
     spark = docs.sparkSession
     small_batches(spark)
+    if spark.conf.get(_BYTES_KEY) == "67108864b":
+        spark.conf.set(_BYTES_KEY, BYTES)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = staged(docs.mapInPandas(_encode, "lang string, n_words long, data binary"), "words", compression="zstd")
+    rows = staged(docs.mapInPandas(_encode, "lang string, tongue long, n_words long, data binary"), "words", compression="uncompressed")
     able, bits, levels = candidates(rows, least, longest)
-    totals = rows.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    totals = rows.groupBy("tongue", "lang").agg(F.sum("n_words").alias("n"))
 
     turns = max(1, -(-able.count() // SLOTS))
     sent, counted = spark.sparkContext.broadcast(bits), []
     for turn in range(turns):
         some = able.where(F.pmod(F.xxhash64("key"), F.lit(turns)) == turn).select("key")
         counted.append(staged(_counted(rows, some.toPandas()["key"].to_numpy(np.int64).view(np.uint64), sent, longest, least), "counts"))
-    counts = counted[0]
+    known = counted[0]
     for more in counted[1:]:
-        counts = counts.union(more)
-
-    known = able.join(counts, "key")
-    grown = [staged(known.where("level = 1").select("lang", "key", "f", F.array("key").alias("words"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("l"), F.array().cast("array<long>").alias("r")), "phrases1")]
+        known = known.union(more)
+    grown = [staged(known.where("level = 1").select("tongue", "key", "f", F.array("key").alias("words"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("l"), F.array().cast("array<long>").alias("r")), "phrases1")]
     for level in range(2, longest + 1):
         # The counts of a phrase's beginnings are those of its first words but one and of all of these, and likewise from the end.
         p, s = (grown[-1].select("key", "f", "words", side).toDF(f"{name}_key", f"{name}_f", f"{name}_words", f"{name}_cuts") for name, side in (("p", "l"), ("s", "r")))
         now = known.where(F.col("level") == level).join(p, F.col("first") == F.col("p_key")).join(s, F.col("last") == F.col("s_key"))
         words_ = F.concat("p_words", F.array(F.element_at("s_words", -1)))
-        now = now.select("lang", "key", "f", words_.alias("words"), "first", "last", F.concat("p_cuts", F.array("p_f")).alias("l"), F.concat(F.array("s_f"), "s_cuts").alias("r"))
+        now = now.select("tongue", "key", "f", words_.alias("words"), "first", "last", F.concat("p_cuts", F.array("p_f")).alias("l"), F.concat(F.array("s_f"), "s_cuts").alias("r"))
         grown.append(staged(now, f"phrases{level}"))
 
     phrases, longer = None, None
@@ -310,7 +335,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     # Every longer phrase around one has a phrase of one word more in between, at least as frequent.
     longer = longer.groupBy("key").agg(F.max("f").alias("f_longer"))
     kept = phrases.join(longer, "key", "left").where(F.coalesce(100 * F.col("f_longer") < covered * F.col("f"), F.lit(True)))
-    kept = kept.join(totals, "lang")
+    kept = kept.join(totals, "tongue")
     score = "(cast(f as decimal(15,0)) * cast(n as decimal(15,0)) * 1000bd) div (cast(l[k] as decimal(15,0)) * cast(r[k] as decimal(15,0)))"
     cuts = F.expr(f"array_min(transform(sequence(0, size(l) - 1), k -> struct({score} as score, k as k, l[k] as l, r[k] as r)))")
     best = staged(kept.withColumn("c", cuts).select("lang", "key", "words", F.col("f").alias("a"), "n", "c.l", "c.r", "c.score"), "scored")

@@ -38,17 +38,19 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return out
 
 
-def discard(*tables: DataFrame) -> None:
-    """Removes staged tables that nothing will read again, not even lazily.
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark drops the shuffles and broadcasts of queries that are done when the driver collects garbage, by itself every half hour; here they go at once."""
+    spark._jvm.System.gc()
+
 
-    Spark drops the shuffles and broadcasts that made them when the driver collects garbage, by itself every half hour; here they go at once.
-    """
+def discard(*tables: DataFrame) -> None:
+    """Removes staged tables that nothing will read again, not even lazily, and the shuffles that made them."""
     for t in tables:
         spark = t.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     if tables:
-        tables[0].sparkSession._jvm.System.gc()
+        free_shuffles(tables[0].sparkSession)
 
 
 #: Rows that Python workers get at once; whole texts of 10,000 rows, Spark's default, and what is made of them take too much of an executor's memory.

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .bytewords import lower_bytes, mix, words
-from .common import discard, small_batches, staged
+from .common import discard, free_shuffles, small_batches, staged
 
 SPLIT = 1 << 18
 SLOTS = 1 << 21
@@ -254,8 +254,23 @@ def _counted(rows: DataFrame, keys: np.ndarray, bits, most: int, least: int) ->
     return arrays.groupBy("block").applyInPandas(read, "key long, f long, level int, tongue long, first long, last long")
 
 
-def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, list[Bits], list[DataFrame]]:
-    """(key) of all phrases that are candidates, and the bitmap and table of each level."""
+def _thin(frequent):
+    """Rows without words that no candidate has; one 0 stands for what is left out between others."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            thin = []
+            for data in b["data"]:
+                row = np.frombuffer(zlib.decompress(data), np.uint64).copy()
+                row[~frequent.value.has(row)] = 0
+                thin.append(zlib.compress(row[(row != 0) | np.concatenate(([True], row[:-1] != 0))[: len(row)]], 1))
+            yield b.assign(data=thin)
+
+    return run
+
+
+def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame, list[Bits], list[DataFrame]]:
+    """(key) of all phrases that are candidates, the rows without rare words, and the bitmap and table of each level; the rows given are removed."""
     spark = rows.sparkSession
     bits, levels = [], []
     for level in range(1, longest + 1):
@@ -263,10 +278,15 @@ def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, li
         reported = rows.select("data").mapInPandas(_report(level, sent, least), "key long, n long")
         levels.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), f"level{level}"))
         bits.append(bitmap(levels[-1], levels[-1].count()))
+        if level == 1:
+            thin = staged(rows.mapInPandas(_thin(spark.sparkContext.broadcast(bits[0])), rows.schema), "thin", compression="uncompressed")
+            discard(rows)
+            rows = thin
+        free_shuffles(spark)
     out = levels[0]
     for more in levels[1:]:
         out = out.union(more)
-    return out, bits, levels
+    return out, rows, bits, levels
 
 
 def _names(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -305,7 +325,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
         spark.conf.set(_BYTES_KEY, BYTES)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = staged(docs.mapInPandas(_encode, "lang string, tongue long, n_words long, data binary"), "words", compression="uncompressed")
-    able, bits, levels = candidates(rows, least, longest)
+    able, rows, bits, levels = candidates(rows, least, longest)
     totals = rows.groupBy("tongue", "lang").agg(F.sum("n_words").alias("n"))
 
     turns = max(1, -(-able.count() // SLOTS))

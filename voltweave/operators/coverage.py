@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,20 +22,40 @@ def expected_slots(counts: DataFrame, key: str = "MTR_NO") -> DataFrame:
 
 def missing_slot_days(counts: DataFrame, expected: DataFrame, key: str = "MTR_NO") -> DataFrame:
     """Days with fewer slots than expected, how many are missing, and a label."""
-    out = counts.join(expected, key).where("slots_present < expected_slots_per_day")
+    return _labelled(counts.join(expected, key))
+
+
+def missing_calendar_days(counts: DataFrame, expected: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
+    """missing_slot_days of calendar_counts, by the first of the keys.
+
+    Joined before the days are laid out: AQE measures what is joined, not what it grows to, and would broadcast a calendar by the size of its spans.
+    """
+    return _labelled(_laid_out(_spans(counts.join(expected, keys[0]), keys), *keys, extra=("expected_slots_per_day",)))
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    out = rows.where("slots_present < expected_slots_per_day")
     return out.withColumns({"missing_slot_count": F.col("expected_slots_per_day") - F.col("slots_present"), "GAP_TYPE": gap_label(F.col("slots_present"), F.col("expected_slots_per_day"))})
 
 
+def _spans(counts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """counts with NEXT, the key's next day in there; the last day has none."""
+    return counts.where("DATE is not null").withColumn("NEXT", F.lead("DATE").over(Window.partitionBy(*keys).orderBy("DATE")))
+
+
+def _laid_out(spans: DataFrame, *keys: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Spans as days: a span's first day has its slots, those up to the next one have none."""
+    days = F.sequence("DATE", F.coalesce(F.date_sub("NEXT", 1), "DATE"))
+    rows = spans.select(*keys, *extra, F.col("slots_present").alias("_slots"), F.posexplode(days).alias("_nth", "DATE"))
+    return rows.select(*keys, "DATE", F.when(F.col("_nth") == 0, F.col("_slots")).otherwise(F.lit(0)).cast("long").alias("slots_present"), *extra)
+
+
 def calendar_counts(counts: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
     """daily_slot_counts with all days from a key's first to its last: days without a reading have 0 slots.
 
-    A key's days are laid out by one sequence a key and joined to its counts, both by the same keys.
+    Each day with readings lays out the days up to the key's next one, in place: no join, and no row of an empty day is shuffled.
     """
-    ends = counts.groupBy(*keys).agg(F.min("DATE").alias("first"), F.max("DATE").alias("last"))
-    days = ends.select(*keys, F.explode(F.sequence("first", "last")).alias("DATE"))
-    same = [days[k].eqNullSafe(counts[k]) for k in (*keys, "DATE")]
-    there = days.join(counts, reduce(lambda a, b: a & b, same), "left")
-    return there.select(*[days[k] for k in keys], days["DATE"], F.coalesce("slots_present", F.lit(0)).cast("long").alias("slots_present"))
+    return _laid_out(_spans(counts, keys), *keys)
 
 
 def offline_runs(calendar: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:

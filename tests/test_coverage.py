@@ -48,3 +48,21 @@ def test_no_join_sees_laid_out_days(spark):
     text = plan(_QUERIES["missing_slot_days_calendar"](Tables(spark, DATA)))
     # A plan is written from its top: days are laid out above every join, and once.
     assert text.count("Generate ") == 1 and text.index("Generate ") < text.index("Join ")
+
+
+def test_runs_are_found_between_days(sparse):
+    rows, counts = sparse
+    wanted, days = set(), {}
+    for m, d, day, _ in rows:
+        days.setdefault((m, d), []).append(day)
+    for key, at in days.items():
+        at.sort()
+        wanted |= {(*key, a + DAY, b - DAY, (b - a).days - 1) for a, b in zip(at, at[1:], strict=False) if b - a > DAY}
+    runs = coverage.offline_runs(counts)
+    assert {tuple(r) for r in runs.collect()} == wanted == {tuple(r) for r in coverage.offline_runs(coverage.calendar_counts(counts)).collect()}
+    assert "Generate " not in plan(runs) and "Join " not in plan(runs)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_offline_runs_lay_out_no_days(spark):
+    assert "Generate " not in plan(_QUERIES["offline_runs"](Tables(spark, DATA)))

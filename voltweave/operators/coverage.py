@@ -58,11 +58,13 @@ def calendar_counts(counts: DataFrame, keys: tuple[str, ...] = METER) -> DataFra
     return _laid_out(_spans(counts, keys), *keys)
 
 
-def offline_runs(calendar: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
-    """Runs of days without a reading: first and last day, number of days."""
-    order = Window.partitionBy(*keys).orderBy("DATE")
-    rows = calendar.withColumn("run", F.count_if(F.col("slots_present") > 0).over(order)).where("slots_present = 0")
-    return rows.groupBy(*keys, "run").agg(F.min("DATE").alias("first_day"), F.max("DATE").alias("last_day"), F.count("*").alias("n_days")).drop("run")
+def offline_runs(counts: DataFrame, keys: tuple[str, ...] = METER) -> DataFrame:
+    """Runs of days without a reading between days with some: first and last day, number of days.
+
+    counts: daily_slot_counts or calendar_counts. Runs are what lies between neighbouring days, so no empty day becomes a row.
+    """
+    spans = _spans(counts.where("slots_present > 0"), keys).where(F.datediff("NEXT", "DATE") > 1)
+    return spans.select(*keys, F.date_add("DATE", 1).alias("first_day"), F.date_sub("NEXT", 1).alias("last_day"), (F.datediff("NEXT", "DATE") - 1).cast("long").alias("n_days"))
 
 
 def meter_granularity(readings: DataFrame, limit: float = SLOTS_15_MINUTES) -> DataFrame:

@@ -33,7 +33,6 @@ _TABLES = {
     # Raw monthly peaks as they are read back from a cache that holds each month with a stamp of its readings; stale: one month was built from others.
     "cached_monthly": lambda t: _cached(t, t.loads),
     "stale_monthly": lambda t: _cached(t, t.loads.withColumn("IR", F.when(month_of(F.col("DATE")) == STALE_YM, F.col("IR") * 3).otherwise(F.col("IR"))).withColumn("KW_R", F.when(month_of(F.col("DATE")) == STALE_YM, F.col("KW_R") * 3).otherwise(F.col("KW_R")))),
-    "calendar": lambda t: coverage.calendar_counts(t.load_days),
     "load_days": lambda t: coverage.daily_slot_counts(t.loads),
     "readings": lambda t: fixtures.readings(t.spark, t.sf_dir),
     "dedup": lambda t: readings.raw_dedup(t.readings),
@@ -119,7 +118,7 @@ _QUERIES = {
     "meter_expected_slots": lambda t: coverage.expected_slots(t.counts),
     "missing_slot_days": lambda t: coverage.missing_slot_days(t.counts, coverage.expected_slots(t.counts)),
     "missing_slot_days_calendar": lambda t: coverage.missing_calendar_days(t.load_days, coverage.expected_slots(t.load_days)).select("MTR_NO", "DATE", "slots_present", "expected_slots_per_day", "missing_slot_count", "GAP_TYPE"),
-    "offline_runs": lambda t: coverage.offline_runs(t.calendar),
+    "offline_runs": lambda t: coverage.offline_runs(t.load_days),
     "dt_stitched_readings": lambda t: t.stitched.select(*_RULES, "meter_seq", "KWH_TOTAL"),
     "missing_slot_days_dt": lambda t: t.missing_dt,
     "rolling_thresholds": lambda t: thresholds.rolling_thresholds(t.dedup).select("MTR_NO", "DATE", "TIME_SLOT", "KW_R_HI", "KW_R_LO", "VR_HI", "VR_LO"),

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from voltweave.constants import BOOSTING_DAYS, BOOSTING_ROWS, FIT_WINDOW, LINEAR_GAP, QUADRATIC_GAP, REGRESSION_DAYS
 from voltweave.functions.columns import slot_kva
 
+#: Boosted trees: groups of meters in a partition; readings of which the trees are grown at once.
+GROUPS, TOGETHER = 4, 20_000
+
 
 def meter_window(readings: DataFrame, granularity: DataFrame, date: dt.date, days: int = BOOSTING_DAYS) -> DataFrame:
     """Readings of the days up to and with the date, with KVA."""
@@ -208,40 +211,68 @@ def regression_curve(window: DataFrame, grid: DataFrame, param: str, date: dt.da
 
 def boost(x: np.ndarray, y: np.ndarray, at: np.ndarray, rounds: int = 150, depth: int = 4, step: float = 0.08, share: float = 0.85) -> np.ndarray:
     """Predictions at the rows of `at` by gradient-boosted regression trees for squared errors, each grown on a sample of the rows."""
-    rng, fit, out = np.random.default_rng(42), np.full(len(y), y.mean()), np.full(len(at), y.mean())
-    values = [np.unique(c) for c in x.T]
-    codes = np.stack([np.searchsorted(v, c) for v, c in zip(values, x.T, strict=True)], 1)
-
-    def grow(some: np.ndarray, every: np.ndarray, there: np.ndarray, rest: np.ndarray, level: int) -> None:
-        r, best = rest[some], (1e-12, 0, 0)
-        for j, v in enumerate(values if level else ()):
-            n, total = np.bincount(codes[some, j], minlength=len(v)).cumsum()[:-1], np.bincount(codes[some, j], r, len(v)).cumsum()[:-1]
-            ok = np.flatnonzero((n > 0) & (n < len(some)))
-            if len(ok):
-                gain = total[ok] ** 2 / n[ok] + (r.sum() - total[ok]) ** 2 / (len(some) - n[ok]) - r.sum() ** 2 / len(some)
-                best = max(best, (float(gain.max()), j, int(ok[gain.argmax()])), key=lambda b: b[0])
-        gain, j, cut = best
-        if gain <= 1e-12:
-            fit[every] += step * r.mean()
-            out[there] += step * r.mean()
-            return
-        mine, theirs = codes[every, j] <= cut, at[there, j] <= (values[j][cut] + values[j][cut + 1]) / 2
-        inside = codes[some, j] <= cut
-        grow(some[inside], every[mine], there[theirs], rest, level - 1)
-        grow(some[~inside], every[~mine], there[~theirs], rest, level - 1)
+    return boost_each([(x, y, at)], rounds, depth, step, share)[0]
+
+
+def boost_each(series: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rounds: int = 150, depth: int = 4, step: float = 0.08, share: float = 0.85) -> list[np.ndarray]:
+    """boost of each (x, y, at) on its own, all at once: what NumPy spends on a call is shared.
+
+    The trees of all series grow level by level: one histogram over (node, feature, value) for all their nodes. Features with one value can't split.
+    """
+    rngs, trained = [np.random.default_rng(42) for _ in series], [len(y) for _, y, _ in series]
+    ends, asked = np.cumsum(trained), np.cumsum([len(at) for _, _, at in series])
+    rows, values = int(ends[-1]), np.concatenate([y for _, y, _ in series])
+    owner = np.concatenate([np.repeat(np.arange(len(series)), trained), np.repeat(np.arange(len(series)), np.diff(asked, prepend=0))])
+    fit = np.array([y.mean() for _, y, _ in series])[owner]
+    varied = [j for j in range(series[0][0].shape[1]) if any((x[:, j] != x[0, j]).any() for x, _, _ in series)]
+    known = [[np.unique(x[:, j]) for j in varied] for x, _, _ in series]
+    # Codes of a row of `at`: how many cuts, halfway between two values, it is above.
+    codes = [np.array([np.searchsorted(v, x[:, j]) for v, j in zip(k, varied, strict=True)], int).reshape(len(varied), len(x)).T for (x, _, _), k in zip(series, known, strict=True)]
+    codes += [np.array([np.searchsorted((v[:-1] + v[1:]) / 2, at[:, j]) for v, j in zip(k, varied, strict=True)], int).reshape(len(varied), len(at)).T for (_, _, at), k in zip(series, known, strict=True)]
+    codes, many, width = np.concatenate(codes), len(varied), max((len(v) for k in known for v in k), default=1)
+    bins = codes[:rows] + np.arange(many) * width
+
+    def grow(some: np.ndarray, rest: np.ndarray) -> None:
+        """Adds a tree; some: the sample, ordered by node, bounds: where each node's begins and ends, live: rows that are in no leaf yet, node: theirs."""
+        bounds, live, node = np.concatenate(([0], np.searchsorted(some, ends))), np.arange(len(fit)), owner
+        for level in range(depth if many else 0, -1, -1):
+            r, size = rest[some], np.diff(bounds)
+            total = np.array([r[a:b].sum() for a, b in zip(bounds, bounds[1:], strict=False)])
+            split = np.zeros(len(size), bool)
+            if level:
+                keys = (bins[some] + np.repeat(np.arange(len(size)) * (many * width), size)[:, None]).ravel()
+                shape = (len(size), many, width)
+                n = np.bincount(keys, minlength=math.prod(shape)).reshape(shape).cumsum(2).reshape(len(size), -1)
+                left = np.bincount(keys, np.repeat(r, many), math.prod(shape)).reshape(shape).cumsum(2).reshape(len(size), -1)
+                ok = (n > 0) & (n < size[:, None])
+                gain = left**2 / np.maximum(n, 1) + (total[:, None] - left) ** 2 / np.maximum(size[:, None] - n, 1) - (total**2 / np.maximum(size, 1))[:, None]
+                gain[~ok] = -1.0
+                best = gain.argmax(1)
+                split = gain[np.arange(len(size)), best] > 1e-12
+            if not split.all():
+                leaf = ~split[node]
+                fit[live[leaf]] += (step * (total / np.maximum(size, 1)))[node[leaf]]
+                if not split.any():
+                    return
+                live, node = live[~leaf], node[~leaf]
+            feature, cut = np.divmod(best, width)
+            first = 2 * (np.cumsum(split) - 1)
+            at_node = np.repeat(np.arange(len(size)), size)
+            child = np.where(split, first, -2)[at_node] + (codes[some, feature[at_node]] > cut[at_node])
+            order = np.argsort(child, kind="stable")[int((child < 0).sum()) :]
+            some, bounds = some[order], np.concatenate(([0], np.bincount(child[order]).cumsum()))
+            node = first[node] + (codes[live, feature[node]] > cut[node])
 
     for _ in range(rounds):
-        some = np.flatnonzero(rng.random(len(y)) < share)
-        if len(some):
-            grow(some, np.arange(len(y)), np.arange(len(at)), y - fit, depth)
-    return out
+        grow(np.flatnonzero(np.concatenate([rng.random(n) for rng, n in zip(rngs, trained, strict=True)]) < share), values - fit[:rows])
+    return np.split(fit[rows:], asked[:-1])
 
 
 def boosted_curves(window: DataFrame, grid: DataFrame, param: str, date: dt.date, rounds: int = 150) -> DataFrame:
     """Every meter's curve by gradient-boosted trees of its own over ten calendar features, not under 0.
 
     With fewer than 50 values in the 180 days before, or equal ones, regression_curve. TIME_SLOT is 'HH:MM', or the number of a
-    slot of which the grid holds a day. A group is a meter's half year: at most some ten thousand slots.
+    slot of which the grid holds a day. A group is a few meters' half years, of some ten thousand slots each at most.
     """
     past = window.where((F.col("DATE") >= F.lit(date - dt.timedelta(days=BOOSTING_DAYS))) & (F.col("DATE") < F.lit(date)) & F.col(param).isNotNull())
     kinds = past.groupBy("MTR_NO").agg((F.count("*") >= BOOSTING_ROWS) & (F.stddev_pop(param) >= 1e-10)).toDF("MTR_NO", "_boosted").where("_boosted").select("MTR_NO")
@@ -251,21 +282,33 @@ def boosted_curves(window: DataFrame, grid: DataFrame, param: str, date: dt.date
         day = pd.to_datetime(df["DATE"])
         hour = df["TIME_SLOT"].str[:2].astype(int) if clock else df["TIME_SLOT"]
         minute = df["TIME_SLOT"].str[3:5].astype(int) if clock else 0 * hour
-        columns = [hour, minute, day.dt.weekday, day.dt.month, day.dt.day, day.map(pd.Timestamp.toordinal)]
+        columns = [hour, minute, day.dt.weekday, day.dt.month, day.dt.day, (day - pd.Timestamp(1970, 1, 1)).dt.days + dt.date(1970, 1, 1).toordinal()]
         turns = [f(2 * math.pi * c / size) for c, size in ((hour, 24), (day.dt.weekday, 7)) for f in (np.sin, np.cos)]
         return np.stack([np.asarray(c, float) for c in columns + turns], 1)
 
     def run(slots: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if not len(slots) or not len(rows):
-            return slots[["MTR_NO", "TIME_SLOT"]].iloc[:0].assign(PREDICTED=0.0)
-        rows = rows.set_axis(["MTR_NO", "DATE", "TIME_SLOT", param], axis=1)
-        rows, slots = rows.sort_values(["DATE", "TIME_SLOT", param]), slots.sort_values("TIME_SLOT")
-        found = boost(features(rows), rows[param].to_numpy(float), features(slots.assign(DATE=date)), rounds)
-        return slots[["MTR_NO", "TIME_SLOT"]].assign(PREDICTED=np.maximum(found, 0.0))
+        slots = slots[slots["MTR_NO"].isin(rows["_meter"])].sort_values(["MTR_NO", "TIME_SLOT"]) if len(rows) else slots.iloc[:0]
+        if not len(slots):
+            return slots[["MTR_NO", "TIME_SLOT"]].assign(PREDICTED=0.0)
+        rows = rows.set_axis(["_part", "MTR_NO", "DATE", "TIME_SLOT", param], axis=1).sort_values(["MTR_NO", "DATE", "TIME_SLOT", param])
+        cut = [np.flatnonzero(df["MTR_NO"].to_numpy()[1:] != df["MTR_NO"].to_numpy()[:-1]) + 1 for df in (rows, slots)]
+        x, y, at = np.split(features(rows), cut[0]), np.split(rows[param].to_numpy(float), cut[0]), np.split(features(slots.assign(DATE=date)), cut[1])
+        series, found, first = list(zip(x, y, at, strict=True)), [], 0
+        before = np.cumsum([0, *map(len, y)])
+        while first < len(series):
+            end = max(first + 1, int(np.searchsorted(before, before[first] + TOGETHER, "right")) - 1)
+            found += boost_each(series[first:end], rounds)
+            first = end
+        return slots[["MTR_NO", "TIME_SLOT"]].assign(PREDICTED=np.maximum(np.concatenate(found), 0.0))
 
     schema = f"MTR_NO string, TIME_SLOT {grid.schema['TIME_SLOT'].dataType.simpleString()}, PREDICTED double"
     asked = past.where("TIME_SLOT is not null").join(kinds, "MTR_NO", "left_semi").select("MTR_NO", "DATE", "TIME_SLOT", param).toDF("_meter", "_date", "_slot", "_value")
-    made = grid.select("MTR_NO", "TIME_SLOT").groupBy("MTR_NO").cogroup(asked.groupBy("_meter")).applyInPandas(run, schema)
+    # A meter's few kilobytes take long, so AQE may not merge these partitions by their bytes; of a partition's meters a GROUPS-th are grown together.
+    parts = int(window.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(GROUPS * parts)).alias("_part")
+    slots = grid.select(part("MTR_NO"), "MTR_NO", "TIME_SLOT").repartition(parts, "_part")
+    asked = asked.select(part("_meter").alias("_asked"), "*").repartition(parts, "_asked")
+    made = slots.groupBy("_part").cogroup(asked.groupBy("_asked")).applyInPandas(run, schema)
     others = regression_curve(window.join(kinds, "MTR_NO", "left_anti"), grid.join(kinds, "MTR_NO", "left_anti"), param, date, BOOSTING_DAYS)
     return made.unionByName(others)
 

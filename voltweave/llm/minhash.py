@@ -40,6 +40,8 @@ SIGNATURE = 2 * COLLECTION * HASHES
 SURE = 20
 #: Members of a bucket, or of a home, that are taken at once; shingles of a home likewise; partners of a document likewise.
 WIDE, HEAVY, CHUNK = 1024, 1_000_000, 256
+#: Documents whose table keys one task lays out and counts; a hundred each.
+KEYED = 4_000
 #: Rows, texts, shingles and pairs that one call of Python gets on average.
 ROWS, TEXTS, SHINGLES, PAIRS = 20_000, 1_000, 500_000, 50_000
 #: What is known of a bucket's member.
@@ -94,6 +96,13 @@ def _bucket_keys(sig):
     return F.transform(keys, lambda k, i: k.bitwiseAND(F.lit(-128).cast("long")).bitwiseOR(i.cast("long")))
 
 
+def _keyed(classes: DataFrame) -> DataFrame:
+    """(id, bucket) of every table key. Files of classes are small for what they grow to, so their rows are dealt out first: counting keys takes
+    memory by the keys of a task, and nearly all of them are met once."""
+    tasks = max(1, -(-classes.count() // KEYED))
+    return classes.select("id", "sig").repartition(tasks, "id").select("id", F.explode(_bucket_keys(F.col("sig"))).alias("bucket"))
+
+
 def _agree(a, b):
     """In how many places two columns of MinHash values agree."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -281,7 +290,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     classes = staged(classes.where("id is not null").select("id", "n_shingles", "sig", "low", "high"), "classes")
     reps = classes.select("id", "n_shingles", "sig")
 
-    keyed = classes.select("id", F.explode(_bucket_keys(F.col("sig"))).alias("bucket"))
+    keyed = _keyed(classes)
     centres = staged(keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
     members = staged(keyed.join(centres, "bucket").select("bucket", "a", "id"), "members")
     l, r = reps.alias("l"), reps.alias("r")

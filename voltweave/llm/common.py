@@ -29,17 +29,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts the lineage, and a lost executor loses nothing."""
+    """Writes df to the shared folder and reads it again: cuts the lineage, and a lost executor loses nothing.
+
+    What planning and scheduling the write left behind in the driver goes at once. Left to itself its heap grows to its limit in operators
+    of many steps, and keeps that size for the rest of the session.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voltweave-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    free_shuffles(spark)
     return out
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Spark drops the shuffles and broadcasts of queries that are done when the driver collects garbage, by itself every half hour; here they go at once."""
+    """Spark drops the shuffles and broadcasts of queries that are done when the driver collects garbage, by itself every half hour; here they go at once,
+    and the heap shrinks to what its live data need."""
     spark._jvm.System.gc()
 
 

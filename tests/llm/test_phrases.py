@@ -66,6 +66,25 @@ def test_equal_to_brute_force(spark, monkeypatch, least, split, slots):
     assert sorted(tuple(r) for r in collocations(frame(spark, rows), least).collect()) == brute(rows, least)
 
 
+def test_reports_come_in_turns_and_rows_are_written_once(spark, monkeypatch):
+    written, staged = [], phrases.staged
+
+    def spy(df, name, **kw):
+        out = staged(df, name, **kw)
+        written.append((name, sorted(r[0] for r in out.select("key").collect()) if name.startswith("level") else None))
+        return out
+
+    rows = made(7)
+    whole = [r[:] for r in brute(rows, 4)]
+    monkeypatch.setattr(phrases, "staged", spy)
+    assert sorted(map(tuple, collocations(frame(spark, rows), 4).collect())) == whole
+    names = [name for name, _ in written]
+    assert "words" not in names and names.count("thin") == 1
+    level2 = [keys for name, keys in written if name == "level2"]
+    assert len(level2) == phrases.TURNS and all(level2)
+    assert len({k for keys in level2 for k in keys}) == sum(map(len, level2))
+
+
 def test_limits_and_cover(spark):
     rows = made(9)
     assert sorted(tuple(r) for r in collocations(frame(spark, rows), 3, longest=3, top=7, covered=80).collect()) == brute(rows, 3, 3, 7, 80)

@@ -3,7 +3,8 @@
 1. Texts become rows of about SPLIT words, each a 64-bit key of language and word, pieces kept apart. A longer phrase's key is made of
    those of its first and last words but one.
 2. Candidates, level by level: phrases both of whose sub-phrases are candidates, and that are frequent enough. A row reports each phrase once, with
-   its count up to the least frequency, which is all that the sum has to tell.
+   its count, in turns by the phrase's key: what a turn shuffles is at most 1 / TURNS of the text's words, however many of its phrases are frequent.
+   Rows are written once, when the frequent words are known, without the others.
 3. Candidates of all levels get a minimal perfect hash: bits in a few levels, a key's slot is the rank of its bit. Each slot stores its key, so that
    other phrases are told apart. Tasks count slots with bincount, and note at each slot its phrase's parts; the arrays are summed up as a tree,
    in blocks of slots.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .bytewords import lower_bytes, mix, words
-from .common import discard, free_shuffles, small_batches, staged
+from .common import discard, small_batches, staged
 
 SPLIT = 1 << 18
 SLOTS = 1 << 21
+#: A turn's reports are at most one for so many words of the text.
+TURNS = 3
 #: Words that NumPy works on at once.
 SLICE = 1 << 16
 #: Slots of a block of counts, arrays that are summed up at once.
@@ -174,17 +178,17 @@ def _levels(data: bytes, bits: list[Bits], most: int) -> Iterator[tuple[int, np.
             yield level, key[:mine], first[:mine], last[:mine]
 
 
-def _report(level: int, bits, least: int):
-    """(key, n) of a row's phrases of this level, n up to least."""
+def _report(level: int, bits, turn: int = 0, turns: int = 1):
+    """(key, n) of a row's phrases of this level whose keys have this turn."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for data in b["data"]:
                 key = [x[1] for x in _levels(data, bits.value, level) if x[0] == level]
-                key = np.concatenate(key) if key else np.empty(0, np.uint64)
+                key = np.concatenate([x[(x >> np.uint64(32)) % np.uint64(turns) == turn] for x in key]) if key else np.empty(0, np.uint64)
                 key.sort()
                 edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
-                n = np.minimum(np.diff(edge), least)
+                n = np.diff(edge)
                 for i in range(0, len(n), SLICE):
                     yield pd.DataFrame({"key": key[edge[:-1][i : i + SLICE]].view(np.int64), "n": n[i : i + SLICE]})
 
@@ -270,23 +274,25 @@ def _thin(frequent):
 
 
 def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame, list[Bits], list[DataFrame]]:
-    """(key) of all phrases that are candidates, the rows without rare words, and the bitmap and table of each level; the rows given are removed."""
+    """(key) of all phrases that are candidates, the rows without rare words, and the bitmap of each level and the tables; rows are made twice, so they needn't
+    be written."""
     spark = rows.sparkSession
-    bits, levels = [], []
+    bits, tables, turns = [], [], 1
     for level in range(1, longest + 1):
-        sent = spark.sparkContext.broadcast(list(bits))
-        reported = rows.select("data").mapInPandas(_report(level, sent, least), "key long, n long")
-        levels.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), f"level{level}"))
-        bits.append(bitmap(levels[-1], levels[-1].count()))
+        sent, now = spark.sparkContext.broadcast(list(bits)), []
+        for turn in range(turns):
+            reported = rows.select("data").mapInPandas(_report(level, sent, turn, turns), "key long, n long")
+            now.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"level{level}"))
+        tables += now
+        found = reduce(DataFrame.union, now)
+        n, occur = found.agg(F.count("*"), F.sum("n")).first()
+        bits.append(bitmap(found, n))
         if level == 1:
-            thin = staged(rows.mapInPandas(_thin(spark.sparkContext.broadcast(bits[0])), rows.schema), "thin", compression="uncompressed")
-            discard(rows)
-            rows = thin
-        free_shuffles(spark)
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.union(more)
-    return out, rows, bits, levels
+            rows = staged(rows.mapInPandas(_thin(spark.sparkContext.broadcast(bits[0])), rows.schema), "thin", compression="uncompressed")
+            total = rows.agg(F.sum("n_words")).first()[0] or 1
+        # A phrase of the next level occurs only where one of this level does.
+        turns = max(1, -(-TURNS * (occur or 0) // total))
+    return reduce(DataFrame.union, tables).select("key"), rows, bits, tables
 
 
 def _names(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -324,7 +330,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     if spark.conf.get(_BYTES_KEY) == "67108864b":
         spark.conf.set(_BYTES_KEY, BYTES)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = staged(docs.mapInPandas(_encode, "lang string, tongue long, n_words long, data binary"), "words", compression="uncompressed")
+    rows = docs.mapInPandas(_encode, "lang string, tongue long, n_words long, data binary")
     able, rows, bits, levels = candidates(rows, least, longest)
     totals = rows.groupBy("tongue", "lang").agg(F.sum("n_words").alias("n"))
 

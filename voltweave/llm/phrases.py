@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .bytewords import lower_bytes, mix, words
-from .common import discard, small_batches, staged
+from .common import discard, free_shuffles, small_batches, staged
 
 SPLIT = 1 << 18
 SLOTS = 1 << 21
@@ -279,19 +279,22 @@ def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, Da
     spark = rows.sparkSession
     bits, tables, turns = [], [], 1
     for level in range(1, longest + 1):
-        sent, now = spark.sparkContext.broadcast(list(bits)), []
+        sent, now, n, occur = spark.sparkContext.broadcast(list(bits)), [], 0, 0
         for turn in range(turns):
             reported = rows.select("data").mapInPandas(_report(level, sent, turn, turns), "key long, n long")
             now.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"level{level}"))
+            some, often = now[-1].agg(F.count("*"), F.sum("n")).first()
+            n, occur = n + some, occur + (often or 0)
+            # Spark holds on to its last query until the next; that was the count, so the turn's shuffle goes now.
+            del reported
+            free_shuffles(spark)
         tables += now
-        found = reduce(DataFrame.union, now)
-        n, occur = found.agg(F.count("*"), F.sum("n")).first()
-        bits.append(bitmap(found, n))
+        bits.append(bitmap(reduce(DataFrame.union, now), n))
         if level == 1:
             rows = staged(rows.mapInPandas(_thin(spark.sparkContext.broadcast(bits[0])), rows.schema), "thin", compression="uncompressed")
             total = rows.agg(F.sum("n_words")).first()[0] or 1
         # A phrase of the next level occurs only where one of this level does.
-        turns = max(1, -(-TURNS * (occur or 0) // total))
+        turns = max(1, -(-TURNS * occur // total))
     return reduce(DataFrame.union, tables).select("key"), rows, bits, tables
 
 

@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -236,6 +238,33 @@ def test_packing_finds_neighbours_by_common_ids():
     assert all(len(topics) == 1 for topics in by.values())
 
 
+WORKER = """
+import re, sys
+import numpy as np, pandas as pd
+from voltweave.llm import packing
+kept = lambda: int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+rng = np.random.default_rng(4)
+words = np.array(["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (150_000, 7))])
+frame = lambda: pd.DataFrame({"doc_id": range(900), "size": 3200, "text": [" ".join(rng.choice(words, 400)) for _ in range(900)]})
+packing.tokenizer_at(sys.argv[1])
+before = kept()
+for b in packing._tokenize(sys.argv[1], 2)(frame() for _ in range(4)):
+    pass
+ids = b["ids"].tolist()
+print(kept() - before)
+stats = packing.Statistics(900, 1500.0, np.full(60_000, 5))
+packing._pack(4096, "<u2", True, stats, True)((0,), pd.DataFrame({"doc_id": range(900), "ids": ids}))
+print(kept() - before)
+"""
+
+
+def test_packing_workers_give_back_what_they_freed(vocabulary):
+    """Spark keeps its Python workers, and what they keep adds up with the JVM's heap in an executor's memory."""
+    out = subprocess.run([sys.executable, "-c", WORKER, vocabulary("word_bpe_49k.json")], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert max(map(float, out.stdout.split())) < 20
+
+
 # --- 3: personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH))
 
 
+def give_back() -> None:
+    """Returns what this Python worker has freed to the system. Spark keeps workers for later tasks, and freed arrays stay with them, about as much again as what they use."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other allocators do it by themselves
+    if trim:
+        trim(0)
+
+
 def short_plans(spark: SparkSession, most: int = 20_000) -> None:
     """Bounds the texts of plans, where the session has Spark's own limit of 2 GB: the driver keeps those of its last thousand queries, and
     an operator of many steps has long ones."""

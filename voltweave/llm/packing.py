@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Lookup, words
-from .common import discard, small_batches, staged
+from .common import discard, give_back, small_batches, staged
 
 WINDOW = 4096
 SHARD = 5_000_000
@@ -31,7 +31,7 @@ K1, B, COMMON = 1.2, 0.75, 0.2
 #: An id that over 1 / DENSE of a shard's documents hold has a row of weights for all of them.
 DENSE = 8
 #: Words that a worker remembers the ids of, within a task, at about 30 bytes each; bytes of text that are looked up together.
-REMEMBER, SLICE = 1_000_000, 2_000_000
+REMEMBER, SLICE = 1_000_000, 1_000_000
 #: Words of more bytes of letters go to the tokenizer itself.
 LETTERS = 40
 #: Numbers that a document's ids are projected to for clustering; clusters that one is parted in; documents that the clusters' centres come from, whatever the input.
@@ -53,7 +53,7 @@ class Merges:
     """Byte-pair merges of many words at once: in every round, each word merges its pair of the lowest rank, the leftmost of equals."""
 
     #: Words that are merged together; a rank that no pair has.
-    TOGETHER, NEVER = 20_000, 1 << 30
+    TOGETHER, NEVER = 4_000, 1 << 30
 
     def __init__(self, vocab: dict[str, int], merges: list):
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
@@ -253,9 +253,11 @@ def _tokenize(path: str, end_id: int) -> Callable:
         t = tokenizer_at(path)
         end = np.array([end_id], t.dtype).tobytes()
         for b in batches:
+            give_back()
             ids = t.encode(b["text"].tolist())
             yield pd.DataFrame({"doc_id": b["doc_id"], "size": b["size"], "ids": [x + end for x in ids]})
         t.forget()
+        give_back()
 
     return run
 
@@ -270,6 +272,7 @@ def _count(dtype: str) -> Callable:
             for i in range(0, len(b), 1000):
                 term, tf, _, _ = postings(b["ids"].iloc[i : i + 1000].tolist(), dtype)
                 df, total = add(df, np.bincount(term)), add(total, np.bincount(term, tf).astype(np.int64))
+            give_back()
         there = np.flatnonzero(total)
         yield pd.DataFrame({"id": there, "df": df[there], "total": total[there]})
 
@@ -335,6 +338,7 @@ def _vectors(stats: Statistics, dtype: str) -> Callable:
         place = Place(stats, dtype)
         for b in batches:
             yield pd.DataFrame({"ids_hash": b["ids_hash"], "vector": [v for v, _ in place(b["ids"].tolist())]})
+            give_back()
 
     return run
 
@@ -375,6 +379,7 @@ def _assign(stats: Statistics, dtype: str, tree: tuple[np.ndarray, list] | int)
                     node = node[1][int((node[0] @ vector).argmax())]
                 found.append((node, key))
             yield b.assign(cluster=[c for c, _ in found], key=[k for _, k in found])
+            give_back()
 
     return run
 
@@ -417,9 +422,10 @@ class Index:
     """BM25 over documents given by their arrays of ids, with the statistics of these or of a corpus that they are from."""
 
     def __init__(self, docs: list[np.ndarray], stats: Statistics | None = None, common: float = COMMON):
-        terms, counts = zip(*(terms_of(d) for d in docs), strict=True)
+        terms, counts = zip(*((t, c.astype(np.int32)) for t, c in map(terms_of, docs)), strict=True)
         self.terms, n = terms, len(docs)
-        term, tf, owner = np.concatenate(terms).astype(np.int64), np.concatenate(counts), np.repeat(np.arange(n), [len(t) for t in terms])
+        term, tf, owner = np.concatenate(terms), np.concatenate(counts), np.repeat(np.arange(n, dtype=np.int32), [len(t) for t in terms])
+        del counts
         length = np.array([len(d) for d in docs], float)
         order = np.argsort(term, kind="stable")
         df = np.bincount(term)
@@ -519,7 +525,10 @@ def _pack(window: int, dtype: str, with_ids: bool, stats: Statistics, apart: boo
         docs = [np.frombuffer(x, dtype) for x in shard["ids"]]
         doc_ids, rows = shard["doc_id"].tolist(), []
         del shard
-        for doc, start, n, sequence, offset in pack_shard(docs, window, stats, apart):
+        give_back()
+        pieces = pack_shard(docs, window, stats, apart)
+        give_back()
+        for doc, start, n, sequence, offset in pieces:
             ids = docs[doc][start : start + n].astype("<u4")
             rows.append((doc_ids[doc], start, n, zlib.crc32(ids.tobytes()), len(docs[doc]), (int(key[0]) << 32) + sequence, offset) + ((ids.astype(np.int32),) if with_ids else ()))
         columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids

@@ -85,6 +85,20 @@ def test_reports_come_in_turns_and_rows_are_written_once(spark, monkeypatch):
     assert len({k for keys in level2 for k in keys}) == sum(map(len, level2))
 
 
+def test_texts_pass_one_python_worker_a_task(spark, monkeypatch):
+    """Each worker adds to an executor's memory; rows of a second one would also pass through the JVM."""
+    workers, staged = [], phrases.staged
+
+    def spy(df, name, **kw):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        workers.append((name, plan.count("MapInPandas")))
+        return staged(df, name, **kw)
+
+    monkeypatch.setattr(phrases, "staged", spy)
+    phrases.candidates(frame(spark, made(3, 20)).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text"), 3, 2)
+    assert [x for x in workers if x[0] in ("level1", "thin")] == [("level1", 1), ("thin", 1)]
+
+
 def test_limits_and_cover(spark):
     rows = made(9)
     assert sorted(tuple(r) for r in collocations(frame(spark, rows), 3, longest=3, top=7, covered=80).collect()) == brute(rows, 3, 3, 7, 80)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .bytewords import lower_bytes, mix, words
-from .common import discard, free_shuffles, small_batches, staged
+from .common import discard, free_shuffles, give_back, small_batches, staged
 
 SPLIT = 1 << 18
 SLOTS = 1 << 21
@@ -75,6 +75,9 @@ def word_keys(texts: list[str | None], lang: str) -> Iterator[tuple[bytes, np.nd
             raws, size = [], 0
 
 
+_ROWS = "lang string, tongue long, n_words long, data binary"
+
+
 def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (lang, tongue, n_words, data): the language and its key, compressed keys of words, 0 before each piece."""
     held: dict[str, list[np.ndarray]] = {}
@@ -93,10 +96,17 @@ def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield flush([lang])
         if sum(sizes.values()) > 2 * SPLIT:
             yield flush(list(sizes))
+        give_back()
     if sizes:
         yield flush(list(sizes))
 
 
+def _encoded(then):
+    """Texts to what `then` makes of their rows, in one Python worker: rows of megabytes needn't pass through the JVM to a second one, and an executor
+    has half as many workers."""
+    return lambda batches: then(_encode(batches))
+
+
 class Bits:
     """A bitmap of keys by their low bits."""
 
@@ -178,6 +188,9 @@ def _levels(data: bytes, bits: list[Bits], most: int) -> Iterator[tuple[int, np.
             yield level, key[:mine], first[:mine], last[:mine]
 
 
+_REPORTS = "key long, n long"
+
+
 def _report(level: int, bits, turn: int = 0, turns: int = 1):
     """(key, n) of a row's phrases of this level whose keys have this turn."""
 
@@ -191,6 +204,8 @@ def _report(level: int, bits, turn: int = 0, turns: int = 1):
                 n = np.diff(edge)
                 for i in range(0, len(n), SLICE):
                     yield pd.DataFrame({"key": key[edge[:-1][i : i + SLICE]].view(np.int64), "n": n[i : i + SLICE]})
+                del key, edge, n
+            give_back()
 
     return run
 
@@ -214,10 +229,13 @@ def _count(found, bits, most: int):
                     arrays["counts"] += np.bincount(slots, minlength=n)
                     arrays["level"][slots], arrays["tongue"][slots] = level, tongue
                     arrays["first"][slots], arrays["last"][slots] = first[there].view(np.int64), last[there].view(np.int64)
+            give_back()
         turn = TaskContext.get().partitionId()
         for i in range(0, n, BLOCK):
             if arrays["counts"][i : i + BLOCK].any():
                 yield pd.DataFrame({"block": [i // BLOCK], "turn": [turn]} | {name: [a[i : i + BLOCK].tobytes()] for name, a in arrays.items()})
+        del arrays
+        give_back()
 
     return run
 
@@ -269,19 +287,21 @@ def _thin(frequent):
                 row[~frequent.value.has(row)] = 0
                 thin.append(zlib.compress(row[(row != 0) | np.concatenate(([True], row[:-1] != 0))[: len(row)]], 1))
             yield b.assign(data=thin)
+            give_back()
 
     return run
 
 
-def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame, list[Bits], list[DataFrame]]:
+def candidates(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame, list[Bits], list[DataFrame]]:
     """(key) of all phrases that are candidates, the rows without rare words, and the bitmap of each level and the tables; rows are made twice, so they needn't
     be written."""
-    spark = rows.sparkSession
+    spark, rows = docs.sparkSession, None
     bits, tables, turns = [], [], 1
     for level in range(1, longest + 1):
         sent, now, n, occur = spark.sparkContext.broadcast(list(bits)), [], 0, 0
         for turn in range(turns):
-            reported = rows.select("data").mapInPandas(_report(level, sent, turn, turns), "key long, n long")
+            report = _report(level, sent, turn, turns)
+            reported = rows.select("data").mapInPandas(report, _REPORTS) if rows is not None else docs.mapInPandas(_encoded(report), _REPORTS)
             now.append(staged(reported.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"level{level}"))
             some, often = now[-1].agg(F.count("*"), F.sum("n")).first()
             n, occur = n + some, occur + (often or 0)
@@ -291,7 +311,7 @@ def candidates(rows: DataFrame, least: int, longest: int) -> tuple[DataFrame, Da
         tables += now
         bits.append(bitmap(reduce(DataFrame.union, now), n))
         if level == 1:
-            rows = staged(rows.mapInPandas(_thin(spark.sparkContext.broadcast(bits[0])), rows.schema), "thin", compression="uncompressed")
+            rows = staged(docs.mapInPandas(_encoded(_thin(spark.sparkContext.broadcast(bits[0]))), _ROWS), "thin", compression="uncompressed")
             total = rows.agg(F.sum("n_words")).first()[0] or 1
         # A phrase of the next level occurs only where one of this level does.
         turns = max(1, -(-TURNS * occur // total))
@@ -310,6 +330,7 @@ def _names(docs: DataFrame, needed: DataFrame) -> DataFrame:
                     hit = asked.value.has(u)
                     if hit.any():
                         yield pd.DataFrame({"key": u[hit].view(np.int64), "word": [data[start[i] : end[i]].decode("utf-8", "replace") for i in at[hit]]})
+            give_back()
 
     return docs.mapInPandas(run, "key long, word string").groupBy("key").agg(F.min("word").alias("word")).join(needed, "key")
 
@@ -333,8 +354,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     if spark.conf.get(_BYTES_KEY) == "67108864b":
         spark.conf.set(_BYTES_KEY, BYTES)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = docs.mapInPandas(_encode, "lang string, tongue long, n_words long, data binary")
-    able, rows, bits, levels = candidates(rows, least, longest)
+    able, rows, bits, levels = candidates(docs, least, longest)
     totals = rows.groupBy("tongue", "lang").agg(F.sum("n_words").alias("n"))
 
     turns = max(1, -(-able.count() // SLOTS))

@@ -16,6 +16,8 @@ So a family of n near copies costs n comparisons and n rows while it fits one ch
 rows by documents and chunks; what is compared pair by pair inside a chunk are only documents that no link has joined. No link between
 different components is passed over.
 
+Steps are written in between, so that each query has few joins: the driver plans a query anew after each of its shuffles, and its heap grows with that.
+
 Comparisons drop pairs whose sizes, or whose similarities to a third document, rule a link out (exact), and pairs whose MinHash
 values agree in fewer places than SURE (at the least similarity, 0.8, five pairs in a million). Nothing else is dropped, and no
 bucket is capped.
@@ -310,7 +312,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     met = near.groupBy(F.col("b").alias("id")).agg(F.min(F.when(2 * F.col("both") >= F.col("either"), F.col("a"))).alias("home"), F.min("a").alias("first"))
     centre = members.groupBy("id").agg(F.min("a").alias("centre"))
     homes = centre.join(met, "id", "left").select("id", F.coalesce("home", "id").alias("home"), F.coalesce("first", "centre").alias("first"))
-    homes = homes.join(labels, "id", "left").select("id", "home", "first", F.coalesce("component", "id").alias("component")).join(reps, "id")
+    homed = staged(homes.join(labels, "id", "left").select("id", "home", "first", F.coalesce("component", "id").alias("component")), "homed")
+    homes = homed.join(reps, "id")
     counts = homes.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     parts = F.greatest(F.ceil(F.col("n") / WIDE), F.ceil(F.col("m") / HEAVY)).cast("int").alias("parts")
     counts = counts.where("n > 1").select("home", parts, (F.col("lo") < F.col("hi")).alias("mixed"))
@@ -331,15 +334,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     region = homes.join(homes.select(F.col("id").alias("first"), F.col("first").alias("region")), "first").select("id", "home", "region", "n_shingles")
     room = region.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / WIDE), F.ceil(F.sum("n_shingles") / HEAVY)).alias("rooms"))
     place = region.join(room, "region").select("id", "home", F.xxhash64("region", F.pmod(F.xxhash64("id", F.lit(2)), F.col("rooms"))).alias("block"))
-    named = members.join(place, "id").join(labels, "id", "left").select("bucket", "a", "id", "home", "block", F.coalesce("component", "id").alias("component"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("csize"))
+    known = labels.join(sizes, "component")
+    place = staged(place.join(known, "id", "left").select("id", "home", "block", F.coalesce("component", "id").alias("component"), F.coalesce("csize", F.lit(1)).alias("csize")), "place")
+    named = members.join(place, "id")
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("home").alias("from"), F.max("home").alias("to"), F.count("*").alias("n"))
     mixed = staged(mixed.where("lo < hi and from < to").select("bucket", F.ceil(F.col("n") / WIDE).cast("int").alias("parts")), "mixed")
     known = near.groupBy("a", F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("either")).alias("to_centre"))
-    sizes = labels.groupBy("component").agg(F.count("*").alias("csize"))
-    rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id").join(sizes, "component", "left")
+    rest = named.join(mixed, "bucket").join(known, ["a", "id"], "left").join(reps, "id")
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("part")
     to_centre = F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("to_centre")).alias("to_centre")
-    rest = staged(rest.select("bucket", "parts", part, "id", "component", F.coalesce("csize", F.lit(1)).alias("csize"), "home", "block", to_centre, "n_shingles", "sig"), "rest")
+    rest = staged(rest.select("bucket", "parts", part, "id", "component", "csize", "home", "block", to_centre, "n_shingles", "sig"), "rest")
     slots = max(1, -(-rest.count() // ROWS))
     slot = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(slots)).cast("int").alias("slot")
     left = rest.withColumn("i", F.col("part")).withColumn("j", F.explode(F.expr("sequence(part, parts - 1)"))).select(slot, "i", "j", *FIELDS)
@@ -349,19 +354,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     asking = asking_lists = staged(asking.groupBy("a", "block").agg(F.flatten(F.collect_list("others")).alias("others")), "asking")
     # The askers of a block in turns of about PAIRS pairs; each turn gets the block's documents that its askers name.
     turns = asking.groupBy("block").agg(F.ceil(F.sum(F.size("others")) / PAIRS).cast("int").alias("turns"))
-    asking = asking.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("a"), F.col("turns")).cast("int"))
+    asking = asked = staged(asking.join(turns, "block").select("a", "block", "others", F.pmod(F.xxhash64("a"), F.col("turns")).cast("int").alias("turn")), "asked")
     held = asking.groupBy("block", "turn").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("ids")).select("block", "turn", F.explode("ids").alias("id"))
-    slots = max(1, -(-turns.agg(F.sum("turns")).first()[0] // 4)) if asking.head(1) else 1
+    slots = max(1, -(-(turns.agg(F.sum("turns")).first()[0] or 0) // 4))
     slot = F.pmod(F.xxhash64("block", "turn"), F.lit(slots)).cast("int")
     held = held.join(candidates.hint("merge"), "id").select(slot, "block", "turn", "id", "text").toDF("h_slot", "h_block", "h_turn", "id", "text")
     asking = asking.join(candidates.toDF("a", "text").hint("merge"), "a").select(slot.alias("slot"), "a", "block", "turn", "others", "text")
-    links = links.union(asking.groupBy("slot").cogroup(held.groupBy("h_slot")).applyInPandas(_confirm_lists(shingle_words, percent), "a long, b long"))
+    across = staged(asking.groupBy("slot").cogroup(held.groupBy("h_slot")).applyInPandas(_confirm_lists(shingle_words, percent), "a long, b long"), "across")
 
     # A doc_id with several texts ties their classes together.
     named = rows.join(classes.select("low", "high", "id"), ["low", "high"], "left").select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"))
+    named = staged(named, "named")
     ties = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("ids")).where("size(ids) > 1").select("a", F.explode("ids").alias("b"))
-    labels = connected_components(links.union(ties))
-    discard(candidates, centres, members, checked, near, homes, found, mixed, rest, asking_lists)
+    labels = connected_components(links.union(across).union(ties))
+    discard(rows, classes, candidates, centres, members, checked, near, homed, homes, found, place, mixed, rest, asking_lists, asked, across)
     component = F.coalesce("component", "id")
     out = named.join(labels, "id", "left")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
@@ -383,6 +389,7 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int =
     if by_row:
         docs, columns = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "numbered"), docs.columns
         groups = near_duplicates(docs.select(F.col("_near_row").alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias("_near_row"), F.col("component_id").alias("_near_group"))
+        groups = staged(groups, "groups")
         # Texts themselves would be shuffled for ties that are rare.
         order = F.struct(F.col("doc_id").isNull(), "doc_id", "_near_text", "_near_row")
         kept = docs.select("_near_row", "doc_id", F.xxhash64("text").alias("_near_text")).join(groups, "_near_row").groupBy("_near_group").agg(F.min_by("_near_row", order).alias("_near_row")).select("_near_row")
